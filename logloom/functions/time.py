@@ -49,7 +49,11 @@ def as_wall_clock(ts: Column, data_type) -> Column:
 
 
 def period_start(ts: Column, granularity: str) -> Column:
-    """Floor an NTZ timestamp to the start of its 30-minute or day bucket."""
+    """Floor an NTZ timestamp to the start of its 30-minute or day bucket.
+
+    Built on ``window``, which compiles to long arithmetic on the timestamp
+    and drops null timestamps; Spark allows one such column per projection.
+    """
     return F.window(ts, GRANULARITIES[check_granularity(granularity)]).start
 
 
