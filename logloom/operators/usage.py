@@ -54,15 +54,15 @@ def everyday_users(user_app: DataFrame, day, application: str, calendar: DataFra
     count is a one-row scalar subquery, not a join. ``calendar`` (a ``day``
     column) should list every day that has a file, empty files included;
     without it the days present in ``user_app`` are used. No day ≤ ``day``
-    is an error, raised when the query runs.
+    is a ``ValueError``.
     """
     last = date_literal(parse_date_arg(day))
     days = (calendar if calendar is not None else user_app).select("day").filter(F.col("day") <= last)
-    n_days = F.count_distinct("day")
-    checked = F.when(
-        n_days == 0, F.raise_error(F.lit(f"No files found for date <= {parse_date_arg(day)}"))
-    ).otherwise(n_days)
-    needed = days.select(checked).scalar()
+    # Checked up front: with no day the query's input is empty too, and Spark
+    # would skip any check placed inside it. The day list is one row per file.
+    if days.isEmpty():
+        raise ValueError(f"No files found for date <= {parse_date_arg(day)}")
+    needed = days.select(F.count_distinct("day")).scalar()
     active = (
         user_app.filter((F.col("application") == F.lit(application)) & (F.col("day") <= last))
         .select("user", "day")
