@@ -1,7 +1,7 @@
 """Column functions (built-in Spark expressions only)."""
 
 from .numbers import int_or_fail, overflow_check, parse_int_text
-from .paths import ancestors_and_self, ceil_mib, day_in_name, git_root
+from .paths import ancestors_and_self, ceil_mib, day_in_name, explode_ancestors, git_root
 from .time import (
     GRANULARITIES,
     TIMESTAMP_FORMAT,
@@ -24,6 +24,7 @@ __all__ = [
     "ceil_mib",
     "date_literal",
     "day_in_name",
+    "explode_ancestors",
     "git_root",
     "int_or_fail",
     "ntz_literal",

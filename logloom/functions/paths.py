@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # A day as it appears inside file names, and the MiB size as a
@@ -19,18 +19,39 @@ def day_in_name(name: Column, pattern: str = DAY_IN_NAME_RX) -> Column:
 
 
 def ancestors_and_self(path: Column) -> Column:
-    """Every directory above ``path`` plus the path itself.
+    """Every directory above ``path`` plus the path itself, as an array.
 
     ``/c/0/7/o1`` gives ``[/c, /c/0, /c/0/7, /c/0/7/o1]``; a relative path
-    starts at its first component. One ``substring_index`` per level.
+    starts at its first component; trailing slashes are ignored.
+    ``explode_ancestors`` yields the same rows without building the array.
     """
-    p = F.regexp_replace(path, r"(?<=.)/+$", "")
+    p = _strip_trailing_slash(path)
     slashes = F.length(p) - F.length(F.replace(p, F.lit("/"), F.lit("")))
     first = F.when(p.startswith("/"), F.lit(2)).otherwise(F.lit(1))
     levels = F.sequence(first, slashes + 1)
     return F.transform(levels, lambda k: F.call_function("substring_index", p, F.lit("/"), k))
 
 
+def explode_ancestors(df: DataFrame, path: str, out: str, *keep: str) -> DataFrame:
+    """One row per (row, ancestor-or-self of ``path``) as column ``out``,
+    with the ``keep`` columns carried along.
+
+    ``posexplode`` over the path's components, then one ``substring_index``
+    per output row: both compile to Java code, unlike a lambda over an array.
+    """
+    p = _strip_trailing_slash(F.col(path))
+    parts = df.select(p.alias("_p"), *keep).select("_p", *keep, F.posexplode(F.split("_p", "/", -1)).alias("_i", "_c"))
+    # The empty component before a leading slash is not a directory.
+    parts = parts.filter(~((F.col("_i") == 0) & (F.col("_c") == "")))
+    return parts.select(
+        F.call_function("substring_index", F.col("_p"), F.lit("/"), F.col("_i") + 1).alias(out), *keep
+    )
+
+
+def _strip_trailing_slash(path: Column) -> Column:
+    return F.when((F.length(path) > 1) & path.endswith("/"), F.rtrim(path, F.lit("/"))).otherwise(path)
+
+
 def git_root(path: Column) -> Column:
     """Parent of a path ending in ``/.git``; null otherwise."""
     root = F.regexp_extract(path, r"^(.+)/\.git$", 1)

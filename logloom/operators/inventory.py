@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.paths import ancestors_and_self, ceil_mib, git_root
+from ..functions.paths import ceil_mib, explode_ancestors, git_root
 
 
 def repo_roots(inventory: DataFrame) -> DataFrame:
@@ -34,7 +34,7 @@ def repo_sizes(inventory: DataFrame, min_mib: int = 1024) -> DataFrame:
     meet the roots in an equi-join with one row per key on each side.
     """
     rolled = (
-        inventory.select(F.explode(ancestors_and_self(F.col("path"))).alias("root"), "bytes")
+        explode_ancestors(inventory, "path", "root", "bytes")
         .groupBy("root")
         .agg(F.sum("bytes").alias("bytes"))
     )

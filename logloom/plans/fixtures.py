@@ -93,5 +93,7 @@ def inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
         .distinct()
     )
-    top = orders.sparkSession.createDataFrame([("/c/0/.git", "dir", 4096)], "path string, kind string, bytes bigint")
+    top = orders.sparkSession.range(1).select(
+        F.lit("/c/0/.git").alias("path"), F.lit("dir").alias("kind"), F.lit(4096).cast("bigint").alias("bytes")
+    )
     return files.unionByName(gits).unionByName(top)

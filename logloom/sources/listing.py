@@ -65,6 +65,8 @@ def day_calendar(
     per file name: a listing, not data.
     """
     names = [f.name for f in list_dir(spark, path, recursive) if not f.is_dir and fnmatch.fnmatchcase(f.name, glob)]
-    listed = spark.createDataFrame([(n,) for n in names], "name string")
+    # Names enter as one literal array: the listing stays in the JVM plan.
+    literal = F.array(*[F.lit(n) for n in names]).cast("array<string>")
+    listed = spark.range(1).select(F.explode(literal).alias("name"))
     text = F.regexp_extract("name", pattern, 1)
     return listed.select(F.when(text != "", text.try_cast("date")).alias("day")).filter("day IS NOT NULL").distinct()

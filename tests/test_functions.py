@@ -95,3 +95,13 @@ def test_paths(spark):
 @pytest.mark.parametrize("n,mib", [(0, 0), (1, 1), (1 << 20, 1), ((1 << 20) + 1, 2), (1024 << 20, 1024), ((1024 << 20) + 1, 1025)])
 def test_ceil_mib(spark, n, mib):
     assert spark.range(1).select(ceil_mib(F.lit(n).cast("bigint")).alias("m")).first().m == mib
+
+
+def test_explode_ancestors_matches_array_form(spark):
+    from logloom.functions import explode_ancestors
+
+    rows = [("/c/0/7/o1", 1), ("a/b", 2), ("/c/0/", 3), ("/x", 4), ("/", 5)]
+    df = spark.createDataFrame(rows, "p string, n int")
+    exploded = sorted(tuple(r) for r in explode_ancestors(df, "p", "a", "n").collect())
+    arrays = sorted((a, r.n) for r in df.select(ancestors_and_self(F.col("p")).alias("a"), "n").collect() for a in r.a)
+    assert exploded == arrays
