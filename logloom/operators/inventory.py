@@ -27,18 +27,24 @@ def repo_sizes(inventory: DataFrame, min_mib: int = 1024) -> DataFrame:
     """``root, size_mb`` for repositories whose size, rounded up to whole MiB,
     is greater than ``min_mib``.
 
-    Each inventory row is credited to every directory above it (an exploded
-    array, equi-keys only), and the bytes are summed per directory with a
-    map-side partial sum. A repository holding a third of all files thus
-    reaches the exchange as one row per task. The summed directories then
-    meet the roots in an equi-join with one row per key on each side.
+    One scan and one exchange, no join: each inventory row is credited to
+    every directory above it (``explode_ancestors``, equi-keys only), and a
+    ``.git`` directory row also marks its parent as a root. Bytes and marks
+    are summed per directory with a map-side partial aggregate, so a
+    repository holding a third of all files reaches the exchange as one row
+    per task; directories without a mark are dropped after it.
     """
+    marked = inventory.select(
+        "path", "bytes", F.when(F.col("kind") == "dir", git_root(F.col("path"))).alias("_root_of")
+    )
     rolled = (
-        explode_ancestors(inventory, "path", "root", "bytes")
+        explode_ancestors(marked, "path", "root", "bytes", "_root_of")
         .groupBy("root")
-        .agg(F.sum("bytes").alias("bytes"))
+        .agg(
+            F.sum("bytes").alias("bytes"),
+            F.bool_or(F.coalesce(F.col("root") == F.col("_root_of"), F.lit(False))).alias("is_root"),
+        )
     )
-    sized = rolled.join(repo_roots(inventory), "root", "inner")
-    return sized.select("root", ceil_mib(F.col("bytes")).alias("size_mb")).filter(
+    return rolled.filter("is_root").select("root", ceil_mib(F.col("bytes")).alias("size_mb")).filter(
         F.col("size_mb") > F.lit(min_mib)
     )
