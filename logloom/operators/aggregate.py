@@ -32,9 +32,10 @@ def _metric(df: DataFrame, name: str) -> Column:
     return F.col(name).cast("bigint")
 
 
-def matching_rows(logs: DataFrame, query: LogQuery) -> DataFrame:
-    """Rows inside the query's filters, keyed by ``period`` and dimensions,
-    with the nine metrics as ``BIGINT``.
+def matching_rows(logs: DataFrame, query: LogQuery, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Rows inside the query's filters: ``ts`` (NTZ), the ``keep`` columns,
+    the dimensions (an empty field as ``''``) and the nine metrics as
+    ``BIGINT``.
 
     Filter order follows the reference's optimized reader: users, apps, time
     range and file day first; metric text is parsed only afterwards, so a bad
@@ -54,7 +55,7 @@ def matching_rows(logs: DataFrame, query: LogQuery) -> DataFrame:
         )
     dims = [F.coalesce(F.col(d), F.lit("")).alias(d) for d in query.dimensions]
     metrics = [_metric(df, m).alias(m) for m in METRICS]
-    return df.select(period_start(ts, query.granularity).alias("period"), *dims, *metrics)
+    return df.select(ts.alias("ts"), *keep, *dims, *metrics)
 
 
 def aggregate_logs(
@@ -76,7 +77,8 @@ def aggregate_logs(
     """
     query = LogQuery.of(from_dt, to_dt, granularity, dimensions, users, apps)
     rows = matching_rows(logs, query)
-    grouped = rows.groupBy("period", *query.dimensions).agg(
+    period = period_start(F.col("ts"), query.granularity).alias("period")
+    grouped = rows.groupBy(period, *query.dimensions).agg(
         *[F.try_sum(m).alias(m) for m in METRICS]
     )
     if ordered:
@@ -109,9 +111,10 @@ def run_counts(
     days = files.select("day") if files is not None else logs.select(F.col("file_date").alias("day"))
     in_range = F.col("day").between(date_literal(query.first_day), date_literal(query.last_day))
     n_files = days.filter(in_range).select(F.count_distinct("day")).scalar()
+    period = period_start(F.col("ts"), query.granularity).alias("period")
     per_group = (
         matching_rows(logs, query)
-        .groupBy("period", *query.dimensions)
+        .groupBy(period, *query.dimensions)
         .agg(F.count(F.lit(1)).alias("n"))
     )
     totals = per_group.agg(

@@ -84,6 +84,12 @@ def read_logs(
     else:
         raise ValueError(f"layout must be 'auto', 'flat' or 'daily', got {layout!r}")
 
+    return clean_log_rows(raw, from_dt, to_dt)
+
+
+def clean_log_rows(raw: DataFrame, from_dt=None, to_dt=None) -> DataFrame:
+    """Apply the row rules to a raw scan with ``file_date``: day range, short
+    rows, strict timestamps. Shared by the batch and the streaming reader."""
     days = F.col("file_date").isNotNull()
     if from_dt is not None and to_dt is not None:
         days = F.col("file_date").between(
