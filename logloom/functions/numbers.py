@@ -9,30 +9,41 @@ from pyspark.sql import functions as F
 _UNDERSCORED_INT_RX = r"^\s*[+-]?[0-9]+(?:_[0-9]+)+\s*\z"
 
 
+def _underscored(text: Column) -> Column:
+    return F.when(text.rlike(_UNDERSCORED_INT_RX), F.replace(text, F.lit("_"), F.lit("")).try_cast("bigint"))
+
+
 def parse_int_text(text: Column) -> Column:
     """Integer text to ``BIGINT``; null when it is not an integer.
 
     ``try_cast`` already takes outer spaces, a sign and leading zeros, and
-    rejects ``5.0``; only the ``1_000`` form needs the pattern, so the regex
-    runs on text holding an underscore and nowhere else.
+    rejects ``5.0``; only the ``1_000`` form needs the pattern. ``coalesce``
+    stops at its first non-null argument, so the pattern runs only on text
+    the plain cast rejects.
     """
-    plain = text.try_cast("bigint")
-    underscored = F.when(
-        text.rlike(_UNDERSCORED_INT_RX),
-        F.replace(text, F.lit("_"), F.lit("")).try_cast("bigint"),
-    )
-    return F.when(F.instr(text, "_") > 0, underscored).otherwise(plain)
+    return F.coalesce(text.try_cast("bigint"), _underscored(text))
 
 
 def int_or_fail(text: Column, name: str) -> Column:
-    """``parse_int_text`` that stops the query on a bad value, naming it."""
-    value = parse_int_text(text)
+    """``parse_int_text`` that stops the query on a bad value, naming it.
+    One ``try_cast`` per value on the common path."""
     message = F.concat(
         F.lit(f"invalid literal for int() in {name}: '"),
         F.coalesce(text, F.lit("")),
         F.lit("'"),
     )
-    return F.when(value.isNull(), F.raise_error(message)).otherwise(value)
+    return F.coalesce(text.try_cast("bigint"), _underscored(text), F.raise_error(message).cast("bigint"))
+
+
+def ansi_enabled(spark) -> bool:
+    return str(spark.conf.get("spark.sql.ansi.enabled", "true")).lower() == "true"
+
+
+def checked_sum(value: Column, name: str, ansi: bool) -> Column:
+    """A ``BIGINT`` sum that fails on overflow. With ANSI on, ``sum`` raises
+    by itself and keeps one buffer field; otherwise ``try_sum`` (two fields),
+    to be passed through ``overflow_check`` after the aggregate."""
+    return (F.sum(value) if ansi else F.try_sum(value)).alias(name)
 
 
 def overflow_check(total: Column, name: str) -> Column:

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from ..functions.numbers import int_or_fail, overflow_check
+from ..functions.numbers import ansi_enabled, checked_sum, int_or_fail, overflow_check
 from ..functions.time import as_wall_clock, date_literal, ntz_literal, period_start, period_text
 from ..plans.args import METRICS, LogQuery
 
@@ -78,9 +78,8 @@ def aggregate_logs(
     query = LogQuery.of(from_dt, to_dt, granularity, dimensions, users, apps)
     rows = matching_rows(logs, query)
     period = period_start(F.col("ts"), query.granularity).alias("period")
-    grouped = rows.groupBy(period, *query.dimensions).agg(
-        *[F.try_sum(m).alias(m) for m in METRICS]
-    )
+    ansi = ansi_enabled(logs.sparkSession)
+    grouped = rows.groupBy(period, *query.dimensions).agg(*[checked_sum(F.col(m), m, ansi) for m in METRICS])
     if ordered:
         # Sorting on the NTZ period orders exactly as its text does, and is cheaper.
         grouped = grouped.orderBy("period", *query.dimensions)

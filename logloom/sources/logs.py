@@ -11,7 +11,7 @@ Two layouts are read:
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -24,6 +24,7 @@ from .listing import list_dir
 LOG_FIELDS = ("timestamp", "user", "app", *METRICS)
 DAY_FILE_GLOB = "*.log.csv"
 DAY_FILE_RX = r"^([0-9]{4}-[0-9]{2}-[0-9]{2})\.log\.csv$"
+DAY_FILE_SUFFIX = ".log.csv"
 CORRUPT = "_corrupt_record"
 
 LOG_SCHEMA = StructType([StructField(n, StringType()) for n in LOG_FIELDS] + [StructField(CORRUPT, StringType())])
@@ -76,30 +77,46 @@ def read_logs(
     if layout == "auto":
         layout = detect_layout(spark, path)
     reader = csv_reader(spark, LOG_SCHEMA, multiline)
+    first, last = _day_range(from_dt, to_dt)
     if layout == "flat":
         raw = reader.option("pathGlobFilter", DAY_FILE_GLOB).csv(path)
-        raw = raw.withColumn("file_date", day_in_name(F.col("_metadata.file_name"), DAY_FILE_RX))
+        name = F.col("_metadata.file_name")
+        day = day_in_name(name, DAY_FILE_RX)
+        # Day-file names sort in date order: a plain text range on the name
+        # prunes files before they are opened, without a regex per row.
+        prune = None if first is None else name.between(f"{first}{DAY_FILE_SUFFIX}", f"{last}{DAY_FILE_SUFFIX}")
     elif layout == "daily":
-        raw = reader.csv(path).withColumn("file_date", F.col("file_date").cast("date"))
+        raw = reader.csv(path)
+        day = F.col("file_date").cast("date")
+        prune = None if first is None else day.between(date_literal(first), date_literal(last))
     else:
         raise ValueError(f"layout must be 'auto', 'flat' or 'daily', got {layout!r}")
+    if prune is not None:
+        raw = raw.filter(prune)
+    return clean_log_rows(raw, day, first, last)
 
-    return clean_log_rows(raw, from_dt, to_dt)
 
+def _day_range(from_dt, to_dt):
+    if from_dt is None or to_dt is None:
+        return None, None
+    return parse_datetime_arg(from_dt).date(), parse_datetime_arg(to_dt).date()
 
-def clean_log_rows(raw: DataFrame, from_dt=None, to_dt=None) -> DataFrame:
-    """Apply the row rules to a raw scan with ``file_date``: day range, short
-    rows, strict timestamps. Shared by the batch and the streaming reader."""
-    days = F.col("file_date").isNotNull()
-    if from_dt is not None and to_dt is not None:
-        days = F.col("file_date").between(
-            date_literal(parse_datetime_arg(from_dt).date()), date_literal(parse_datetime_arg(to_dt).date())
-        )
+
+def clean_log_rows(raw: DataFrame, day: Column, first=None, last=None) -> DataFrame:
+    """Apply the row rules to a raw scan: short rows out, strict timestamps,
+    the file's ``day`` (null for names without a valid day) within
+    ``first..last`` when given. Shared by the batch and the streaming reader.
+
+    ``ts`` and ``file_date`` come out of a one-row ``inline``: Spark inlines a
+    projected expression into every later filter that uses it (the checks
+    here, the range of the query), so the timestamp pattern would run once
+    per use; a generator's output is computed once per row. Filters on the
+    raw columns (users, apps) still pass below it to the scan.
+    """
     short = F.col(CORRUPT).isNotNull() & F.col(METRICS[-1]).isNull()
-    ts = parse_timestamp_text(F.col("timestamp"))
-    return (
-        raw.filter(days)
-        .filter(~short)
-        .select(*LOG_FIELDS, ts.alias("ts"), "file_date")
-        .filter(F.col("ts").isNotNull())
-    )
+    parsed = F.struct(parse_timestamp_text(F.col("timestamp")).alias("ts"), day.alias("file_date"))
+    rows = raw.filter(~short).select(*LOG_FIELDS, F.inline(F.array(parsed)))
+    keep = F.col("ts").isNotNull() & F.col("file_date").isNotNull()
+    if first is not None:
+        keep = keep & F.col("file_date").between(date_literal(first), date_literal(last))
+    return rows.filter(keep)

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..functions.numbers import overflow_check
+from ..functions.numbers import ansi_enabled, checked_sum, overflow_check
 from ..functions.paths import day_in_name
 from ..functions.time import GRANULARITIES
 from ..operators.aggregate import matching_rows
@@ -53,8 +53,8 @@ def stream_logs(spark: SparkSession, path: str, max_files_per_trigger: int | Non
     )
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    raw = reader.csv(path).withColumn("file_date", day_in_name(F.col("_metadata.file_name"), DAY_FILE_RX))
-    return clean_log_rows(raw)
+    raw = reader.csv(path)
+    return clean_log_rows(raw, day_in_name(F.col("_metadata.file_name"), DAY_FILE_RX))
 
 
 def aggregate_logs_stream(
@@ -82,7 +82,7 @@ def aggregate_logs_stream(
     window = F.window("event_time", GRANULARITIES[query.granularity])
     grouped = (
         rows.groupBy(window.alias("window"), *query.dimensions)
-        .agg(*[F.try_sum(m).alias(m) for m in METRICS])
+        .agg(*[checked_sum(F.col(m), m, ansi_enabled(logs.sparkSession)) for m in METRICS])
     )
     return grouped.select(
         F.col("window.start").cast("timestamp_ntz").cast("string").alias("timestamp"),
