@@ -26,8 +26,8 @@ def _in_list(df: DataFrame, name: str, values: tuple[str, ...]) -> Column:
     return F.col(name).isin(list(values))
 
 
-def _metric(df: DataFrame, name: str) -> Column:
-    if isinstance(df.schema[name].dataType, StringType):
+def _metric(data_type, name: str) -> Column:
+    if isinstance(data_type, StringType):
         return int_or_fail(F.col(name), name)
     return F.col(name).cast("bigint")
 
@@ -42,19 +42,20 @@ def matching_rows(logs: DataFrame, query: LogQuery, keep: tuple[str, ...] = ())
     metric fails the query only in a row that matches.
     """
     df = logs
+    schema = logs.schema
     if query.users is not None:
         df = df.filter(_in_list(df, "user", query.users))
     if query.apps is not None:
         df = df.filter(_in_list(df, "app", query.apps))
-    ts = as_wall_clock(F.col("ts"), df.schema["ts"].dataType)
+    ts = as_wall_clock(F.col("ts"), schema["ts"].dataType)
     df = df.filter((ts >= ntz_literal(query.from_dt)) & (ts < ntz_literal(query.to_dt)))
-    if "file_date" in df.columns:
+    if "file_date" in schema.fieldNames():
         # The file's own day bounds the rows too (P4), independently of ts.
         df = df.filter(
             F.col("file_date").between(date_literal(query.first_day), date_literal(query.last_day))
         )
     dims = [F.coalesce(F.col(d), F.lit("")).alias(d) for d in query.dimensions]
-    metrics = [_metric(df, m).alias(m) for m in METRICS]
+    metrics = [_metric(schema[m].dataType, m).alias(m) for m in METRICS]
     return df.select(ts.alias("ts"), *keep, *dims, *metrics)
 
 

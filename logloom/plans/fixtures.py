@@ -9,6 +9,7 @@ reach the scan.
 from __future__ import annotations
 
 import os
+import weakref
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,8 +17,18 @@ from pyspark.sql import functions as F
 from .args import METRICS
 
 
+# One parquet relation per session and path, like a registered view: the
+# file listing and footer schema are read once, not on every query built.
+_TABLES: weakref.WeakKeyDictionary = weakref.WeakKeyDictionary()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    """A driver table (read-only parquet)."""
+    path = os.path.join(sf_dir, f"{name}.parquet")
+    per_session = _TABLES.setdefault(spark, {})
+    if path not in per_session:
+        per_session[path] = spark.read.parquet(path)
+    return per_session[path]
 
 
 def _metric(i: int):

@@ -2,7 +2,8 @@
 
 ``local_session`` sets what a local run needs: AQE on (runtime coalescing,
 skew-join splitting, broadcast only after a stage's real size is known),
-shuffle partitions sized to the cores, the UI off. ``checkpoint_dir`` reads
+shuffle partitions sized to the cores, the UI off, no per-call Python call
+site capture. ``checkpoint_dir`` reads
 the shared folder a cluster names in ``spark.checkpoint.dir`` and sets a
 scratch one only when the session has none.
 """
@@ -27,6 +28,9 @@ def local_session(cores: int | None = None, shuffle_partitions: int | None = Non
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.session.timeZone", "UTC")
+        # Skip capturing a Python call site on every functions.* call: three
+        # extra driver round trips each, and plans here are built per query.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
