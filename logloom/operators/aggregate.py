@@ -68,16 +68,21 @@ def aggregate_logs(
     users=None,
     apps=None,
     ordered: bool = False,
+    observation=None,
 ) -> DataFrame:
     """Sum ``metric_1..metric_9`` per (period[, user][, app]).
 
     Result columns: ``timestamp`` (period start as ``YYYY-MM-DD HH:MM:SS``),
     the chosen dimensions in the order user, app, then the nine sums. Rows
     are in range when ``from_dt <= ts < to_dt``. ``ordered=True`` sorts by
-    the key, as the written result is.
+    the key, as the written result is. An ``Observation`` given as
+    ``observation`` receives ``rows_matched`` from whichever action runs the
+    query, without a second pass over the input.
     """
     query = LogQuery.of(from_dt, to_dt, granularity, dimensions, users, apps)
     rows = matching_rows(logs, query)
+    if observation is not None:
+        rows = rows.observe(observation, F.count(F.lit(1)).alias("rows_matched"))
     period = period_start(F.col("ts"), query.granularity).alias("period")
     ansi = ansi_enabled(logs.sparkSession)
     grouped = rows.groupBy(period, *query.dimensions).agg(*[checked_sum(F.col(m), m, ansi) for m in METRICS])
