@@ -58,12 +58,14 @@ def period_start(ts: Column, granularity: str) -> Column:
 
 
 def period_text(period: Column) -> Column:
-    """Print a period start as ``YYYY-MM-DD HH:MM:SS``.
+    """Print a period start as ``strftime("%Y-%m-%d %H:%M:%S")`` does.
 
     A cast, not ``date_format``: the cast of an NTZ value never goes through a
-    zone, so a time inside a DST gap still prints as itself.
+    zone, so a time inside a DST gap still prints as itself. ``%Y`` does not
+    pad years below 1000 (year 1 prints as ``1``), so leading zeros of the
+    year are cut; this runs once per result row, after the aggregate.
     """
-    return period.cast("string")
+    return F.regexp_replace(period.cast("string"), r"^0{1,3}(?=[0-9]{1,3}-)", "")
 
 
 def timestamp_text(ts: Column) -> Column:
