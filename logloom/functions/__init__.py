@@ -1,7 +1,7 @@
 """Column functions (built-in Spark expressions only)."""
 
 from .numbers import int_or_fail, overflow_check, parse_int_text
-from .paths import ancestors_and_self, ceil_mib, day_in_name, explode_ancestors, git_root
+from .paths import ancestors_and_self, ceil_mib, day_in_name, explode_ancestors, git_root, parent_path
 from .time import (
     GRANULARITIES,
     TIMESTAMP_FORMAT,
@@ -29,6 +29,7 @@ __all__ = [
     "int_or_fail",
     "ntz_literal",
     "overflow_check",
+    "parent_path",
     "parse_date_arg",
     "parse_datetime_arg",
     "parse_int_text",

@@ -52,6 +52,13 @@ def _strip_trailing_slash(path: Column) -> Column:
     return F.when((F.length(path) > 1) & path.endswith("/"), F.rtrim(path, F.lit("/"))).otherwise(path)
 
 
+def parent_path(path: Column) -> Column:
+    """The directory part of a path (``/a/b/f`` → ``/a/b``; ``/f`` → ``''``),
+    cut by length arithmetic rather than a pattern."""
+    last = F.call_function("substring_index", path, F.lit("/"), F.lit(-1))
+    return F.call_function("substring", path, F.lit(1), F.greatest(F.length(path) - F.length(last) - 1, F.lit(0)))
+
+
 def git_root(path: Column) -> Column:
     """Parent of a path ending in ``/.git``; null otherwise."""
     root = F.regexp_extract(path, r"^(.+)/\.git$", 1)

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.paths import ceil_mib, explode_ancestors, git_root
+from ..functions.paths import ceil_mib, explode_ancestors, git_root, parent_path
 
 
 def repo_roots(inventory: DataFrame) -> DataFrame:
@@ -28,14 +28,19 @@ def repo_sizes(inventory: DataFrame, min_mib: int = 1024) -> DataFrame:
     is greater than ``min_mib``.
 
     One scan and one exchange, no join: each inventory row is credited to
-    every directory above it (``explode_ancestors``, equi-keys only), and a
-    ``.git`` directory row also marks its parent as a root. Bytes and marks
-    are summed per directory with a map-side partial aggregate, so a
-    repository holding a third of all files reaches the exchange as one row
-    per task; directories without a mark are dropped after it.
+    every directory above it and a directory also to itself
+    (``explode_ancestors``, equi-keys only); a file is never a root, so it
+    starts at its parent. A ``.git`` directory row also marks its parent as a
+    root. Bytes and marks are summed per directory with a map-side partial
+    aggregate, so a repository holding a third of all files reaches the
+    exchange as one row per task and directory; directories without a mark
+    are dropped after it.
     """
+    is_dir = F.col("kind") == "dir"
     marked = inventory.select(
-        "path", "bytes", F.when(F.col("kind") == "dir", git_root(F.col("path"))).alias("_root_of")
+        F.when(is_dir, F.col("path")).otherwise(parent_path(F.col("path"))).alias("path"),
+        "bytes",
+        F.when(is_dir, git_root(F.col("path"))).alias("_root_of"),
     )
     rolled = (
         explode_ancestors(marked, "path", "root", "bytes", "_root_of")

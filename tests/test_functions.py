@@ -105,3 +105,11 @@ def test_explode_ancestors_matches_array_form(spark):
     exploded = sorted(tuple(r) for r in explode_ancestors(df, "p", "a", "n").collect())
     arrays = sorted((a, r.n) for r in df.select(ancestors_and_self(F.col("p")).alias("a"), "n").collect() for a in r.a)
     assert exploded == arrays
+
+
+def test_parent_path(spark):
+    from logloom.functions import parent_path
+
+    rows = [("/a/b/f",), ("/f",), ("a/b",), ("a",), ("/a/b/",)]
+    got = [r.p for r in spark.createDataFrame(rows, "x string").select(parent_path(F.col("x")).alias("p")).collect()]
+    assert got == ["/a/b", "", "a", "", "/a/b"]
