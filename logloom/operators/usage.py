@@ -24,14 +24,32 @@ def _on_day(pairs: DataFrame, day) -> DataFrame:
     return pairs.filter(F.col("day") == date_literal(parse_date_arg(day)))
 
 
+def user_keys(pairs: DataFrame, key: str, day=None) -> DataFrame:
+    """Distinct ``user, key`` of ``pairs`` (on ``day`` if given): the deduped
+    side that the unique counts and the pair join both start from."""
+    return _on_day(pairs, day).select("user", key).distinct()
+
+
+def count_users(keys: DataFrame, key: str) -> DataFrame:
+    """``key, "number of unique users"`` over distinct ``user, key`` rows."""
+    return keys.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count("user").alias(UNIQUE_USERS))
+
+
+def join_pairs(apps: DataFrame, devices: DataFrame) -> DataFrame:
+    """Distinct ``application, device`` over distinct ``user, application``
+    and ``user, device`` rows that share a user."""
+    return apps.join(devices, "user", "inner").select("application", "device").distinct()
+
+
 def unique_users(pairs: DataFrame, key: str, day=None) -> DataFrame:
     """``key, "number of unique users"``; repeated pairs count once.
 
-    Spark plans the distinct count as a partial distinct on (key, user), an
-    exchange on both, then a partial and final count per key: skew-safe.
+    The pairs are deduped map-side and again after an exchange on
+    (user, key); the count per key is then a partial and final count:
+    skew-safe, since a hot key reaches the last exchange as one partial row
+    per task.
     """
-    df = _on_day(pairs, day).filter(F.col(key).isNotNull())
-    return df.groupBy(key).agg(F.count_distinct("user").alias(UNIQUE_USERS))
+    return count_users(user_keys(pairs, key, day), key)
 
 
 def app_device_pairs(user_app: DataFrame, user_device: DataFrame, day=None) -> DataFrame:
@@ -41,9 +59,7 @@ def app_device_pairs(user_app: DataFrame, user_device: DataFrame, day=None) -> D
     at most its distinct applications and devices; the pairs it produces are
     deduped map-side in the join's own stage before the final exchange.
     """
-    apps = _on_day(user_app, day).select("user", "application").distinct()
-    devices = _on_day(user_device, day).select("user", "device").distinct()
-    return apps.join(devices, "user", "inner").select("application", "device").distinct()
+    return join_pairs(user_keys(user_app, "application", day), user_keys(user_device, "device", day))
 
 
 def everyday_users(user_app: DataFrame, day, application: str, calendar: DataFrame | None = None) -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.time import timestamp_text
-from ..operators.usage import UNIQUE_USERS, app_device_pairs, unique_users
+from ..operators.usage import UNIQUE_USERS, count_users, join_pairs, user_keys
 from ..plans.args import METRICS
 from ..sources.listing import exists, list_dir
 
@@ -89,21 +89,31 @@ def write_summaries(user_app: DataFrame, user_device: DataFrame, directory: str,
     """The three summaries of one day, overwritten each run, each with its
     header even when empty: ``apps_users.csv`` (application, number of unique
     users), ``devices_users.csv`` (device, …), ``apps_devices.csv``
-    (application, device)."""
+    (application, device).
+
+    Each side is scanned and deduped to (user, key) once and persisted; the
+    two counts and the pair join all read the deduped sides.
+    """
+    apps = user_keys(user_app, "application", day).persist(StorageLevel.MEMORY_AND_DISK)
+    devices = user_keys(user_device, "device", day).persist(StorageLevel.MEMORY_AND_DISK)
     outputs = {
-        "apps_users.csv": (unique_users(user_app, "application", day), ["application"]),
-        "devices_users.csv": (unique_users(user_device, "device", day), ["device"]),
-        "apps_devices.csv": (app_device_pairs(user_app, user_device, day), ["application", "device"]),
+        "apps_users.csv": (count_users(apps, "application"), ["application"]),
+        "devices_users.csv": (count_users(devices, "device"), ["device"]),
+        "apps_devices.csv": (join_pairs(apps, devices), ["application", "device"]),
     }
     written = {}
-    for name, (df, keys) in outputs.items():
-        path = os.path.join(directory, name)
-        cached = df.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            _write_sorted(cached, path, keys, "overwrite", True, cached.count())
-        finally:
-            cached.unpersist()
-        written[name] = path
+    try:
+        for name, (df, keys) in outputs.items():
+            path = os.path.join(directory, name)
+            cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+            try:
+                _write_sorted(cached, path, keys, "overwrite", True, cached.count())
+            finally:
+                cached.unpersist()
+            written[name] = path
+    finally:
+        apps.unpersist()
+        devices.unpersist()
     return written
 
 
