@@ -44,10 +44,21 @@ AGG_CASES: dict[str, tuple] = {
     ),
     "agg_1day_app_only_filter": ("2024-01-05 06:00:00", "2024-01-16 15:00:00", "1day", ("app",), None, ("click", "view"), False),
     "agg_file_date_bound": ("2024-01-05 06:00:00", "2024-01-08 12:00:00", "1day", ("user", "app"), None, None, True),
+    # Whole month: every row of events is in range, and every row is grouped.
+    "agg_30m_user_app_month": ("2024-01-01 00:00:00", "2024-01-31 00:00:00", "30m", ("user", "app"), None, None, False),
+    "agg_1day_user_app_month": ("2024-01-01 00:00:00", "2024-01-31 00:00:00", "1day", ("user", "app"), None, None, True),
+    "agg_1day_total_month": ("2024-01-01 00:00:00", "2024-01-31 00:00:00", "1day", (), None, None, False),
+}
+RUN_COUNTS_CASES = {
+    "agg_run_counts": ("2024-01-05 06:00:00", "2024-01-16 15:00:00", "1day", ("user",), None, ("click",), True),
+    "agg_run_counts_month": ("2024-01-01 00:00:00", "2024-01-31 00:00:00", "30m", ("user", "app"), None, None, True),
 }
-RUN_COUNTS_CASE = ("2024-01-05 06:00:00", "2024-01-16 15:00:00", "1day", ("user",), None, ("click",), True)
 PAIRS_DAY = "2024-01-16"
-EVERYDAY_CASES = {"everyday_users": ("2024-01-03", "click"), "everyday_users_0105": ("2024-01-05", "click")}
+EVERYDAY_CASES = {
+    "everyday_users": ("2024-01-03", "click"),
+    "everyday_users_0105": ("2024-01-05", "click"),
+    "everyday_users_month": ("2024-01-30", "click"),
+}
 REPO_MIN_MIB = 1024
 
 
@@ -61,9 +72,13 @@ def _agg_query(case: tuple) -> Callable[[SparkSession, str], DataFrame]:
     return run
 
 
-def _run_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from_dt, to_dt, gran, dims, users, apps, shifted = RUN_COUNTS_CASE
-    return run_counts(fixtures.logs(spark, sf_dir, shifted=shifted), from_dt, to_dt, gran, dims, users, apps)
+def _run_counts(case: tuple) -> Callable[[SparkSession, str], DataFrame]:
+    from_dt, to_dt, gran, dims, users, apps, shifted = case
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return run_counts(fixtures.logs(spark, sf_dir, shifted=shifted), from_dt, to_dt, gran, dims, users, apps)
+
+    return run
 
 
 def _unique(key: str, pairs_view) -> Callable[[SparkSession, str], DataFrame]:
@@ -98,7 +113,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     out: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         name: _agg_query(case) for name, case in AGG_CASES.items()
     }
-    out["agg_run_counts"] = _run_counts
+    for name, case in RUN_COUNTS_CASES.items():
+        out[name] = _run_counts(case)
     out["unique_users_per_app"] = _unique("application", fixtures.user_app)
     out["unique_users_per_device"] = _unique("device", fixtures.user_device)
     out["app_device_pairs"] = _pairs
@@ -172,11 +188,11 @@ def _agg_sql(case: tuple) -> str:
     )
 
 
-def _run_counts_sql() -> str:
-    from_dt, to_dt, gran, dims, users, apps, shifted = RUN_COUNTS_CASE
+def _run_counts_sql(case: tuple) -> str:
+    from_dt, to_dt, gran, dims, users, apps, shifted = case
     dim_cols = "".join(f', "{d}"' for d in dims)
     return (
-        f"WITH logs AS ({_LOGS_SHIFTED_SQL}), "
+        f"WITH logs AS ({_LOGS_SHIFTED_SQL if shifted else _LOGS_SQL}), "
         f"g AS (SELECT {_period_sql(gran)} AS p{dim_cols}, count(*) AS n FROM logs "
         f"WHERE {_where_sql(from_dt, to_dt, users, apps)} GROUP BY ALL) "
         f"SELECT (SELECT count(DISTINCT file_date) FROM logs WHERE file_date BETWEEN DATE '{from_dt[:10]}' "
@@ -222,7 +238,8 @@ def _repo_sizes_sql() -> str:
 
 def oracle_sql() -> dict[str, str]:
     out = {name: _agg_sql(case) for name, case in AGG_CASES.items()}
-    out["agg_run_counts"] = _run_counts_sql()
+    for name, case in RUN_COUNTS_CASES.items():
+        out[name] = _run_counts_sql(case)
     out["unique_users_per_app"] = _unique_sql(_USER_APP_SQL, "application")
     out["unique_users_per_device"] = _unique_sql(_USER_DEV_SQL, "device")
     out["app_device_pairs"] = _pairs_sql()
