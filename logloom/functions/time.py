@@ -63,9 +63,11 @@ def period_text(period: Column) -> Column:
     A cast, not ``date_format``: the cast of an NTZ value never goes through a
     zone, so a time inside a DST gap still prints as itself. ``%Y`` does not
     pad years below 1000 (year 1 prints as ``1``), so leading zeros of the
-    year are cut; this runs once per result row, after the aggregate.
+    year are cut. A long comparison keeps that regex off every period from
+    year 1000 on, so it is not paid once per group of a near-unique key.
     """
-    return F.regexp_replace(period.cast("string"), r"^0{1,3}(?=[0-9]{1,3}-)", "")
+    text = period.cast("string")
+    return F.when(period >= F.lit("1000-01-01 00:00:00").cast("timestamp_ntz"), text).otherwise(F.regexp_replace(text, r"^0{1,3}(?=[0-9]{1,3}-)", ""))
 
 
 def timestamp_text(ts: Column) -> Column:
