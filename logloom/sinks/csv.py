@@ -23,6 +23,15 @@ from ..sources.listing import exists, list_dir
 # Rows up to which a result is written as one part file.
 SINGLE_FILE_ROWS = 5_000_000
 
+# The header line of each summary file, quotes included, as the
+# exercise echoes it before appending the unquoted rows.
+SUMMARY_HEADERS = {
+    "apps_users.csv": ('"application"', '"number of unique users"'),
+    "devices_users.csv": ('"device"', '"number of unique users"'),
+    "apps_devices.csv": ('"application"', '"device"'),
+}
+_ORDER = "_line_order"
+
 
 def _csv_writer(df: DataFrame, header: bool):
     """Python csv.writer's dialect: minimal quoting, doubled quotes, CRLF, no
@@ -39,6 +48,31 @@ def _csv_writer(df: DataFrame, header: bool):
     )
 
 
+def _shell_writer(df: DataFrame):
+    """Text as ``echo``, ``awk`` and ``join`` write it: fields joined by
+    commas, nothing quoted or escaped, LF line ends. (The quote character is
+    NUL, which no field holds; keys are cut at commas, so no field holds the
+    delimiter either.)"""
+    return (
+        df.write.option("header", False)
+        .option("lineSep", "\n")
+        .option("quote", "\u0000")
+        .option("emptyValue", "")
+        .option("nullValue", "")
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
+    )
+
+
+def _with_header_row(df: DataFrame, header: tuple[str, ...]) -> DataFrame:
+    """``df`` as text behind one header row; ``_ORDER`` sorts the header first."""
+    head = df.sparkSession.range(1).select(
+        F.lit(0).alias(_ORDER), *[F.lit(h).alias(c) for h, c in zip(header, df.columns)]
+    )
+    body = df.select(F.lit(1).alias(_ORDER), *[F.col(c).cast("string").alias(c) for c in df.columns])
+    return head.unionByName(body)
+
+
 def next_result_name(spark, directory: str, base_name: str = "result.csv") -> str:
     """``base_name`` if free, else ``stem_{n+1}{ext}`` for the highest
     existing ``stem_{n}{ext}``; gaps are not filled, and ``ext`` defaults to
@@ -56,12 +90,14 @@ def next_result_name(spark, directory: str, base_name: str = "result.csv") -> st
     return f"{stem}_{highest + 1}{ext}"
 
 
-def _write_sorted(df: DataFrame, path: str, keys, mode: str, header: bool, rows: int | None) -> None:
+def _sorted(df: DataFrame, keys, rows: int | None) -> DataFrame:
     if rows is not None and rows <= SINGLE_FILE_ROWS:
-        out = df.repartition(1).sortWithinPartitions(*keys)
-    else:
-        out = df.orderBy(*keys)
-    _csv_writer(out, header).mode(mode).csv(path)
+        return df.repartition(1).sortWithinPartitions(*keys)
+    return df.orderBy(*keys)
+
+
+def _write_sorted(df: DataFrame, path: str, keys, mode: str, header: bool, rows: int | None) -> None:
+    _csv_writer(_sorted(df, keys, rows), header).mode(mode).csv(path)
 
 
 def write_result(result: DataFrame, directory: str, name: str = "result.csv") -> str | None:
@@ -89,7 +125,8 @@ def write_summaries(user_app: DataFrame, user_device: DataFrame, directory: str,
     """The three summaries of one day, overwritten each run, each with its
     header even when empty: ``apps_users.csv`` (application, number of unique
     users), ``devices_users.csv`` (device, …), ``apps_devices.csv``
-    (application, device).
+    (application, device). Written as the shell writes them: a quoted header
+    line, then unquoted rows sorted by key, LF line ends.
 
     Each side is scanned and deduped to (user, key) once and persisted; the
     two counts and the pair join all read the deduped sides.
@@ -107,7 +144,9 @@ def write_summaries(user_app: DataFrame, user_device: DataFrame, directory: str,
             path = os.path.join(directory, name)
             cached = df.persist(StorageLevel.MEMORY_AND_DISK)
             try:
-                _write_sorted(cached, path, keys, "overwrite", True, cached.count())
+                lines = _with_header_row(cached, SUMMARY_HEADERS[name])
+                out = _sorted(lines, [_ORDER, *keys], cached.count() + 1).drop(_ORDER)
+                _shell_writer(out).mode("overwrite").csv(path)
             finally:
                 cached.unpersist()
             written[name] = path
@@ -140,4 +179,4 @@ def write_daily(logs: DataFrame, directory: str, mode: str = "errorifexists") ->
     _csv_writer(out, header=False).partitionBy("file_date").mode(mode).csv(directory)
 
 
-__all__ = ["UNIQUE_USERS", "next_result_name", "write_daily", "write_result", "write_summaries"]
+__all__ = ["SUMMARY_HEADERS", "UNIQUE_USERS", "next_result_name", "write_daily", "write_result", "write_summaries"]

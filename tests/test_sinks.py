@@ -5,9 +5,10 @@ import os
 
 from conftest import SF001, write_files
 
-from logloom import aggregate_logs
+from logloom import aggregate_logs, app_device_pairs, unique_users
 from logloom.plans import fixtures
 from logloom.sinks import next_result_name, write_result, write_summaries
+from logloom.operators.usage import UNIQUE_USERS
 
 
 def read_parts(path):
@@ -64,16 +65,32 @@ def test_write_result_quoting(spark, tmp_path):
 
 
 def test_write_summaries(spark, tmp_path):
+    # As the exercise writes them: quoted header line, unquoted sorted rows, LF.
     ua = fixtures.user_app(spark, SF001)
     ud = fixtures.user_device(spark, SF001)
     out = write_summaries(ua, ud, str(tmp_path / "res"), day="2024-01-16")
-    apps = read_parts(out["apps_users.csv"]).split("\r\n")
-    assert apps[0] == "application,number of unique users"
-    assert apps[1:-1] == sorted(apps[1:-1])
-    pairs = read_parts(out["apps_devices.csv"]).split("\r\n")
-    assert pairs[0] == "application,device" and len(pairs) > 3
+    text = read_parts(out["apps_users.csv"])
+    assert "\r" not in text
+    apps = text.split("\n")
+    assert apps[0] == '"application","number of unique users"'
+    assert apps[1:-1] == sorted(apps[1:-1]) and apps[-1] == ""
+    expected = {r["application"]: r[UNIQUE_USERS] for r in unique_users(ua, "application", "2024-01-16").collect()}
+    assert dict((a, int(n)) for a, n in (line.split(",") for line in apps[1:-1])) == expected
+    pairs = read_parts(out["apps_devices.csv"]).split("\n")
+    assert pairs[0] == '"application","device"' and len(pairs) > 3
+    assert pairs[1:-1] == sorted(pairs[1:-1])
+    assert len(pairs) - 2 == app_device_pairs(ua, ud, "2024-01-16").count()
     # a day without rows: three header-only files, overwriting the previous run
     out = write_summaries(ua, ud, str(tmp_path / "res"), day="2030-01-01")
-    assert read_parts(out["apps_users.csv"]) == "application,number of unique users\r\n"
-    assert read_parts(out["devices_users.csv"]) == "device,number of unique users\r\n"
-    assert read_parts(out["apps_devices.csv"]) == "application,device\r\n"
+    assert read_parts(out["apps_users.csv"]) == '"application","number of unique users"\n'
+    assert read_parts(out["devices_users.csv"]) == '"device","number of unique users"\n'
+    assert read_parts(out["apps_devices.csv"]) == '"application","device"\n'
+
+
+def test_write_summaries_raw_fields(spark, tmp_path):
+    # Fields are written as the shell cuts them: quotes and spaces kept, no quoting.
+    ua = spark.createDataFrame([("u1", 'a"b'), ("u2", '"q'), ("u1", " sp "), ("u3", "")], "user string, application string")
+    ud = spark.createDataFrame([("u1", "d1"), ("u3", "d2")], "user string, device string")
+    out = write_summaries(ua, ud, str(tmp_path / "res"))
+    assert read_parts(out["apps_users.csv"]) == '"application","number of unique users"\n,1\n sp ,1\n"q,1\na"b,1\n'
+    assert read_parts(out["apps_devices.csv"]) == '"application","device"\n,d2\n sp ,d1\na"b,d1\n'
