@@ -66,19 +66,20 @@ def everyday_users(user_app: DataFrame, day, application: str, calendar: DataFra
     """Users of ``application`` on every listed day up to and including ``day``.
 
     Relational division by counting: per user, the distinct days with the
-    application must equal the number of calendar days ≤ ``day``. The day
-    count is a one-row scalar subquery, not a join. ``calendar`` (a ``day``
-    column) should list every day that has a file, empty files included;
-    without it the days present in ``user_app`` are used. No day ≤ ``day``
-    is a ``ValueError``.
+    application must equal the number of calendar days ≤ ``day``, no join.
+    ``calendar`` (a ``day`` column) should list every day that has a file,
+    empty files included; without it the days present in ``user_app`` are
+    used. No day ≤ ``day`` is a ``ValueError``.
     """
     last = date_literal(parse_date_arg(day))
     days = (calendar if calendar is not None else user_app).select("day").filter(F.col("day") <= last)
-    # Checked up front: with no day the query's input is empty too, and Spark
-    # would skip any check placed inside it. The day list is one row per file.
-    if days.isEmpty():
+    # One aggregate job brings the day count, a single number, to the driver:
+    # it is both the error check (with no day the query's input is empty too,
+    # so a check inside it would never run) and the divisor, so the calendar
+    # is computed once.
+    needed = days.agg(F.count_distinct("day").alias("n")).first()["n"]
+    if needed == 0:
         raise ValueError(f"No files found for date <= {parse_date_arg(day)}")
-    needed = days.select(F.count_distinct("day")).scalar()
     active = (
         user_app.filter((F.col("application") == F.lit(application)) & (F.col("day") <= last))
         .select("user", "day")
@@ -86,4 +87,4 @@ def everyday_users(user_app: DataFrame, day, application: str, calendar: DataFra
         .groupBy("user")
         .agg(F.count(F.lit(1)).alias("n_days"))
     )
-    return active.filter(F.col("n_days") == needed).select("user")
+    return active.filter(F.col("n_days") == F.lit(needed)).select("user")
