@@ -4,6 +4,7 @@ metadata only: names and sizes, never file contents)."""
 from __future__ import annotations
 
 import fnmatch
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -65,8 +66,11 @@ def day_calendar(
     per file name: a listing, not data.
     """
     names = [f.name for f in list_dir(spark, path, recursive) if not f.is_dir and fnmatch.fnmatchcase(f.name, glob)]
-    # Names enter as one literal array: the listing stays in the JVM plan.
-    literal = F.array(*[F.lit(n) for n in names]).cast("array<string>")
-    listed = spark.range(1).select(F.explode(literal).alias("name"))
-    text = F.regexp_extract("name", pattern, 1)
-    return listed.select(F.when(text != "", text.try_cast("date")).alias("day")).filter("day IS NOT NULL").distinct()
+    # Only the day text of each name enters the plan, once per day (48
+    # half-hour files give one entry), as one literal array; Spark checks that
+    # it is a real date.
+    found = (re.search(pattern, n) for n in names)
+    days = sorted({m.group(1) for m in found if m})
+    literal = F.array(*[F.lit(d) for d in days]).cast("array<string>")
+    listed = spark.range(1).select(F.explode(literal).alias("text"))
+    return listed.select(F.col("text").try_cast("date").alias("day")).filter("day IS NOT NULL")
