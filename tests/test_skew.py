@@ -82,3 +82,46 @@ def test_hot_repository_is_combined_before_the_exchange(spark):
     # a file reaches the exchange only through its directories; the hot
     # repository's files collapse to its three directory levels per task
     assert records <= 3 * (n_files - n_hot) + 3 * tasks + 2 * (len(rows) - n_files)
+
+
+def _hot_user(df, share: int = 3):
+    # about one row in `share` belongs to one user
+    return df.withColumn("user", F.when(F.abs(F.hash(*df.columns)) % share == 0, F.lit("hot")).otherwise(F.col("user")))
+
+
+def test_hot_user_in_app_device_pairs(spark):
+    from logloom import app_device_pairs
+
+    day = "2024-01-16"
+    ua = _hot_user(fixtures.user_app(spark, SF01))
+    ud = _hot_user(fixtures.user_device(spark, SF01))
+    apps = {(r.user, r.application) for r in ua.filter(f"day = DATE'{day}'").collect()}
+    devices = {(r.user, r.device) for r in ud.filter(f"day = DATE'{day}'").collect()}
+    assert 3 * sum(1 for u, _ in devices if u == "hot") > len(devices) * 0.5
+    expected = {(a, d) for u, a in apps for v, d in devices if u == v}
+    df = app_device_pairs(ua, ud, day)
+    assert {(r.application, r.device) for r in df.collect()} == expected
+    # each side reaches the join as its distinct (user, key) rows, so the hot
+    # user sends at most one row per key per task into the join exchange
+    records = shuffle_records(df)
+    tasks = 8
+    assert max(records) <= max(len(expected), len(apps) + len(devices)) * tasks
+
+
+def test_hot_user_in_everyday_users(spark):
+    from logloom import everyday_users
+
+    ua = _hot_user(fixtures.user_app(spark, SF01), share=2)
+    rows = ua.filter("application = 'click' AND day <= DATE'2024-01-06'").collect()
+    days = {r.day for r in fixtures.calendar(spark, SF01).collect() if str(r.day) <= "2024-01-06"}
+    per_user = {}
+    for r in rows:
+        per_user.setdefault(r.user, set()).add(r.day)
+    expected = sorted(u for u, ds in per_user.items() if ds == days)
+    assert "hot" in expected
+    df = everyday_users(ua, "2024-01-06", "click", calendar=fixtures.calendar(spark, SF01))
+    assert sorted(r.user for r in df.collect()) == expected
+    # the hot user is at most one (user, day) row per task and day in the
+    # first exchange, one partial count per task in the second
+    records = shuffle_records(df)
+    assert records[0] <= len(per_user) * 8
