@@ -113,3 +113,13 @@ def test_parent_path(spark):
     rows = [("/a/b/f",), ("/f",), ("a/b",), ("a",), ("/a/b/",)]
     got = [r.p for r in spark.createDataFrame(rows, "x string").select(parent_path(F.col("x")).alias("p")).collect()]
     assert got == ["/a/b", "", "a", "", "/a/b"]
+
+
+def test_day_in_name(spark):
+    from logloom.functions.paths import day_in_name
+
+    names = ["user.application.2020-01-16-10-30.csv", "user.device.2020-01-16.csv", "2025-02-30.log.csv", "nodate.csv",
+             "a.2020-1-16.csv"]
+    df = spark.createDataFrame([(n,) for n in names], "n string")
+    got = [r.d for r in df.select(day_in_name(F.col("n")).alias("d")).collect()]
+    assert [str(d) if d else None for d in got] == ["2020-01-16", "2020-01-16", None, None, None]
