@@ -75,8 +75,13 @@ def cmd_everyday(spark: SparkSession, a) -> int:
         print(e)
         return 1
     print(f"Users using {a.application} every day up to {a.date}:")
-    names = [r.user for r in users.orderBy("user").toLocalIterator()]
-    print("\n".join(names) if names else "No users found.")
+    # Streamed a partition at a time, never held whole on the driver.
+    found = False
+    for r in users.orderBy("user").toLocalIterator():
+        print(r.user)
+        found = True
+    if not found:
+        print("No users found.")
     return 0
 
 
