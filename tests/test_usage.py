@@ -72,3 +72,27 @@ def test_everyday_users(spark, daily):
     assert sorted(r.user for r in everyday_users(ua, "2020-01-19", "app1").collect()) == ["u1"]
     with pytest.raises(ValueError, match="No files found"):
         everyday_users(ua, "2020-01-01", "app1", calendar=cal)
+
+
+def test_everyday_users_planted_streak(spark, tmp_path):
+    # The exercise's mock shape: 7 daily files, user1 and user2 on app1 each
+    # day, 20 noise rows per day (fixed here). Expected: the exercise's loop,
+    # a repeated intersection of each day's users of the app.
+    days = [f"2020-01-{d}" for d in range(16, 23)]
+    files, per_day = {}, {}
+    for i, day in enumerate(days):
+        rows = [("user1", "app1"), ("user2", "app1")]
+        rows += [(f"user{(7 * i + 3 * j) % 100 + 1}", f"app{(i + j) % 20 + 1}") for j in range(20)]
+        files[f"user.application.{day}.csv"] = "".join(f"{u},{a}\n" for u, a in rows)
+        per_day[day] = rows
+    d = write_files(tmp_path, files)
+    ua = read_daily_pairs(spark, d)
+    cal = day_calendar(spark, d)
+    for app in ("app1", "app2", "app7"):
+        candidates = None
+        for day in days:
+            today = {u for u, a in per_day[day] if a == app}
+            candidates = today if candidates is None else candidates & today
+            got = sorted(r.user for r in everyday_users(ua, day, app, calendar=cal).collect())
+            assert got == sorted(candidates), (app, day)
+    assert sorted(r.user for r in everyday_users(ua, "2020-01-22", "app1", calendar=cal).collect()) == ["user1", "user2"]
