@@ -1,5 +1,8 @@
 """Pair files and the usage operators."""
 
+import glob
+import os
+
 import pytest
 from conftest import write_files
 
@@ -96,3 +99,41 @@ def test_everyday_users_planted_streak(spark, tmp_path):
             got = sorted(r.user for r in everyday_users(ua, day, app, calendar=cal).collect())
             assert got == sorted(candidates), (app, day)
     assert sorted(r.user for r in everyday_users(ua, "2020-01-22", "app1", calendar=cal).collect()) == ["user1", "user2"]
+
+
+def test_summaries_on_the_half_hour_mock_shape(spark, tmp_path):
+    # The exercise's mock shape: 48 half-hour files per kind for one day, 5-20
+    # rows each (fixed here), spread over sub-directories, plus another day's
+    # file that must be left out. Expected: the shell pipeline, written out.
+    from logloom.sinks import write_summaries
+
+    files, app_lines, dev_lines = {}, set(), set()
+    for i in range(48):
+        stamp = f"2020-01-16-{i // 2:02d}-{30 * (i % 2):02d}"
+        sub = f"part{i % 3}/" if i % 4 else ""
+        apps = [f"user{(11 * i + 7 * j) % 100 + 1},app{(i * j + 3) % 20 + 1}" for j in range(5 + i % 16)]
+        devs = [f"user{(13 * i + 5 * j) % 100 + 1},device{(i + 2 * j) % 50 + 1}" for j in range(5 + (i * 7) % 16)]
+        files[f"{sub}user.application.{stamp}.csv"] = "".join(f"{line}\n" for line in apps)
+        files[f"{sub}user.device.{stamp}.csv"] = "".join(f"{line}\n" for line in devs)
+        app_lines |= set(apps)
+        dev_lines |= set(devs)
+    files["user.application.2020-01-17-00-00.csv"] = "user1,app99\n"
+    d = write_files(tmp_path / "in", files)
+
+    def counts(lines):  # sort -u | cut -d, -f2 | sort | uniq -c | awk '{print $2 "," $1}'
+        keys = [line.split(",")[1] for line in lines]
+        return "".join(f"{k},{keys.count(k)}\n" for k in sorted(set(keys)))
+
+    pairs = {(a.split(",")[1], v.split(",")[1]) for a in app_lines for v in dev_lines if a.split(",")[0] == v.split(",")[0]}
+    expected = {
+        "apps_users.csv": '"application","number of unique users"\n' + counts(app_lines),
+        "devices_users.csv": '"device","number of unique users"\n' + counts(dev_lines),
+        "apps_devices.csv": '"application","device"\n' + "".join(f"{a},{v}\n" for a, v in sorted(pairs)),
+    }
+    ua = read_pairs(spark, d, "application", day="2020-01-16")
+    ud = read_pairs(spark, d, "device", day="2020-01-16")
+    out = write_summaries(ua, ud, str(tmp_path / "results"))
+    for name, text in expected.items():
+        parts = sorted(glob.glob(os.path.join(out[name], "part-*")))
+        got = "".join(open(p, newline="").read() for p in parts)
+        assert got == text, name
