@@ -44,3 +44,22 @@ def test_everyday_and_summaries_commands(spark, tmp_path, capsys):
     assert main(["everyday", "2020-01-01", "app1", f"--data-dir={d}"]) == 1
     assert main(["summaries", "2020-01-16", f"--data-dir={d}/ex2", f"--results-dir={tmp_path}/res"]) == 0
     assert sorted(os.listdir(tmp_path / "res")) == ["apps_devices.csv", "apps_users.csv", "devices_users.csv"]
+
+
+def test_repo_sizes_command(spark, tmp_path, capsys):
+    # The exercise's mock tree: repo1 small; repo2 1,100 MiB + 1 byte, which
+    # rounds up to 1,101 MB as the exercise reports; data as large but without
+    # .git; repo3 holds a .git file only.
+    mib = 1 << 20
+    rows = [
+        ("/t/repo1/.git", "dir", 4096), ("/t/repo1/f", "file", 10),
+        ("/t/repo2/.git", "dir", 4096), ("/t/repo2/big", "file", 1100 * mib + 1),
+        ("/t/data/big", "file", 1100 * mib + 1),
+        ("/t/repo3/.git", "file", 10), ("/t/repo3/big", "file", 2000 * mib),
+    ]
+    inv = str(tmp_path / "inv")
+    spark.createDataFrame(rows, "path string, kind string, bytes bigint").write.parquet(inv)
+    assert main(["repo-sizes", inv]) == 0
+    out = capsys.readouterr().out.splitlines()
+    rule = "-" * 35
+    assert out == [f"Scanning {inv}...", rule, "Found: /t/repo2", "Size: 1101 MB", rule]
