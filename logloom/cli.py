@@ -12,18 +12,18 @@ chain over the library functions.
 from __future__ import annotations
 
 import argparse
-import fnmatch
+import re
 import sys
 import time
 
 from pyspark.sql import Observation, SparkSession
 
 from . import aggregate_logs, everyday_users, repo_sizes
-from .functions.time import GRANULARITIES, parse_datetime_arg
+from .functions.time import GRANULARITIES, parse_date_arg, parse_datetime_arg
 from .plans.args import normalize_dimensions
 from .sinks import write_result, write_summaries
 from .sources import day_calendar, list_dir, read_daily_pairs, read_inventory, read_logs, read_pairs
-from .sources.logs import DAY_FILE_GLOB, detect_layout
+from .sources.logs import DAY_FILE_RX, detect_layout
 
 
 def _files_in_range(spark, logs_dir: str, from_dt, to_dt) -> int:
@@ -32,8 +32,19 @@ def _files_in_range(spark, logs_dir: str, from_dt, to_dt) -> int:
     if detect_layout(spark, logs_dir) == "daily":
         days = {e.name.split("=", 1)[1] for e in list_dir(spark, logs_dir) if e.is_dir and e.name.startswith("file_date=")}
     else:
-        days = {e.name[:10] for e in list_dir(spark, logs_dir) if not e.is_dir and fnmatch.fnmatchcase(e.name, DAY_FILE_GLOB)}
-    return sum(1 for d in days if first <= d <= last)
+        found = (re.match(DAY_FILE_RX, e.name) for e in list_dir(spark, logs_dir) if not e.is_dir)
+        days = {m.group(1) for m in found if m}
+    return sum(1 for d in days if first <= d <= last and _is_date(d))
+
+
+def _is_date(text: str) -> bool:
+    # Only files named for a real day are ever read (the reference builds
+    # the names from a calendar).
+    try:
+        parse_date_arg(text)
+        return True
+    except ValueError:
+        return False
 
 
 def cmd_aggregate(spark: SparkSession, a) -> int:

@@ -15,6 +15,8 @@ def test_aggregate_command(spark, tmp_path, capsys):
         "2025-01-01.log.csv": f"2025-01-01 10:00:00,user1,facebook,{M}\n2025-01-01 11:00:00,user2,twitter,{M}\n",
         "2025-01-02.log.csv": f"2025-01-02 10:00:00,user1,facebook,{M}\n",
         "2025-01-03.log.csv": "",
+        "2025-02-30.log.csv": f"2025-01-01 10:00:00,user1,facebook,{M}\n",
+        "notes.log.csv": f"2025-01-01 10:00:00,user1,facebook,{M}\n",
     })
     res = str(tmp_path / "results")
     argv = ["aggregate", "--from_datetime=2025-01-01 00:00:00", "--to_datetime=2025-01-03 23:59:59",
@@ -32,6 +34,19 @@ def test_aggregate_command(spark, tmp_path, capsys):
     assert main(argv[:4] + ["--dimensions=user,device"] + argv[5:]) == 2
 
 
+def test_aggregate_counts_only_day_files(spark, tmp_path, capsys):
+    # Names that only look like day files are neither read nor counted.
+    logs = write_files(tmp_path / "logs", {
+        "2025-01-01.log.csv": f"2025-01-01 10:00:00,user1,facebook,{M}\n",
+        "2025-01-02-extra.log.csv": f"2025-01-02 10:00:00,user1,facebook,{M}\n",
+        "2025-02-30.log.csv": f"2025-02-28 10:00:00,user1,facebook,{M}\n",
+    })
+    argv = ["aggregate", "--from_datetime=2025-01-01 00:00:00", "--to_datetime=2025-03-01 00:00:00",
+            "--granularity=1day", "--dimensions=user", f"--logs-dir={logs}", f"--results-dir={tmp_path / 'res'}"]
+    assert main(argv) == 0
+    assert "Processed 1 files, 1 rows matched" in capsys.readouterr().out
+
+
 def test_everyday_and_summaries_commands(spark, tmp_path, capsys):
     d = write_files(tmp_path, {
         "user.application.2020-01-16.csv": "user1,app1\nuser2,app1\n",
