@@ -102,6 +102,30 @@ def _day_range(from_dt, to_dt):
     return parse_datetime_arg(from_dt).date(), parse_datetime_arg(to_dt).date()
 
 
+# A quoted field, where a field may start (line start or after a comma):
+# doubled quotes inside, up to its closing quote.
+_QUOTED_FIELD_RX = r'(^|,)"(?:[^"]|"")*"'
+
+
+def has_fields(line: Column, n: int, quoted: bool = True) -> Column:
+    """A raw CSV line holds at least ``n`` fields: quoted field bodies are cut
+    out, then the commas counted."""
+    bare = F.regexp_replace(line, _QUOTED_FIELD_RX, "$1") if quoted else line
+    return F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit(""))) >= n - 1
+
+
+def short_row(last_field: str, n_fields: int, quoted: bool = True) -> Column:
+    """A row with fewer than ``n_fields`` fields.
+
+    Spark flags a row with fewer *or more* fields than the schema in
+    ``_corrupt_record`` and reads an empty field as null, so a flagged row
+    with a null last field is either short or long with that field empty.
+    Only such rows, rare, have their raw line's fields counted; ``AND`` stops
+    at the first false term for every other row.
+    """
+    return F.col(CORRUPT).isNotNull() & F.col(last_field).isNull() & ~has_fields(F.col(CORRUPT), n_fields, quoted)
+
+
 def clean_log_rows(raw: DataFrame, day: Column, first=None, last=None) -> DataFrame:
     """Apply the row rules to a raw scan: short rows out, strict timestamps,
     the file's ``day`` (null for names without a valid day) within
@@ -113,7 +137,7 @@ def clean_log_rows(raw: DataFrame, day: Column, first=None, last=None) -> DataFr
     per use; a generator's output is computed once per row. Filters on the
     raw columns (users, apps) still pass below it to the scan.
     """
-    short = F.col(CORRUPT).isNotNull() & F.col(METRICS[-1]).isNull()
+    short = short_row(METRICS[-1], len(LOG_FIELDS))
     parsed = F.struct(parse_timestamp_text(F.col("timestamp")).alias("ts"), day.alias("file_date"))
     rows = raw.filter(~short).select(*LOG_FIELDS, F.inline(F.array(parsed)))
     keep = F.col("ts").isNotNull() & F.col("file_date").isNotNull()

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions.paths import day_in_name
-from .logs import CORRUPT
+from .logs import CORRUPT, short_row
 
 # The key column of each pair file kind.
 PAIR_KINDS = ("application", "device")
@@ -47,7 +47,7 @@ def read_pairs(spark: SparkSession, path: str, kind: str, day=None, recursive: b
         .option("pathGlobFilter", glob)
         .csv(path)
     )
-    short = F.col(CORRUPT).isNotNull() & F.col(kind).isNull()
+    short = short_row(kind, 2, quoted=False)
     return raw.filter(~short).select(
         F.coalesce(F.col("user"), F.lit("")).alias("user"),
         F.coalesce(F.col(kind), F.lit("")).alias(kind),

@@ -111,6 +111,24 @@ def test_bad_metric_fails_only_when_matching(spark, tmp_path):
             aggregate_logs(read_logs(spark, d2), "2025-01-01 00:00:00", "2025-01-02 00:00:00").collect()
 
 
+def test_long_row_with_empty_last_metric_is_kept(spark, tmp_path):
+    # 13 fields with the 12th empty: Python's reader keeps the row (12 or
+    # more fields), so int('') stops a query that matches it. Spark flags the
+    # row as malformed (too many fields) and reads the empty field as null;
+    # counting the raw line's fields tells it from a short row.
+    d = write_files(tmp_path, {"2025-01-01.log.csv": (
+        f"2025-01-01 10:00:00,u1,a,{M}\n"
+        "2025-01-01 11:00:00,u2,a,1,2,3,4,5,6,7,8,,extra\n"
+        '2025-01-01 11:00:00,u3,"a,b",1,2,3,4,5,6,7,8\n'  # 11 fields, a comma inside quotes: short
+    )})
+    logs = read_logs(spark, d)
+    assert sorted(r.user for r in logs.collect()) == ["u1", "u2"]
+    args = ("2025-01-01 00:00:00", "2025-01-02 00:00:00", "1day", "user")
+    assert aggregate_logs(logs, *args, users="u1").count() == 1
+    with pytest.raises(PySparkException, match="invalid literal for int"):
+        aggregate_logs(logs, *args, users="u2").collect()
+
+
 def test_multiline_option(spark, tmp_path):
     d = write_files(tmp_path, {"2025-01-01.log.csv": f'2025-01-01 10:00:00,"u\nx",a,{M}\n2025-01-01 10:00:01,u,a,{M}\n'})
     assert sorted(r.user for r in read_logs(spark, d, multiline=True).collect()) == ["u", "u\nx"]

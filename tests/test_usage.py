@@ -43,6 +43,13 @@ def test_unique_users_and_pairs(spark, half_hour):
     assert as_set(app_device_pairs(ua, ud)) == {("app1", "dev1"), ("app2", "dev1"), ("app1", "dev2")}
 
 
+def test_pair_line_with_empty_key_and_extra_field(spark, tmp_path):
+    # cut -d, -f2 gives '' for "u1,,x"; a line without a comma has no key.
+    d = write_files(tmp_path, {"user.application.2020-01-16-00-00.csv": "u1,,x\nu2\nu3,app1,y\n"})
+    ua = read_pairs(spark, d, "application", day="2020-01-16")
+    assert as_set(ua.select("user", "application")) == {("u1", ""), ("u3", "app1")}
+
+
 def test_no_pair_files(spark, tmp_path):
     ua = read_pairs(spark, str(tmp_path), "application", day="2020-01-16")
     assert ua.count() == 0 and unique_users(ua, "application").count() == 0
