@@ -12,7 +12,7 @@ import os
 import re
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.time import timestamp_text
@@ -33,12 +33,41 @@ SUMMARY_HEADERS = {
 _ORDER = "_line_order"
 
 
-def _csv_writer(df: DataFrame, header: bool):
-    """Python csv.writer's dialect: minimal quoting, doubled quotes, CRLF, no
-    trimming, empty text written as nothing."""
+# Python csv.writer's default dialect: comma, double quote
+# (doubled inside a quoted field), CRLF after each row; a field is quoted
+# when it holds the delimiter, the quote or a line-break character.
+_CSV_SPECIAL_RX = '[,"\r\n]'
+_CSV_LINE_END = "\r\n"
+
+
+def csv_field(value: Column) -> Column:
+    """One field as ``csv.writer`` writes it (null as nothing)."""
+    text = F.coalesce(value.cast("string"), F.lit(""))
+    quoted = F.concat(F.lit('"'), F.replace(text, F.lit('"'), F.lit('""')), F.lit('"'))
+    return F.when(text.rlike(_CSV_SPECIAL_RX), quoted).otherwise(text)
+
+
+def csv_line(*values: Column) -> Column:
+    """A row as ``csv.writer`` writes it, without its line end.
+
+    Lines are built here and written with the ``text`` source: Spark's CSV
+    writer would turn a newline inside a quoted value into the line
+    separator (``\n`` into ``\r\n``), while ``csv.writer`` keeps it.
+    """
+    return F.concat_ws(",", *[csv_field(v) for v in values])
+
+
+def _text_writer(df: DataFrame):
+    return df.write.option("lineSep", _CSV_LINE_END)
+
+
+def _csv_writer(df: DataFrame):
+    """Spark's CSV writer in ``csv.writer``'s dialect: minimal quoting,
+    doubled quotes, CRLF, no trimming, empty text written as nothing. It
+    differs only in writing a newline inside a quoted value as CRLF."""
     return (
-        df.write.option("header", header)
-        .option("lineSep", "\r\n")
+        df.write.option("header", False)
+        .option("lineSep", _CSV_LINE_END)
         .option("quote", '"')
         .option("escape", '"')
         .option("emptyValue", "")
@@ -96,13 +125,10 @@ def _sorted(df: DataFrame, keys, rows: int | None) -> DataFrame:
     return df.orderBy(*keys)
 
 
-def _write_sorted(df: DataFrame, path: str, keys, mode: str, header: bool, rows: int | None) -> None:
-    _csv_writer(_sorted(df, keys, rows), header).mode(mode).csv(path)
-
-
 def write_result(result: DataFrame, directory: str, name: str = "result.csv") -> str | None:
     """Write an ``aggregate_logs`` result sorted by its key under the next
-    free name; return the path, or None (and write nothing) when empty.
+    free name, with its header, in ``csv.writer``'s dialect; return the path,
+    or None (and write nothing) when empty.
 
     The result is persisted so the emptiness check, the size check and the
     write share one computation of the aggregate.
@@ -115,7 +141,14 @@ def write_result(result: DataFrame, directory: str, name: str = "result.csv") ->
             return None
         spark = result.sparkSession
         target = os.path.join(directory, next_result_name(spark, directory, name))
-        _write_sorted(cached, target, keys, "errorifexists", True, n)
+        body = cached.select(F.lit(1).alias(_ORDER), *keys, csv_line(*[F.col(c) for c in cached.columns]).alias("value"))
+        head = spark.range(1).select(
+            F.lit(0).alias(_ORDER),
+            *[F.lit(None).cast("string").alias(k) for k in keys],
+            csv_line(*[F.lit(c) for c in cached.columns]).alias("value"),
+        )
+        lines = _sorted(head.unionByName(body), [_ORDER, *keys], n + 1).select("value")
+        _text_writer(lines).mode("errorifexists").text(target)
         return target
     finally:
         cached.unpersist()
@@ -176,7 +209,9 @@ def write_daily(logs: DataFrame, directory: str, mode: str = "errorifexists") ->
         .sortWithinPartitions("file_date", "user", "ts")
         .drop("ts")
     )
-    _csv_writer(out, header=False).partitionBy("file_date").mode(mode).csv(directory)
+    # Spark's CSV writer keeps the day files' .csv names; log fields hold no
+    # newlines, the one place where it differs from csv.writer.
+    _csv_writer(out).partitionBy("file_date").mode(mode).csv(directory)
 
 
-__all__ = ["SUMMARY_HEADERS", "UNIQUE_USERS", "next_result_name", "write_daily", "write_result", "write_summaries"]
+__all__ = ["SUMMARY_HEADERS", "UNIQUE_USERS", "csv_field", "csv_line", "next_result_name", "write_daily", "write_result", "write_summaries"]
