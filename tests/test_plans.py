@@ -90,3 +90,26 @@ def test_repo_sizes_has_no_join(plans):
 def test_everyday_users_has_no_join(plans):
     for name in entry.EVERYDAY_CASES:
         assert "Join" not in tree(plans[name]), name
+
+
+def test_csv_path_map_side_is_one_codegen_stage(spark, tmp_path):
+    # From the scan's filter to the partial sum, including the Generate that
+    # parses each timestamp once, the map side compiles to one Java stage.
+    from conftest import write_files
+
+    from logloom import aggregate_logs
+    from logloom.sources import read_logs
+
+    m = ",".join(["1"] * 9)
+    d = write_files(tmp_path, {"2025-01-01.log.csv": f"2025-01-01 10:00:00,u1,a,{m}\n"})
+    args = ("2025-01-01 00:00:00", "2025-01-02 00:00:00", "1day", "user", "u1,u2", "a")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # codegen ids show before execution
+    try:
+        text = plan_text(aggregate_logs(read_logs(spark, d, args[0], args[1]), *args))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    nodes = re.findall(r"^\(\d+\) (\w+)(?: \[codegen id : (\d+)\])?", text.partition("\n\n\n")[2], re.M)
+    names = [n for n, _ in nodes]
+    map_side = nodes[names.index("Filter"): names.index("Exchange")]
+    assert "Generate" in [n for n, _ in map_side] and "HashAggregate" in [n for n, _ in map_side]
+    assert {c for _, c in map_side} == {"1"}, map_side
