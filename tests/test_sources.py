@@ -3,7 +3,6 @@
 import pytest
 from conftest import write_files
 from pyspark.errors import PySparkException
-from pyspark.sql import functions as F
 
 from logloom import aggregate_logs, run_counts
 from logloom.sinks import write_daily
