@@ -3,7 +3,7 @@ chain over the library functions.
 
     python -m logloom aggregate --from_datetime="2025-01-01 00:00:00" \\
         --to_datetime="2025-03-31 23:59:59" --granularity=1day --dimensions=user \\
-        --user=user1,user2,user99 --app=facebook [--logs-dir csv_logs] [--results-dir results]
+        --user=user1,user2,user99 --app=facebook [--logs-dir csv_logs] [--results-dir results] [--multiline]
     python -m logloom summaries 2020-01-16 [--data-dir DIR] [--results-dir DIR]
     python -m logloom everyday 2020-01-22 app1 [--data-dir DIR]
     python -m logloom repo-sizes INVENTORY [--format parquet] [--min-mib 1024]
@@ -58,7 +58,7 @@ def cmd_aggregate(spark: SparkSession, a) -> int:
     print(f"Granularity: {a.granularity} | Dimensions: {list(dims)}")
     t0 = time.perf_counter()
     seen = Observation("run")
-    logs = read_logs(spark, a.logs_dir, from_dt, to_dt)
+    logs = read_logs(spark, a.logs_dir, from_dt, to_dt, multiline=a.multiline)
     result = aggregate_logs(logs, from_dt, to_dt, a.granularity, dims, a.user, a.app, observation=seen)
     path = write_result(result, a.results_dir, a.output)
     rows = seen.get.get("rows_matched", 0) if path else 0
@@ -118,6 +118,8 @@ def parser() -> argparse.ArgumentParser:
     ag.add_argument("--output", default="result.csv")
     ag.add_argument("--threads", type=int, help="accepted for compatibility; Spark decides parallelism")
     ag.add_argument("--logs-dir", default="csv_logs")
+    ag.add_argument("--multiline", action="store_true",
+                    help="read quoted fields that span lines, as Python's csv module does (files are not split)")
     ag.add_argument("--results-dir", default="results")
     ag.set_defaults(run=cmd_aggregate)
     su = sub.add_parser("summaries", help="unique users per app and device, app-device pairs")
