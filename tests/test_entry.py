@@ -32,3 +32,20 @@ def test_query_matches_oracle(spark, con, name):
     assert r["columns_match"], r
     assert r["spark_rows"] == r["oracle_rows"], r
     assert r["values_match"], r
+
+
+@pytest.mark.parametrize("conf", [{"spark.sql.ansi.enabled": "false"}, {"spark.sql.session.timeZone": "Asia/Kolkata"}])
+def test_queries_match_oracle_under_other_session_settings(spark, con, conf):
+    # Sums without ANSI (try_sum and its overflow check), and a zone 30
+    # minutes off the hour: every answer stays the same.
+    old = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        bad = [name for name in sorted(QUERIES)
+               if not (r := compare(spark, SF01, name, QUERIES[name], ORACLE[name], con))["values_match"]
+               or not r["columns_match"]]
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert bad == []
