@@ -48,7 +48,7 @@ def csv_field(value: Column) -> Column:
 
 
 def csv_line(*values: Column) -> Column:
-    """A row as ``csv.writer`` writes it, without its line end.
+    r"""A row as ``csv.writer`` writes it, without its line end.
 
     Lines are built here and written with the ``text`` source: Spark's CSV
     writer would turn a newline inside a quoted value into the line
