@@ -11,7 +11,8 @@ INVENTORY_SCHEMA = "path string, kind string, bytes bigint"
 
 def read_inventory(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     """``path`` (absolute, ``/``-separated), ``kind`` (``file`` or ``dir``),
-    ``bytes`` (apparent size). CSV inventories are headerless."""
+    ``bytes`` (apparent size), one row per entry of a real tree: a path is a
+    file or a directory, not both. CSV inventories are headerless."""
     reader = spark.read.format(fmt)
     if fmt == "csv":
         reader = reader.schema(INVENTORY_SCHEMA).option("escape", '"')
