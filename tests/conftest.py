@@ -2,6 +2,12 @@ import os
 import sys
 
 import pytest
+from hypothesis import settings
+
+# Property tests draw the same examples on every run (a stable suite);
+# HYPOTHESIS_PROFILE=default draws new ones, for longer searches.
+settings.register_profile("repeatable", derandomize=True, database=None)
+settings.load_profile(os.environ.get("HYPOTHESIS_PROFILE", "repeatable"))
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
