@@ -106,7 +106,8 @@ def run_counts(
     apps=None,
     files: DataFrame | None = None,
 ) -> DataFrame:
-    """One row: ``files`` present in the day range, ``rows_matched``, ``groups``.
+    """One row: ``files`` present in the day range, ``rows_matched``, ``groups``;
+    like the sums, it fails on a bad metric in a matching row.
 
     ``files`` is a day listing with a ``day`` column (empty files included,
     see ``sources.day_calendar``); without it the days come from the rows'
@@ -117,10 +118,13 @@ def run_counts(
     in_range = F.col("day").between(date_literal(query.first_day), date_literal(query.last_day))
     n_files = days.filter(in_range).select(F.count_distinct("day")).scalar()
     period = period_start(F.col("ts"), query.granularity).alias("period")
+    # Each matching row's metrics are read, so a bad one stops the counts as
+    # it stops the sums (a parsed metric is never null: every row counts).
+    read_all = F.greatest(*[F.col(m) for m in METRICS])
     per_group = (
         matching_rows(logs, query)
         .groupBy(period, *query.dimensions)
-        .agg(F.count(F.lit(1)).alias("n"))
+        .agg(F.count(read_all).alias("n"))
     )
     totals = per_group.agg(
         F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("rows_matched"),

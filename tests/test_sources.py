@@ -110,6 +110,17 @@ def test_bad_metric_fails_only_when_matching(spark, tmp_path):
             aggregate_logs(read_logs(spark, d2), "2025-01-01 00:00:00", "2025-01-02 00:00:00").collect()
 
 
+def test_run_counts_fail_on_a_bad_metric_like_the_sums(spark, tmp_path):
+    # The script stops on int('x') in a matching row before printing counts.
+    d = write_files(tmp_path, {"2025-01-01.log.csv": (
+        f"2025-01-01 10:00:00,u1,a,{M}\n2025-01-01 11:00:00,u2,a,1,2,3,4,5,6,7,8,x\n"
+    )})
+    args = ("2025-01-01 00:00:00", "2025-01-02 00:00:00", "1day", "user")
+    assert tuple(run_counts(read_logs(spark, d), *args, users="u1").first()) == (1, 1, 1)
+    with pytest.raises(PySparkException, match="invalid literal for int"):
+        run_counts(read_logs(spark, d), *args).collect()
+
+
 def test_long_row_with_empty_last_metric_is_kept(spark, tmp_path):
     # 13 fields with the 12th empty: Python's reader keeps the row (12 or
     # more fields), so int('') stops a query that matches it. Spark flags the
