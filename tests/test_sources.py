@@ -183,3 +183,13 @@ def test_run_counts_with_listing(spark, tmp_path):
     assert tuple(rc.first()) == (2, 2, 1)
     rc = run_counts(logs, "2025-01-01 00:00:00", "2025-01-02 23:00:00", "1day", "user", apps="a")
     assert tuple(rc.first()) == (1, 2, 1)
+
+
+def test_flat_layout_reads_only_the_directory_itself(spark, tmp_path):
+    # The script opens <dir>/<day>.log.csv only; a day file in a
+    # sub-directory is not read.
+    d = write_files(tmp_path, {
+        "2025-01-01.log.csv": f"2025-01-01 10:00:00,top,fb,{M}\n",
+        "sub/2025-01-01.log.csv": f"2025-01-01 10:00:00,nested,fb,{M}\n",
+    })
+    assert [r.user for r in read_logs(spark, d).collect()] == ["top"]
