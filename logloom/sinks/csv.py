@@ -14,6 +14,7 @@ import re
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from ..functions.time import timestamp_text
 from ..operators.usage import UNIQUE_USERS, count_users, join_pairs, user_keys
@@ -141,7 +142,12 @@ def write_result(result: DataFrame, directory: str, name: str = "result.csv") ->
             return None
         spark = result.sparkSession
         target = os.path.join(directory, next_result_name(spark, directory, name))
-        body = cached.select(F.lit(1).alias(_ORDER), *keys, csv_line(*[F.col(c) for c in cached.columns]).alias("value"))
+        # Only text can need quoting; the integer sums are written as they are.
+        fields = [
+            csv_field(F.col(f.name)) if isinstance(f.dataType, StringType) else F.col(f.name).cast("string")
+            for f in cached.schema.fields
+        ]
+        body = cached.select(F.lit(1).alias(_ORDER), *keys, F.concat_ws(",", *fields).alias("value"))
         head = spark.range(1).select(
             F.lit(0).alias(_ORDER),
             *[F.lit(None).cast("string").alias(k) for k in keys],
