@@ -25,6 +25,14 @@ from logloom import (
 )
 from logloom.plans import fixtures
 
+try:  # the training-data operators may be absent; their own import errors still show
+    import corpus_pipeline
+    from logloom.llm import queries as llm
+except ModuleNotFoundError as missing:
+    if not (missing.name or "").startswith(("logloom.llm", "corpus_pipeline")):
+        raise
+    llm = corpus_pipeline = None
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 
 # Parameters of the aggregate keys: (from, to, granularity, dimensions, users,
@@ -121,6 +129,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     for name, (day, app) in EVERYDAY_CASES.items():
         out[name] = _everyday(day, app)
     out["repo_sizes_over"] = _repo_sizes
+    if llm is not None:
+        out |= llm.QUERIES
+        out["pipeline"] = corpus_pipeline.run
     return out
 
 
@@ -246,4 +257,8 @@ def oracle_sql() -> dict[str, str]:
     for name, (day, app) in EVERYDAY_CASES.items():
         out[name] = _everyday_sql(day, app)
     out["repo_sizes_over"] = _repo_sizes_sql()
+    if llm is not None:
+        out |= llm.ORACLES
+        if corpus_pipeline.ORACLE_SQL is not None:
+            out["pipeline"] = corpus_pipeline.ORACLE_SQL
     return out
