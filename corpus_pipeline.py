@@ -1,6 +1,61 @@
-"""Corpus pipeline over the documents table (stages are added below)."""
+"""Corpus pipeline over the documents table: quality rules, language, near
+duplicates, mixing to target weights, packing.
 
-STAGES: list = []
+Each stage gets what its predecessor kept as ``docs`` and returns the columns of
+documents, but for the last, which returns the packed pieces.
+"""
+
+from logloom.llm import language, minhash, mixing, packing, rules
+
+#: The least cosine with a language prototype at which a document stays.
+LEAST_LANGUAGE_SCORE = 0.1
+
+
+def quality_rules(spark, docs, sf_dir):
+    """Documents that pass the fixed rules and the list learned from labels."""
+    found = rules.learn_from(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    judged = rules.judge(docs, found)
+    return judged.where("verdict.kept").select(*[f"`{c}`" for c in docs.columns])
+
+
+def language_id(spark, docs, sf_dir):
+    """Documents in a learned language: those without a letter, and those like no
+    prototype, go. Without any language to learn from all documents stay."""
+    prototypes = language.learn(docs)
+    if not prototypes:
+        return docs
+    judged = language.predict(docs, prototypes)
+    stays = f"language.lang_pred <> 'und' and language.score >= {LEAST_LANGUAGE_SCORE}"
+    return judged.where(stays).select(*[f"`{c}`" for c in docs.columns])
+
+
+def near_duplicates(spark, docs, sf_dir):
+    """One document of each group of near copies: the one with the smallest id.
+    Rows that repeat an id are one document; rows without an id stay."""
+    groups = minhash.near_duplicates(docs).where("not kept").select("doc_id").distinct()
+    once = docs.dropDuplicates(["doc_id"]) if "doc_id" in docs.columns else docs
+    kept = once.where("doc_id is not null").join(groups, "doc_id", "left_anti").select(*[f"`{c}`" for c in docs.columns])
+    return kept.unionByName(docs.where("doc_id is null"))
+
+
+def mix_sources(spark, docs, sf_dir):
+    """The documents that the mix takes, a row for each copy, in its order."""
+    return mixing.materialise(docs)
+
+
+def pack(spark, docs, sf_dir):
+    """The pieces of all documents in sequences of at most 1024 tokens."""
+    return packing.digest(packing.pack(docs))
+
+
+STAGES = [
+    ("quality_rules", quality_rules),
+    ("language_id", language_id),
+    ("near_duplicates", near_duplicates),
+    ("mix_sources", mix_sources),
+    ("pack", pack),
+]
+#: Learned models and hash draws are not for SQL; tests/llm holds the stages against brute force.
 ORACLE_SQL = None
 
 

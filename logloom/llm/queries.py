@@ -8,8 +8,10 @@ operator's own result.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import minhash
+from . import embeddings, language, minhash, mixing, packing, rules, urls
+from .common import crc_mod
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,7 +22,45 @@ def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, sf_dir, "documents"), shingle_words=3, percent=85, bands=24, rows=5)
 
 
+def op2_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(_table(spark, sf_dir, "pages"), urls.train())
+
+
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = crc_mod(F.col("doc_id"), 4) == 2
+    prototypes = language.learn(docs.where(~held_out))
+    return language.predict(docs.select("doc_id", "text"), prototypes).select(
+        "doc_id", held_out.alias("held_out"), "language.lang_pred", "language.score")
+
+
+def op7_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = rules.learn_from(docs, _table(spark, sf_dir, "labels"))
+    return rules.judge(docs, found).select(
+        "doc_id", *[F.col(f"stats.{c}") for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")],
+        "verdict.base_failed", "verdict.kept", "verdict.rule")
+
+
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.digest(packing.pack(_table(spark, sf_dir, "documents")))
+
+
+def op10_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_minhash": op1_minhash,
+    "op2_urls": op2_urls,
+    "op4_mixing": op4_mixing,
+    "op5_language": op5_language,
+    "op7_rules": op7_rules,
+    "op8_packing": op8_packing,
+    "op10_embeddings": op10_embeddings,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op4_mixing": mixing.ORACLE_SQL}
