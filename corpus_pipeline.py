@@ -8,7 +8,7 @@ documents, but for the last, which returns the packed pieces.
 from logloom.llm import language, minhash, mixing, packing, rules
 
 #: The least cosine with a language prototype at which a document stays.
-LEAST_LANGUAGE_SCORE = 0.1
+LEAST_LANGUAGE_SCORE = 0.05
 
 
 def quality_rules(spark, docs, sf_dir):

@@ -18,11 +18,11 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import words
+from .common import SPACE, words
 
 #: Symbols counted as junk.
-SYMBOLS = "#*$%&|<>"
-WHITE = " \t\n\x0b\x0c\r"
+SYMBOLS = "[#*$%&|<>]+"
+CAPITALS = "[A-Z]+"
 
 
 def _ratio(a: str, b: str):
@@ -34,45 +34,70 @@ FEATURES = {
     "words": lambda s: s["n_words"].cast("double"),
     "word_length": _ratio("word_chars", "n_words"),
     "symbols_per_word": _ratio("n_symbols", "n_words"),
+    "capitals_per_char": _ratio("n_capitals", "word_chars"),
+    "exclaims_per_word": _ratio("n_exclaims", "n_words"),
     "duplicate_lines": _ratio("n_dup_lines", "n_lines"),
     "repeated_words": _ratio("n_repeat_words", "n_words"),
     "words_per_line": _ratio("n_words", "n_lines"),
 }
 
 
+def _let(value: Column, body) -> Column:
+    """body(value), with value computed once a row however often body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _repeated(w: Column) -> Column:
+    """Words of the array w that lie in a window of three found twice or more."""
+    n = F.size(w)
+
+    def covered(at: Column) -> Column:
+        new = F.transform(at, lambda i, j: F.when(j == 0, F.lit(3)).otherwise(F.least(F.lit(3), i - F.get(at, j - 1))))
+        return F.aggregate(new, F.lit(0), lambda a, x: a + x)
+
+    def places(o: Column) -> Column:
+        again = F.transform(o, lambda x, j: F.when(
+            (x["h"] == F.get(o, j - 1)["h"]) | (x["h"] == F.get(o, j + 1)["h"]), x["i"]))
+        return _let(F.sort_array(F.filter(again, lambda i: i.isNotNull())), covered)
+
+    def windows(t: Column) -> Column:
+        order = F.sort_array(F.transform(t, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+        return F.when(F.size(F.array_distinct(t)) < F.size(t), _let(order, places)).otherwise(F.lit(0))
+
+    pairs = F.zip_with(w, F.slice(w, 2, n), lambda a, b: F.xxhash64(a, b))
+    triples = F.zip_with(pairs, F.slice(w, 3, n), lambda a, b: F.xxhash64(a, b))
+    return _let(F.slice(triples, 1, F.greatest(n - 2, F.lit(0))), windows)
+
+
 def text_statistics(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """docs with n_words, word_chars, n_symbols, n_lines, n_dup_lines and
-    n_repeat_words (long) of the whole text in a struct column ``stats``; null
-    text counts as empty. Columns of docs stay, but for one named ``stats``."""
-    keep = [c for c in docs.columns if c != "stats"]
-    text = F.coalesce(F.col("_text"), F.lit(""))
-    one = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text_col}`").alias("_text"))
-    own = [F.col(f"`{c}`") for c in keep]
+    """docs with n_words, word_chars, n_symbols, n_capitals (A-Z), n_exclaims,
+    n_lines (lines with a word), n_dup_lines and n_repeat_words (long) of the
+    whole text in a struct column ``stats``; null text counts as empty. Columns
+    of docs stay, but for one named ``stats``."""
+    keep = [F.col(f"`{c}`") for c in docs.columns if c != "stats"]
+    text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
     lines = F.filter(F.split(text, "\n", -1), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
-    two = one.select(*own, "_text", words(F.col("_text")).alias("_w"), lines.alias("_lines"))
-    # a hash for each window of three words
-    n = F.size("_w")
-    pairs = F.zip_with("_w", F.slice("_w", 2, n), lambda a, b: F.xxhash64(a, b))
-    triples = F.zip_with(pairs, F.slice("_w", 3, n), lambda a, b: F.xxhash64(a, b))
-    three = two.select(*own, "_text", "_lines", n.alias("_n"), F.slice(triples, 1, F.greatest(n - 2, F.lit(0))).alias("_t"))
-    # windows in order of hash, only where some window comes twice
-    twice = F.size(F.array_distinct("_t")) < F.size("_t")
-    order = F.array_sort(F.transform("_t", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
-    four = three.select(*own, "_text", "_lines", "_n", F.when(twice, order).alias("_o"))
-    again = F.transform("_o", lambda x, j: F.when(
-        (x["h"] == F.get("_o", j - 1)["h"]) | (x["h"] == F.get("_o", j + 1)["h"]), x["i"]))
-    five = four.select(*own, "_text", "_lines", "_n", F.sort_array(F.filter(again, lambda i: i.isNotNull())).alias("_at"))
-    new = F.transform("_at", lambda i, j: F.when(j == 0, F.lit(3)).otherwise(F.least(F.lit(3), i - F.get("_at", j - 1))))
-    covered = F.coalesce(F.aggregate(new, F.lit(0), lambda a, x: a + x), F.lit(0))
-    stats = {
-        "n_words": F.col("_n"),
-        "word_chars": F.length(F.translate(text, WHITE, "")),
-        "n_symbols": F.length(text) - F.length(F.translate(text, SYMBOLS, "")),
-        "n_lines": F.size("_lines"),
-        "n_dup_lines": F.size("_lines") - F.size(F.array_distinct("_lines")),
-        "n_repeat_words": covered,
-    }
-    return five.select(*own, F.struct(*[v.cast("long").alias(k) for k, v in stats.items()]).alias("stats"))
+
+    def count(chars: str) -> Column:
+        return F.length(text) - F.length(F.regexp_replace(text, chars, ""))
+
+    of_words = _let(words(text), lambda w: F.struct(F.size(w).alias("n"), _repeated(w).alias("repeat")))
+    of_lines = _let(lines, lambda x: F.struct(F.size(x).alias("n"), (F.size(x) - F.size(F.array_distinct(x))).alias("dup")))
+
+    def stats(found: Column) -> Column:
+        values = {
+            "n_words": found["w"]["n"],
+            "word_chars": F.length(F.regexp_replace(text, SPACE, "")),
+            "n_symbols": count(SYMBOLS),
+            "n_capitals": count(CAPITALS),
+            "n_exclaims": count("!+"),
+            "n_lines": found["x"]["n"],
+            "n_dup_lines": found["x"]["dup"],
+            "n_repeat_words": found["w"]["repeat"],
+        }
+        return F.struct(*[v.cast("long").alias(k) for k, v in values.items()])
+
+    return docs.select(*keep, _let(F.struct(of_words.alias("w"), of_lines.alias("x")), stats).alias("stats"))
 
 
 def base_failed(stats: str = "stats") -> Column:

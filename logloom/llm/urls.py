@@ -18,6 +18,7 @@ from .common import map_rows
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: (host, path, verdict); a rule fits its host and all subdomains.
 RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow"))
+PATHS = ("/en/98", "/es/7.html", "/de/65/", "/fr/4")
 #: The small labelled table: (host, path, unwanted).
 LABELLED = tuple(
     [(h, p, 1) for h in (
@@ -27,7 +28,8 @@ LABELLED = tuple(
         "spam-farm.example.org", "www.spam-farm.example.com", "m.link-farm-spam.example.net", "blog.spam-links.example.com",
         "casino-bonus.example.com", "www.online-casino.example.net", "m.poker-bonus.example.org", "xxx-videos.example.com",
         "replica-watches.example.net", "fast-loan-cash.example.com", "www.payday-loan.example.org", "viagra-cheap.example.net",
-    ) for p in ("/en/12", "/de/345.html", "/fr/6/")]
+        "casino-win.example.org", "www.win-casino.example.com", "ads-track.example.org", "m.ads-tracker.example.net", "track-ads.example.com",
+    ) for p in PATHS]
     + [(h, p, 0) for h in (
         "www.theater.example.com", "blog.thinking.example.net", "m.nation.example.org", "therin.example.com", "www.library.example.org",
         "blog.gardens.example.com", "weather.example.net", "m.history.example.com", "science.example.org", "www.museum.example.net",
@@ -35,7 +37,7 @@ LABELLED = tuple(
         "forum.bicycles.example.net", "news.example.com", "www.hospital.example.org", "wiki.mathematics.example.net", "m.reader.example.com",
         "blog.enerth.example.com", "www.ondthe.example.org", "thetion.example.net", "m.inghand.example.org", "www.example.com", "example.org",
         "blog.lesteau.example.net", "www.derung.example.com", "m.losado.example.org", "houwhere.example.com",
-    ) for p in ("/en/98", "/es/7.html", "/de/65/", "/fr/4")]
+    ) for p in PATHS]
 )
 
 
