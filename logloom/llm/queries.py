@@ -7,11 +7,13 @@ operator's own result.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import embeddings, language, minhash, mixing, packing, rules, urls
-from .common import crc_mod
+from . import embeddings, language, licences, lm, minhash, mixing, order, packing, rules, urls
+from .common import crc_mod, scratch_dir
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,6 +28,14 @@ def op2_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(_table(spark, sf_dir, "pages"), urls.train())
 
 
+def op3_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{scratch_dir(spark)}/order-{uuid.uuid4().hex}"
+    order.materialise(_table(spark, sf_dir, "documents"), path)
+    shards = order.read(spark, path)
+    # the padding is not part of the sequence
+    return shards.select("doc_id", "start", "length", "slot", "shard", F.crc32(F.substring("ids", F.lit(1), F.col("length").cast("int") * 2)).alias("ids_crc32"))
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -38,6 +48,11 @@ def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", held_out.alias("held_out"), "language.lang_pred", "language.score")
 
 
+def op6_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return licences.scan(docs, licences.learn_from(docs)).select("doc_id", "n_paragraphs", F.array_join("licences", ",").alias("licences"))
+
+
 def op7_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     found = rules.learn_from(docs, _table(spark, sf_dir, "labels"))
@@ -50,6 +65,10 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.digest(packing.pack(_table(spark, sf_dir, "documents")))
 
 
+def op9_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(_table(spark, sf_dir, "documents"), crc_mod(F.col("doc_id"), 5) == 1)
+
+
 def op10_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_duplicates(_table(spark, sf_dir, "embeddings"))
 
@@ -57,10 +76,13 @@ def op10_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_minhash": op1_minhash,
     "op2_urls": op2_urls,
+    "op3_order": op3_order,
     "op4_mixing": op4_mixing,
     "op5_language": op5_language,
+    "op6_licences": op6_licences,
     "op7_rules": op7_rules,
     "op8_packing": op8_packing,
+    "op9_lm": op9_lm,
     "op10_embeddings": op10_embeddings,
 }
 ORACLES: dict[str, str] = {"op4_mixing": mixing.ORACLE_SQL}
