@@ -136,7 +136,7 @@ class Mixer:
         part = at - lo
         return np.clip((_squash(z) + (1 - part) * rate[lo] + part * rate[lo + 1]) / 2, 1e-7, 1 - 1e-7)
 
-    def learn(self, tokens: list[bytes], counts: np.ndarray, slot_bits: int, rate: float = 0.02, step: int = 2048) -> None:
+    def learn(self, tokens: list[bytes], counts: np.ndarray, slot_bits: int, rate: float = 0.006, step: int = 2048) -> None:
         """One online pass over a sample of words; a word weighs by its count."""
         share = np.minimum(counts / max(counts.mean(), 1e-9), 50.0)
         for lo, hi in _chunks(tokens):
