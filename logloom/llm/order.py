@@ -52,8 +52,10 @@ def _cut(path: str | None, end_id: int, length: int):
         for batch in batches:
             for some in slices(batch, 4 << 20):
                 out = []
-                for doc_id, text in zip(some.column(0).to_pylist(), some.column(1)):
-                    ids = np.append(np.frombuffer(encode(text.as_py()), "<u4"), end_id)
+                for doc_id, found in zip(some.column(0).to_pylist(), encode(some.column(1).to_pylist())):
+                    ids = np.append(np.frombuffer(found, "<u4"), end_id)
+                    if ids.max() > 0xFFFF:
+                        raise ValueError("the tokenizer's ids do not fit 16 bits")
                     for start in range(0, len(ids), length):
                         piece = ids[start : start + length]
                         out.append((doc_id, start, len(piece), piece.astype("<u2").tobytes(), part, number))

@@ -85,8 +85,8 @@ def _packed(path: str | None, end_id: int, capacity: int, count: int):
         windows = Windows(capacity, count, TaskContext.get().partitionId())
         for batch in batches:
             for part in slices(batch, 4 << 20):
-                for doc_id, text in zip(part.column(0).to_pylist(), part.column(1)):
-                    windows.add(doc_id, encode(text.as_py()) + end)
+                for doc_id, ids in zip(part.column(0).to_pylist(), encode(part.column(1).to_pylist())):
+                    windows.add(doc_id, ids + end)
                 yield windows.flush(False)
         yield windows.flush(True)
 
