@@ -1,0 +1,216 @@
+"""The training-data operators against brute force, and on odd rows."""
+
+import math
+import random
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from logloom.llm import embeddings, language, licences, lm, minhash, mixing, order, packing, rules, urls
+from logloom.llm.common import connected_components, crc_mod
+from logloom.llm.tokens import default_path
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long, language string, stats string, block long"
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+LONG = " ".join(f"wort{i % 977}" for i in range(30_000))
+
+
+def _odd(spark):
+    base = [
+        (0, "the quick brown fox jumps over the lazy dog " * 9, "en", "a"), (1, "le renard brun saute par dessus le chien " * 8, "fr", "b"),
+        (2, None, "en", "a"), (3, "", None, None), (4, " \t\n\x0b", "fr", "b"), (5, LONG, "en", "a"), (6, LONG, "en", "a"), (6, LONG, "en", "a"),
+        (None, "no id here at all", None, "c"), (8, "1234 5678 !!!", "en", None), (9, "ab", "fr", "b"), (10, "\U0001d54f \u4e2d\u6587 \u00b2 <|endoftext|> x", None, "c"),
+    ]
+    return spark.createDataFrame([(i, t, g, s, None, "clash", "clash", None) for i, t, g, s in base], DOCS)
+
+
+def _empty(spark):
+    return spark.createDataFrame([], DOCS)
+
+
+def _texts(spark, n=60):
+    rng = random.Random(3)
+    words = ["".join(rng.choice("abcdefgh") for _ in range(rng.randint(1, 7))) for _ in range(400)]
+    rows = [(i, " ".join(rng.choice(words) for _ in range(rng.randint(0, 120))), rng.choice(["en", "fr"]), rng.choice("xyz")) for i in range(n)]
+    rows += [(n + i, t + " tail", g, s) for i, (_, t, g, s) in enumerate(rows[:20])]
+    return rows, spark.createDataFrame([(i, t, g, s, None, None, None, None) for i, t, g, s in rows], DOCS)
+
+
+def _components(nodes, links):
+    low = {x: x for x in nodes}
+    for _ in nodes:
+        for a, b in links:
+            low[a] = low[b] = min(low[a], low[b])
+    return low
+
+
+def test_components(spark):
+    links = [(i, i + 1) for i in range(0, 40)] + [(50, 60), (60, 50), (70, 70), (80, 50)]
+    got = {r.node: r.component for r in connected_components(spark.createDataFrame(links, "a long, b long")).collect()}
+    assert got == {**dict.fromkeys(range(41), 0), 50: 50, 60: 50, 80: 50}
+    assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_minhash_brute_force(spark):
+    rows, docs = _texts(spark)
+    sets = {}
+    for i, t, *_ in rows:
+        w = tuple(t.lower().split())
+        sets[i] = {w[j : j + 3] for j in range(len(w) - 2)} if len(w) >= 3 else ({w} if w else set())
+    links = [(a, b) for a in sets for b in sets if a < b and sets[a] and 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b])]
+    got = {r.doc_id: r for r in minhash.near_duplicates(docs, shingle_words=3, percent=85, bands=24, rows=5).collect()}
+    assert {i: (r.n_shingles, r.component_id) for i, r in got.items()} == {i: (len(sets[i]), c) for i, c in _components(sets, links).items()}
+    assert all(r.kept == (r.doc_id == r.component_id) for r in got.values())
+
+
+def test_minhash_odd_rows(spark):
+    got = minhash.near_duplicates(_odd(spark)).collect()
+    assert len(got) == 12 and minhash.near_duplicates(_empty(spark)).count() == 0
+    assert sorted((r.doc_id, r.component_id) for r in got if r.doc_id in (2, 3, 4, 5, 6)) == [(2, 2), (3, 3), (4, 4), (5, 5), (6, 5), (6, 5)]
+    assert [r.kept for r in got if r.doc_id is None] == [True]
+
+
+def test_urls(spark):
+    rows = [(1, "http://Sub.Example.NET/en/x?q"), (2, "http://b.net/a"), (3, "http://x.example.com/de/1#f"), (4, "https://w.org/fr/"), (5, None),
+            (6, "nothing"), (7, "http://a.net"), (8, "a://b://c/d"), (9, "https://www.cheap-pills.example.com/es/1"), (None, "http://q?://z")]
+    got = {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in urls.judge(
+        spark.createDataFrame([(*r, "x") for r in rows], "page_id long, url string, score string"), urls.train()).collect()}
+    assert got[1] == ("sub.example.net", "/en/x", "example.net/en/", "allow")
+    assert got[2] == ("b.net", "/a", "net/", "block") and got[3][2:] == ("example.com/de/", "block") and got[4][2:] == ("org/fr/", "allow")
+    assert got[5][:3] == got[6][:3] == ("", "", None) and got[7][:3] == ("a.net", "", None) and got[8][:2] == ("b:", "//c/d")
+    assert got[9] == ("www.cheap-pills.example.com", "/es/1", None, "block") and got[None][:2] == ("q", "")
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 17, 1000])
+def test_feistel_is_a_permutation(n):
+    assert sorted(order.feistel(np.arange(n), n, 7)) == list(range(n))
+
+
+def test_order_round_trip(spark, tmp_path):
+    order.materialise(_odd(spark), f"file://{tmp_path}/o", length=64, shard_rows=16)
+    rows = order.read(spark, f"file://{tmp_path}/o", shard_rows=16).collect()
+    assert sorted(r.slot for r in rows) == list(range(len(rows))) and {len(r.ids) for r in rows} == {128}
+    assert all(r.shard == r.slot // 16 for r in rows)
+    later = order.read(spark, f"file://{tmp_path}/o", 20, shard_rows=16)
+    assert sorted(r.slot for r in later.collect()) == list(range(20, len(rows)))
+
+
+def test_mixing(spark):
+    rows, docs = _texts(spark)
+    got = mixing.mix(docs).collect()
+    sizes = {i: len(t.split()) for i, t, *_ in rows}
+    assert {r.doc_id: r.size for r in got} == sizes and all(0 <= r.taken <= 3 * r.size for r in got)
+    for s in "xyz":
+        mine = [r for r in got if r.source == s]
+        assert abs(sum(r.taken for r in mine) - mine[0].target) <= 1
+    assert sum(r.taken for r in got) == sum(WORD.findall(r.text).__len__() for r in mixing.materialise(docs).collect())
+    assert mixing.mix(_odd(spark)).count() == 12 and mixing.mix(_empty(spark)).count() == 0
+    assert mixing.materialise(_odd(spark)).columns == _odd(spark).columns and mixing.materialise(_empty(spark)).count() == 0
+
+
+def test_language(spark):
+    docs = _odd(spark)
+    found = language.learn(docs)
+    assert sorted(found) == ["en", "fr"]
+    got = {r.doc_id: r for r in language.predict(docs, found).collect()}
+    assert [got[i].language.lang_pred for i in (0, 1, 2, 3, 4, 8)] == ["en", "fr", "und", "und", "und", "und"]
+    assert all(0 <= r.language.score <= 1 for r in got.values()) and got[0].stats == "clash"
+    assert language.learn(_empty(spark)) == {} and language.predict(docs, {}).where("language.lang_pred <> 'und'").isEmpty()
+
+
+def test_licences(spark):
+    docs = spark.createDataFrame([(1, "A text.\nReleased under the MIT License."), (2, "Licensed under the Apache License, Version 2.0."), (3, "We licensed a song."),
+                                  (4, None), (5, ""), (None, "plain words\nmore words")], "doc_id long, text string")
+    got = {r.doc_id: (r.n_paragraphs, r.licences) for r in licences.scan(docs, licences.learn_from(docs)).collect()}
+    assert got == {1: (2, ["mit"]), 2: (1, ["apache-2.0"]), 3: (1, []), 4: (0, []), 5: (0, []), None: (2, [])}
+    assert licences.scan(_empty(spark), licences.learn_from(_empty(spark))).count() == 0
+
+
+def test_rule_statistics(spark):
+    rows, docs = _texts(spark)
+    rows = rows + [(900, "a b c a b c a b x\n\na b\na b\n# $<", "en", "x")]
+    docs = spark.createDataFrame([(i, t) for i, t, *_ in rows], "doc_id long, text string")
+    for r in rules.judge(docs, []).collect():
+        w = WORD.findall(r.text)
+        windows = Counter(tuple(w[i : i + 3]) for i in range(len(w) - 2))
+        again = {j for i in range(len(w) - 2) if windows[tuple(w[i : i + 3])] > 1 for j in (i, i + 1, i + 2)}
+        lines = [x for x in r.text.split("\n") if WORD.search(x)]
+        s = r.stats
+        assert (s.n_words, s.word_chars, s.n_symbols, s.n_dup_lines, s.n_repeat_words) == (
+            len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", r.text)), len(lines) - len(set(lines)), len(again))
+        assert r.verdict.base_failed == (len(w) < 50 or 100 * len(again) > 50 * len(w))
+    assert rules.judge(_odd(spark), []).count() == 12 and rules.judge(_empty(spark), []).count() == 0
+
+
+def test_rules_learn_a_threshold():
+    rows = [(i % 2 == 0, i % 3 == 0, 0.5 + i / 1000 if i % 2 == 0 else i / 1000, 1.0) for i in range(200)]
+    found = rules.learn(rows, ["symbols_per_word", "words"])
+    assert len(found) == 1 and found[0].conditions[0][0] == "symbols_per_word" and rules.learn([], ["words"]) == []
+
+
+def test_packing(spark):
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(default_path())
+    docs = _odd(spark).unionByName(_texts(spark)[1].withColumn("doc_id", F.expr("doc_id + 100")))
+    want = Counter((r.doc_id, tuple(plain.encode(r.text or "", add_special_tokens=False).ids + [0])) for r in docs.collect())
+    pieces = packing.pack(docs, capacity=64, open_windows=4, merge_tasks=2).collect()
+    spaces, parts = {}, {}
+    for p in pieces:
+        ids = np.frombuffer(p.ids, "<u4")
+        assert len(ids) == p.length and p.length > 0
+        spaces.setdefault(p.sequence_id, []).append((p.offset, p.length))
+        parts.setdefault((p.doc_id, p.doc_tokens), []).append((p.start, tuple(ids)))
+    for used in spaces.values():
+        at = 0
+        for offset, length in sorted(used):
+            assert offset == at
+            at += length
+        assert at <= 64
+    assert sum(p.length for p in pieces) == sum(len(ids) * n for (_, ids), n in want.items())
+    for (doc, ids), n in want.items():
+        if n == 1:
+            assert sum((x for _, x in sorted(parts[doc, len(ids)])), ()) == ids
+    assert packing.pack(_empty(spark)).count() == 0
+
+
+def test_scores(spark):
+    docs = _odd(spark).unionByName(_texts(spark)[1])
+    rows = [(r.doc_id, (r.text or "").lower()) for r in docs.collect()]
+    held = {i: i is not None and zlib.crc32(str(i).encode()) % 5 == 1 for i, _ in rows}
+    counts = Counter(w for i, t in rows if not held[i] for w in [*WORD.findall(t), None])
+    below = sum(counts.values()) + 0.5 * (len(counts) + 1)
+    want = sorted((str(i), len(WORD.findall(t)) + 1, round(sum(math.log10((counts[w] + 0.5) / below) for w in [*WORD.findall(t), None]), 6)) for i, t in rows)
+    got = lm.score(docs, crc_mod(F.col("doc_id"), 5) == 1, max_sample=200).collect()
+    assert sorted((str(r.doc_id), r.n_tokens, round(r.base_score, 6)) for r in got) == want
+    assert all(r.score < 0 and r.train_tokens == sum(counts.values()) for r in got)
+    assert lm.score(_empty(spark), crc_mod(F.col("doc_id"), 5) == 1).count() == 0
+
+
+def test_bit_probabilities_add_up():
+    """Over every continuation of a prefix, the next byte's probabilities sum to one."""
+    tables = np.random.default_rng(0).integers(0, 50, (2, lm.ORDERS, 1 << 10)).astype(np.float32)
+    mixer = lm.Mixer(tables)
+    base = 10 ** mixer.log10([b"a"], 10)[0]
+    total = sum(10 ** x for x in mixer.log10([b"a" + bytes([b]) for b in range(256)], 10))
+    assert math.isclose(total, base, rel_tol=1e-9)
+
+
+def test_embeddings(spark):
+    rng = np.random.default_rng(1)
+    centres = rng.standard_normal((12, 16))
+    rows = [(i, (centres[i % 12] + 0.1 * rng.standard_normal(16)).astype("f4").astype(float).tolist(), int(i % 2)) for i in range(240)]
+    rows += [(300, rows[0][1], 0), (301, None, 0), (302, [0.0] * 16, 0), (303, [None] + [1.0] * 15, 0), (304, [math.inf] + [1.0] * 15, 0),
+             (305, rows[0][1], None), (306, [math.nan] * 16, 0), (307, [], 0), (308, [1.0, 2.0], 0)]
+    usable = {i: np.array(v) / np.linalg.norm(v) for i, v, g in rows if i <= 300}
+    label = {i: g for i, _, g in rows}
+    links = [(a, b) for a in usable for b in usable if a < b and label[a] == label[b] and usable[a] @ usable[b] >= 0.93]
+    df = spark.createDataFrame([(*r, "x") for r in rows], "vec_id long, embedding array<double>, label int, rep string")
+    got = {r.vec_id: r for r in embeddings.near_duplicates(df, block_rows=8, tables=48).collect()}
+    n = Counter(x for link in links for x in link)
+    assert {i: (r.n_links, r.component_id) for i, r in got.items()} == {i: (n[i], c) for i, c in _components([r[0] for r in rows], links).items()}
+    assert embeddings.near_duplicates(df.where("false")).count() == 0
