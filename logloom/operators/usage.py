@@ -66,10 +66,10 @@ def everyday_users(user_app: DataFrame, day, application: str, calendar: DataFra
     """Users of ``application`` on every listed day up to and including ``day``.
 
     Relational division by counting: per user, the distinct days with the
-    application must equal the number of calendar days ≤ ``day``, no join.
+    application must equal the number of calendar days ≤ ``day``.
     ``calendar`` (a ``day`` column) should list every day that has a file,
-    empty files included; without it the days present in ``user_app`` are
-    used. No day ≤ ``day`` is a ``ValueError``.
+    empty files included, and only its days count; without it the days present
+    in ``user_app`` are used. No day ≤ ``day`` is a ``ValueError``.
     """
     last = date_literal(parse_date_arg(day))
     days = (calendar if calendar is not None else user_app).select("day").filter(F.col("day") <= last)
@@ -84,7 +84,8 @@ def everyday_users(user_app: DataFrame, day, application: str, calendar: DataFra
         user_app.filter((F.col("application") == F.lit(application)) & (F.col("day") <= last))
         .select("user", "day")
         .distinct()
-        .groupBy("user")
-        .agg(F.count(F.lit(1)).alias("n_days"))
     )
+    if calendar is not None:  # days that the calendar lacks must not make up for days that it has
+        active = active.join(days.distinct(), "day", "left_semi")
+    active = active.groupBy("user").agg(F.count(F.lit(1)).alias("n_days"))
     return active.filter(F.col("n_days") == F.lit(needed)).select("user")

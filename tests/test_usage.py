@@ -1,5 +1,6 @@
 """Pair files and the usage operators."""
 
+import datetime
 import glob
 import os
 
@@ -144,3 +145,13 @@ def test_summaries_on_the_half_hour_mock_shape(spark, tmp_path):
         parts = sorted(glob.glob(os.path.join(out[name], "part-*")))
         got = "".join(open(p, newline="").read() for p in parts)
         assert got == text, name
+
+
+def test_everyday_counts_only_calendar_days(spark):
+    """Rows on a day that the calendar lacks do not stand in for a listed day."""
+    day = datetime.date
+    pairs = [("u1", "a", day(2024, 1, 16)), ("u1", "a", day(2024, 1, 18)), ("u2", "a", day(2024, 1, 16)), ("u2", "a", day(2024, 1, 17)),
+             ("u2", "a", day(2024, 1, 18))]
+    user_app = spark.createDataFrame(pairs, "user string, application string, day date")
+    calendar = spark.createDataFrame([(day(2024, 1, 16),), (day(2024, 1, 17),)], "day date")
+    assert [r["user"] for r in everyday_users(user_app, "2024-01-18", "a", calendar).collect()] == ["u2"]
