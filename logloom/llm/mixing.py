@@ -131,7 +131,7 @@ def materialise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 ORACLE_SQL = r"""
 WITH sized AS (
   SELECT doc_id, source,
-         CAST(len(list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), x -> x <> '')) AS BIGINT) AS size,
+         CAST(len(list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')) AS BIGINT) AS size,
          md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), 'null')) AS key
   FROM documents),
 per AS (
