@@ -18,10 +18,12 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE, words
+from .common import SPACE
 
 #: Symbols counted as junk.
-SYMBOLS = "[#*$%&|<>]+"
+SYMBOLS = "#*$%&|<>"
+#: ASCII white space, which separates words.
+BLANKS = " \t\n\x0b\x0c\r"
 CAPITALS = "[A-Z]+"
 
 
@@ -42,62 +44,63 @@ FEATURES = {
 }
 
 
-def _let(value: Column, body) -> Column:
-    """body(value), with value computed once a row however often body names it."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
+def _repeat_places(order: Column) -> Column:
+    """Of windows (h, i) in the order of their hashes: the places, sorted, of
+    those whose hash comes twice or more."""
+    again = F.transform(order, lambda x, j: F.when(
+        (x["h"] == F.get(order, j - 1)["h"]) | (x["h"] == F.get(order, j + 1)["h"]), x["i"]))
+    return F.sort_array(F.filter(again, lambda i: i.isNotNull()))
 
 
-def _repeated(w: Column) -> Column:
-    """Words of the array w that lie in a window of three found twice or more."""
-    n = F.size(w)
+def _covered(at: Column) -> Column:
+    """Words in the three-word windows at the sorted places ``at``."""
+    new = F.transform(at, lambda i, j: F.when(j == 0, F.lit(3)).otherwise(F.least(F.lit(3), i - F.get(at, j - 1))))
+    return F.aggregate(new, F.lit(0), lambda a, x: a + x)
 
-    def covered(at: Column) -> Column:
-        new = F.transform(at, lambda i, j: F.when(j == 0, F.lit(3)).otherwise(F.least(F.lit(3), i - F.get(at, j - 1))))
-        return F.aggregate(new, F.lit(0), lambda a, x: a + x)
 
-    def places(o: Column) -> Column:
-        again = F.transform(o, lambda x, j: F.when(
-            (x["h"] == F.get(o, j - 1)["h"]) | (x["h"] == F.get(o, j + 1)["h"]), x["i"]))
-        return _let(F.sort_array(F.filter(again, lambda i: i.isNotNull())), covered)
-
-    def windows(t: Column) -> Column:
-        order = F.sort_array(F.transform(t, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
-        return F.when(F.size(F.array_distinct(t)) < F.size(t), _let(order, places)).otherwise(F.lit(0))
-
-    pairs = F.zip_with(w, F.slice(w, 2, n), lambda a, b: F.xxhash64(a, b))
-    triples = F.zip_with(pairs, F.slice(w, 3, n), lambda a, b: F.xxhash64(a, b))
-    return _let(F.slice(triples, 1, F.greatest(n - 2, F.lit(0))), windows)
+def _without(text: Column, characters: str) -> Column:
+    for c in characters:
+        text = F.replace(text, F.lit(c))
+    return text
 
 
 def text_statistics(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """docs with n_words, word_chars, n_symbols, n_capitals (A-Z), n_exclaims,
     n_lines (lines with a word), n_dup_lines and n_repeat_words (long) of the
     whole text in a struct column ``stats``; null text counts as empty. Columns
-    of docs stay, but for one named ``stats``."""
-    keep = [F.col(f"`{c}`") for c in docs.columns if c != "stats"]
-    text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
-    lines = F.filter(F.split(text, "\n", -1), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
-
-    def count(chars: str) -> Column:
-        return F.length(text) - F.length(F.regexp_replace(text, chars, ""))
-
-    of_words = _let(words(text), lambda w: F.struct(F.size(w).alias("n"), _repeated(w).alias("repeat")))
-    of_lines = _let(lines, lambda x: F.struct(F.size(x).alias("n"), (F.size(x) - F.size(F.array_distinct(x))).alias("dup")))
-
-    def stats(found: Column) -> Column:
-        values = {
-            "n_words": found["w"]["n"],
-            "word_chars": F.length(F.regexp_replace(text, SPACE, "")),
-            "n_symbols": count(SYMBOLS),
-            "n_capitals": count(CAPITALS),
-            "n_exclaims": count("!+"),
-            "n_lines": found["x"]["n"],
-            "n_dup_lines": found["x"]["dup"],
-            "n_repeat_words": found["w"]["repeat"],
-        }
-        return F.struct(*[v.cast("long").alias(k) for k, v in values.items()])
-
-    return docs.select(*keep, _let(F.struct(of_words.alias("w"), of_lines.alias("x")), stats).alias("stats"))
+    of docs stay, but for one named ``stats``.
+
+    Each step is a projection of its own: Spark does not merge one whose result
+    is used more than once, so arrays are built once a row and the functions
+    outside the lambdas are compiled. Only texts with a repeated window sort
+    their windows.
+    """
+    kept = [c for c in docs.columns if c != "stats"]
+    # the input is one struct, so its names cannot clash with those of the steps
+    start = docs.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("_in") if kept else F.lit(None).alias("_in"),
+                        F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("t"))
+    body = F.btrim("t", F.lit(BLANKS))
+    lines = F.filter(F.split("t", "\n", -1), lambda x: F.btrim(x, F.lit(BLANKS)) != "")
+    step = start.select("_in", "t", F.when(body != "", F.split(body, SPACE)).otherwise(F.array().cast("array<string>")).alias("w"), lines.alias("x"))
+    n = F.size("w")
+    pairs = F.zip_with("w", F.slice("w", F.lit(2), n), lambda a, b: F.xxhash64(a, b))
+    step = step.select("*", pairs.alias("p")).select("_in", "t", "w", "x", F.slice(F.zip_with(
+        "p", F.slice("w", F.lit(3), n), lambda a, b: F.xxhash64(a, b)), F.lit(1), F.greatest(n - 2, F.lit(0))).alias("h"))
+    order = F.when(F.size(F.array_distinct("h")) < F.size("h"), F.sort_array(
+        F.transform("h", lambda h, i: F.struct(h.alias("h"), i.alias("i")))))
+    step = step.select("_in", "t", n.alias("n"), F.size("x").alias("lines"), (F.size("x") - F.size(F.array_distinct("x"))).alias("dup"), order.alias("o"))
+    step = step.select("*", F.when(F.col("o").isNotNull(), _repeat_places(F.col("o"))).alias("at"))
+    values = {
+        "n_words": F.col("n"),
+        "word_chars": F.length(_without(F.col("t"), BLANKS)),
+        "n_symbols": F.length("t") - F.length(_without(F.col("t"), SYMBOLS)),
+        "n_capitals": F.length("t") - F.length(F.regexp_replace("t", CAPITALS, "")),
+        "n_exclaims": F.length("t") - F.length(_without(F.col("t"), "!")),
+        "n_lines": F.col("lines"),
+        "n_dup_lines": F.col("dup"),
+        "n_repeat_words": F.when(F.col("at").isNull(), F.lit(0)).otherwise(_covered(F.col("at"))),
+    }
+    return step.select(*[F.col("_in")[c].alias(c) for c in kept], F.struct(*[v.cast("long").alias(k) for k, v in values.items()]).alias("stats"))
 
 
 def base_failed(stats: str = "stats") -> Column:
