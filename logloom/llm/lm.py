@@ -7,10 +7,11 @@ hashed into tables of fixed size; a mixer adds their stretched probabilities
 with weights that a gate selects, learned online, and a last adaptive stage
 corrects the mixed probability by what followed alike ones.
 
-Contexts stay inside the word, so a word's probability is computed once and not
-for each of its occurrences. All training documents are counted: words are
-counted by blocks of documents, then over the corpus, and scores return to each
-block by a join on the word. Only the hashed tables (``slot_bits``) and a sample
+Contexts stay inside the word, so a word's spelling is coded once and not for
+each of its occurrences. Spelling is mixed with the word's corpus frequency, and
+both are refined along each text by the tokens that it has had before. All
+training documents are counted: words are counted by blocks of documents, then
+over the corpus, and scores return to each block by a join on the word. Only the hashed tables (``slot_bits``) and a sample
 of ``max_sample`` words that trains the mixer reach the driver.
 """
 
@@ -164,6 +165,32 @@ class Mixer:
         return out
 
 
+def _earlier(x: np.ndarray) -> np.ndarray:
+    """How often each element came before in x."""
+    order = np.argsort(x, kind="stable")
+    place = np.arange(len(x))
+    first = np.r_[True, x[order][1:] != x[order][:-1]] if len(x) else np.zeros(0, bool)
+    out = np.empty(len(x))
+    out[order] = place - np.maximum.accumulate(np.where(first, place, 0))
+    return out
+
+
+def adapted(at: np.ndarray, whole: np.ndarray, lp: np.ndarray, spelled: float, word_weight: float, pair_weight: float) -> np.ndarray:
+    """log10 probabilities of a text's tokens, given as numbers ``at``, each
+    predicted from the tokens before it: the corpus frequency ``whole`` and the
+    spelling 10 ** lp, refined by how often the text has had the token, and the
+    token after its predecessor. The text's own counts weigh against
+    word_weight and pair_weight, so they are trusted as far as they have grown."""
+    before = np.r_[-1, at[:-1]]
+    seen, pair, context = _earlier(at), _earlier((before + 1) * (at.max() + 1) + at), _earlier(before)
+    words = np.arange(len(at)) + word_weight
+    pairs = context + pair_weight
+    with np.errstate(divide="ignore"):
+        counted = np.log((pair + pair_weight * (seen + word_weight * whole) / words) / pairs)
+    spelt = np.log(spelled * word_weight * pair_weight / (words * pairs)) + lp * np.log(10)
+    return np.logaddexp(counted, spelt) / np.log(10)
+
+
 def _block_words():
     schema = pa.schema([("block", pa.int64()), ("word", pa.binary()), ("n", pa.int64())])
 
@@ -182,14 +209,14 @@ def _block_words():
 
 
 def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text", *, slot_bits: int = 19,
-          max_sample: int = 20_000) -> DataFrame:
+          max_sample: int = 20_000, word_weight: float = 300.0, pair_weight: float = 3.0) -> DataFrame:
     """One row (doc_id, held_out, n_tokens, n_known, train_tokens, base_score,
     score, bits_per_byte) for each row of docs; held_out is a condition on the
     columns of docs, and rows where it is not true are learned from.
 
     A-Z is lower-cased; tokens are the words and one end. base_score is the
     word-frequency log10 probability with half a count added, score the mixing
-    model's log10 probability of the tokens; bits_per_byte is the latter over
+    model's log10 probability of the tokens in their order (``adapted``); bits_per_byte is the latter over
     the bytes of the words, their spaces and the end mark. Null and empty texts are the
     end alone. Null and repeated ids are values like any other. Without training
     documents every count is 0 and every bit even odds, as corrected by nothing.
@@ -203,13 +230,15 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
     seen = stage(map_rows(rows.select("block", "text", "held_out"), _block_words, "block long, word binary, n long"))
     vocabulary = stage(seen.groupBy("word").agg(F.sum("n").alias("c")))
     known = vocabulary.where("c > 0")
-    words, distinct = known.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
+    words, distinct, once = known.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*"), F.count_if(F.col("c") == 1)).first()
     ends = rows.where("not held_out").count()
     total, distinct = words + ends, distinct + (ends > 0)
+    # the share of tokens to spell: that of words seen once, as new words are as frequent as those
+    spelled = min(max(once / total, 1e-6), 0.5) if total else 1.0
 
-    # the hashed tables, from every training word
-    tokens = known.select(F.concat("word", F.lit(SPACE)).alias("token"), "c").union(
-        spark.range(1).select(F.lit(END).alias("token"), F.lit(ends).cast("long").alias("c")))
+    # the hashed tables, from every distinct training word once: what is spelled is a new word
+    tokens = known.select(F.concat("word", F.lit(SPACE)).alias("token"), F.lit(1).cast("long").alias("c")).union(
+        spark.range(1).select(F.lit(END).alias("token"), F.lit(1).cast("long").alias("c")))
     found = tokens.mapInArrow(_counts(slot_bits), "slot int, n0 long, n1 long").groupBy("slot").agg(
         F.sum("n0").cast("float").alias("n0"), F.sum("n1").cast("float").alias("n1")).toArrow()
     size = 1 << slot_bits
@@ -219,7 +248,7 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
     mixer = Mixer(tables.reshape(2, ORDERS, size))
     sample = known.orderBy(F.md5("word"), "word").limit(max_sample).collect()
     if sample:
-        mixer.learn([bytes(r.word) + SPACE for r in sample] , np.array([r.c for r in sample], float), slot_bits)
+        mixer.learn([bytes(r.word) + SPACE for r in sample], np.ones(len(sample)), slot_bits)
     end_score = float(mixer.log10([END], slot_bits)[0])
     shared = spark.sparkContext.broadcast(mixer)
 
@@ -243,12 +272,13 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
         c = np.r_[pc.cast(table.column("c"), pa.int64()).to_numpy(), ends].astype(float)
         lp = np.r_[table.column("lp").to_numpy(), end_score]
         base = np.log10((c + 0.5) / below)
+        whole = (1 - spelled) * c / max(total, 1)
         place = {w: i for i, w in enumerate(table.column("word").to_pylist())}
         out = []
         for doc_id, text, held in zip(*(texts.column(x).to_pylist() for x in ("doc_id", "text", "held_out"))):
             words = text.lower().split()
             at = np.array([place[w] for w in words] + [len(c) - 1])
-            s = float(lp[at].sum())
+            s = float(adapted(at, whole[at], lp[at], spelled, word_weight, pair_weight).sum())
             size = sum(map(len, words)) + len(words) + 1
             out.append((doc_id, held, len(at), int((c[at] > 0).sum()), total, float(base[at].sum()), s, -s / np.log10(2) / size))
         columns = list(zip(*out)) or [[] for _ in schema]
