@@ -61,7 +61,8 @@ RUN_COUNTS_CASES = {
     "agg_run_counts": ("2024-01-05 06:00:00", "2024-01-16 15:00:00", "1day", ("user",), None, ("click",), True),
     "agg_run_counts_month": ("2024-01-01 00:00:00", "2024-01-31 00:00:00", "30m", ("user", "app"), None, None, True),
 }
-PAIRS_DAY = "2024-01-16"
+# Name suffix and day; no day: the whole table.
+PAIRS_DAYS = {"": "2024-01-16", "_all": None}
 EVERYDAY_CASES = {
     "everyday_users": ("2024-01-03", "click"),
     "everyday_users_0105": ("2024-01-05", "click"),
@@ -89,15 +90,18 @@ def _run_counts(case: tuple) -> Callable[[SparkSession, str], DataFrame]:
     return run
 
 
-def _unique(key: str, pairs_view) -> Callable[[SparkSession, str], DataFrame]:
+def _unique(key: str, pairs_view, day: str | None) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return unique_users(pairs_view(spark, sf_dir), key, day=PAIRS_DAY)
+        return unique_users(pairs_view(spark, sf_dir), key, day=day)
 
     return run
 
 
-def _pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return app_device_pairs(fixtures.user_app(spark, sf_dir), fixtures.user_device(spark, sf_dir), day=PAIRS_DAY)
+def _pairs(day: str | None) -> Callable[[SparkSession, str], DataFrame]:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return app_device_pairs(fixtures.user_app(spark, sf_dir), fixtures.user_device(spark, sf_dir), day=day)
+
+    return run
 
 
 def _everyday(day: str, app: str) -> Callable[[SparkSession, str], DataFrame]:
@@ -123,9 +127,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     }
     for name, case in RUN_COUNTS_CASES.items():
         out[name] = _run_counts(case)
-    out["unique_users_per_app"] = _unique("application", fixtures.user_app)
-    out["unique_users_per_device"] = _unique("device", fixtures.user_device)
-    out["app_device_pairs"] = _pairs
+    for suffix, day in PAIRS_DAYS.items():
+        out["unique_users_per_app" + suffix] = _unique("application", fixtures.user_app, day)
+        out["unique_users_per_device" + suffix] = _unique("device", fixtures.user_device, day)
+        out["app_device_pairs" + suffix] = _pairs(day)
     for name, (day, app) in EVERYDAY_CASES.items():
         out[name] = _everyday(day, app)
     out["repo_sizes_over"] = _repo_sizes
@@ -150,11 +155,11 @@ _LOGS_SHIFTED_SQL = (
     + _METRICS_SQL + " FROM events"
 )
 _USER_APP_SQL = (
-    "SELECT DISTINCT 'user' || CAST(user_id AS VARCHAR) AS \"user\", event_type AS application, "
+    "SELECT 'user' || CAST(user_id AS VARCHAR) AS \"user\", event_type AS application, "
     "CAST(ts AS DATE) AS day FROM events"
 )
 _USER_DEV_SQL = (
-    "SELECT DISTINCT 'user' || CAST(user_id AS VARCHAR) AS \"user\", "
+    "SELECT 'user' || CAST(user_id AS VARCHAR) AS \"user\", "
     "'device' || CAST(event_id % 50 + 1 AS VARCHAR) AS device, CAST(ts AS DATE) AS day FROM events"
 )
 _CALENDAR_SQL = "SELECT DISTINCT CAST(ts AS DATE) AS day FROM events"
@@ -212,19 +217,23 @@ def _run_counts_sql(case: tuple) -> str:
     )
 
 
-def _unique_sql(view_sql: str, key: str) -> str:
+def _day_sql(day: str | None) -> str:
+    return "TRUE" if day is None else f"day = DATE '{day}'"
+
+
+def _unique_sql(view_sql: str, key: str, day: str | None) -> str:
     return (
         f"WITH pairs AS ({view_sql}) SELECT {key}, count(DISTINCT \"user\") AS \"number of unique users\" "
-        f"FROM pairs WHERE day = DATE '{PAIRS_DAY}' GROUP BY {key}"
+        f"FROM pairs WHERE {_day_sql(day)} GROUP BY {key}"
     )
 
 
-def _pairs_sql() -> str:
+def _pairs_sql(day: str | None) -> str:
     return (
         f"WITH ua AS ({_USER_APP_SQL}), ud AS ({_USER_DEV_SQL}) "
         f"SELECT DISTINCT a.application, d.device FROM "
-        f"(SELECT DISTINCT \"user\", application FROM ua WHERE day = DATE '{PAIRS_DAY}') a JOIN "
-        f"(SELECT DISTINCT \"user\", device FROM ud WHERE day = DATE '{PAIRS_DAY}') d ON a.\"user\" = d.\"user\""
+        f"(SELECT DISTINCT \"user\", application FROM ua WHERE {_day_sql(day)}) a JOIN "
+        f"(SELECT DISTINCT \"user\", device FROM ud WHERE {_day_sql(day)}) d ON a.\"user\" = d.\"user\""
     )
 
 
@@ -251,9 +260,10 @@ def oracle_sql() -> dict[str, str]:
     out = {name: _agg_sql(case) for name, case in AGG_CASES.items()}
     for name, case in RUN_COUNTS_CASES.items():
         out[name] = _run_counts_sql(case)
-    out["unique_users_per_app"] = _unique_sql(_USER_APP_SQL, "application")
-    out["unique_users_per_device"] = _unique_sql(_USER_DEV_SQL, "device")
-    out["app_device_pairs"] = _pairs_sql()
+    for suffix, day in PAIRS_DAYS.items():
+        out["unique_users_per_app" + suffix] = _unique_sql(_USER_APP_SQL, "application", day)
+        out["unique_users_per_device" + suffix] = _unique_sql(_USER_DEV_SQL, "device", day)
+        out["app_device_pairs" + suffix] = _pairs_sql(day)
     for name, (day, app) in EVERYDAY_CASES.items():
         out[name] = _everyday_sql(day, app)
     out["repo_sizes_over"] = _repo_sizes_sql()

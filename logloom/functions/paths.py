@@ -60,9 +60,10 @@ def parent_path(path: Column) -> Column:
 
 
 def git_root(path: Column) -> Column:
-    """Parent of a path ending in ``/.git``; null otherwise."""
-    root = F.regexp_extract(path, r"^(.+)/\.git$", 1)
-    return F.when(root != "", root)
+    """Parent of a path ending in ``/.git`` (trailing slashes aside); null otherwise."""
+    p = _strip_trailing_slash(path)
+    size = F.length(p) - F.lit(len("/.git"))
+    return F.when(p.endswith("/.git") & (size > 0), F.left(p, size))
 
 
 def ceil_mib(n_bytes: Column) -> Column:

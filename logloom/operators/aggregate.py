@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import IntegralType, StringType
 
 from ..functions.numbers import ansi_enabled, checked_sum, int_or_fail, overflow_check
 from ..functions.time import as_wall_clock, date_literal, ntz_literal, period_start, period_text
@@ -29,7 +29,11 @@ def _in_list(df: DataFrame, name: str, values: tuple[str, ...]) -> Column:
 def _metric(data_type, name: str) -> Column:
     if isinstance(data_type, StringType):
         return int_or_fail(F.col(name), name)
-    return F.col(name).cast("bigint")
+    if not isinstance(data_type, IntegralType):
+        raise TypeError(f"{name} must hold integers or text, not {data_type.simpleString()}")
+    # A null stops the query as unreadable text does.
+    missing = F.raise_error(F.lit(f"null in {name}")).cast("bigint")
+    return F.coalesce(F.col(name).cast("bigint"), missing)
 
 
 def matching_rows(logs: DataFrame, query: LogQuery, keep: tuple[str, ...] = ()) -> DataFrame:

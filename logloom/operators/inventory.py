@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.numbers import ansi_enabled, checked_sum, overflow_check
 from ..functions.paths import ceil_mib, explode_ancestors, git_root, parent_path
 
 
@@ -46,10 +47,10 @@ def repo_sizes(inventory: DataFrame, min_mib: int = 1024) -> DataFrame:
         explode_ancestors(marked, "path", "root", "bytes", "_root_of")
         .groupBy("root")
         .agg(
-            F.sum("bytes").alias("bytes"),
+            checked_sum(F.coalesce("bytes", F.lit(0)), "bytes", ansi_enabled(inventory.sparkSession)),
             F.bool_or(F.coalesce(F.col("root") == F.col("_root_of"), F.lit(False))).alias("is_root"),
         )
     )
-    return rolled.filter("is_root").select("root", ceil_mib(F.col("bytes")).alias("size_mb")).filter(
+    return rolled.filter("is_root").select("root", ceil_mib(overflow_check(F.col("bytes"), "bytes")).alias("size_mb")).filter(
         F.col("size_mb") > F.lit(min_mib)
     )

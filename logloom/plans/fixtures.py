@@ -9,7 +9,6 @@ reach the scan.
 from __future__ import annotations
 
 import os
-import weakref
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,18 +16,9 @@ from pyspark.sql import functions as F
 from .args import METRICS
 
 
-# One parquet relation per session and path, like a registered view: the
-# file listing and footer schema are read once, not on every query built.
-_TABLES: weakref.WeakKeyDictionary = weakref.WeakKeyDictionary()
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A driver table (read-only parquet)."""
-    path = os.path.join(sf_dir, f"{name}.parquet")
-    per_session = _TABLES.setdefault(spark, {})
-    if path not in per_session:
-        per_session[path] = spark.read.parquet(path)
-    return per_session[path]
+    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
 def _metric(i: int):
@@ -56,23 +46,23 @@ def logs(spark: SparkSession, sf_dir: str, shifted: bool = False) -> DataFrame:
 
 
 def user_app(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Distinct ``user, application, day``."""
+    """``user, application, day`` of every event, repeats included."""
     ev = table(spark, sf_dir, "events")
     return ev.select(
         F.concat(F.lit("user"), F.col("user_id").cast("string")).alias("user"),
         F.col("event_type").alias("application"),
         F.to_date("ts").alias("day"),
-    ).distinct()
+    )
 
 
 def user_device(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Distinct ``user, device, day``; 50 devices derived from the event id."""
+    """``user, device, day`` of every event, repeats included; 50 devices derived from the event id."""
     ev = table(spark, sf_dir, "events")
     return ev.select(
         F.concat(F.lit("user"), F.col("user_id").cast("string")).alias("user"),
         F.concat(F.lit("device"), (F.col("event_id") % 50 + 1).cast("string")).alias("device"),
         F.to_date("ts").alias("day"),
-    ).distinct()
+    )
 
 
 def calendar(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,28 +1,24 @@
 """CSV writers (K1–K6).
 
-Spark writes a directory of part files per output. A result small enough
-(checked by counting it) is written as one sorted part; a larger one is
-range-partitioned by its sort key, so reading the parts in name order gives
-the sorted whole and no single task holds it.
+Spark writes a directory of part files per output, range-partitioned by its
+sort key: the parts in name order are the sorted whole, and no single task
+holds it. Adaptive execution makes one part of a small result.
 """
 
 from __future__ import annotations
 
 import os
-import re
+import uuid
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from ..functions.time import timestamp_text
 from ..operators.usage import UNIQUE_USERS, count_users, join_pairs, user_keys
 from ..plans.args import METRICS
-from ..sources.listing import exists, list_dir
-
-# Rows up to which a result is written as one part file.
-SINGLE_FILE_ROWS = 5_000_000
+from ..sources.listing import delete, list_dir, rename
 
 # The header line of each summary file, quotes included, as the
 # exercise echoes it before appending the unquoted rows.
@@ -103,61 +99,54 @@ def _with_header_row(df: DataFrame, header: tuple[str, ...]) -> DataFrame:
     return head.unionByName(body)
 
 
+def free_name(taken: set[str], wanted: str) -> str:
+    """``wanted`` unless taken; else its first part, ``_``, one more than the
+    largest number so used among the taken names, and its extension (``.csv``
+    when it has none)."""
+    if wanted not in taken:
+        return wanted
+    head, tail = os.path.splitext(wanted)
+    head, tail = head + "_", tail or ".csv"
+    middles = (n.removeprefix(head).removesuffix(tail) for n in taken if n.startswith(head) and n.endswith(tail))
+    return f"{head}{1 + max((int(m) for m in middles if m.isdecimal()), default=0)}{tail}"
+
+
 def next_result_name(spark, directory: str, base_name: str = "result.csv") -> str:
-    """``base_name`` if free, else ``stem_{n+1}{ext}`` for the highest
-    existing ``stem_{n}{ext}``; gaps are not filled, and ``ext`` defaults to
-    ``.csv`` only in the numbered form."""
-    stem, ext = os.path.splitext(base_name)
-    ext = ext or ".csv"
-    if not exists(spark, os.path.join(directory, base_name)):
-        return base_name
-    numbered = re.compile(rf"^{re.escape(stem)}_(\d+){re.escape(ext)}$")
-    highest = 0
-    for entry in list_dir(spark, directory):
-        m = numbered.match(entry.name)
-        if m:
-            highest = max(highest, int(m.group(1)))
-    return f"{stem}_{highest + 1}{ext}"
-
-
-def _sorted(df: DataFrame, keys, rows: int | None) -> DataFrame:
-    if rows is not None and rows <= SINGLE_FILE_ROWS:
-        return df.repartition(1).sortWithinPartitions(*keys)
-    return df.orderBy(*keys)
+    """The free name for a new result in a directory."""
+    return free_name({entry.name for entry in list_dir(spark, directory)}, base_name)
 
 
 def write_result(result: DataFrame, directory: str, name: str = "result.csv") -> str | None:
     """Write an ``aggregate_logs`` result sorted by its key under the next
     free name, with its header, in ``csv.writer``'s dialect; return the path,
-    or None (and write nothing) when empty.
+    or None (and leave no file) when empty.
 
-    The result is persisted so the emptiness check, the size check and the
-    write share one computation of the aggregate.
+    The result is computed once: it is written under a staging name while its
+    rows are observed, then renamed, or deleted when there were none.
     """
+    spark = result.sparkSession
     keys = [c for c in ("timestamp", "user", "app") if c in result.columns]
-    cached = result.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        n = cached.count()
-        if n == 0:
-            return None
-        spark = result.sparkSession
-        target = os.path.join(directory, next_result_name(spark, directory, name))
-        # Only text can need quoting; the integer sums are written as they are.
-        fields = [
-            csv_field(F.col(f.name)) if isinstance(f.dataType, StringType) else F.col(f.name).cast("string")
-            for f in cached.schema.fields
-        ]
-        body = cached.select(F.lit(1).alias(_ORDER), *keys, F.concat_ws(",", *fields).alias("value"))
-        head = spark.range(1).select(
-            F.lit(0).alias(_ORDER),
-            *[F.lit(None).cast("string").alias(k) for k in keys],
-            csv_line(*[F.lit(c) for c in cached.columns]).alias("value"),
-        )
-        lines = _sorted(head.unionByName(body), [_ORDER, *keys], n + 1).select("value")
-        _text_writer(lines).mode("errorifexists").text(target)
-        return target
-    finally:
-        cached.unpersist()
+    seen = Observation()
+    # Only text can need quoting; the integer sums are written as they are.
+    fields = [
+        csv_field(F.col(f.name)) if isinstance(f.dataType, StringType) else F.col(f.name).cast("string")
+        for f in result.schema.fields
+    ]
+    body = result.observe(seen, F.count(F.lit(1)).alias("n")).select(
+        F.lit(1).alias(_ORDER), *keys, F.concat_ws(",", *fields).alias("value"))
+    head = spark.range(1).select(
+        F.lit(0).alias(_ORDER),
+        *[F.lit(None).cast("string").alias(k) for k in keys],
+        csv_line(*[F.lit(c) for c in result.columns]).alias("value"),
+    )
+    staging = os.path.join(directory, f"_writing-{uuid.uuid4().hex}")
+    _text_writer(head.unionByName(body).orderBy(_ORDER, *keys).select("value")).text(staging)
+    if not seen.get.get("n", 0):
+        delete(spark, staging)
+        return None
+    target = os.path.join(directory, next_result_name(spark, directory, name))
+    rename(spark, staging, target)
+    return target
 
 
 def write_summaries(user_app: DataFrame, user_device: DataFrame, directory: str, day=None) -> dict[str, str]:
@@ -181,13 +170,8 @@ def write_summaries(user_app: DataFrame, user_device: DataFrame, directory: str,
     try:
         for name, (df, keys) in outputs.items():
             path = os.path.join(directory, name)
-            cached = df.persist(StorageLevel.MEMORY_AND_DISK)
-            try:
-                lines = _with_header_row(cached, SUMMARY_HEADERS[name])
-                out = _sorted(lines, [_ORDER, *keys], cached.count() + 1).drop(_ORDER)
-                _shell_writer(out).mode("overwrite").csv(path)
-            finally:
-                cached.unpersist()
+            lines = _with_header_row(df, SUMMARY_HEADERS[name]).orderBy(_ORDER, *keys)
+            _shell_writer(lines.drop(_ORDER)).mode("overwrite").csv(path)
             written[name] = path
     finally:
         apps.unpersist()

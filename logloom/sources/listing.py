@@ -32,6 +32,17 @@ def exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(hpath))
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    fs, hpath = _fs(spark, path)
+    fs.delete(hpath, True)
+
+
+def rename(spark: SparkSession, path: str, target: str) -> None:
+    fs, hpath = _fs(spark, path)
+    if not fs.rename(hpath, _fs(spark, target)[1]):
+        raise OSError(f"cannot rename {path} to {target}")
+
+
 def list_dir(spark: SparkSession, path: str, recursive: bool = False) -> list[ListedFile]:
     """Entries of a directory (files and directories), zero-length files
     included; ``recursive`` walks sub-directories and returns files only.

@@ -131,15 +131,16 @@ def clean_log_rows(raw: DataFrame, day: Column, first=None, last=None) -> DataFr
     the file's ``day`` (null for names without a valid day) within
     ``first..last`` when given. Shared by the batch and the streaming reader.
 
-    ``ts`` and ``file_date`` come out of a one-row ``inline``: Spark inlines a
-    projected expression into every later filter that uses it (the checks
-    here, the range of the query), so the timestamp pattern would run once
-    per use; a generator's output is computed once per row. Filters on the
-    raw columns (users, apps) still pass below it to the scan.
+    ``ts`` comes out of a one-row ``inline``: Spark inlines a projected
+    expression into every later filter that uses it (the checks here, the
+    range of the query), so the timestamp pattern would run once per use; a
+    generator's output is computed once per row. ``file_date`` stays outside
+    it: filters on it, and on the raw columns (users, apps), pass below to
+    the scan, where a range of days leaves the other days' files unread.
     """
     short = short_row(METRICS[-1], len(LOG_FIELDS))
-    parsed = F.struct(parse_timestamp_text(F.col("timestamp")).alias("ts"), day.alias("file_date"))
-    rows = raw.filter(~short).select(*LOG_FIELDS, F.inline(F.array(parsed)))
+    parsed = F.struct(parse_timestamp_text(F.col("timestamp")).alias("ts"))
+    rows = raw.filter(~short).select(*LOG_FIELDS, day.alias("file_date"), F.inline(F.array(parsed)))
     keep = F.col("ts").isNotNull() & F.col("file_date").isNotNull()
     if first is not None:
         keep = keep & F.col("file_date").between(date_literal(first), date_literal(last))

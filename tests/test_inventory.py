@@ -1,5 +1,7 @@
 """Repository sizes (P11, P12, J3, A6) against a brute-force prefix match."""
 
+import pytest
+
 from conftest import SF001
 
 from logloom import repo_sizes
@@ -41,3 +43,21 @@ def test_fixture_matches_brute_force(spark):
     for threshold in (0, 100, 1024):
         got = {r.root: r.size_mb for r in repo_sizes(inv, threshold).collect()}
         assert got == brute(rows, threshold)
+
+
+def test_trailing_slash_of_a_git_directory(spark):
+    rows = [("/r/.git/", "dir", 1), ("/r/f", "file", 2 << 20), ("/s/x.git", "dir", 9)]
+    got = repo_sizes(spark.createDataFrame(rows, "path string, kind string, bytes long"), 1)
+    assert [tuple(r) for r in got.collect()] == [("/r", 3)]
+
+
+def test_size_past_64_bits_stops_the_query(spark):
+    rows = [("/r/.git", "dir", 1), ("/r/f", "file", 2**63 - 1)]
+    df = spark.createDataFrame(rows, "path string, kind string, bytes long")
+    for ansi in ("true", "false"):
+        spark.conf.set("spark.sql.ansi.enabled", ansi)
+        try:
+            with pytest.raises(Exception, match="(?i)overflow"):
+                repo_sizes(df, 1).collect()
+        finally:
+            spark.conf.set("spark.sql.ansi.enabled", "true")

@@ -96,6 +96,30 @@ def test_pruned_read_counts_files(spark, tmp_path):
     assert scans == [2]
 
 
+@pytest.mark.parametrize("layout", ["flat", "daily"])
+def test_range_of_the_query_alone_prunes_files(spark, tmp_path, layout):
+    name = "2025-01-{:02}.log.csv" if layout == "flat" else "file_date=2025-01-{:02}/part.csv"
+    d = write_files(tmp_path, {name.format(i): f"2025-01-{i:02} 10:00:00,u,a,{M}\n" for i in range(1, 11)})
+    df = aggregate_logs(read_logs(spark, d), "2025-01-04 00:00:00", "2025-01-05 12:00:00")
+    assert df.count() == 2
+    df.collect()
+    plan, found = df._jdf.queryExecution().executedPlan(), []
+
+    def walk(p):
+        name = p.nodeName()
+        if name.startswith("AdaptiveSparkPlan"):
+            return walk(p.executedPlan())
+        if "QueryStage" in name:
+            return walk(p.plan())
+        if "Scan" in name:
+            found.append(p.metrics().apply("numFiles").value())
+        for i in range(p.children().size()):
+            walk(p.children().apply(i))
+
+    walk(plan)
+    assert found == [2]
+
+
 def test_bad_metric_fails_only_when_matching(spark, tmp_path):
     d = write_files(tmp_path, {
         "2025-01-01.log.csv": f"2025-01-01 10:00:00,u1,a,{M}\n2025-01-01 11:00:00,u2,a,1,2,3,4,5,6,7,8,x\n",
