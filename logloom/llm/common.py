@@ -45,12 +45,12 @@ def scratch_dir(spark: SparkSession) -> str:
     return path
 
 
-def stage(df: DataFrame) -> DataFrame:
+def stage(df: DataFrame, compression: str = "snappy") -> DataFrame:
     """Write df as Parquet under the shared folder and read it back: cuts the
     lineage, survives lost executors, and is removed when the session ends."""
     spark = df.sparkSession
     path = f"{scratch_dir(spark)}/stage-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(jvm_path)
     return spark.read.schema(df.schema).parquet(path)

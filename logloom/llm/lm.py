@@ -7,12 +7,22 @@ hashed into tables of fixed size; a mixer adds their stretched probabilities
 with weights that a gate selects, learned online, and a last adaptive stage
 corrects the mixed probability by what followed alike ones.
 
-Contexts stay inside the word, so a word's spelling is coded once and not for
-each of its occurrences. Spelling is mixed with the word's corpus frequency, and
-both are refined along each text by the tokens that it has had before. All
-training documents are counted: words are counted by blocks of documents, then
-over the corpus, and scores return to each block by a join on the word. Only the hashed tables (``slot_bits``) and a sample
-of ``max_sample`` words that trains the mixer reach the driver.
+What is spelled is a word that no other predictor knows. In running text a token
+comes from one of six sources: what followed the same word earlier in this text,
+this text's earlier words, what followed the same word in all training texts,
+what followed the same last bytes over the space there, the corpus' words, or
+spelling. Which source it is, is a row of bits that are summed over; the
+probability of each is mixed like the others, from the sources' records in the
+text so far, gated by how much the source has seen, and corrected by a last
+adaptive stage.
+
+All training documents are counted, each occurrence once: words, and tokens by
+the hash of their context (64 bits, so that contexts do not share counts), by
+blocks of documents and then over the corpus; the counts return to each block.
+The sources' mixer learns online over all training text, block by block, each text
+without its own counts; its weights are averaged by visits and its adaptive counts
+summed by slot. Only the hashed tables (``slot_bits``), the weights and a sample of
+``max_sample`` words that trains the spelling's mixer reach the driver.
 """
 
 from __future__ import annotations
@@ -23,7 +33,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+import xxhash
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import GOLD, map_rows, mix64, record, slices, stage
@@ -114,18 +125,30 @@ class Mixer:
 
     def __init__(self, tables: np.ndarray):
         self.tables = tables  # (2, ORDERS, slots), float32
+        self.stretched = None
         self.weights = np.full((GATES, ORDERS), 0.3)
+        self.visits = np.zeros(GATES)
         grid = _squash(np.linspace(-12, 12, STEPS))
         self.adapt = np.stack([grid * 64, (1 - grid) * 64])  # ones and zeros seen at each step
 
     def inputs(self, slots: np.ndarray, own: np.ndarray | None = None, bits: np.ndarray | None = None):
+        """Stretched probabilities and gates; own is how often the bits' word occurs, to leave it out."""
         at = np.arange(ORDERS)[:, None]
-        n0, n1 = self.tables[0, at, slots].astype(float), self.tables[1, at, slots].astype(float)
-        if own is not None:  # without the occurrence that is to be predicted
-            n1, n0 = np.maximum(0, n1 - (bits == 1)), np.maximum(0, n0 - (bits == 0))
-        x = np.log((n1 + 0.02) / (n0 + 0.02))
-        gate = np.minimum(np.log2(1 + n0[-1] + n1[-1]).astype(int), GATES - 1)
-        return np.clip(x, -12, 12).T, gate
+        if own is None:
+            if self.stretched is None:
+                gate = np.minimum(np.log2(1 + self.tables[:, -1].sum(axis=0)).astype(int), GATES - 1)
+                self.stretched = self.stretch(*self.tables), gate
+            return self.stretched[0][at, slots].T, self.stretched[1][slots[-1]]
+        n0, n1 = self.tables[0, at, slots], self.tables[1, at, slots]
+        n1, n0 = np.maximum(0, n1 - own * (bits == 1)), np.maximum(0, n0 - own * (bits == 0))
+        return self.stretch(n0, n1).T, np.minimum(np.log2(1 + n0[-1] + n1[-1]).astype(int), GATES - 1)
+
+    @staticmethod
+    def stretch(n0: np.ndarray, n1: np.ndarray) -> np.ndarray:
+        return np.clip(np.log((n1.astype(float) + 0.02) / (n0 + 0.02)), -12, 12)
+
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"stretched": None}
 
     def mixed(self, x: np.ndarray, gate: np.ndarray) -> np.ndarray:
         return np.clip((x * self.weights[gate]).sum(axis=1), -12, 12)
@@ -138,23 +161,23 @@ class Mixer:
         return np.clip((_squash(z) + (1 - part) * rate[lo] + part * rate[lo + 1]) / 2, 1e-7, 1 - 1e-7)
 
     def learn(self, tokens: list[bytes], counts: np.ndarray, slot_bits: int, rate: float = 0.006, step: int = 2048) -> None:
-        """One online pass over a sample of words; a word weighs by its count."""
+        """One online pass over words; a word weighs by its count."""
         share = np.minimum(counts / max(counts.mean(), 1e-9), 50.0)
         for lo, hi in _chunks(tokens):
             slots, bits, owner = _events(tokens[lo:hi], slot_bits)
-            x, gate = self.inputs(slots, owner, bits)
+            x, gate = self.inputs(slots, counts[lo:hi][owner], bits)
             weigh = share[lo:hi][owner]
             for s in range(0, len(bits), step):
                 e = slice(s, s + step)
                 z = self.mixed(x[e], gate[e])
                 error = (bits[e] - _squash(z)) * weigh[e]
                 many = np.bincount(gate[e], weigh[e], GATES)[:, None]
-                move = np.zeros_like(self.weights)
-                np.add.at(move, gate[e], error[:, None] * x[e])
+                self.visits += many[:, 0]
+                move = (gate[e] == np.arange(GATES)[:, None]).astype(float) @ (error[:, None] * x[e])
                 self.weights += rate * move / np.maximum(many, 1) * np.minimum(many, 64) / 8
                 near = np.rint((z + 12) * (STEPS - 1) / 24).astype(int)
-                np.add.at(self.adapt[0], near, weigh[e] * bits[e])
-                np.add.at(self.adapt[1], near, weigh[e] * (1 - bits[e]))
+                self.adapt[0] += np.bincount(near, weigh[e] * bits[e], STEPS)
+                self.adapt[1] += np.bincount(near, weigh[e] * (1 - bits[e]), STEPS)
 
     def log10(self, tokens: list[bytes], slot_bits: int) -> np.ndarray:
         out = np.zeros(len(tokens))
@@ -175,20 +198,158 @@ def _earlier(x: np.ndarray) -> np.ndarray:
     return out
 
 
-def adapted(at: np.ndarray, whole: np.ndarray, lp: np.ndarray, spelled: float, word_weight: float, pair_weight: float) -> np.ndarray:
-    """log10 probabilities of a text's tokens, given as numbers ``at``, each
-    predicted from the tokens before it: the corpus frequency ``whole`` and the
-    spelling 10 ** lp, refined by how often the text has had the token, and the
-    token after its predecessor. The text's own counts weigh against
-    word_weight and pair_weight, so they are trusted as far as they have grown."""
-    before = np.r_[-1, at[:-1]]
-    seen, pair, context = _earlier(at), _earlier((before + 1) * (at.max() + 1) + at), _earlier(before)
-    words = np.arange(len(at)) + word_weight
-    pairs = context + pair_weight
-    with np.errstate(divide="ignore"):
-        counted = np.log((pair + pair_weight * (seen + word_weight * whole) / words) / pairs)
-    spelt = np.log(spelled * word_weight * pair_weight / (words * pairs)) + lp * np.log(10)
-    return np.logaddexp(counted, spelt) / np.log(10)
+#: Sources of a token but spelling, the last one: in the order in which their bits are asked.
+SOURCES = 5
+LEVELS = 16
+
+
+def running(texts: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray]:
+    """Words, END first and the start of a text (empty) second; and of all tokens
+    the word's place, that of the word before, and the text's index."""
+    place = {END: 0, b"": 1}
+    at, before, sizes = [], [], []
+    for text in texts:
+        ids = [place.setdefault(w, len(place)) for w in text.lower().split()]
+        at += ids + [0]
+        before += [1] + ids
+        sizes.append(len(ids) + 1)
+    return list(place), np.array(at, np.int64), np.array(before, np.int64), np.repeat(np.arange(len(texts)), sizes)
+
+
+def context_keys(words: list[bytes], at: np.ndarray, before: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """64-bit hashes: token after the word before, token after that word's last
+    two bytes over the space, and those bytes alone."""
+    word = np.array([xxhash.xxh3_64_intdigest(w) for w in words], _U)
+    last = np.array([xxhash.xxh3_64_intdigest(w[-2:], 1) for w in words], _U)
+    with np.errstate(over="ignore"):
+        return tuple(x.view(np.int64) for x in (
+            mix64(mix64(word[before] + GOLD) + word[at]), mix64(mix64(last[before] + GOLD * _U(3)) + word[at]), mix64(last[before] + GOLD * _U(5))))
+
+
+def _block_keys():
+    """Of (block, text, held_out): how often each context key of a block occurs in its training texts."""
+    schema = pa.schema([("block", pa.int64()), ("key", pa.int64()), ("n", pa.int32())])
+
+    def step(batch: pa.RecordBatch) -> pa.RecordBatch:
+        blocks, texts = batch.column(0).to_numpy(), batch.column(1).to_pylist()
+        learned = ~batch.column(2).to_numpy(zero_copy_only=False).astype(bool)
+        out = []
+        for block in np.unique(blocks):
+            mine = np.flatnonzero(blocks == block)
+            words, at, before, owner = running([texts[i] for i in mine])
+            keys, which = np.unique(np.concatenate(context_keys(words, at, before)), return_inverse=True)
+            n = np.bincount(which, np.tile(learned[mine][owner], 3), len(keys)).astype(np.int32)
+            out.append((np.full(len(keys), block), keys, n))
+        return record(schema, *(np.concatenate(x) for x in zip(*out)))
+
+    return step
+
+
+def _times(x: np.ndarray) -> np.ndarray:
+    """How often each element is in x."""
+    _, which, n = np.unique(x, return_inverse=True, return_counts=True)
+    return n[which]
+
+
+class Sources:
+    """Gated logistic mixing of the bits that choose a token's source, and their last adaptive stage."""
+
+    SHAPES = ((SOURCES, LEVELS, SOURCES + 1), (SOURCES, LEVELS), (2, SOURCES, STEPS))
+
+    def __init__(self):
+        self.weights, self.visits = np.zeros(self.SHAPES[0]), np.zeros(self.SHAPES[1])
+        for k in range(SOURCES):
+            self.weights[k, :, k] = 0.5
+        grid = np.tile(_squash(np.linspace(-12, 12, STEPS)), (SOURCES, 1))
+        self.prior = np.stack([grid * 64, (1 - grid) * 64])
+        self.adapt = np.zeros_like(self.prior)
+        self.moved = np.full(self.SHAPES[0], 1e-4)
+
+    def pack(self) -> np.ndarray:
+        """What is summed over blocks: weights by visits, visits, adaptive counts."""
+        return np.concatenate([(self.weights * self.visits[:, :, None]).ravel(), self.visits.ravel(), self.adapt.ravel()])
+
+    @classmethod
+    def merged(cls, total: np.ndarray) -> "Sources":
+        out = cls()
+        weights, out.visits, out.adapt = (x.reshape(shape) for x, shape in zip(np.split(total, np.cumsum([int(np.prod(s)) for s in cls.SHAPES])[:-1]), cls.SHAPES))
+        met = out.visits > 0
+        out.weights[met] = weights[met] / out.visits[met][:, None]
+        return out
+
+    def refined(self, k: int, z: np.ndarray) -> np.ndarray:
+        at = (z + 12) * (STEPS - 1) / 24
+        lo = np.minimum(at.astype(int), STEPS - 2)
+        ones, zeros = self.prior[:, k] + self.adapt[:, k]
+        rate, part = ones / (ones + zeros), at - lo
+        return np.clip((_squash(z) + (1 - part) * rate[lo] + part * rate[lo + 1]) / 2, 1e-6, 1 - 1e-6)
+
+    @staticmethod
+    def estimates(owner, at, before, c, n, m, followed, lasts, total):
+        """Probabilities (SOURCES, tokens) of the tokens in each source, how much
+        the source has seen (0: nothing, so it cannot be the one), and the inputs."""
+        width = int(max(at.max(), before.max())) + 1
+        starts = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
+        first = np.repeat(starts, np.diff(np.r_[starts, len(owner)]))
+        past = np.arange(len(at)) - first
+        seen = _earlier(owner * width + at)
+        pair, context = _earlier((owner * width + before) * width + at), _earlier(owner * width + before)
+        top = np.stack([pair, seen, n, m, c]).astype(float)
+        below = np.stack([context, past, followed, lasts, np.broadcast_to(total, len(at))]).astype(float)
+        q = np.divide(top, below, out=np.zeros_like(top), where=below > 0)
+        hits, tries = np.cumsum(q > 0, axis=1) - (q > 0), np.cumsum(below > 0, axis=1) - (below > 0)
+        rate = (hits - hits[:, first] + 0.5) / (tries - tries[:, first] + 1)
+        x = np.concatenate([np.log(rate / (1 - rate)), np.ones((1, len(at)))]).T
+        return np.minimum(q, 1), below, x
+
+    def bits(self, below: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        gate = np.minimum(np.log2(1 + below).astype(int), LEVELS - 1)
+        z = np.stack([np.clip((x * self.weights[k][gate[k]]).sum(axis=1), -12, 12) for k in range(SOURCES)])
+        return gate, z, below > 0
+
+    def log10(self, q, below, x, lp) -> np.ndarray:
+        """log10 probabilities of the tokens, with lp that of their spelling."""
+        _, z, can = self.bits(below, x)
+        left, known = np.ones(len(lp)), np.zeros(len(lp))
+        for k in range(SOURCES):
+            p = self.refined(k, z[k]) * can[k]
+            known += left * p * q[k]
+            left *= 1 - p
+        with np.errstate(divide="ignore"):
+            return np.logaddexp(np.log(known), np.log(left) + lp * np.log(10)) / np.log(10)
+
+    def learn(self, q, below, x, lp, step: int = 1024, rate: float = 0.1) -> None:
+        """One online pass; a bit's share of a token is the probability that it was asked."""
+        for s in range(0, len(lp), step):
+            e = slice(s, s + step)
+            gate, z, can = self.bits(below[:, e], x[e])
+            p = _squash(z) * can
+            left = np.cumprod(np.concatenate([np.ones((1, z.shape[1])), 1 - p]), axis=0)
+            parts = np.concatenate([left[:-1] * p * q[:, e], left[-1:] * 10 ** np.maximum(lp[e], -250)])
+            parts /= np.maximum(parts.sum(axis=0), 1e-300)
+            asked = np.cumsum(parts[::-1], axis=0)[::-1]
+            for k in range(SOURCES):
+                weigh = asked[k] * can[k]
+                yes = parts[k] * can[k]
+                move = (gate[k] == np.arange(LEVELS)[:, None]).astype(float) @ ((yes - weigh * p[k])[:, None] * x[e])
+                self.moved[k] += move**2
+                self.weights[k] += rate * move / np.sqrt(self.moved[k])
+                self.visits[k] += np.bincount(gate[k], weigh, LEVELS)
+                near = np.rint((z[k] + 12) * (STEPS - 1) / 24).astype(int)
+                self.adapt[0, k] += np.bincount(near, yes, STEPS)
+                self.adapt[1, k] += np.bincount(near, weigh - yes, STEPS)
+
+
+def _text_chunks(sizes: list[int], most: int = 1 << 20) -> Iterator[tuple[int, int]]:
+    """Runs of texts of at most about ``most`` bytes; one text may exceed it."""
+    start = total = 0
+    for i, n in enumerate(sizes):
+        if total and total + n > most:
+            yield start, i
+            start, total = i, 0
+        total += n
+    if start < len(sizes):
+        yield start, len(sizes)
 
 
 def _block_words():
@@ -208,15 +369,95 @@ def _block_words():
     return step
 
 
+NUMBERED = "slot int, value double"
+
+
+def _numbered(values: np.ndarray) -> pa.RecordBatch:
+    return pa.record_batch([pa.array(np.arange(len(values)), pa.int32()), pa.array(values, pa.float64())], names=["slot", "value"])
+
+
+def _summed(rows: DataFrame, size: int) -> np.ndarray:
+    found = rows.groupBy("slot").agg(F.sum("value").alias("value")).toArrow()
+    out = np.zeros(size)
+    out[found.column("slot").to_numpy()] = found.column("value").to_numpy()
+    return out
+
+
+def _features(total: int, distinct: int, ends: int, end_score: float):
+    """Of a block's words and context counts, and its texts: a row for each text
+    with its tokens' counts, and one with what the block's training texts teach."""
+    below = total + 0.5 * (distinct + 1)
+
+    def blocks(table: pa.Table, texts: pa.Table) -> pa.Table:
+        is_word = pc.is_valid(table.column("word"))
+        named, keyed = table.filter(is_word), table.filter(pc.invert(is_word))
+        by_word = dict(zip(named.column("word").to_pylist(), zip(named.column("c").to_pylist(), named.column("lp").to_pylist())))
+        by_word[END] = by_word[b""] = (ends, end_score)
+        ids, held, data = texts.column("doc_id").to_pylist(), np.array(texts.column("held_out").to_pylist(), bool), texts.column("text").to_pylist()
+        chunks = list(_text_chunks([len(t) for t in data]))
+        # what other blocks count, and the block's own counts
+        parts = [(keyed.column("key").to_numpy(), keyed.column("c").to_numpy())]
+        for lo, hi in chunks:
+            words, at, before, owner = running(data[lo:hi])
+            train = ~held[lo:hi][owner]
+            parts.append(np.unique(np.concatenate([x[train] for x in context_keys(words, at, before)]), return_counts=True))
+        keys, which = np.unique(np.concatenate([x for x, _ in parts]), return_inverse=True)
+        counts = np.bincount(which, np.concatenate([x for _, x in parts]), len(keys)).astype(np.int64)
+        del parts, which
+
+        def lookup(key: np.ndarray) -> np.ndarray:
+            if not len(keys):
+                return np.zeros(len(key), np.int64)
+            at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+            return np.where(keys[at] == key, counts[at], 0)
+
+        mixer, out = Sources(), []
+        for lo, hi in chunks:
+            words, at, before, owner = running(data[lo:hi])
+            c_of, lp_of = np.array([by_word[w] for w in words], float).T
+            c, lp, followed = c_of[at], lp_of[at], c_of[before]
+            pair_key, last_key, lasts_key = context_keys(words, at, before)
+            n, m, lasts = lookup(pair_key), lookup(last_key), lookup(lasts_key)
+            train = ~held[lo:hi][owner]
+            if train.any():  # each text without its own counts
+                o, a, b, texts_at = owner[train], at[train], before[train], np.unique(owner[train], return_inverse=True)[1]
+                own = [_times(texts_at * (len(words) + 1) + x) for x in (a, b)]
+                with np.errstate(over="ignore"):
+                    mine = [_times(x[train] ^ mix64(o.astype(_U)).view(np.int64)) for x in (pair_key, last_key, lasts_key)]
+                q, seen, x = Sources.estimates(texts_at, a, b, c[train] - own[0], n[train] - mine[0], m[train] - mine[1],
+                                               followed[train] - own[1], lasts[train] - mine[2], total - _times(texts_at))
+                mixer.learn(q, seen, x, lp[train])
+            base = np.log10((c + 0.5) / below)
+            cuts = np.searchsorted(owner, np.arange(hi - lo + 1))
+            length = np.array([len(w) + 1 for w in words])
+            length[0] = 1
+            for i in range(hi - lo):
+                e = slice(cuts[i], cuts[i + 1])
+                out.append((ids[lo + i], bool(held[lo + i]), cuts[i + 1] - cuts[i], int((c[e] > 0).sum()), float(base[e].sum()), int(length[at[e]].sum()),
+                            *(x[e].astype(kind).tobytes() for x, kind in ((at, "<i4"), (c, "<i8"), (n, "<i8"), (m, "<i8"), (lasts, "<i8"), (lp, "<f4"))), None))
+        if mixer.visits.any():
+            out.append((*[None] * 12, mixer.pack().tobytes()))
+        columns = list(zip(*out)) or [[] for _ in FEATURES]
+        return pa.table([pa.array(x, f.type) for x, f in zip(columns, FEATURES)], schema=FEATURES)
+
+    return blocks
+
+
+FEATURES = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base_score", pa.float64()),
+                      ("size", pa.int64()), *[(x, pa.binary()) for x in ("at", "c", "n", "m", "lasts", "lp", "learned")]])
+FEATURES_DDL = ("doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, size long, "
+                "at binary, c binary, n binary, m binary, lasts binary, lp binary, learned binary")
+
+
 def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text", *, slot_bits: int = 19,
-          max_sample: int = 20_000, word_weight: float = 300.0, pair_weight: float = 3.0) -> DataFrame:
+          max_sample: int = 20_000) -> DataFrame:
     """One row (doc_id, held_out, n_tokens, n_known, train_tokens, base_score,
     score, bits_per_byte) for each row of docs; held_out is a condition on the
     columns of docs, and rows where it is not true are learned from.
 
     A-Z is lower-cased; tokens are the words and one end. base_score is the
     word-frequency log10 probability with half a count added, score the mixing
-    model's log10 probability of the tokens in their order (``adapted``); bits_per_byte is the latter over
+    model's log10 probability of the tokens in their order; bits_per_byte is the latter over
     the bytes of the words, their spaces and the end mark. Null and empty texts are the
     end alone. Null and repeated ids are values like any other. Without training
     documents every count is 0 and every bit even odds, as corrected by nothing.
@@ -226,19 +467,16 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
     rows = docs.select(
         F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.coalesce(F.col(f"`{text_col}`").cast("binary"), F.lit("").cast("binary")).alias("text"),
         F.coalesce(held_out, F.lit(False)).alias("held_out"), F.shiftright(F.monotonically_increasing_id(), 9).alias("block"))
-    rows = stage(rows)
-    seen = stage(map_rows(rows.select("block", "text", "held_out"), _block_words, "block long, word binary, n long"))
+    rows = stage(rows, "zstd")
+    seen = stage(map_rows(rows.select("block", "text", "held_out"), _block_words, "block long, word binary, n long"), "zstd")
     vocabulary = stage(seen.groupBy("word").agg(F.sum("n").alias("c")))
     known = vocabulary.where("c > 0")
-    words, distinct, once = known.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*"), F.count_if(F.col("c") == 1)).first()
+    words, distinct = known.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     ends = rows.where("not held_out").count()
     total, distinct = words + ends, distinct + (ends > 0)
-    # the share of tokens to spell: that of words seen once, as new words are as frequent as those
-    spelled = min(max(once / total, 1e-6), 0.5) if total else 1.0
-
-    # the hashed tables, from every distinct training word once: what is spelled is a new word
-    tokens = known.select(F.concat("word", F.lit(SPACE)).alias("token"), F.lit(1).cast("long").alias("c")).union(
-        spark.range(1).select(F.lit(END).alias("token"), F.lit(1).cast("long").alias("c")))
+    # the hashed tables, from every training word
+    tokens = known.select(F.concat("word", F.lit(SPACE)).alias("token"), "c").union(
+        spark.range(1).select(F.lit(END).alias("token"), F.lit(max(ends, 1)).cast("long").alias("c")))
     found = tokens.mapInArrow(_counts(slot_bits), "slot int, n0 long, n1 long").groupBy("slot").agg(
         F.sum("n0").cast("float").alias("n0"), F.sum("n1").cast("float").alias("n1")).toArrow()
     size = 1 << slot_bits
@@ -248,7 +486,7 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
     mixer = Mixer(tables.reshape(2, ORDERS, size))
     sample = known.orderBy(F.md5("word"), "word").limit(max_sample).collect()
     if sample:
-        mixer.learn([bytes(r.word) + SPACE for r in sample], np.ones(len(sample)), slot_bits)
+        mixer.learn([bytes(r.word) + SPACE for r in sample], np.array([r.c for r in sample], float), slot_bits)
     end_score = float(mixer.log10([END], slot_bits)[0])
     shared = spark.sparkContext.broadcast(mixer)
 
@@ -263,26 +501,47 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
         return step
 
     scored = map_rows(vocabulary, make, "word binary, c long, lp double", 1 << 20)
-    back = seen.select("block", "word").join(scored, "word")
-    below = total + 0.5 * (distinct + 1)
-    schema = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()),
-                        ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64()), ("bits_per_byte", pa.float64())])
-
-    def finish(table: pa.Table, texts: pa.Table) -> pa.Table:
-        c = np.r_[pc.cast(table.column("c"), pa.int64()).to_numpy(), ends].astype(float)
-        lp = np.r_[table.column("lp").to_numpy(), end_score]
-        base = np.log10((c + 0.5) / below)
-        whole = (1 - spelled) * c / max(total, 1)
-        place = {w: i for i, w in enumerate(table.column("word").to_pylist())}
-        out = []
-        for doc_id, text, held in zip(*(texts.column(x).to_pylist() for x in ("doc_id", "text", "held_out"))):
-            words = text.lower().split()
-            at = np.array([place[w] for w in words] + [len(c) - 1])
-            s = float(adapted(at, whole[at], lp[at], spelled, word_weight, pair_weight).sum())
-            size = sum(map(len, words)) + len(words) + 1
-            out.append((doc_id, held, len(at), int((c[at] > 0).sum()), total, float(base[at].sum()), s, -s / np.log10(2) / size))
-        columns = list(zip(*out)) or [[] for _ in schema]
-        return pa.table([pa.array(x, f.type) for x, f in zip(columns, schema)], schema=schema)
-
-    return back.groupBy("block").cogroup(rows.groupBy("block")).applyInArrow(
-        finish, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, bits_per_byte double")
+    # counts of the contexts over the corpus, back to each block that has them
+    keys = map_rows(rows.select("block", "text", "held_out"), _block_keys, "block long, key long, n int", 16 << 20)
+    # a block may have a key in several slices; its own counts it knows, so only those of other blocks travel
+    mine, all_ = F.sum("n").over(Window.partitionBy("key", "block")), F.sum("n").over(Window.partitionBy("key"))
+    first = F.row_number().over(Window.partitionBy("key", "block").orderBy("n"))
+    counted = keys.repartition("key").select("*", (all_ - mine).alias("c"), first.alias("nth")).where("c > 0 and nth = 1").select(
+        "block", F.lit(None).cast("binary").alias("word"), "key", "c", F.lit(0.0).alias("lp"))
+    named = seen.select("block", "word").join(scored, "word").select("block", "word", F.lit(0).cast("long").alias("key"), "c", "lp")
+    found = stage(named.union(counted).groupBy("block").cogroup(rows.groupBy("block")).applyInArrow(
+        _features(total, distinct, ends, end_score), FEATURES_DDL), "zstd")
+
+    size = sum(int(np.prod(s)) for s in Sources.SHAPES)
+
+    def taught(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out = np.zeros(size)
+        for batch in batches:
+            for x in batch.column(0).to_pylist():
+                out += np.frombuffer(x)
+        if out.any():
+            yield _numbered(out)
+
+    chosen = spark.sparkContext.broadcast(Sources.merged(_summed(found.select("learned").where("learned is not null").mapInArrow(taught, NUMBERED), size)))
+
+    def finish():
+        schema = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()),
+                            ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64()), ("bits_per_byte", pa.float64())])
+        model = chosen.value
+
+        def step(batch: pa.RecordBatch) -> pa.RecordBatch:
+            rows = batch.num_rows
+            at, c, n, m, lasts, lp = (np.frombuffer(b"".join(batch.column(name).to_pylist()), kind) for name, kind in (
+                ("at", "<i4"), ("c", "<i8"), ("n", "<i8"), ("m", "<i8"), ("lasts", "<i8"), ("lp", "<f4")))
+            owner = np.repeat(np.arange(rows), batch.column("n_tokens").to_numpy())
+            begins = np.r_[True, owner[1:] != owner[:-1]]
+            before, followed = np.where(begins, 1, np.r_[0, at[:-1]]), np.where(begins, ends, np.r_[0, c[:-1]])
+            q, seen, x = Sources.estimates(owner, at.astype(np.int64), before, c, n, m, followed, lasts, total)
+            s = np.bincount(owner, model.log10(q, seen, x, lp.astype(float)), rows)
+            return record(schema, batch.column("doc_id"), batch.column("held_out"), batch.column("n_tokens"), batch.column("n_known"),
+                          np.full(rows, total), batch.column("base_score"), s, -s / np.log10(2) / batch.column("size").to_numpy())
+
+        return step
+
+    return map_rows(found.where("learned is null").drop("learned"), finish, "doc_id long, held_out boolean, n_tokens long, n_known long, "
+                    "train_tokens long, base_score double, score double, bits_per_byte double", 4 << 20)

@@ -214,3 +214,49 @@ def test_embeddings(spark):
     n = Counter(x for link in links for x in link)
     assert {i: (r.n_links, r.component_id) for i, r in got.items()} == {i: (n[i], c) for i, c in _components([r[0] for r in rows], links).items()}
     assert embeddings.near_duplicates(df.where("false")).count() == 0
+
+
+def _held_out_scores(spark, train, texts):
+    rows = [(i, t, False) for i, t in enumerate(train)] + [(1000 + i, t, True) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, held boolean")
+    got = {r.doc_id: r.score for r in lm.score(docs, F.col("held")).collect()}
+    return [got[1000 + i] for i in range(len(texts))]
+
+
+def test_scores_learn_word_order_from_training_texts(spark):
+    rng = random.Random(5)
+    words = [f"{a}{b}{c}" for a in "bdfg" for b in "aeiou" for c in "klmn"]
+    chain = "ba de fi gu do fa"
+    train = [" ".join(rng.sample(words, 30)) + " " + chain for _ in range(120)]
+    forward, backward = _held_out_scores(spark, train, [chain, " ".join(reversed(chain.split()))])
+    assert forward > backward + 3
+
+
+def test_spelling_counts_every_occurrence(spark):
+    found = {}
+    for c in (1, 7):
+        batch = lm.pa.record_batch([lm.pa.array([b"ab "]), lm.pa.array([c], lm.pa.int64())], names=["token", "c"])
+        found[c] = sum(x.column(1).to_numpy().sum() + x.column(2).to_numpy().sum() for x in lm._counts(12)(iter([batch])))
+    assert found[7] - found[1] == 6 * 24 * lm.ORDERS
+
+
+def test_sources_add_up():
+    """After any history, the sources' shares of all words and of spelling sum to at most one, and to one where
+    no source holds a word it does not know."""
+    rng = np.random.default_rng(2)
+    model, words = lm.Sources(), 6
+    model.weights += rng.standard_normal(model.weights.shape)
+    c = rng.integers(1, 9, words).astype(float)
+    history = rng.integers(0, words, 12)
+    n = rng.multinomial(20, np.ones(words) / words)
+    total = 0.0
+    for w in range(words):
+        at = np.r_[history, w]
+        before = np.r_[1, at[:-1]]
+        zero = np.zeros(len(at))
+        count, followed = np.where(np.arange(len(at)) == len(history), n[w], 1), np.where(np.arange(len(at)) == len(history), n.sum(), 5)
+        q, below, x = lm.Sources.estimates(zero.astype(int), at, before, c[at], count, count, followed, followed, c.sum())
+        total += 10 ** model.log10(q, below, x, np.full(len(at), -math.inf))[-1]
+    _, z, can = model.bits(below, x)
+    spelled = np.prod([1 - (model.refined(k, z[k]) * can[k])[-1] for k in range(lm.SOURCES)])
+    assert math.isclose(total + spelled, 1, rel_tol=1e-9)
