@@ -19,10 +19,10 @@ adaptive stage.
 All training documents are counted, each occurrence once: words, and tokens by
 the hash of their context (64 bits, so that contexts do not share counts), by
 blocks of documents and then over the corpus; the counts return to each block.
-The sources' mixer learns online over all training text, block by block, each text
-without its own counts; its weights are averaged by visits and its adaptive counts
-summed by slot. Only the hashed tables (``slot_bits``), the weights and a sample of
-``max_sample`` words that trains the spelling's mixer reach the driver.
+Both mixers learn online over all training text, partition by partition and block
+by block, each text without its own counts; their weights are averaged by visits
+and their adaptive counts summed by slot. Only the spelling's hashed tables
+(``slot_bits``) and the mixers' weights reach the driver.
 """
 
 from __future__ import annotations
@@ -369,6 +369,31 @@ def _block_words():
     return step
 
 
+def _spelling(known: DataFrame, tables: np.ndarray, slot_bits: int) -> Mixer:
+    """The spelling's mixer, learned online over all words by partition; weights
+    are averaged by visits and adaptive counts summed by slot."""
+    spark = known.sparkSession
+    shared = spark.sparkContext.broadcast(tables)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        mixer = Mixer(shared.value)
+        prior = mixer.adapt.copy()
+        for batch in batches:
+            for part in slices(batch, 1 << 20):
+                mixer.learn([w + SPACE for w in part.column(0).to_pylist()], part.column(1).to_numpy(zero_copy_only=False).astype(float), slot_bits)
+        if mixer.visits.any():
+            yield _numbered(np.concatenate([(mixer.weights * mixer.visits[:, None]).ravel(), mixer.visits, (mixer.adapt - prior).ravel()]))
+
+    # in the order of a hash, so that no partition is of alike words
+    total = _summed(known.select("word", "c").sortWithinPartitions(F.xxhash64("word")).mapInArrow(run, NUMBERED), GATES * ORDERS + GATES + 2 * STEPS)
+    mixer = Mixer(tables)
+    weights, mixer.visits, adapt = np.split(total, [GATES * ORDERS, GATES * ORDERS + GATES])
+    met = mixer.visits > 0
+    mixer.weights[met] = weights.reshape(GATES, ORDERS)[met] / mixer.visits[met][:, None]
+    mixer.adapt += adapt.reshape(2, STEPS)
+    return mixer
+
+
 NUMBERED = "slot int, value double"
 
 
@@ -450,7 +475,7 @@ FEATURES_DDL = ("doc_id long, held_out boolean, n_tokens long, n_known long, bas
 
 
 def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text", *, slot_bits: int = 19,
-          max_sample: int = 20_000) -> DataFrame:
+          max_sample: int | None = None) -> DataFrame:
     """One row (doc_id, held_out, n_tokens, n_known, train_tokens, base_score,
     score, bits_per_byte) for each row of docs; held_out is a condition on the
     columns of docs, and rows where it is not true are learned from.
@@ -461,7 +486,8 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
     the bytes of the words, their spaces and the end mark. Null and empty texts are the
     end alone. Null and repeated ids are values like any other. Without training
     documents every count is 0 and every bit even odds, as corrected by nothing.
-    Other columns are not read, but those in held_out.
+    Other columns are not read, but those in held_out. The mixers learn from all
+    training text; ``max_sample`` is accepted and ignored.
     """
     spark = docs.sparkSession
     rows = docs.select(
@@ -483,10 +509,7 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
     tables = np.zeros((2, ORDERS * size), np.float32)
     at = found.column("slot").to_numpy()
     tables[0][at], tables[1][at] = found.column("n0").to_numpy(), found.column("n1").to_numpy()
-    mixer = Mixer(tables.reshape(2, ORDERS, size))
-    sample = known.orderBy(F.md5("word"), "word").limit(max_sample).collect()
-    if sample:
-        mixer.learn([bytes(r.word) + SPACE for r in sample], np.array([r.c for r in sample], float), slot_bits)
+    mixer = _spelling(known, tables.reshape(2, ORDERS, size), slot_bits)
     end_score = float(mixer.log10([END], slot_bits)[0])
     shared = spark.sparkContext.broadcast(mixer)
 

@@ -260,3 +260,23 @@ def test_sources_add_up():
     _, z, can = model.bits(below, x)
     spelled = np.prod([1 - (model.refined(k, z[k]) * can[k])[-1] for k in range(lm.SOURCES)])
     assert math.isclose(total + spelled, 1, rel_tol=1e-9)
+
+
+def test_mixers_learn_from_all_training_text():
+    """Every token of the training texts, and none of the others, is visited."""
+    texts = lm.pa.table({"doc_id": [1, 2], "text": [b"a b a", b"a a b b"], "held_out": [False, True]})
+    counts = lm.pa.table({"word": lm.pa.array([b"a", b"b"], lm.pa.binary()), "key": [0, 0], "c": [2, 1], "lp": [-2.0, -2.0]})
+    rows = lm._features(4, 3, 1, -1.0)(counts, texts).to_pylist()
+    assert [(r["doc_id"], r["n_tokens"]) for r in rows[:2]] == [(1, 4), (2, 5)]
+    merged = lm.Sources.merged(np.frombuffer(rows[2]["learned"]))
+    asked = merged.visits.sum(axis=1)
+    # without the text's own counts nothing else is left but what came before in it
+    assert asked[1] > 0 and abs(merged.adapt.sum() - merged.visits.sum()) < 1e-9 and asked.max() <= 4
+
+
+def test_spelling_mixer_learns_from_every_word(spark):
+    words = [f"w{i}" for i in range(300)]
+    known = spark.createDataFrame([(w.encode(), 1) for w in words], "word binary, c long")
+    mixer = lm._spelling(known, np.ones((2, lm.ORDERS, 1 << 10), np.float32), 10)
+    bits = 8 * sum(len(w) + 1 for w in words)
+    assert math.isclose(mixer.visits.sum(), bits) and math.isclose(mixer.adapt.sum(), bits + 64 * lm.STEPS)
