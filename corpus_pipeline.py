@@ -5,9 +5,12 @@ Each stage gets what its predecessor kept as ``docs`` and returns the columns of
 documents, but for the last, which returns the packed pieces.
 """
 
+from pyspark.sql import functions as F
+
 from logloom.llm import language, minhash, mixing, packing, rules
+from logloom.llm.common import stage as written
 
-#: The least cosine with a language prototype at which a document stays.
+#: The least cosine with a prototype for languages with too few documents to learn it.
 LEAST_LANGUAGE_SCORE = 0.05
 
 
@@ -19,14 +22,16 @@ def quality_rules(spark, docs, sf_dir):
 
 
 def language_id(spark, docs, sf_dir):
-    """Documents in a learned language: those without a letter, and those like no
-    prototype, go. Without any language to learn from all documents stay."""
+    """Documents in a learned language: those without a letter, and those less like
+    the prototype than documents of that language and length are, go. Without any
+    language to learn from all documents stay."""
     prototypes = language.learn(docs)
     if not prototypes:
         return docs
-    judged = language.predict(docs, prototypes)
-    stays = f"language.lang_pred <> 'und' and language.score >= {LEAST_LANGUAGE_SCORE}"
-    return judged.where(stays).select(*[f"`{c}`" for c in docs.columns])
+    judged = written(language.predict(docs.withColumnRenamed("language", "_language"), prototypes), "zstd")
+    least = language.least_score(language.least_scores(judged), otherwise=LEAST_LANGUAGE_SCORE)
+    kept = judged.where((F.col("language.lang_pred") != language.UNKNOWN) & (F.col("language.score") >= least))
+    return kept.select(*[F.col(f"`_{c}`" if c == "language" else f"`{c}`").alias(c) for c in docs.columns])
 
 
 def near_duplicates(spark, docs, sf_dir):

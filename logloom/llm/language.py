@@ -18,7 +18,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import GOLD, map_rows, mix64, record, slices
@@ -172,3 +172,49 @@ def predict(docs: DataFrame, prototypes: dict[str, np.ndarray], text_col: str =
     types = ", ".join([f"c{i} {docs.schema[c].dataType.simpleString()}" for i, c in enumerate(own)] + ["language struct<lang_pred:string,score:double>"])
     out = map_rows(rows, make, types, 4 << 20)
     return out.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(own)], "language")
+
+
+def length_class(text: Column) -> Column:
+    """Whole binary logarithm of the letters of a text; -1 without any."""
+    letters_ = F.length(F.regexp_replace(F.coalesce(text.cast("string"), F.lit("")), r"[^\p{L}]", ""))
+    return F.coalesce(F.floor(F.log2(letters_ + F.lit(0.0))), F.lit(-1)).cast("int")
+
+
+def least_scores(judged: DataFrame, text_col: str = "text", lang_col: str = "lang", *, share: float = 0.01, margin: float = 0.75,
+                 least_rows: int = 50, bins: int = 256) -> dict[str, dict[int, float]]:
+    """Of predicted rows: for each language and length class the score under which
+    a text is not of that language, margin times the quantile ``share`` of the
+    scores of all rows whose label is predicted. A class of fewer than least_rows
+    is pooled with the shorter ones, whose scores are lower, then with the longer;
+    languages with fewer rows have none. Scores are counted by bins on Spark."""
+    found: dict[str, dict[int, np.ndarray]] = {}
+    rows = judged.where(F.col("language.lang_pred") == F.col(f"`{lang_col}`").cast("string"))
+    for r in rows.groupBy(F.col("language.lang_pred").alias("lang"), length_class(F.col(f"`{text_col}`")).alias("k"),
+                          F.least(F.floor(F.col("language.score") * bins), F.lit(bins - 1)).cast("int").alias("bin")).count().collect():
+        found.setdefault(r.lang, {}).setdefault(r.k, np.zeros(bins, np.int64))[r.bin] += r["count"]
+    out: dict[str, dict[int, float]] = {}
+    for lang, classes in found.items():
+        if sum(x.sum() for x in classes.values()) < least_rows:
+            continue
+        for k in classes:
+            total = np.zeros(bins, np.int64)
+            for other in sorted((x for x in classes if x <= k), reverse=True) + sorted(x for x in classes if x > k):
+                total = total + classes[other]
+                if total.sum() >= least_rows:
+                    break
+            at = int(np.searchsorted(np.cumsum(total), share * total.sum(), side="right"))
+            out.setdefault(lang, {})[k] = margin * at / bins
+    return out
+
+
+def least_score(least: dict[str, dict[int, float]], text_col: str = "text", *, otherwise: float = 0.0) -> Column:
+    """The least score of a predicted row: that of its language at its length, or
+    at the nearest shorter length with one, else the nearest longer."""
+    out = F.lit(float(otherwise))
+    k = length_class(F.col(f"`{text_col}`"))
+    for lang, classes in sorted(least.items()):
+        value = F.lit(classes[min(classes)])
+        for c in sorted(classes):
+            value = F.when(k >= c, F.lit(classes[c])).otherwise(value)
+        out = F.when(F.col("language.lang_pred") == lang, value).otherwise(out)
+    return out
