@@ -45,9 +45,10 @@ def scratch_dir(spark: SparkSession) -> str:
     return path
 
 
-def stage(df: DataFrame, compression: str = "snappy") -> DataFrame:
+def stage(df: DataFrame, compression: str | None = None) -> DataFrame:
     """Write df as Parquet under the shared folder and read it back: cuts the
-    lineage, survives lost executors, and is removed when the session ends."""
+    lineage, survives lost executors, and is removed when the session ends.
+    Without a compression the session's is used."""
     spark = df.sparkSession
     path = f"{scratch_dir(spark)}/stage-{uuid.uuid4().hex}"
     df.write.parquet(path, compression=compression)
