@@ -5,7 +5,7 @@ skew-join splitting, broadcast only after a stage's real size is known),
 shuffle partitions sized to the cores, the UI off, no per-call Python call
 site capture. ``checkpoint_dir`` reads
 the shared folder a cluster names in ``spark.checkpoint.dir`` and sets a
-scratch one only when the session has none.
+scratch one only when a local session has none.
 """
 
 from __future__ import annotations
@@ -45,7 +45,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     current = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if current:
         return current
-    path = tempfile.mkdtemp(prefix="logloom-ckpt-")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    path = "file://" + tempfile.mkdtemp(prefix="logloom-ckpt-")
     spark.sparkContext.setCheckpointDir(path)
     spark.conf.set("spark.checkpoint.dir", path)
     return path
