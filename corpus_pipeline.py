@@ -36,10 +36,13 @@ def language_id(spark, docs, sf_dir):
 
 def near_duplicates(spark, docs, sf_dir):
     """One document of each group of near copies: the one with the smallest id.
-    Rows that repeat an id are one document; rows without an id stay."""
+    Rows that repeat an id and its text are one document, the least of them by
+    its other columns; rows of one id with different texts all stay, as do rows
+    without an id."""
     groups = minhash.near_duplicates(docs).where("not kept").select("doc_id").distinct()
-    once = docs.dropDuplicates(["doc_id"]) if "doc_id" in docs.columns else docs
-    kept = once.where("doc_id is not null").join(groups, "doc_id", "left_anti").select(*[f"`{c}`" for c in docs.columns])
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    once = docs.where("doc_id is not null").groupBy("doc_id", F.md5("text").alias("text_md5")).agg(F.min(row).alias("row"))
+    kept = once.join(groups, "doc_id", "left_anti").select("row.*")
     return kept.unionByName(docs.where("doc_id is null"))
 
 
@@ -67,5 +70,5 @@ ORACLE_SQL = None
 def run(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
+        docs = written(stage(spark, docs, sf_dir), "zstd")
     return docs
