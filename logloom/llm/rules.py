@@ -100,7 +100,10 @@ def text_statistics(docs: DataFrame, text_col: str = "text") -> DataFrame:
         "n_dup_lines": F.col("dup"),
         "n_repeat_words": F.when(F.col("at").isNull(), F.lit(0)).otherwise(_covered(F.col("at"))),
     }
-    return step.select(*[F.col("_in")[c].alias(c) for c in kept], F.struct(*[v.cast("long").alias(k) for k, v in values.items()]).alias("stats"))
+    # a generator's output is computed once a row: a filter on it is not pushed
+    # down to the scan, where Spark would copy every step into it
+    counted = step.select("_in", F.inline(F.array(F.struct(F.struct(*[v.cast("long").alias(k) for k, v in values.items()]).alias("stats")))))
+    return counted.select(*[F.col("_in")[c].alias(c) for c in kept], "stats")
 
 
 def base_failed(stats: str = "stats") -> Column:
@@ -206,11 +209,11 @@ def learn_from(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", te
         .limit(max_labelled)
     )
     texts = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_body"))
-    table = text_statistics(texts.join(F.broadcast(sample), "_id"), "_body").where(~base_failed())
+    table = text_statistics(texts.join(F.broadcast(sample), "_id"), "_body")
     names = list(FEATURES)
-    rows = table.select("_id", F.col("_lo") == 0, F.pmod(F.crc32(F.md5(F.col("_id").cast("string")).cast("binary")), F.lit(3)) == 0,
+    rows = table.select(base_failed(), "_id", F.col("_lo") == 0, F.pmod(F.crc32(F.md5(F.col("_id").cast("string")).cast("binary")), F.lit(3)) == 0,
                         *[f(F.col("stats")) for f in FEATURES.values()])
-    found = [tuple(r)[1:] for r in sorted(rows.collect(), key=tuple)]
+    found = [tuple(r)[2:] for r in sorted(rows.collect(), key=tuple) if not r[0]]
     return learn(found, names, **limits)
 
 
