@@ -12,7 +12,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import embeddings, language, licences, lm, minhash, mixing, order, packing, rules, urls
+from . import chat, embeddings, language, licences, lm, manifest, minhash, mixing, order, packing, rules, urls
 from .common import crc_mod, scratch_dir
 
 
@@ -73,6 +73,14 @@ def op10_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_duplicates(_table(spark, sf_dir, "embeddings"))
 
 
+def op12_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.read_back(chat.format_chats(chat.with_trial(_table(spark, sf_dir, "conversations"))))
+
+
+def op13_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest.documents_manifest(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_minhash": op1_minhash,
     "op2_urls": op2_urls,
@@ -84,5 +92,7 @@ QUERIES = {
     "op8_packing": op8_packing,
     "op9_lm": op9_lm,
     "op10_embeddings": op10_embeddings,
+    "op12_chat": op12_chat,
+    "op13_manifest": op13_manifest,
 }
-ORACLES: dict[str, str] = {"op4_mixing": mixing.ORACLE_SQL}
+ORACLES: dict[str, str] = {"op4_mixing": mixing.ORACLE_SQL, "op12_chat": chat.oracle_sql(), "op13_manifest": manifest.oracle_sql()}

@@ -1,0 +1,110 @@
+"""The Merkle manifest against a tree built in plain Python."""
+
+import hashlib
+import zlib
+
+import pytest
+from pyspark.sql import functions as F
+
+from logloom.llm import manifest
+
+COLUMNS = "doc_id long, text string, lang string, source string, n_chars long, grp string, n long, place long, path string"
+
+
+def _h(parts):
+    return hashlib.sha256("".join(parts).encode()).hexdigest()
+
+
+def _leaf(i, t, g, s, n, text):
+    fields = [None if x is None else str(x) for x in (i, s, g, n, text)]
+    return _h("-" if f is None else f"{len(f.encode())}:{f}" for f in fields)
+
+
+def _tree(level):
+    """Levels from the leaves to the root."""
+    out = [level]
+    while len(out[-1]) > 1:
+        out.append([_h(out[-1][k : k + 8]) for k in range(0, len(out[-1]), 8)])
+    return out
+
+
+def _climb(levels, i, claim):
+    """Siblings of leaf i and the root that claim leads to."""
+    path = []
+    for level in levels[:-1]:
+        first = i - i % 8
+        run = level[first : first + 8]
+        path += run[: i % 8] + run[i % 8 + 1 :]
+        claim = _h([*run[: i % 8], claim, *run[i % 8 + 1 :]])
+        i //= 8
+    return path, claim
+
+
+def _brute(rows):
+    groups = {}
+    for i, t, g, s, n in rows:
+        leaf = _leaf(i, t, g, s, n, t)
+        tampered = t is not None and i is not None and zlib.crc32(str(i).encode()) % 3 == 0
+        low = "".join(c.lower() if "A" <= c <= "Z" else c for c in t or "")
+        groups.setdefault(g, []).append((i is not None, i or 0, leaf, _leaf(i, t, g, s, n, low) if tampered else leaf))
+    order = sorted(groups, key=lambda g: (g is not None, (g or "").encode()))
+    trees = {g: _tree([x[2] for x in sorted(groups[g])]) for g in order}
+    top = _tree([trees[g][-1][0] for g in order])
+    out = []
+    for k, g in enumerate(order):
+        for at, (has, i, leaf, claim) in enumerate(sorted(groups[g])):
+            path, folded = _climb(trees[g], at, claim)
+            up, folded = _climb(top, k, folded)
+            root = top[-1][0]
+            out.append((i if has else None, leaf, trees[g][-1][0], root, _h(path + up), folded, folded == root))
+    return sorted(out, key=repr)
+
+
+def _table(spark, rows):
+    return spark.createDataFrame([(*r, "clash", 0, 0, "clash") for r in rows], COLUMNS)
+
+
+def _got(df):
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+ODD = [(7, "Abé C", None, None, None), (None, None, None, "s", 3), (None, "no id", "fr", "s", 3), (3, "", "", "s", 0), (4, "X" * 200_000, "a", "s", 1),
+       (4, "X" * 200_000, "a", "s", 1), (4, "other", "a", None, 1), (0, "A", "Z", "s", 1), (-5, "A", "z", "s", 1), (9, None, "é", "s", None)]
+
+
+def test_odd_rows(spark):
+    assert _got(manifest.documents_manifest(_table(spark, ODD))) == _brute(ODD)
+
+
+@pytest.mark.parametrize("n", [1, 8, 9, 65])
+def test_small_trees(spark, n):
+    rows = [(5 * i - 3, f"Text {i}", "en", "s", i) for i in range(n)]
+    assert _got(manifest.documents_manifest(_table(spark, rows))) == _brute(rows)
+
+
+def test_empty(spark):
+    assert manifest.documents_manifest(_table(spark, [])).count() == 0
+
+
+def test_blocks_of_a_large_group(spark):
+    """More leaves than one builder takes, many groups, and the log in postorder."""
+    rows = [(i, f"T {i % 50}", "big", "s", i) for i in range(9001)] + [(i, "x", f"l{i}", "s", 1) for i in range(30)]
+    assert _got(manifest.documents_manifest(_table(spark, rows))) == _brute(rows)
+    made = manifest.build(_table(spark, rows), digest=manifest.leaf(F.col("doc_id"), F.col("text")))
+    log = sorted((r.position, r.level, r.place) for r in manifest.nodes(made).where("grp = '=big'").collect())
+    want = []
+    for i in range(9001):
+        level, k, count = 0, i, 9001
+        want.append((0, i))
+        while count > 1 and (k % 8 == 7 or i == 9000):
+            level, k, count = level + 1, k // 8, -(-count // 8)
+            want.append((level, k))
+    assert log == [(at, *node) for at, node in enumerate(want)]
+
+
+def test_paths_lead_to_the_root(spark):
+    made = manifest.build(_table(spark, ODD), digest=manifest.leaf(F.col("doc_id"), F.col("text")))
+    for r in manifest.prove(made, with_paths=True).collect():
+        assert manifest.fold(bytes.fromhex(r.leaf), r.path, r.sides).hex() == r.root == made.root
+        assert hashlib.sha256(bytes(r.path).hex().encode()).hexdigest() == r.proof_sha256
+        assert manifest.fold(bytes(32), r.path, r.sides).hex() != r.root
