@@ -153,7 +153,7 @@ def _format(template: Template, part_chars: int):
 
 
 def format_chats(turns: DataFrame, template: Template = Template(), *, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role",
-                 text_col: str = "text", part_chars: int = 1 << 22) -> DataFrame:
+                 text_col: str = "text", part_chars: int = 1 << 16) -> DataFrame:
     """Conversations as formatted parts: conv_id, part (from 0), formatted, loss
     (spans of code points in formatted that carry loss), n_turns (of the part), last,
     and with the last part valid, bad_turn (number, from 0, of the first turn that

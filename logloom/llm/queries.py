@@ -12,7 +12,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, embeddings, language, licences, lm, manifest, minhash, mixing, order, packing, rules, urls
+from . import chat, embeddings, language, licences, lm, manifest, minhash, mixing, order, packing, phrases, rules, urls
 from .common import crc_mod, scratch_dir
 
 
@@ -73,6 +73,10 @@ def op10_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_duplicates(_table(spark, sf_dir, "embeddings"))
 
 
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(_table(spark, sf_dir, "documents"))
+
+
 def op12_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.format_chats(chat.with_trial(_table(spark, sf_dir, "conversations"))))
 
@@ -92,7 +96,8 @@ QUERIES = {
     "op8_packing": op8_packing,
     "op9_lm": op9_lm,
     "op10_embeddings": op10_embeddings,
+    "op11_phrases": op11_phrases,
     "op12_chat": op12_chat,
     "op13_manifest": op13_manifest,
 }
-ORACLES: dict[str, str] = {"op4_mixing": mixing.ORACLE_SQL, "op12_chat": chat.oracle_sql(), "op13_manifest": manifest.oracle_sql()}
+ORACLES: dict[str, str] = {"op4_mixing": mixing.ORACLE_SQL, "op11_phrases": phrases.oracle_sql(), "op12_chat": chat.oracle_sql(), "op13_manifest": manifest.oracle_sql()}
