@@ -7,6 +7,7 @@ Everything shorter follows from the graph: a node's count is the flow of its
 edges plus the pieces that end in it, a pair's the flow of the nodes that start
 with it plus the pieces that end in it, and so on.
 
+Pieces are first parted at words and pairs too rare for any phrase that counts.
 Tasks combine edges by number before they are words again, so a frequent gram
 leaves a batch as one row; what is shuffled is dealt out by node, never by word.
 Of the edges with enough weight, those that meet in a node with one way in and
@@ -19,10 +20,11 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import map_rows, stage
+from .common import GOLD, map_rows, mix64, stage
 
 GAP, END = 32, 10
 #: Bytes to bytes: lower case for A-Z, one sign for what ends a piece, one for what parts words.
@@ -33,11 +35,17 @@ BYTES = bytes.maketrans(_FROM, _TO)
 CHUNK = 4096
 
 EDGES = pa.schema([("lang", pa.string()), ("head", pa.string()), ("last", pa.string()), ("c", pa.int64())])
+COUNTS = pa.schema([("lang", pa.string()), ("h", pa.int64()), ("c", pa.int64())])
+_U = np.uint64
 
 
-def _edges():
-    def step(batch: pa.RecordBatch) -> pa.RecordBatch | None:
-        langs, of_row = np.unique(np.array(batch.column(0).to_pylist(), object), return_inverse=True)
+class Tokens:
+    """The words of a batch (lang, text as bytes), in the order of their langs:
+    ``piece`` and ``x`` (the number of the word in its lang) by position, and for
+    the numbers their ``lang``, ``word`` and ``hash``."""
+
+    def __init__(self, batch: pa.RecordBatch):
+        self.langs, of_row = np.unique(np.array(batch.column(0).to_pylist(), object), return_inverse=True)
         order = np.argsort(of_row, kind="stable")
         texts = batch.column(1).take(pa.array(order)).to_pylist()
         # a line end after each text ends its last piece
@@ -46,46 +54,145 @@ def _edges():
         line = data == END
         part = line | (data == GAP)
         starts = np.flatnonzero(~part & np.r_[True, part[:-1]])
-        if not len(starts):
-            return None
         stops = np.flatnonzero(part & np.r_[False, ~part[:-1]])
-        piece = np.cumsum(line, dtype=np.int32)[starts]
-        lang = of_row[order][np.searchsorted(ends, starts, side="right")]
+        self.piece = np.cumsum(line, dtype=np.int32)[starts]
+        lang = of_row[order][np.searchsorted(ends, starts, side="right")] if len(starts) else np.empty(0, np.int64)
         offsets = np.r_[0, np.cumsum(stops - starts)].astype(np.int32)
-        tokens = pa.Array.from_buffers(pa.string(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(data[~part])]).dictionary_encode()
-        words = tokens.dictionary
-        # numbers of the (language, word) pairs, from 1; 0 stands for none
-        pairs, x = np.unique(lang.astype(np.int64) * len(words) + tokens.indices.to_numpy(), return_inverse=True)
-        x = np.r_[x + 1, 0, 0, 0].astype(np.uint64)
-        piece = np.r_[piece, -1, -1, -1]
-        n = len(starts)
-
-        def after(k: int) -> np.ndarray:
-            return np.where(piece[k : n + k] == piece[:n], x[k : n + k], np.uint64(0))
-
-        low, shift = np.uint64((1 << 32) - 1), np.uint64(32)
-        first, a = np.unique((x[:n] << shift) | after(1), return_inverse=True)
-        second, b = np.unique((after(2) << shift) | after(3), return_inverse=True)
-        grams, counts = np.unique((a.astype(np.uint64) << shift) | b.astype(np.uint64), return_counts=True)
-        a, b = first[grams >> shift], second[grams & low]
-        ids = [(a >> shift), (a & low), (b >> shift), (b & low)]
-
-        def word(i: np.ndarray) -> pa.Array:
-            at = pairs[np.maximum(i.astype(np.int64) - 1, 0)] % len(words)
-            return words.take(pa.array(at, mask=i == 0))
-
-        head = pc.binary_join_element_wise(*[word(i) for i in ids[:3]], " ", null_handling="skip")
-        named = pa.array(langs, pa.string()).take(pa.array(pairs[ids[0].astype(np.int64) - 1] // len(words)))
-        return pa.RecordBatch.from_arrays([named, head, word(ids[3]), pa.array(counts.astype(np.int64))], schema=EDGES)
+        found = pa.Array.from_buffers(pa.string(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(data[~part])]).dictionary_encode()
+        self.words = found.dictionary
+        keys, self.x = np.unique(lang.astype(np.int64) * max(len(self.words), 1) + found.indices.to_numpy(), return_inverse=True)
+        self.lang, self.word = np.divmod(keys, max(len(self.words), 1))
+        of_word = np.array([xxhash.xxh3_64_intdigest(w) for w in self.words.to_pylist()], _U)
+        of_lang = np.array([xxhash.xxh3_64_intdigest(g) for g in self.langs], _U)
+        with np.errstate(over="ignore"):
+            self.hash = mix64(of_word[self.word] + of_lang[self.lang] * GOLD) if len(keys) else np.empty(0, _U)
+
+    def keep(self, mask: np.ndarray) -> None:
+        """Only the positions of mask stay; what is left out parts pieces."""
+        parts = np.cumsum(np.r_[True, self.piece[1:] != self.piece[:-1]] | ~mask | np.r_[False, ~mask[:-1]]) if len(mask) else self.piece
+        self.x, self.piece = self.x[mask], parts[mask]
+
+    def pair_hashes(self) -> np.ndarray:
+        """Of each position but the last, the hash of its word and the next."""
+        with np.errstate(over="ignore"):
+            h = self.hash[self.x]
+            return mix64(h[:-1] * _U(0x100000001B3) + h[1:])
+
+    def joined(self) -> np.ndarray:
+        """Positions but the last whose next word is in the same piece."""
+        return self.piece[1:] == self.piece[:-1]
+
+
+class Filter:
+    """A set of hashes as bits of fixed size: what was put in is always found."""
+
+    def __init__(self, bits: int, rows: list):
+        self.shift, table = _U(64 - bits), np.zeros(1 << (bits - 6), _U)
+        if rows:
+            table[[r[0] for r in rows]] = np.array([r[1] for r in rows], np.int64).view(_U)
+        self.table = table
+
+    def __call__(self, h: np.ndarray) -> np.ndarray:
+        slot = h >> self.shift
+        return (self.table[slot >> _U(6)] >> (slot & _U(63))) & _U(1) == 1
+
+    @classmethod
+    def of(cls, counted: DataFrame, min_count: int, bits: int) -> "Filter":
+        """Of the hashes h counted at least min_count times: at most 2^(bits - 6)
+        rows, the words of the bit table, come to the driver, whatever the input."""
+        slot = F.shiftrightunsigned("h", 64 - bits)
+        rows = counted.where(F.col("h").isNotNull() & (F.col("f") >= min_count)).groupBy(F.shiftright(slot, 6).alias("at")).agg(
+            F.bit_or(F.expr(f"shiftleft(1L, cast(shiftrightunsigned(h, {64 - bits}) & 63 as int))")).alias("bits"))
+        return cls(bits, [tuple(r) for r in rows.collect()])
+
+
+def _counted(h: np.ndarray) -> pa.RecordBatch:
+    h, c = np.unique(h, return_counts=True)
+    return pa.RecordBatch.from_arrays([pa.nulls(len(h), pa.string()), pa.array(h.view(np.int64)), pa.array(c.astype(np.int64))], schema=COUNTS)
+
+
+def _word_counts():
+    def step(batch: pa.RecordBatch) -> pa.RecordBatch:
+        t = Tokens(batch)
+        c = np.bincount(t.x, minlength=len(t.hash)).astype(np.int64)
+        total = np.bincount(t.lang, weights=c, minlength=len(t.langs)).astype(np.int64)
+        return pa.RecordBatch.from_arrays([pa.array([None] * len(c) + list(t.langs), pa.string()), pa.array([*t.hash.view(np.int64), *[None] * len(total)], pa.int64()),
+                                           pa.array(np.r_[c, total])], schema=COUNTS)
 
     return step
 
 
-def edges(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", batch_bytes: int = 32 << 20) -> DataFrame:
-    """(lang, head, last, c): the longest grams of docs, combined within batches of
-    texts; head holds the first three words, last the fourth, null at a piece's end."""
+def _pair_counts(words):
+    def make():
+        often = words.value
+
+        def step(batch: pa.RecordBatch) -> pa.RecordBatch:
+            t = Tokens(batch)
+            t.keep(often(t.hash)[t.x])
+            return _counted(t.pair_hashes()[t.joined()])
+
+        return step
+
+    return make
+
+
+def _edges(words, pairs):
+    def make():
+        word_often, pair_often = words.value, pairs.value
+
+        def step(batch: pa.RecordBatch) -> pa.RecordBatch | None:
+            t = Tokens(batch)
+            t.keep(word_often(t.hash)[t.x])
+            n = len(t.x)
+            if not n:
+                return None
+            # a pair that is rare for certain parts pieces
+            parted = ~t.joined() | ~pair_often(t.pair_hashes())
+            piece = np.r_[np.cumsum(np.r_[0, parted]), -1, -1, -1]
+            x = np.r_[t.x + 1, 0, 0, 0].astype(_U)
+
+            def after(k: int) -> np.ndarray:
+                return np.where(piece[k : n + k] == piece[:n], x[k : n + k], _U(0))
+
+            low, shift = _U((1 << 32) - 1), _U(32)
+            first, a = np.unique((x[:n] << shift) | after(1), return_inverse=True)
+            second, b = np.unique((after(2) << shift) | after(3), return_inverse=True)
+            grams, counts = np.unique((a.astype(_U) << shift) | b.astype(_U), return_counts=True)
+            a, b = first[grams >> shift], second[grams & low]
+            ids = [x.astype(np.int64) for x in (a >> shift, a & low, b >> shift, b & low)]
+
+            def word(i: np.ndarray) -> pa.Array:
+                return t.words.take(pa.array(t.word[np.maximum(i - 1, 0)], mask=i == 0))
+
+            head = pc.binary_join_element_wise(*[word(i) for i in ids[:3]], " ", null_handling="skip")
+            named = pa.array(t.langs, pa.string()).take(pa.array(t.lang[ids[0] - 1]))
+            return pa.RecordBatch.from_arrays([named, head, word(ids[3]), pa.array(counts.astype(np.int64))], schema=EDGES)
+
+        return step
+
+    return make
+
+
+def edges(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", min_count: int = 30, batch_bytes: int = 12 << 20,
+          word_bits: int = 24, pair_bits: int = 27) -> tuple[DataFrame, DataFrame]:
+    """(lang, head, last, c), the longest grams of docs, combined within batches of
+    texts: head holds the first three words, last the fourth, null at a piece's end;
+    and (lang, f), each lang's words in all.
+
+    A gram of min_count occurrences holds no rarer word or pair. So two passes count
+    these by hash (hashes that collide count as one, never as less) and leave bits of
+    fixed size, 2 MB and 16 MB; the last pass parts pieces at what is rare for
+    certain. On larger inputs the bits fill and part less; what is counted is exact
+    either way."""
+    spark = docs.sparkSession
     rows = docs.select(F.coalesce(F.col(f"`{lang_col}`").cast("string"), F.lit("und")).alias("lang"), F.col(f"`{text_col}`").cast("string").cast("binary").alias("text")).where("text is not null")
-    return map_rows(rows, _edges, "lang string, head string, last string, c long", batch_bytes)
+    types = "lang string, h long, c long"
+    words = stage(map_rows(rows, _word_counts, types, batch_bytes).groupBy("lang", "h").agg(F.sum("c").alias("f")), "zstd")
+    word_filter = spark.sparkContext.broadcast(Filter.of(words, min_count, word_bits))
+    pairs = map_rows(rows, _pair_counts(word_filter), types, batch_bytes).groupBy("h").agg(F.sum("c").alias("f"))
+    pair_filter = spark.sparkContext.broadcast(Filter.of(pairs, min_count, pair_bits))
+    found = map_rows(rows, _edges(word_filter, pair_filter), "lang string, head string, last string, c long", batch_bytes)
+    return found, words.where("lang is not null and f > 0").select("lang", "f")
 
 
 def _first(gram: Column, n: int) -> Column:
@@ -108,7 +215,8 @@ def graph(docs: DataFrame, *, min_count: int = 30, **columns) -> DataFrame:
     The edges are shuffled once, by node, and leave one row a node with its flow,
     and one for each edge of enough weight; the flows of pairs, then of words, are
     each aggregated from the level above."""
-    summed = edges(docs, **columns).repartition("lang", "head").groupBy("lang", "head", "last").agg(F.sum("c").alias("f"))
+    rows, total = edges(docs, min_count=min_count, **columns)
+    summed = rows.repartition("lang", "head").groupBy("lang", "head", "last").agg(F.sum("c").alias("f"))
     node = Window.partitionBy("lang", "head")
     heavy = F.col("last").isNotNull() & (F.col("f") >= min_count)
     flows = summed.withColumn("flow", F.sum("f").over(node)).withColumn("nth", F.row_number().over(node.orderBy("last")))
@@ -123,7 +231,7 @@ def graph(docs: DataFrame, *, min_count: int = 30, **columns) -> DataFrame:
         return df.where((F.col("f") >= min_count) & (_size(F.col("gram")) == k)).select(F.lit(k).alias("k"), "lang", "gram", "f")
 
     four = found.where("last is not null").select(F.lit(4).alias("k"), "lang", F.concat_ws(" ", "head", "last").alias("gram"), "f")
-    total = single.groupBy("lang").agg(F.sum("f").alias("f")).select(F.lit(0).alias("k"), "lang", F.lit(None).cast("string").alias("gram"), "f")
+    total = total.select(F.lit(0).alias("k"), "lang", F.lit(None).cast("string").alias("gram"), "f")
     return stage(four.union(level(nodes, 3)).union(level(pairs, 2)).union(level(single, 1)).union(total), "zstd")
 
 
