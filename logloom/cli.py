@@ -58,7 +58,7 @@ def cmd_aggregate(spark: SparkSession, a) -> int:
     print(f"Granularity: {a.granularity} | Dimensions: {list(dims)}")
     t0 = time.perf_counter()
     seen = Observation("run")
-    logs = read_logs(spark, a.logs_dir, from_dt, to_dt, multiline=a.multiline)
+    logs = read_logs(spark, a.logs_dir, from_dt, to_dt)
     result = aggregate_logs(logs, from_dt, to_dt, a.granularity, dims, a.user, a.app, observation=seen)
     path = write_result(result, a.results_dir, a.output)
     rows = seen.get.get("rows_matched", 0) if path else 0
@@ -119,7 +119,7 @@ def parser() -> argparse.ArgumentParser:
     ag.add_argument("--threads", type=int, help="accepted for compatibility; Spark decides parallelism")
     ag.add_argument("--logs-dir", default="csv_logs")
     ag.add_argument("--multiline", action="store_true",
-                    help="read quoted fields that span lines, as Python's csv module does (files are not split)")
+                    help="accepted for older command lines: quoted fields that span lines are always read whole")
     ag.add_argument("--results-dir", default="results")
     ag.set_defaults(run=cmd_aggregate)
     su = sub.add_parser("summaries", help="unique users per app and device, app-device pairs")

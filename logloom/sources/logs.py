@@ -11,6 +11,8 @@ Two layouts are read:
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -19,6 +21,7 @@ from ..functions.paths import day_in_name
 from ..functions.time import date_literal, parse_datetime_arg, parse_timestamp_text
 from ..plans.args import METRICS
 from .listing import list_dir
+from .quoted import files_with_quotes, quoted_records, text_lines
 
 # Field order of a log row and the day-file name.
 LOG_FIELDS = ("timestamp", "user", "app", *METRICS)
@@ -30,9 +33,9 @@ CORRUPT = "_corrupt_record"
 LOG_SCHEMA = StructType([StructField(n, StringType()) for n in LOG_FIELDS] + [StructField(CORRUPT, StringType())])
 
 
-def csv_reader(spark: SparkSession, schema: StructType, multiline: bool = False):
-    """CSV as Python's csv module reads it: comma, double quote, a doubled
-    quote inside quotes, no header, every field kept as text.
+def csv_reader(spark: SparkSession, schema: StructType):
+    """Spark's CSV reader for lines: comma, double quote, a doubled quote inside
+    quotes, no header, every field kept as text.
 
     Column pruning is off so that a wrong field count always shows in
     ``_corrupt_record``, whatever columns the query selects.
@@ -44,15 +47,18 @@ def csv_reader(spark: SparkSession, schema: StructType, multiline: bool = False)
         .option("columnNameOfCorruptRecord", CORRUPT)
         .option("escape", '"')
         .option("columnPruning", False)
-        .option("multiLine", multiline)
     )
 
 
 def detect_layout(spark: SparkSession, path: str) -> str:
-    for entry in list_dir(spark, path):
-        if entry.is_dir and entry.name.startswith("file_date="):
-            return "daily"
-    return "flat"
+    """``daily`` or ``flat``; a directory that holds both is an error, since reading
+    it as either would leave the other's rows out."""
+    entries = list_dir(spark, path)
+    daily = next((e.name for e in entries if e.is_dir and e.name.startswith("file_date=")), None)
+    flat = next((e.name for e in entries if not e.is_dir and re.match(DAY_FILE_RX, e.name)), None)
+    if daily and flat:
+        raise ValueError(f"{path} holds both layouts ({daily} and {flat}): keep them in directories of their own")
+    return "daily" if daily else "flat"
 
 
 def read_logs(
@@ -60,7 +66,7 @@ def read_logs(
     path: str,
     from_dt=None,
     to_dt=None,
-    multiline: bool = False,
+    quotes: str = "exact",
     layout: str = "auto",
 ) -> DataFrame:
     """Log rows as ``timestamp`` (text), ``user``, ``app``,
@@ -71,12 +77,21 @@ def read_logs(
     ``YYYY-MM-DD HH:MM:SS``, files whose name holds no valid day. Given a
     range, only files for days ``from.date .. to.date`` are read. Metric text
     is left for ``aggregate_logs`` to parse after its filters, and a missing
-    day file is simply absent. ``multiline=True`` reads newlines inside quotes
-    but stops Spark from splitting a file across tasks.
+    day file is simply absent.
+
+    Records are those of Python's csv module, fields with line ends, text
+    after a closing quote and unclosed quotes included. A pass over the lines
+    first names the files that hold a quote at all (its only result on the
+    driver); these go through the quote-exact scan, the rest through Spark's
+    CSV reader, both in splits. ``quotes="none"`` leaves that pass out, on the
+    caller's word that no file holds a quote.
     """
+    if quotes not in ("exact", "none"):
+        raise ValueError(f"quotes must be 'exact' or 'none', got {quotes!r}")
+    found = detect_layout(spark, path)
     if layout == "auto":
-        layout = detect_layout(spark, path)
-    reader = csv_reader(spark, LOG_SCHEMA, multiline)
+        layout = found
+    reader = csv_reader(spark, LOG_SCHEMA)
     first, last = _day_range(from_dt, to_dt)
     if layout == "flat":
         raw = reader.option("pathGlobFilter", DAY_FILE_GLOB).csv(path)
@@ -93,7 +108,16 @@ def read_logs(
         raise ValueError(f"layout must be 'auto', 'flat' or 'daily', got {layout!r}")
     if prune is not None:
         raw = raw.filter(prune)
-    return clean_log_rows(raw, day, first, last)
+    if quotes == "none":
+        return clean_log_rows(raw, day, first, last)
+    lines = text_lines(spark, path, DAY_FILE_GLOB if layout == "flat" else None, prune, day)
+    quoted = files_with_quotes(lines)
+    if not quoted:
+        return clean_log_rows(raw, day, first, last)
+    here = F.col("_metadata.file_path").isin(quoted)
+    quoted_lines = text_lines(spark, path, DAY_FILE_GLOB if layout == "flat" else None, here if prune is None else prune & here, day)
+    exact = _log_fields(quoted_records(quoted_lines), first, last)
+    return clean_log_rows(raw.filter(~here), day, first, last).unionByName(exact)
 
 
 def _day_range(from_dt, to_dt):
@@ -102,6 +126,13 @@ def _day_range(from_dt, to_dt):
     return parse_datetime_arg(from_dt).date(), parse_datetime_arg(to_dt).date()
 
 
+def _log_fields(records: DataFrame, first, last) -> DataFrame:
+    """Log rows of whole records (file_date, fields); an empty field is null, as
+    Spark's CSV reader has it."""
+    long_enough = records.filter(F.size("fields") >= len(LOG_FIELDS))
+    return _timed(long_enough.select(*[F.nullif(F.get("fields", F.lit(i)), F.lit("")).alias(n) for i, n in enumerate(LOG_FIELDS)], "file_date"), first, last)
+
+
 # A quoted field, where a field may start (line start or after a comma):
 # doubled quotes inside, up to its closing quote.
 _QUOTED_FIELD_RX = r'(^|,)"(?:[^"]|"")*"'
@@ -139,8 +170,12 @@ def clean_log_rows(raw: DataFrame, day: Column, first=None, last=None) -> DataFr
     the scan, where a range of days leaves the other days' files unread.
     """
     short = short_row(METRICS[-1], len(LOG_FIELDS))
+    return _timed(raw.filter(~short).select(*LOG_FIELDS, day.alias("file_date")), first, last)
+
+
+def _timed(rows: DataFrame, first, last) -> DataFrame:
     parsed = F.struct(parse_timestamp_text(F.col("timestamp")).alias("ts"))
-    rows = raw.filter(~short).select(*LOG_FIELDS, day.alias("file_date"), F.inline(F.array(parsed)))
+    rows = rows.select(*LOG_FIELDS, "file_date", F.inline(F.array(parsed)))
     keep = F.col("ts").isNotNull() & F.col("file_date").isNotNull()
     if first is not None:
         keep = keep & F.col("file_date").between(date_literal(first), date_literal(last))
