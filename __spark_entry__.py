@@ -248,10 +248,10 @@ def _everyday_sql(day: str, app: str) -> str:
 def _repo_sizes_sql() -> str:
     return (
         f"WITH inv AS ({_INVENTORY_SQL}), "
-        "roots AS (SELECT DISTINCT substr(path, 1, length(path) - 5) AS root FROM inv "
-        "WHERE kind = 'dir' AND suffix(path, '/.git') AND length(path) > 5) "
+        "roots AS (SELECT DISTINCT CASE WHEN path = '/.git' THEN '/' ELSE substr(path, 1, length(path) - 5) END AS root FROM inv "
+        "WHERE kind = 'dir' AND suffix(path, '/.git')) "
         "SELECT r.root, CAST((sum(i.bytes) + 1048575) // 1048576 AS BIGINT) AS size_mb "
-        "FROM roots r JOIN inv i ON i.path = r.root OR starts_with(i.path, r.root || '/') "
+        "FROM roots r JOIN inv i ON i.path = r.root OR starts_with(i.path, rtrim(r.root, '/') || '/') "
         f"GROUP BY r.root HAVING (sum(i.bytes) + 1048575) // 1048576 > {REPO_MIN_MIB}"
     )
 

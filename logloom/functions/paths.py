@@ -22,10 +22,10 @@ def ancestors_and_self(path: Column) -> Column:
     """Every directory above ``path`` plus the path itself, as an array.
 
     ``/c/0/7/o1`` gives ``[/c, /c/0, /c/0/7, /c/0/7/o1]``; a relative path
-    starts at its first component; trailing slashes are ignored.
-    ``explode_ancestors`` yields the same rows without building the array.
+    starts at its first component; trailing slashes are ignored. The file-system
+    root is left out; ``explode_ancestors`` has it.
     """
-    p = _strip_trailing_slash(path)
+    p = without_trailing_slash(path)
     slashes = F.length(p) - F.length(F.replace(p, F.lit("/"), F.lit("")))
     first = F.when(p.startswith("/"), F.lit(2)).otherwise(F.lit(1))
     levels = F.sequence(first, slashes + 1)
@@ -34,36 +34,40 @@ def ancestors_and_self(path: Column) -> Column:
 
 def explode_ancestors(df: DataFrame, path: str, out: str, *keep: str) -> DataFrame:
     """One row per (row, ancestor-or-self of ``path``) as column ``out``,
-    with the ``keep`` columns carried along.
+    with the ``keep`` columns carried along. The file-system root is an
+    ancestor of every absolute path; the empty path has no row.
 
     ``posexplode`` over the path's components, then one ``substring_index``
     per output row: both compile to Java code, unlike a lambda over an array.
     """
-    p = _strip_trailing_slash(F.col(path))
+    p = without_trailing_slash(F.col(path))
     parts = df.select(p.alias("_p"), *keep).select("_p", *keep, F.posexplode(F.split("_p", "/", -1)).alias("_i", "_c"))
-    # The empty component before a leading slash is not a directory.
-    parts = parts.filter(~((F.col("_i") == 0) & (F.col("_c") == "")))
+    # The empty component before a leading slash stands for the root.
+    top = (F.col("_i") == 0) & (F.col("_c") == "")
+    parts = parts.filter(~top | (F.length("_p") > 1))
     return parts.select(
-        F.call_function("substring_index", F.col("_p"), F.lit("/"), F.col("_i") + 1).alias(out), *keep
+        F.when(top, F.lit("/")).otherwise(F.call_function("substring_index", F.col("_p"), F.lit("/"), F.col("_i") + 1)).alias(out), *keep
     )
 
 
-def _strip_trailing_slash(path: Column) -> Column:
+def without_trailing_slash(path: Column) -> Column:
     return F.when((F.length(path) > 1) & path.endswith("/"), F.rtrim(path, F.lit("/"))).otherwise(path)
 
 
 def parent_path(path: Column) -> Column:
-    """The directory part of a path (``/a/b/f`` → ``/a/b``; ``/f`` → ``''``),
-    cut by length arithmetic rather than a pattern."""
+    """The directory part of a path (``/a/b/f`` → ``/a/b``; ``/f`` → ``/``; ``f`` →
+    ``''``), cut by length arithmetic rather than a pattern."""
     last = F.call_function("substring_index", path, F.lit("/"), F.lit(-1))
-    return F.call_function("substring", path, F.lit(1), F.greatest(F.length(path) - F.length(last) - 1, F.lit(0)))
+    size = F.length(path) - F.length(last) - 1
+    return F.when((size == 0) & path.startswith("/"), F.lit("/")).otherwise(F.call_function("substring", path, F.lit(1), F.greatest(size, F.lit(0))))
 
 
 def git_root(path: Column) -> Column:
-    """Parent of a path ending in ``/.git`` (trailing slashes aside); null otherwise."""
-    p = _strip_trailing_slash(path)
+    """Parent of a path ending in ``/.git`` (trailing slashes aside), the file-system
+    root for ``/.git``; null otherwise."""
+    p = without_trailing_slash(path)
     size = F.length(p) - F.lit(len("/.git"))
-    return F.when(p.endswith("/.git") & (size > 0), F.left(p, size))
+    return F.when(p.endswith("/.git"), F.when(size > 0, F.left(p, size)).otherwise(F.lit("/")))
 
 
 def ceil_mib(n_bytes: Column) -> Column:

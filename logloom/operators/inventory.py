@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numbers import ansi_enabled, checked_sum, overflow_check
-from ..functions.paths import ceil_mib, explode_ancestors, git_root, parent_path
+from ..functions.paths import ceil_mib, explode_ancestors, git_root, parent_path, without_trailing_slash
 
 
 def repo_roots(inventory: DataFrame) -> DataFrame:
@@ -28,26 +28,30 @@ def repo_sizes(inventory: DataFrame, min_mib: int = 1024) -> DataFrame:
     """``root, size_mb`` for repositories whose size, rounded up to whole MiB,
     is greater than ``min_mib``.
 
-    One scan and one exchange, no join: each inventory row is credited to
-    every directory above it and a directory also to itself
-    (``explode_ancestors``, equi-keys only); a file is never a root, so it
-    starts at its parent. A ``.git`` directory row also marks its parent as a
-    root. Bytes and marks are summed per directory with a map-side partial
-    aggregate, so a repository holding a third of all files reaches the
-    exchange as one row per task and directory; directories without a mark
-    are dropped after it.
+    No join. A file's bytes are first summed into its own directory (map-side,
+    then one exchange), so what follows works on directories, not files. The
+    directories are laid out by path, neighbours together, and each is credited
+    to itself and every directory above it: a task's partial sums are those of
+    the directories in its range and the few above them, so what is shuffled is
+    bounded by the directories, not by files times depth. A ``.git`` directory
+    also marks its parent as a root; directories without a mark are dropped.
     """
     is_dir = F.col("kind") == "dir"
-    marked = inventory.select(
-        F.when(is_dir, F.col("path")).otherwise(parent_path(F.col("path"))).alias("path"),
-        "bytes",
-        F.when(is_dir, git_root(F.col("path"))).alias("_root_of"),
+    ansi = ansi_enabled(inventory.sparkSession)
+    own = inventory.select(
+        F.when(is_dir, without_trailing_slash(F.col("path"))).otherwise(parent_path(F.col("path"))).alias("path"),
+        F.coalesce("bytes", F.lit(0)).alias("bytes"),
+        is_dir.alias("listed"),
     )
+    directories = own.groupBy("path").agg(checked_sum(F.col("bytes"), "bytes", ansi), F.bool_or("listed").alias("listed"))
+    directories = directories.select(
+        "path", overflow_check(F.col("bytes"), "bytes").alias("bytes"), F.when(F.col("listed"), git_root(F.col("path"))).alias("_root_of")
+    ).repartitionByRange("path")
     rolled = (
-        explode_ancestors(marked, "path", "root", "bytes", "_root_of")
+        explode_ancestors(directories, "path", "root", "bytes", "_root_of")
         .groupBy("root")
         .agg(
-            checked_sum(F.coalesce("bytes", F.lit(0)), "bytes", ansi_enabled(inventory.sparkSession)),
+            checked_sum(F.col("bytes"), "bytes", ansi),
             F.bool_or(F.coalesce(F.col("root") == F.col("_root_of"), F.lit(False))).alias("is_root"),
         )
     )

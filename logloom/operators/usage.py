@@ -16,6 +16,8 @@ from ..functions.time import date_literal, parse_date_arg
 
 # Fixed value: the count column name of the reference's summary files.
 UNIQUE_USERS = "number of unique users"
+#: Keys of one user that a join task meets on each side.
+BLOCK_KEYS = 4096
 
 
 def _on_day(pairs: DataFrame, day) -> DataFrame:
@@ -35,10 +37,37 @@ def count_users(keys: DataFrame, key: str) -> DataFrame:
     return keys.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count("user").alias(UNIQUE_USERS))
 
 
-def join_pairs(apps: DataFrame, devices: DataFrame) -> DataFrame:
+def blocked_join(apps: DataFrame, devices: DataFrame, block_keys: int = BLOCK_KEYS) -> DataFrame:
+    """``user, application, device`` over distinct ``user, application`` and ``user,
+    device`` rows that share a user.
+
+    A user's pairs are its applications times its devices, so a user with very
+    many of both would keep one task busy for the square. Users with more than
+    ``block_keys`` of either are cut into blocks on both sides, as many as their
+    own counts ask for: an application goes to its block once for each device
+    block, a device likewise, and each pair of blocks is a join key of its own,
+    of at most about ``block_keys`` squared pairs. Every pair meets exactly once.
+    """
+
+    def blocks(keys: DataFrame, name: str) -> DataFrame:
+        return keys.groupBy("user").agg(F.ceil(F.count(F.lit(1)) / block_keys).cast("int").alias(name))
+
+    hot = blocks(apps, "app_blocks").join(blocks(devices, "device_blocks"), "user").where("app_blocks > 1 or device_blocks > 1")
+
+    def dealt(keys: DataFrame, key: str, own: str, other: str, own_count: str, other_count: str) -> DataFrame:
+        known = keys.join(hot, "user", "left")
+        mine = F.pmod(F.xxhash64(key), F.coalesce(own_count, F.lit(1))).cast("int")
+        return known.select("user", key, mine.alias(own), F.explode(F.sequence(F.lit(0), F.coalesce(other_count, F.lit(1)) - 1)).alias(other))
+
+    left = dealt(apps, "application", "app_block", "device_block", "app_blocks", "device_blocks")
+    right = dealt(devices, "device", "device_block", "app_block", "device_blocks", "app_blocks")
+    return left.join(right, ["user", "app_block", "device_block"], "inner").select("user", "application", "device")
+
+
+def join_pairs(apps: DataFrame, devices: DataFrame, block_keys: int = BLOCK_KEYS) -> DataFrame:
     """Distinct ``application, device`` over distinct ``user, application``
     and ``user, device`` rows that share a user."""
-    return apps.join(devices, "user", "inner").select("application", "device").distinct()
+    return blocked_join(apps, devices, block_keys).select("application", "device").distinct()
 
 
 def unique_users(pairs: DataFrame, key: str, day=None) -> DataFrame:
@@ -56,8 +85,9 @@ def app_device_pairs(user_app: DataFrame, user_device: DataFrame, day=None) -> D
     """Distinct ``application, device`` that share at least one user.
 
     Both sides are deduped to (user, key) first, so per user the join meets
-    at most its distinct applications and devices; the pairs it produces are
-    deduped map-side in the join's own stage before the final exchange.
+    at most its distinct applications and devices, in blocks where these are
+    many (``blocked_join``); the pairs it produces are deduped map-side in the
+    join's own stage before the final exchange.
     """
     return join_pairs(user_keys(user_app, "application", day), user_keys(user_device, "device", day))
 

@@ -11,10 +11,10 @@ MIB = 1 << 20
 
 
 def brute(rows, min_mib):
-    roots = {p[: -len("/.git")] for p, k, _ in rows if k == "dir" and p.endswith("/.git") and len(p) > 5}
+    roots = {p[: -len("/.git")] or "/" for p, k, _ in rows if k == "dir" and p.endswith("/.git")}
     out = {}
     for r in roots:
-        total = sum(b for p, _, b in rows if p == r or p.startswith(r + "/"))
+        total = sum(b for p, _, b in rows if p == r or p.startswith(r.rstrip("/") + "/"))
         mib = -(-total // MIB)
         if mib > min_mib:
             out[r] = mib
@@ -61,3 +61,9 @@ def test_size_past_64_bits_stops_the_query(spark):
                 repo_sizes(df, 1).collect()
         finally:
             spark.conf.set("spark.sql.ansi.enabled", "true")
+
+
+def test_repository_at_the_file_system_root(spark):
+    rows = [("/.git", "dir", 5), ("/f", "file", 2 << 20), ("/a/.git", "dir", 0), ("/a/g", "file", 3 << 20), ("/", "dir", 4096), ("rel/x", "file", 9 << 20), ("y", "file", 1)]
+    got = {r.root: r.size_mb for r in repo_sizes(spark.createDataFrame(rows, "path string, kind string, bytes long"), 0).collect()}
+    assert got == {"/": 6, "/a": 3}

@@ -125,3 +125,37 @@ def test_hot_user_in_everyday_users(spark):
     # first exchange, one partial count per task in the second
     records = shuffle_records(df)
     assert records[0] <= len(per_user) * 8
+
+
+def test_pairs_of_a_user_with_very_many_keys_spread_over_tasks(spark):
+    from collections import Counter
+
+    from logloom.operators.usage import blocked_join, join_pairs
+
+    apps = spark.range(2000).selectExpr("'hot' AS user", "concat('app', id) AS application").union(
+        spark.createDataFrame([("u1", "app1"), ("u1", "x"), (None, "y"), ("lone", "z")], "user string, application string"))
+    devices = spark.range(1500).selectExpr("'hot' AS user", "concat('dev', id) AS device").union(
+        spark.createDataFrame([("u1", "dev1"), ("u1", "d"), (None, "y")], "user string, device string"))
+    keep = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    for k, v in zip(keep, ("32", "false", "-1")):
+        spark.conf.set(k, v)
+    try:
+        joined = blocked_join(apps, devices, block_keys=200)
+        per_task = Counter({r.t: r.n for r in joined.groupBy(F.spark_partition_id().alias("t")).agg(F.count("*").alias("n")).collect()})
+        # ten blocks by eight: no task meets more than a few of the eighty
+        assert sum(per_task.values()) == 2000 * 1500 + 4 and max(per_task.values()) < 2000 * 1500 / 6
+        assert joined.distinct().count() == 2000 * 1500 + 4
+        assert {tuple(r) for r in join_pairs(apps, devices, 200).where("application = 'x' OR device = 'd'").collect()} == {("x", "dev1"), ("x", "d"), ("app1", "d")}
+    finally:
+        for k, v in keep.items():
+            spark.conf.set(k, v)
+
+
+def test_deep_trees_shuffle_directories_not_files(spark):
+    # 40,000 files, eight levels deep, in 20 directories
+    path = "concat('/a/b/c/d/e/f/g', id % 20, '/file', id)"
+    inv = spark.range(40_000).selectExpr(f"{path} AS path", "'file' AS kind", "1L AS bytes").union(
+        spark.createDataFrame([("/a/b/.git", "dir", 0)], "path string, kind string, bytes long"))
+    df = repo_sizes(inv, 0)
+    assert [tuple(r) for r in df.collect()] == [("/a/b", 1)]
+    assert max(shuffle_records(df)) <= 20 * 2 * inv.rdd.getNumPartitions() + 10
