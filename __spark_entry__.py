@@ -12,8 +12,10 @@ Every query reads the driver's tables through the views in
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from logloom import (
     aggregate_logs,
@@ -23,7 +25,10 @@ from logloom import (
     run_counts,
     unique_users,
 )
+from logloom.functions import day_in_name
 from logloom.plans import fixtures
+from logloom.sinks import csv_line
+from logloom.sources import logs_from_lines
 
 try:  # the training-data operators may be absent; their own import errors still show
     import corpus_pipeline
@@ -61,6 +66,15 @@ RUN_COUNTS_CASES = {
     "agg_run_counts": ("2024-01-05 06:00:00", "2024-01-16 15:00:00", "1day", ("user",), None, ("click",), True),
     "agg_run_counts_month": ("2024-01-01 00:00:00", "2024-01-31 00:00:00", "30m", ("user", "app"), None, None, True),
 }
+# Over raw log lines in many spellings (``fixtures.log_lines``); arguments as a
+# command line gives them: comma lists with blanks, "" for no filter, "," for
+# the empty user.
+TEXT_CASES: dict[str, tuple] = {
+    "text_agg_1day_user_app": ("2024-01-03 06:00:00", "2024-01-20 12:30:00", "1day", " app, user ,app", "", " click , view,purchase "),
+    "text_agg_30m_empty_user": ("2024-01-01 00:00:00", "2024-01-31 00:00:00", "30m", "user", ",", "click,view,purchase"),
+    "text_agg_1day_quoted_user": ("2024-1-2 0:00:00", "2024-01-31 00:00:00", "1day", "user", 'us"er3,user4', "click,view,purchase"),
+}
+TEXT_COUNTS = ("2024-01-03 06:00:00", "2024-01-20 12:30:00", "1day", "user", "", "click,view")
 # Name suffix and day; no day: the whole table.
 PAIRS_DAYS = {"": "2024-01-16", "_all": None}
 EVERYDAY_CASES = {
@@ -90,6 +104,28 @@ def _run_counts(case: tuple) -> Callable[[SparkSession, str], DataFrame]:
     return run
 
 
+def _text_agg(case: tuple) -> Callable[[SparkSession, str], DataFrame]:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return aggregate_logs(logs_from_lines(fixtures.log_lines(spark, sf_dir)), *case, ordered=True)
+
+    return run
+
+
+def _text_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_counts(logs_from_lines(fixtures.log_lines(spark, sf_dir)), *TEXT_COUNTS)
+
+
+def _text_result_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines of the written result: quoted as ``csv.writer`` quotes."""
+    result = _text_agg(TEXT_CASES["text_agg_1day_user_app"])(spark, sf_dir)
+    return result.select(csv_line(*[F.col(c) for c in result.columns]).alias("line"))
+
+
+def _file_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    days = fixtures.file_names(spark, sf_dir).select(day_in_name(F.col("name")).alias("day"))
+    return days.where("day is not null").groupBy("day").agg(F.count(F.lit(1)).alias("files"))
+
+
 def _unique(key: str, pairs_view, day: str | None) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return unique_users(pairs_view(spark, sf_dir), key, day=day)
@@ -127,6 +163,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     }
     for name, case in RUN_COUNTS_CASES.items():
         out[name] = _run_counts(case)
+    for name, case in TEXT_CASES.items():
+        out[name] = _text_agg(case)
+    out["text_run_counts"] = _text_counts
+    out["text_result_lines"] = _text_result_lines
+    out["file_days"] = _file_days
     for suffix, day in PAIRS_DAYS.items():
         out["unique_users_per_app" + suffix] = _unique("application", fixtures.user_app, day)
         out["unique_users_per_device" + suffix] = _unique("device", fixtures.user_device, day)
@@ -192,23 +233,23 @@ def _where_sql(from_dt: str, to_dt: str, users, apps) -> str:
     return " AND ".join(conds)
 
 
-def _agg_sql(case: tuple) -> str:
+def _agg_sql(case: tuple, view_sql: str | None = None) -> str:
     from_dt, to_dt, gran, dims, users, apps, shifted = case
     dim_cols = "".join(f', "{d}"' for d in dims)
     sums = ", ".join(f"CAST(sum(metric_{i}) AS BIGINT) AS metric_{i}" for i in range(1, 10))
     group = ", ".join(str(i) for i in range(1, len(dims) + 2))
     return (
-        f"WITH logs AS ({_LOGS_SHIFTED_SQL if shifted else _LOGS_SQL}) "
+        f"WITH logs AS ({view_sql or (_LOGS_SHIFTED_SQL if shifted else _LOGS_SQL)}) "
         f'SELECT {_period_sql(gran)} AS "timestamp"{dim_cols}, {sums} FROM logs '
         f"WHERE {_where_sql(from_dt, to_dt, users, apps)} GROUP BY {group}"
     )
 
 
-def _run_counts_sql(case: tuple) -> str:
+def _run_counts_sql(case: tuple, view_sql: str | None = None) -> str:
     from_dt, to_dt, gran, dims, users, apps, shifted = case
     dim_cols = "".join(f', "{d}"' for d in dims)
     return (
-        f"WITH logs AS ({_LOGS_SHIFTED_SQL if shifted else _LOGS_SQL}), "
+        f"WITH logs AS ({view_sql or (_LOGS_SHIFTED_SQL if shifted else _LOGS_SQL)}), "
         f"g AS (SELECT {_period_sql(gran)} AS p{dim_cols}, count(*) AS n FROM logs "
         f"WHERE {_where_sql(from_dt, to_dt, users, apps)} GROUP BY ALL) "
         f"SELECT (SELECT count(DISTINCT file_date) FROM logs WHERE file_date BETWEEN DATE '{from_dt[:10]}' "
@@ -217,6 +258,31 @@ def _run_counts_sql(case: tuple) -> str:
     )
 
 
+# What the raw lines say, told from the event ids alone: which are read, and as what.
+_LINES_SQL = (
+    "SELECT ts, CASE WHEN event_id % 5 = 1 THEN 'us\"er' || CAST(user_id % 7 AS VARCHAR) "
+    "WHEN event_id % 5 = 2 THEN 'a,' || CAST(user_id % 7 AS VARCHAR) WHEN event_id % 10 = 3 THEN '' "
+    "ELSE 'user' || CAST(user_id % 7 AS VARCHAR) END AS \"user\", event_type AS app, CAST(ts AS DATE) AS file_date, " + _METRICS_SQL +
+    " FROM (SELECT * REPLACE (date_trunc('second', ts) AS ts) FROM events) WHERE event_id % 16 NOT IN (10, 11, 12, 13, 14) AND event_id % 97 <> 5"
+)
+
+
+def _text_case(case: tuple) -> tuple:
+    """The case as its arguments are meant."""
+    from_dt, to_dt, gran, dims, users, apps = case
+    named = [d.strip() for d in dims.split(",")]
+    days = tuple(str(datetime.strptime(x, "%Y-%m-%d %H:%M:%S")) for x in (from_dt, to_dt))
+    return (*days, gran, tuple(d for d in ("user", "app") if d in named),
+            [u.strip() for u in users.split(",")][:1 if users == "," else None] if users else None, [a.strip() for a in apps.split(",")], False)
+
+
+def _text_result_lines_sql() -> str:
+    quoted = "CASE WHEN regexp_matches(\"user\", '[,\"\r\n]') THEN '\"' || replace(\"user\", '\"', '\"\"') || '\"' ELSE \"user\" END"
+    metrics = " || ',' || ".join(f"CAST(metric_{i} AS VARCHAR)" for i in range(1, 10))
+    return (f"SELECT \"timestamp\" || ',' || {quoted} || ',' || app || ',' || {metrics} AS line "
+            f"FROM ({_agg_sql(_text_case(TEXT_CASES['text_agg_1day_user_app']), _LINES_SQL)})")
+
+
 def _day_sql(day: str | None) -> str:
     return "TRUE" if day is None else f"day = DATE '{day}'"
 
@@ -260,6 +326,11 @@ def oracle_sql() -> dict[str, str]:
     out = {name: _agg_sql(case) for name, case in AGG_CASES.items()}
     for name, case in RUN_COUNTS_CASES.items():
         out[name] = _run_counts_sql(case)
+    for name, case in TEXT_CASES.items():
+        out[name] = _agg_sql(_text_case(case), _LINES_SQL)
+    out["text_run_counts"] = _run_counts_sql(_text_case(TEXT_COUNTS), _LINES_SQL)
+    out["text_result_lines"] = _text_result_lines_sql()
+    out["file_days"] = "SELECT CAST(ts AS DATE) AS day, count(*) AS files FROM events WHERE event_id % 5 IN (0, 1, 4) GROUP BY 1"
     for suffix, day in PAIRS_DAYS.items():
         out["unique_users_per_app" + suffix] = _unique_sql(_USER_APP_SQL, "application", day)
         out["unique_users_per_device" + suffix] = _unique_sql(_USER_DEV_SQL, "device", day)

@@ -1,5 +1,5 @@
 """Writers: aggregate results, day summaries, daily log layout."""
 
-from .csv import next_result_name, write_daily, write_result, write_summaries
+from .csv import csv_line, next_result_name, write_daily, write_result, write_summaries
 
 __all__ = ["next_result_name", "write_daily", "write_result", "write_summaries"]

@@ -2,7 +2,7 @@
 
 from .inventory import read_inventory
 from .listing import day_calendar, list_dir
-from .logs import LOG_FIELDS, LOG_SCHEMA, read_logs
+from .logs import LOG_FIELDS, LOG_SCHEMA, logs_from_lines, read_logs
 from .pairs import read_daily_pairs, read_pairs
 
 __all__ = [
@@ -10,6 +10,7 @@ __all__ = [
     "LOG_SCHEMA",
     "day_calendar",
     "list_dir",
+    "logs_from_lines",
     "read_daily_pairs",
     "read_inventory",
     "read_logs",

@@ -120,6 +120,16 @@ def read_logs(
     return clean_log_rows(raw.filter(~here), day, first, last).unionByName(exact)
 
 
+def logs_from_lines(lines: DataFrame, value: str = "value", file_date: str = "file_date") -> DataFrame:
+    """``read_logs`` of a table of raw log lines, one record a row (``value``), with
+    the day of the file they came from: the same rules for fields, timestamps and
+    short rows."""
+    schema = ", ".join(f"{f.name} string" for f in LOG_SCHEMA)
+    parsed = F.from_csv(F.col(value), schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, "escape": '"'})
+    raw = lines.select(parsed.alias("record"), F.col(file_date).cast("date").alias("_day")).select("record.*", "_day")
+    return clean_log_rows(raw, F.col("_day"))
+
+
 def _day_range(from_dt, to_dt):
     if from_dt is None or to_dt is None:
         return None, None
