@@ -17,6 +17,8 @@ longer phrase is found on the paths, and at their ends by one aggregation.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -24,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import GOLD, map_rows, mix64, stage
+from .common import GOLD, map_rows, mix64, slices, stage
 
 GAP, END = 32, 10
 #: Bytes to bytes: lower case for A-Z, one sign for what ends a piece, one for what parts words.
@@ -35,7 +37,9 @@ BYTES = bytes.maketrans(_FROM, _TO)
 CHUNK = 4096
 
 EDGES = pa.schema([("lang", pa.string()), ("head", pa.string()), ("last", pa.string()), ("c", pa.int64())])
-COUNTS = pa.schema([("lang", pa.string()), ("h", pa.int64()), ("c", pa.int64())])
+COUNTS = pa.schema([("lang", pa.string()), ("h", pa.int32()), ("c", pa.int64())])
+#: Rows of a task's edges that are combined once more before they leave it.
+COMBINE = 1 << 21
 _U = np.uint64
 
 
@@ -100,15 +104,20 @@ class Filter:
     def of(cls, counted: DataFrame, min_count: int, bits: int) -> "Filter":
         """Of the hashes h counted at least min_count times: at most 2^(bits - 6)
         rows, the words of the bit table, come to the driver, whatever the input."""
-        slot = F.shiftrightunsigned("h", 64 - bits)
+        slot = F.shiftrightunsigned("h", 32 - bits)
         rows = counted.where(F.col("h").isNotNull() & (F.col("f") >= min_count)).groupBy(F.shiftright(slot, 6).alias("at")).agg(
-            F.bit_or(F.expr(f"shiftleft(1L, cast(shiftrightunsigned(h, {64 - bits}) & 63 as int))")).alias("bits"))
+            F.bit_or(F.expr(f"shiftleft(1L, shiftrightunsigned(h, {32 - bits}) & 63)")).alias("bits"))
         return cls(bits, [tuple(r) for r in rows.collect()])
 
 
+def _upper(h: np.ndarray) -> np.ndarray:
+    """The upper half of hashes, by which they are counted."""
+    return (h >> _U(32)).astype(np.uint32).view(np.int32)
+
+
 def _counted(h: np.ndarray) -> pa.RecordBatch:
-    h, c = np.unique(h, return_counts=True)
-    return pa.RecordBatch.from_arrays([pa.nulls(len(h), pa.string()), pa.array(h.view(np.int64)), pa.array(c.astype(np.int64))], schema=COUNTS)
+    h, c = np.unique(_upper(h), return_counts=True)
+    return pa.RecordBatch.from_arrays([pa.nulls(len(h), pa.string()), pa.array(h), pa.array(c.astype(np.int64))], schema=COUNTS)
 
 
 def _word_counts():
@@ -116,7 +125,7 @@ def _word_counts():
         t = Tokens(batch)
         c = np.bincount(t.x, minlength=len(t.hash)).astype(np.int64)
         total = np.bincount(t.lang, weights=c, minlength=len(t.langs)).astype(np.int64)
-        return pa.RecordBatch.from_arrays([pa.array([None] * len(c) + list(t.langs), pa.string()), pa.array([*t.hash.view(np.int64), *[None] * len(total)], pa.int64()),
+        return pa.RecordBatch.from_arrays([pa.array([None] * len(c) + list(t.langs), pa.string()), pa.array([*_upper(t.hash).tolist(), *[None] * len(total)], pa.int32()),
                                            pa.array(np.r_[c, total])], schema=COUNTS)
 
     return step
@@ -173,6 +182,13 @@ def _edges(words, pairs):
     return make
 
 
+def _combined(held: list[pa.RecordBatch]) -> list[pa.RecordBatch]:
+    """Edges of several batches, each once; those of a node next to each other."""
+    table = pa.Table.from_batches(held).group_by(["lang", "head", "last"], use_threads=False).aggregate([("c", "sum")])
+    table = table.rename_columns(["lang", "head", "last", "c"]).sort_by([("lang", "ascending"), ("head", "ascending")])
+    return table.cast(EDGES).to_batches(max_chunksize=1 << 16)
+
+
 def edges(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", min_count: int = 30, batch_bytes: int = 12 << 20,
           word_bits: int = 24, pair_bits: int = 27) -> tuple[DataFrame, DataFrame]:
     """(lang, head, last, c), the longest grams of docs, combined within batches of
@@ -186,12 +202,27 @@ def edges(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", min_c
     either way."""
     spark = docs.sparkSession
     rows = docs.select(F.coalesce(F.col(f"`{lang_col}`").cast("string"), F.lit("und")).alias("lang"), F.col(f"`{text_col}`").cast("string").cast("binary").alias("text")).where("text is not null")
-    types = "lang string, h long, c long"
+    types = "lang string, h int, c long"
     words = stage(map_rows(rows, _word_counts, types, batch_bytes).groupBy("lang", "h").agg(F.sum("c").alias("f")), "zstd")
     word_filter = spark.sparkContext.broadcast(Filter.of(words, min_count, word_bits))
     pairs = map_rows(rows, _pair_counts(word_filter), types, batch_bytes).groupBy("h").agg(F.sum("c").alias("f"))
     pair_filter = spark.sparkContext.broadcast(Filter.of(pairs, min_count, pair_bits))
-    found = map_rows(rows, _edges(word_filter, pair_filter), "lang string, head string, last string, c long", batch_bytes)
+    make = _edges(word_filter, pair_filter)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        step, held, n = make(), [], 0
+        for batch in batches:
+            for part in slices(batch, batch_bytes):
+                if (out := step(part)) is not None:
+                    held.append(out)
+                    n += out.num_rows
+                if n >= COMBINE:
+                    yield from _combined(held)
+                    held, n = [], 0
+        if held:
+            yield from _combined(held)
+
+    found = rows.mapInArrow(run, "lang string, head string, last string, c long")
     return found, words.where("lang is not null and f > 0").select("lang", "f")
 
 
