@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import slices, stage
-from .tokens import Encoder
+from .tokens import encoder
 
 PIECES = pa.schema([
     ("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids", pa.binary()), ("doc_tokens", pa.int64()),
@@ -81,7 +81,7 @@ class Windows:
 
 def _packed(path: str | None, end_id: int, capacity: int, count: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, end = Encoder(path), np.array([end_id], "<u4").tobytes()
+        encode, end = encoder(path), np.array([end_id], "<u4").tobytes()
         windows = Windows(capacity, count, TaskContext.get().partitionId())
         for batch in batches:
             for part in slices(batch, 4 << 20):
