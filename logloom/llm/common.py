@@ -52,9 +52,14 @@ def stage(df: DataFrame, compression: str | None = None) -> DataFrame:
     spark = df.sparkSession
     path = f"{scratch_dir(spark)}/stage-{uuid.uuid4().hex}"
     df.write.parquet(path, compression=compression)
+    remove_at_end(spark, path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def remove_at_end(spark: SparkSession, path: str) -> None:
+    """Have a written folder deleted when the session ends."""
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(jvm_path)
-    return spark.read.schema(df.schema).parquet(path)
 
 
 def map_rows(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch | None]], schema: str,

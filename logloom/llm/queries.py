@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import chat, embeddings, language, licences, lm, manifest, minhash, mixing, order, packing, phrases, rules, urls
-from .common import crc_mod, scratch_dir
+from .common import crc_mod, remove_at_end, scratch_dir
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,7 +30,8 @@ def op2_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{scratch_dir(spark)}/order-{uuid.uuid4().hex}"
-    order.materialise(_table(spark, sf_dir, "documents"), path)
+    order.materialise(_table(spark, sf_dir, "documents"), path, place=order.stored_place())
+    remove_at_end(spark, path)
     shards = order.read(spark, path)
     # the padding is not part of the sequence
     return shards.select("doc_id", "start", "length", "slot", "shard", F.crc32(F.substring("ids", F.lit(1), F.col("length").cast("int") * 2)).alias("ids_crc32"))
