@@ -7,6 +7,7 @@ chain over the library functions.
     python -m logloom summaries 2020-01-16 [--data-dir DIR] [--results-dir DIR]
     python -m logloom everyday 2020-01-22 app1 [--data-dir DIR]
     python -m logloom repo-sizes INVENTORY [--format parquet] [--min-mib 1024]
+    python -m logloom repo-sizes DIRECTORY --format tree [--min-mib 1024]
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from . import aggregate_logs, everyday_users, repo_sizes
 from .functions.time import GRANULARITIES, parse_date_arg, parse_datetime_arg
 from .plans.args import normalize_dimensions
 from .sinks import write_result, write_summaries
-from .sources import day_calendar, list_dir, read_daily_pairs, read_inventory, read_logs, read_pairs
+from .sources import day_calendar, list_dir, read_daily_pairs, read_inventory, read_logs, read_pairs, walk
 from .sources.logs import DAY_FILE_RX, detect_layout
 
 
@@ -99,7 +100,8 @@ def cmd_everyday(spark: SparkSession, a) -> int:
 def cmd_repo_sizes(spark: SparkSession, a) -> int:
     rule = "-" * 35
     print(f"Scanning {a.inventory}...\n{rule}")
-    sizes = repo_sizes(read_inventory(spark, a.inventory, a.format), a.min_mib)
+    inventory = walk(spark, a.inventory) if a.format == "tree" else read_inventory(spark, a.inventory, a.format)
+    sizes = repo_sizes(inventory, a.min_mib)
     for r in sizes.orderBy("root").toLocalIterator():
         print(f"Found: {r.root}\nSize: {r.size_mb} MB\n{rule}")
     return 0
@@ -134,7 +136,7 @@ def parser() -> argparse.ArgumentParser:
     ev.set_defaults(run=cmd_everyday)
     rs = sub.add_parser("repo-sizes", help="repositories over a size in an inventory")
     rs.add_argument("inventory")
-    rs.add_argument("--format", default="parquet")
+    rs.add_argument("--format", default="parquet", help="of the inventory; tree: walk a directory instead")
     rs.add_argument("--min-mib", type=int, default=1024)
     rs.set_defaults(run=cmd_repo_sizes)
     return p

@@ -18,7 +18,7 @@ from pyspark.sql.types import StringType
 from ..functions.time import timestamp_text
 from ..operators.usage import UNIQUE_USERS, count_users, join_pairs, user_keys
 from ..plans.args import METRICS
-from ..sources.listing import delete, list_dir, rename
+from ..sources.listing import create_exclusive, delete, exists, list_dir, rename
 
 # The header line of each summary file, quotes included, as the
 # exercise echoes it before appending the unquoted rows.
@@ -28,6 +28,7 @@ SUMMARY_HEADERS = {
     "apps_devices.csv": ('"application"', '"device"'),
 }
 _ORDER = "_line_order"
+_CLAIM = "_claim-"
 
 
 # Python csv.writer's default dialect: comma, double quote
@@ -116,6 +117,24 @@ def next_result_name(spark, directory: str, base_name: str = "result.csv") -> st
     return free_name({entry.name for entry in list_dir(spark, directory)}, base_name)
 
 
+def claim_result(spark, directory: str, base_name: str = "result.csv") -> tuple[str, str]:
+    """The path of a free name and of the file that claims it for one writer.
+
+    A claim is a file made only if none is there, and claimed names count as
+    taken, so two writers at once take two names. A name that another writer
+    finished between the listing and the claim is given up again. A writer that
+    dies leaves its claim, and its name is passed over from then on.
+    """
+    while True:
+        names = {entry.name for entry in list_dir(spark, directory)}
+        free = free_name(names | {n.removeprefix(_CLAIM) for n in names if n.startswith(_CLAIM)}, base_name)
+        claim, target = os.path.join(directory, _CLAIM + free), os.path.join(directory, free)
+        if create_exclusive(spark, claim):
+            if not exists(spark, target):
+                return target, claim
+            delete(spark, claim)
+
+
 def write_result(result: DataFrame, directory: str, name: str = "result.csv") -> str | None:
     """Write an ``aggregate_logs`` result sorted by its key under the next
     free name, with its header, in ``csv.writer``'s dialect; return the path,
@@ -144,8 +163,11 @@ def write_result(result: DataFrame, directory: str, name: str = "result.csv") ->
     if not seen.get.get("n", 0):
         delete(spark, staging)
         return None
-    target = os.path.join(directory, next_result_name(spark, directory, name))
-    rename(spark, staging, target)
+    target, claim = claim_result(spark, directory, name)
+    try:
+        rename(spark, staging, target)
+    finally:
+        delete(spark, claim)
     return target
 
 

@@ -7,6 +7,7 @@ import fnmatch
 import re
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,6 +38,28 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(hpath, True)
 
 
+def delete_at_end(spark: SparkSession, path: str) -> None:
+    """Have a folder deleted when the session ends."""
+    fs, hpath = _fs(spark, path)
+    fs.deleteOnExit(hpath)
+
+
+def create_exclusive(spark: SparkSession, path: str) -> bool:
+    """Create an empty file in a folder that exists; False, and nothing done,
+    where the name is taken. (Hadoop's local file system looks before it creates,
+    which is not exclusive; Java's own call is.)"""
+    fs, hpath = _fs(spark, path)
+    if fs.getScheme() == "file":
+        return bool(spark.sparkContext._jvm.java.io.File(hpath.toUri().getPath()).createNewFile())
+    try:
+        fs.create(hpath, False).close()
+    except Py4JJavaError as e:
+        if "AlreadyExists" in e.java_exception.getClass().getSimpleName():
+            return False
+        raise OSError(f"cannot create {path}") from e
+    return True
+
+
 def rename(spark: SparkSession, path: str, target: str) -> None:
     fs, hpath = _fs(spark, path)
     if not fs.rename(hpath, _fs(spark, target)[1]):
