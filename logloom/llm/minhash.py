@@ -32,6 +32,8 @@ _U = np.uint64
 WORD_CACHE = 1 << 20
 #: Elements that walk their permutations together (times the signature's slots in bytes).
 WALK = 1 << 17
+#: Bits of the filter of candidates' ids: 4 MB on the driver and in each worker, whatever the input.
+FILTER_BITS = 1 << 25
 
 
 class Shingles:
@@ -145,14 +147,34 @@ def _profile(k: int, bands: int, rows: int):
     return make
 
 
-def _sets(k: int):
+def candidate_sets(texts: DataFrame, ends: DataFrame, k: int, bits: int = FILTER_BITS) -> DataFrame:
+    """(doc_id, shingles) of the texts whose doc_id is among the distinct ones of ends.
+
+    A filter of ``bits`` bits, one for each id's hash, is made by Spark and drops
+    most other texts where they are read, in the task that makes the sets; the
+    semi-join behind it is exact and shuffles the sets that are left. When ids
+    fill the filter, all sets reach the semi-join.
+    """
+    at = F.pmod(F.xxhash64("doc_id"), F.lit(bits))
+    words = ends.where("doc_id is not null").select(at.alias("at")).groupBy(F.expr("shiftright(at, 6)").alias("word")).agg(
+        F.expr("bit_or(shiftleft(1L, cast(at % 64 as int)))").alias("found")).toArrow()
+    mask = np.zeros(-(-bits // 64), np.int64)
+    mask[words["word"].to_numpy()] = words["found"].to_numpy()
+    shared = texts.sparkSession.sparkContext.broadcast(mask)
     schema = pa.schema([("doc_id", pa.int64()), ("shingles", pa.binary())])
 
     def make():
-        shingles = Shingles(k)
-        return lambda batch: record(schema, batch.column(0), pa.array([shingles(t).tobytes() for t in batch.column(1).to_pylist()], pa.binary()))
+        mask, shingles = shared.value, Shingles(k)
 
-    return make
+        def step(batch: pa.RecordBatch) -> pa.RecordBatch:
+            at = batch.column(2).to_numpy()
+            batch = batch.filter(pa.array((mask[at >> 6] >> (at & 63)) & 1 == 1))
+            return record(schema, batch.column(0), pa.array([shingles(t).tobytes() for t in batch.column(1).to_pylist()], pa.binary()))
+
+        return step
+
+    near = map_rows(texts.select("doc_id", "text", at.alias("at")), make, "doc_id long, shingles binary")
+    return near.join(ends, "doc_id", "left_semi")
 
 
 def _links(percent: int):
@@ -260,7 +282,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     def confirm(pairs: DataFrame) -> DataFrame:
         ends = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-        sets = stage(map_rows(texts.join(ends, "doc_id", "left_semi"), _sets(shingle_words), "doc_id long, shingles binary"))
+        sets = stage(candidate_sets(texts, ends, shingle_words))
         a = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("sa"))
         b = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("sb"))
         return map_rows(pairs.join(b, "b").join(a, "a").select("a", "b", "sa", "sb"), _links(percent), "a long, b long")
@@ -296,7 +318,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.xxhash64("bucket", F.least("p", "q"), F.greatest("p", "q")).alias("block"), "rep", "label").distinct()
     blocks = stage(blocks)
     ends = blocks.select(F.col("rep").alias("doc_id")).distinct()
-    sets = map_rows(texts.join(ends, "doc_id", "left_semi"), _sets(shingle_words), "doc_id long, shingles binary")
+    sets = candidate_sets(texts, ends, shingle_words)
     whole = blocks.join(sets.withColumnRenamed("doc_id", "rep"), "rep").select("block", "rep", "label", "shingles")
     links3 = stage(whole.repartition("block").sortWithinPartitions("block").mapInArrow(_block_links(percent, block_rows), "a long, b long"))
 

@@ -280,3 +280,14 @@ def test_spelling_mixer_learns_from_every_word(spark):
     mixer = lm._spelling(known, np.ones((2, lm.ORDERS, 1 << 10), np.float32), 10)
     bits = 8 * sum(len(w) + 1 for w in words)
     assert math.isclose(mixer.visits.sum(), bits) and math.isclose(mixer.adapt.sum(), bits + 64 * lm.STEPS)
+
+
+@pytest.mark.parametrize("bits", [64, 1 << 10, 1 << 25])
+def test_candidates_are_exact_whatever_the_filter(spark, bits):
+    """Ids that share a bit with a candidate, a filter that is full, null and repeated ids."""
+    texts = spark.range(3000).selectExpr("if(id % 500 = 3, null, id % 2500) AS doc_id", "cast(concat('t', id) AS binary) AS text")
+    ends = spark.range(0, 2600, 13).selectExpr("id AS doc_id")
+    got = sorted((r.doc_id, bytes(r.shingles)) for r in minhash.candidate_sets(texts, ends, 3, bits).collect())
+    own = minhash.Shingles(3)
+    assert got == sorted((r.doc_id, own(bytes(r.text)).tobytes()) for r in texts.collect() if r.doc_id is not None and r.doc_id % 13 == 0)
+    assert minhash.candidate_sets(texts, ends.where("false"), 3, bits).count() == 0
