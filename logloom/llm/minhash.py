@@ -10,13 +10,17 @@ signature is after a step or two.
 Bands of slots give buckets. Candidate links are confirmed on the full shingle
 sets; confirmed links are reduced by union-find inside each task and joined by
 distributed components. No bucket is ever expanded into all its pairs in a
-join: exact copies are one class, and buckets are searched in two star rounds
-(all members against the smallest, then against the largest id), after which
-only members that lie in different components are compared, in blocks.
+join: exact copies are one class, and buckets are searched in star rounds (all
+members against the smallest id, then, in buckets that still hold several
+components, against members drawn anew); what is left is compared in blocks, a
+bucket's largest component with the others and these among each other.
+Signatures, a byte a slot, go first everywhere: sets travel only for members that
+agree in as many slots as a link leaves but once in a million times.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -126,19 +130,33 @@ def band_keys(sig: np.ndarray, bands: int) -> np.ndarray:
     return acc.view(np.int64)
 
 
+def least_agreeing(m: int, percent: int, escape: float = 1e-6) -> int:
+    """The most slots k of m such that fewer than k agree with a chance of at
+    most escape where the similarity is percent / 100 (binomial: SuperMinHash
+    varies less)."""
+    p, chance = percent / 100, 0.0
+    for k in range(m + 1):
+        chance += math.comb(m, k) * p**k * (1 - p) ** (m - k)
+        if chance > escape:
+            return k
+    return m
+
+
 def _profile(k: int, bands: int, rows: int):
-    schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("set_key", pa.binary()), ("bands", pa.list_(pa.int64()))])
+    schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("set_key", pa.binary()), ("sig", pa.binary()), ("bands", pa.list_(pa.int64()))])
 
     def make():
         shingles = Shingles(k)
 
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
             sets = [shingles(t) for t in batch.column(1).to_pylist()]
-            keys = band_keys(super_minhash(sets, bands * rows), bands)
+            signatures = super_minhash(sets, bands * rows)
+            keys = band_keys(signatures, bands)
             offsets = np.arange(0, (len(sets) + 1) * bands, bands, dtype=np.int32)
             return record(
                 schema, batch.column(0), pa.array([len(s) for s in sets], pa.int64()),
                 pa.array([xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets], pa.binary()),
+                pa.array([s.tobytes() for s in signatures.astype(np.uint8)], pa.binary()),
                 pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys.reshape(-1))),
             )
 
@@ -147,6 +165,21 @@ def _profile(k: int, bands: int, rows: int):
     return make
 
 
+def _agreeing(least: int):
+    """Of the candidate pairs with a byte of each slot, those with least equal bytes or more."""
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def make():
+        def step(batch: pa.RecordBatch) -> pa.RecordBatch:
+            a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(batch.num_rows, -1) for c in (2, 3))
+            near = pa.array((a == b).sum(axis=1) >= least)
+            return record(schema, batch.column(0).filter(near), batch.column(1).filter(near))
+
+        return step
+
+    return make
+
+
 def candidate_sets(texts: DataFrame, ends: DataFrame, k: int, bits: int = FILTER_BITS) -> DataFrame:
     """(doc_id, shingles) of the texts whose doc_id is among the distinct ones of ends.
 
@@ -220,41 +253,74 @@ def gram(sets: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def _block_links(percent: int, max_rows: int):
-    """Rows (block, rep, label, shingles), each block whole and in order: a
-    spanning forest of the links between labels inside each block."""
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
-
-    def solve(reps, labels, sets):
-        if len(reps) < 2 or len(set(labels)) < 2:
-            return None
-        label, size = np.array(labels), np.array([len(s) for s in sets])
-        both = gram(sets)
-        holds = 100 * both >= percent * (size[:, None] + size[None, :] - both)
-        holds &= label[:, None] != label[None, :]
-        i, j = np.nonzero(np.triu(holds, 1))
-        reps = np.array(reps, np.int64)
-        return forest(reps[i], reps[j]) if len(i) else None
+def _by_block(schema: pa.Schema, solve):
+    """Rows (block, rep, label, side, data), each block whole and in order:
+    solve(block, reps, labels, sides, data) of each gives columns, or None."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, reps, labels, sets = None, [], [], []
+        key, rows = None, []
         for batch in batches:
-            for block, rep, label, s in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), batch.column(3)):
+            for block, *row in zip(*(c.to_pylist() for c in batch.columns)):
                 if block != key:
-                    if (out := solve(reps, labels, sets)) is not None:
+                    if len(rows) > 1 and (out := solve(key, *zip(*rows))) is not None:
                         yield record(schema, *out)
-                    key, reps, labels, sets = block, [], [], []
-                reps.append(rep)
-                labels.append(label)
-                sets.append(np.frombuffer(s.as_py(), _U))
-        if (out := solve(reps, labels, sets)) is not None:
+                    key, rows = block, []
+                rows.append(row)
+        if len(rows) > 1 and (out := solve(key, *zip(*rows))) is not None:
             yield record(schema, *out)
 
     return run
 
 
+def _apart(labels, sides) -> np.ndarray:
+    """Which pairs a block compares: those of different labels, and where it has two sides, of different ones."""
+    label, side = np.array(labels), np.array(sides)
+    return (label[:, None] != label[None, :]) & ((side[:, None] != side[None, :]) | (side[:, None] == 0))
+
+
+def _block_near(least: int, set_rows: int):
+    """Of a block's members, those whose signature agrees with another's in least
+    slots or more, in smaller blocks of at most twice set_rows members."""
+    schema = pa.schema([("block", pa.int64()), ("rep", pa.int64()), ("label", pa.int64()), ("side", pa.int32())])
+
+    def solve(block, reps, labels, sides, sigs):
+        near, every = _apart(labels, sides), np.frombuffer(b"".join(sigs), np.uint8).reshape(len(reps), -1)
+        for i, sig in enumerate(every):
+            if near[i].any():
+                near[i] &= (every == sig).sum(axis=1) >= least
+        names, kept = [], []
+        for lo in range(0, len(reps), set_rows):
+            for at in range(lo, len(reps), set_rows):
+                part = near[lo : lo + set_rows, at : at + set_rows]
+                if part.any():
+                    kept.append(np.union1d(lo + np.flatnonzero(part.any(axis=1)), at + np.flatnonzero(part.any(axis=0))))
+                    names.append(xxhash.xxh3_64_intdigest(f"{block} {lo} {at}") - (1 << 63))
+        if not kept:
+            return None
+        at = np.concatenate(kept)
+        return np.repeat(np.array(names, np.int64), [len(x) for x in kept]), *(np.array(x, np.int64)[at] for x in (reps, labels)), np.array(sides, np.int32)[at]
+
+    return _by_block(schema, solve)
+
+
+def _block_links(percent: int):
+    """A spanning forest of the links between labels inside each block."""
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def solve(block, reps, labels, sides, sets):
+        sets = [np.frombuffer(s, _U) for s in sets]
+        size, both = np.array([len(s) for s in sets]), gram(sets)
+        holds = (100 * both >= percent * (size[:, None] + size[None, :] - both)) & _apart(labels, sides)
+        i, j = np.nonzero(np.triu(holds, 1))
+        reps = np.array(reps, np.int64)
+        return forest(reps[i], reps[j]) if len(i) else None
+
+    return _by_block(schema, solve)
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, shingle_words: int = 5,
-                    percent: int = 80, bands: int = 30, rows: int = 4, block_rows: int = 128) -> DataFrame:
+                    percent: int = 80, bands: int = 30, rows: int = 4, block_rows: int = 2048,
+                    set_rows: int = 128, stars: int = 6) -> DataFrame:
     """Groups of near-duplicate documents: one row (doc_id, n_shingles,
     component_id, kept) for each row of docs.
 
@@ -263,7 +329,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     of all its words); component_id is the smallest doc_id reachable by links.
     A link of similarity s escapes all bands with a chance of about
     (1 - s^rows)^bands: 1e-7 for 80 % and 30 bands of 4 slots, 8e-7 for 85 % and
-    24 bands of 5. Found pairs are confirmed on the whole sets.
+    24 bands of 5. A pair that shares a bucket goes on only if ``least_agreeing``
+    slots agree, which drops a link once in 1e6 times. What is left is confirmed
+    on the whole sets. ``stars``, ``block_rows`` (signatures compared at
+    once) and ``set_rows`` (sets) say how the search is cut up, not what it finds:
+    the blocks compare whatever the rounds left.
 
     Null or empty text, or text without a word: n_shingles 0, linked with
     nothing. Null ids: the row stays, component_id is null and kept true.
@@ -271,58 +341,87 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     docs are not read, whatever their names.
     """
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
+    least = least_agreeing(bands * rows, percent)
     base = stage(map_rows(texts, _profile(shingle_words, bands, rows),
-                          "doc_id long, n_shingles long, set_key binary, bands array<long>"))
+                          "doc_id long, n_shingles long, set_key binary, sig binary, bands array<long>"))
     # one class for each distinct set; its smallest id stands for the copies
     classes = base.where("n_shingles > 0 and doc_id is not null").groupBy("set_key").agg(
         F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"))
     slots = classes.select("rep", "n", F.explode("bands").alias("bucket"))
     shared = slots.groupBy("bucket").agg(F.count("*").alias("members"), F.min("rep").alias("hub")).where("members > 1")
     members = stage(slots.join(shared, "bucket"))
+    # a repeated id is one node with a signature for each of its texts
+    ids = members.select(F.col("rep").alias("doc_id")).distinct()
+    sigs = stage(base.where("n_shingles > 0").select("doc_id", "sig").distinct().join(ids, "doc_id", "left_semi"))
+    alike = f"100 * least(n, hub_n) >= {percent} * greatest(n, hub_n)"
 
     def confirm(pairs: DataFrame) -> DataFrame:
-        ends = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+        """The links among distinct candidate pairs: signatures first, sets of those that agree."""
+        a = sigs.select(F.col("doc_id").alias("a"), F.col("sig").alias("sa"))
+        b = sigs.select(F.col("doc_id").alias("b"), F.col("sig").alias("sb"))
+        near = stage(map_rows(pairs.join(b, "b").join(a, "a").select("a", "b", "sa", "sb"), _agreeing(least), "a long, b long"))
+        ends = near.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
         sets = stage(candidate_sets(texts, ends, shingle_words))
         a = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("sa"))
         b = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("sb"))
-        return map_rows(pairs.join(b, "b").join(a, "a").select("a", "b", "sa", "sb"), _links(percent), "a long, b long")
+        return stage(map_rows(near.join(b, "b").join(a, "a").select("a", "b", "sa", "sb"), _links(percent), "a long, b long"))
 
     # round 1: every member against its bucket's smallest id; sizes alone rule out most chance meetings
     hubs = members.select(F.col("rep").alias("hub"), F.col("n").alias("hub_n")).distinct()
     star = members.where("rep <> hub").select("hub", "rep", "n").distinct().join(hubs, "hub")
-    star = stage(star.where(f"100 * least(n, hub_n) >= {percent} * greatest(n, hub_n)").select(F.col("hub").alias("a"), F.col("rep").alias("b")))
-    links = stage(confirm(star))
+    links = confirm(star.where(alike).select(F.col("hub").alias("a"), F.col("rep").alias("b")))
     found = connected_components(links)
-
-    # round 2: members outside the component of the largest id, against it
-    left = members.where("rep <> hub and members > 2").join(found.withColumnRenamed("node", "rep"), "rep", "left")
-    left = left.select("bucket", "rep", "n", F.coalesce("component", "rep").alias("label"))
-    mixed = left.groupBy("bucket").agg(
-        F.count("*").alias("size"), F.min("label").alias("lo"), F.max("label").alias("hi"),
-        F.max(F.struct("rep", "label", "n")).alias("hub2"),
-    ).where("lo <> hi").drop("lo", "hi")
-    left = stage(left.join(mixed, "bucket"))
-    star2 = left.where(
-        f"rep <> hub2.rep and label <> hub2.label and 100 * least(n, hub2.n) >= {percent} * greatest(n, hub2.n)"
-    ).select(F.col("rep").alias("a"), F.col("hub2.rep").alias("b")).distinct()
-    links2 = stage(confirm(stage(star2)))
-
-    # the rest: members that two stars have not met, in blocks of bounded size
-    rest = left.where("rep <> hub2.rep and size > 2").select("bucket", "rep", "label")
-    spread = rest.groupBy("bucket").agg(
-        F.count("*").alias("size"), F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi and size > 1")
-    rest = rest.join(spread.select("bucket", F.ceil(F.col("size") / block_rows).cast("int").alias("parts")), "bucket")
-    part = F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int")
-    other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
-    blocks = rest.withColumn("p", part).withColumn("q", other).select(
-        F.xxhash64("bucket", F.least("p", "q"), F.greatest("p", "q")).alias("block"), "rep", "label").distinct()
-    blocks = stage(blocks)
-    ends = blocks.select(F.col("rep").alias("doc_id")).distinct()
-    sets = candidate_sets(texts, ends, shingle_words)
-    whole = blocks.join(sets.withColumnRenamed("doc_id", "rep"), "rep").select("block", "rep", "label", "shingles")
-    links3 = stage(whole.repartition("block").sortWithinPartitions("block").mapInArrow(_block_links(percent, block_rows), "a long, b long"))
-
-    found = connected_components(links.union(links2).union(links3))
+    left = members.where("rep <> hub and members > 2").select("bucket", "rep", "n")
+
+    # further rounds: each bucket that is still of several components, against a member drawn anew
+    for draw in range(stars):
+        left = left.join(found.withColumnRenamed("node", "rep"), "rep", "left").select(
+            "bucket", "rep", "n", F.coalesce("component", "rep").alias("label"))
+        mixed = left.groupBy("bucket").agg(
+            F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("size"),
+            F.max(F.struct(F.xxhash64("rep", F.lit(draw)).alias("drawn"), "rep", "label", "n")).alias("at"),
+        ).where("lo <> hi").select("bucket", "size", F.col("at.rep").alias("hub"), F.col("at.label").alias("hub_label"), F.col("at.n").alias("hub_n"))
+        left = stage(left.join(mixed, "bucket"))
+        # after the first draw only buckets that do not fit one block are worth a round
+        pairs = left.where(f"label <> hub_label and {alike}" + (f" and size > {block_rows}" if draw else ""))
+        pairs = stage(pairs.select(F.least("rep", "hub").alias("a"), F.greatest("rep", "hub").alias("b")).distinct())
+        left = left.select("bucket", "rep", "n")
+        tried = pairs.count()
+        if not tried:
+            break
+        more = confirm(pairs)
+        links = links.union(more)
+        found = connected_components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more))
+        if more.count() * 100 < tried:  # members that are no links of each other are for the blocks
+            break
+
+    # the rest, in blocks of bounded size: a bucket's largest component is compared with
+    # the others, and these among each other; members of one component are not
+    rest = left.join(found.withColumnRenamed("node", "rep"), "rep", "left").select("bucket", "rep", F.coalesce("component", "rep").alias("label"))
+    of = rest.groupBy("bucket", "label").agg(F.count("*").alias("of_label"))
+    of = of.groupBy("bucket").agg(F.sum("of_label").alias("size"), F.max(F.struct("of_label", "label")).alias("top")).where("size > top.of_label")
+    blocks_of = lambda n: F.ceil(n / block_rows).cast("int")
+    rest = rest.join(of.select("bucket", F.col("top.label").alias("top"), blocks_of(F.col("top.of_label")).alias("tops"),
+                               blocks_of(F.col("size") - F.col("top.of_label")).alias("others")), "bucket")
+    h = F.xxhash64("rep")
+    is_top = F.col("label") == F.col("top")
+    own = F.pmod(h, F.when(is_top, F.col("tops")).otherwise(F.col("others"))).cast("int")
+    rest = rest.select("bucket", "rep", "label", is_top.alias("is_top"), own.alias("own"), "tops", "others")
+    meet = F.explode(F.sequence(F.lit(0), F.when(F.col("is_top"), F.col("others")).otherwise(F.col("tops")) - 1))
+    across = rest.withColumn("other", meet).select(
+        F.xxhash64("bucket", F.lit(0), F.when(F.col("is_top"), F.col("own")).otherwise(F.col("other")),
+                   F.when(F.col("is_top"), F.col("other")).otherwise(F.col("own"))).alias("block"),
+        "rep", "label", F.when(F.col("is_top"), 1).otherwise(2).alias("side"))
+    among = rest.where("not is_top").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("others") - 1))).select(
+        F.xxhash64("bucket", F.lit(1), F.least("own", "other"), F.greatest("own", "other")).alias("block"), "rep", "label", F.lit(0).alias("side"))
+    blocks = across.union(among).distinct()
+    whole = blocks.join(sigs.withColumnRenamed("doc_id", "rep"), "rep").select("block", "rep", "label", "side", "sig")
+    near = stage(whole.repartition("block").sortWithinPartitions("block").mapInArrow(_block_near(least, set_rows), "block long, rep long, label long, side int"))
+    sets = candidate_sets(texts, near.select(F.col("rep").alias("doc_id")).distinct(), shingle_words)
+    whole = near.join(sets.withColumnRenamed("doc_id", "rep"), "rep").select("block", "rep", "label", "side", "shingles")
+    last = stage(whole.repartition("block").sortWithinPartitions("block").mapInArrow(_block_links(percent), "a long, b long"))
+
+    found = connected_components(links.union(last))
     classes = classes.select("set_key", "rep").join(found.withColumnRenamed("node", "rep"), "rep", "left").select(
         "set_key", F.coalesce("component", "rep").alias("component_id"))
     return base.join(classes, "set_key", "left").select(

@@ -67,6 +67,32 @@ def test_minhash_brute_force(spark):
     assert all(r.kept == (r.doc_id == r.component_id) for r in got.values())
 
 
+def test_minhash_in_small_blocks(spark):
+    """Families of near copies whose members often miss each other, cut into many blocks."""
+    rng = random.Random(5)
+    rows = []
+    for family in range(2):
+        base = [f"w{family}x{i}" for i in range(120)]
+        for _ in range(40):
+            words = list(base)
+            for i in rng.sample(range(120), rng.choice((1, 2, 2, 3, 4))):
+                words[i] = f"v{rng.randrange(40)}"
+            rows.append((len(rows), " ".join(words)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    sets = {i: {tuple(w[j : j + 3]) for j in range(len(w) - 2)} for i, w in ((i, t.split()) for i, t in rows)}
+    links = [(a, b) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b])]
+    truth = _components(sets, links)
+    assert 4 < len(set(truth.values())) < 70
+    for cut in ({"block_rows": 6, "set_rows": 3, "stars": 0}, {"block_rows": 5, "set_rows": 2, "stars": 2}):
+        got = minhash.near_duplicates(docs, shingle_words=3, percent=85, bands=24, rows=5, **cut).collect()
+        assert {r.doc_id: r.component_id for r in got} == truth
+
+
+def test_minhash_least_agreeing():
+    assert minhash.least_agreeing(120, 85) == max(
+        k for k in range(121) if sum(math.comb(120, i) * 0.85**i * 0.15 ** (120 - i) for i in range(k)) <= 1e-6)
+
+
 def test_minhash_odd_rows(spark):
     got = minhash.near_duplicates(_odd(spark)).collect()
     assert len(got) == 12 and minhash.near_duplicates(_empty(spark)).count() == 0
