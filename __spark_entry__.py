@@ -27,6 +27,7 @@ from logloom import (
 )
 from logloom.functions import day_in_name
 from logloom.plans import fixtures
+from logloom.plans.args import METRICS
 from logloom.sinks import csv_line
 from logloom.sources import logs_from_lines
 
@@ -74,6 +75,9 @@ TEXT_CASES: dict[str, tuple] = {
     "text_agg_30m_empty_user": ("2024-01-01 00:00:00", "2024-01-31 00:00:00", "30m", "user", ",", "click,view,purchase"),
     "text_agg_1day_quoted_user": ("2024-1-2 0:00:00", "2024-01-31 00:00:00", "1day", "user", 'us"er3,user4', "click,view,purchase"),
 }
+#: Metric text past 64 bits: the digits of ``fixtures.logs`` and 18 zeros.
+WIDE_CASE = ("2024-01-05 06:00:00", "2024-01-16 15:00:00", "1day", ("user", "app"), None, None, False)
+WIDE_ZEROS = 18
 TEXT_COUNTS = ("2024-01-03 06:00:00", "2024-01-20 12:30:00", "1day", "user", "", "click,view")
 # Name suffix and day; no day: the whole table.
 PAIRS_DAYS = {"": "2024-01-16", "_all": None}
@@ -111,6 +115,14 @@ def _text_agg(case: tuple) -> Callable[[SparkSession, str], DataFrame]:
     return run
 
 
+def _text_agg_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sums past 64 bits, as text."""
+    logs = fixtures.logs(spark, sf_dir)
+    logs = logs.withColumns({m: F.concat(F.col(m).cast("string"), F.lit("0" * WIDE_ZEROS)) for m in METRICS})
+    result = aggregate_logs(logs, *WIDE_CASE[:-1], wide=True)
+    return result.select("timestamp", "user", "app", *[F.col(m).cast("string").alias(m) for m in METRICS])
+
+
 def _text_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_counts(logs_from_lines(fixtures.log_lines(spark, sf_dir)), *TEXT_COUNTS)
 
@@ -165,6 +177,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         out[name] = _run_counts(case)
     for name, case in TEXT_CASES.items():
         out[name] = _text_agg(case)
+    out["text_agg_wide"] = _text_agg_wide
     out["text_run_counts"] = _text_counts
     out["text_result_lines"] = _text_result_lines
     out["file_days"] = _file_days
@@ -283,6 +296,11 @@ def _text_result_lines_sql() -> str:
             f"FROM ({_agg_sql(_text_case(TEXT_CASES['text_agg_1day_user_app']), _LINES_SQL)})")
 
 
+def _text_agg_wide_sql() -> str:
+    sums = ", ".join(f"CAST(CAST(metric_{i} AS HUGEINT) * {10 ** WIDE_ZEROS} AS VARCHAR) AS metric_{i}" for i in range(1, 10))
+    return f'SELECT "timestamp", "user", app, {sums} FROM ({_agg_sql(WIDE_CASE)})'
+
+
 def _day_sql(day: str | None) -> str:
     return "TRUE" if day is None else f"day = DATE '{day}'"
 
@@ -328,6 +346,7 @@ def oracle_sql() -> dict[str, str]:
         out[name] = _run_counts_sql(case)
     for name, case in TEXT_CASES.items():
         out[name] = _agg_sql(_text_case(case), _LINES_SQL)
+    out["text_agg_wide"] = _text_agg_wide_sql()
     out["text_run_counts"] = _run_counts_sql(_text_case(TEXT_COUNTS), _LINES_SQL)
     out["text_result_lines"] = _text_result_lines_sql()
     out["file_days"] = "SELECT CAST(ts AS DATE) AS day, count(*) AS files FROM events WHERE event_id % 5 IN (0, 1, 4) GROUP BY 1"

@@ -60,7 +60,7 @@ def cmd_aggregate(spark: SparkSession, a) -> int:
     t0 = time.perf_counter()
     seen = Observation("run")
     logs = read_logs(spark, a.logs_dir, from_dt, to_dt)
-    result = aggregate_logs(logs, from_dt, to_dt, a.granularity, dims, a.user, a.app, observation=seen)
+    result = aggregate_logs(logs, from_dt, to_dt, a.granularity, dims, a.user, a.app, observation=seen, wide=a.wide)
     path = write_result(result, a.results_dir, a.output)
     rows = seen.get.get("rows_matched", 0) if path else 0
     files = _files_in_range(spark, a.logs_dir, from_dt, to_dt)
@@ -122,6 +122,7 @@ def parser() -> argparse.ArgumentParser:
     ag.add_argument("--logs-dir", default="csv_logs")
     ag.add_argument("--multiline", action="store_true",
                     help="accepted for older command lines: quoted fields that span lines are always read whole")
+    ag.add_argument("--wide", action="store_true", help="metrics and sums of up to 38 digits instead of 64 bits")
     ag.add_argument("--results-dir", default="results")
     ag.set_defaults(run=cmd_aggregate)
     su = sub.add_parser("summaries", help="unique users per app and device, app-device pairs")

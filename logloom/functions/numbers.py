@@ -35,12 +35,31 @@ def int_or_fail(text: Column, name: str) -> Column:
     return F.coalesce(text.try_cast("bigint"), _underscored(text), F.raise_error(message).cast("bigint"))
 
 
+# Digits, single underscores between them, optional sign, outer spaces.
+_INT_RX = r"^\s*[+-]?[0-9]+(?:_[0-9]+)*\s*\z"
+#: The widest whole numbers Spark holds: 38 digits.
+WIDE = "decimal(38,0)"
+
+
+def wide_int_or_fail(text: Column, name: str) -> Column:
+    """Integer text to ``DECIMAL(38,0)``, as ``int()`` reads it up to 38 digits;
+    the query stops on any other value, naming it. Numbers of 64 bits take one
+    ``try_cast``; only longer or underscored ones meet the patterns."""
+    message = F.concat(F.lit(f"invalid literal for int() of 38 digits in {name}: '"), F.coalesce(text, F.lit("")), F.lit("'"))
+    digits = F.regexp_replace(text, r"[\s_]", "")
+    return F.coalesce(
+        text.try_cast("bigint").cast(WIDE),
+        F.when(text.rlike(_INT_RX), digits.try_cast(WIDE)),
+        F.raise_error(message).cast(WIDE),
+    )
+
+
 def ansi_enabled(spark) -> bool:
     return str(spark.conf.get("spark.sql.ansi.enabled", "true")).lower() == "true"
 
 
 def checked_sum(value: Column, name: str, ansi: bool) -> Column:
-    """A ``BIGINT`` sum that fails on overflow. With ANSI on, ``sum`` raises
+    """A ``BIGINT`` or ``DECIMAL(38,0)`` sum that fails on overflow. With ANSI on, ``sum`` raises
     by itself and keeps one buffer field; otherwise ``try_sum`` (two fields),
     to be passed through ``overflow_check`` after the aggregate."""
     return (F.sum(value) if ansi else F.try_sum(value)).alias(name)
@@ -54,5 +73,5 @@ def overflow_check(total: Column, name: str) -> Column:
     never null, so a null total means overflow.
     """
     return F.when(
-        total.isNull(), F.raise_error(F.lit(f"BIGINT overflow in the sum of {name}"))
+        total.isNull(), F.raise_error(F.lit(f"overflow in the sum of {name}: BIGINT, or 38 digits of wide integers"))
     ).otherwise(total)

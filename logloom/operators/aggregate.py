@@ -11,9 +11,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegralType, StringType
+from pyspark.sql.types import DecimalType, IntegralType, StringType
 
-from ..functions.numbers import ansi_enabled, checked_sum, int_or_fail, overflow_check
+from ..functions.numbers import WIDE, ansi_enabled, checked_sum, int_or_fail, overflow_check, wide_int_or_fail
 from ..functions.time import as_wall_clock, date_literal, ntz_literal, period_start, period_text
 from ..plans.args import METRICS, LogQuery
 
@@ -26,20 +26,22 @@ def _in_list(df: DataFrame, name: str, values: tuple[str, ...]) -> Column:
     return F.col(name).isin(list(values))
 
 
-def _metric(data_type, name: str) -> Column:
+def _metric(data_type, name: str, wide: bool = False) -> Column:
     if isinstance(data_type, StringType):
-        return int_or_fail(F.col(name), name)
-    if not isinstance(data_type, IntegralType):
+        return wide_int_or_fail(F.col(name), name) if wide else int_or_fail(F.col(name), name)
+    whole = isinstance(data_type, IntegralType) or (wide and isinstance(data_type, DecimalType) and data_type.scale == 0)
+    if not whole:
         raise TypeError(f"{name} must hold integers or text, not {data_type.simpleString()}")
     # A null stops the query as unreadable text does.
-    missing = F.raise_error(F.lit(f"null in {name}")).cast("bigint")
-    return F.coalesce(F.col(name).cast("bigint"), missing)
+    kind = WIDE if wide else "bigint"
+    missing = F.raise_error(F.lit(f"null in {name}")).cast(kind)
+    return F.coalesce(F.col(name).cast(kind), missing)
 
 
-def matching_rows(logs: DataFrame, query: LogQuery, keep: tuple[str, ...] = ()) -> DataFrame:
+def matching_rows(logs: DataFrame, query: LogQuery, keep: tuple[str, ...] = (), wide: bool = False) -> DataFrame:
     """Rows inside the query's filters: ``ts`` (NTZ), the ``keep`` columns,
     the dimensions (an empty field as ``''``) and the nine metrics as
-    ``BIGINT``.
+    ``BIGINT``, or ``DECIMAL(38,0)`` when ``wide``.
 
     Filter order follows the reference's optimized reader: users, apps, time
     range and file day first; metric text is parsed only afterwards, so a bad
@@ -59,7 +61,7 @@ def matching_rows(logs: DataFrame, query: LogQuery, keep: tuple[str, ...] = ())
             F.col("file_date").between(date_literal(query.first_day), date_literal(query.last_day))
         )
     dims = [F.coalesce(F.col(d), F.lit("")).alias(d) for d in query.dimensions]
-    metrics = [_metric(schema[m].dataType, m).alias(m) for m in METRICS]
+    metrics = [_metric(schema[m].dataType, m, wide).alias(m) for m in METRICS]
     return df.select(ts.alias("ts"), *keep, *dims, *metrics)
 
 
@@ -73,6 +75,7 @@ def aggregate_logs(
     apps=None,
     ordered: bool = False,
     observation=None,
+    wide: bool = False,
 ) -> DataFrame:
     """Sum ``metric_1..metric_9`` per (period[, user][, app]).
 
@@ -81,10 +84,12 @@ def aggregate_logs(
     are in range when ``from_dt <= ts < to_dt``. ``ordered=True`` sorts by
     the key, as the written result is. An ``Observation`` given as
     ``observation`` receives ``rows_matched`` from whichever action runs the
-    query, without a second pass over the input.
+    query, without a second pass over the input. Metrics and sums are 64-bit
+    integers, or with ``wide=True`` whole numbers of up to 38 digits; beyond
+    either the query stops.
     """
     query = LogQuery.of(from_dt, to_dt, granularity, dimensions, users, apps)
-    rows = matching_rows(logs, query)
+    rows = matching_rows(logs, query, wide=wide)
     if observation is not None:
         rows = rows.observe(observation, F.count(F.lit(1)).alias("rows_matched"))
     period = period_start(F.col("ts"), query.granularity).alias("period")
@@ -109,9 +114,10 @@ def run_counts(
     users=None,
     apps=None,
     files: DataFrame | None = None,
+    wide: bool = False,
 ) -> DataFrame:
     """One row: ``files`` present in the day range, ``rows_matched``, ``groups``;
-    like the sums, it fails on a bad metric in a matching row.
+    like the sums, it fails on a bad metric in a matching row (``wide`` as there).
 
     ``files`` is a day listing with a ``day`` column (empty files included,
     see ``sources.day_calendar``); without it the days come from the rows'
@@ -126,7 +132,7 @@ def run_counts(
     # it stops the sums (a parsed metric is never null: every row counts).
     read_all = F.greatest(*[F.col(m) for m in METRICS])
     per_group = (
-        matching_rows(logs, query)
+        matching_rows(logs, query, wide=wide)
         .groupBy(period, *query.dimensions)
         .agg(F.count(read_all).alias("n"))
     )
