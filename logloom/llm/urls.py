@@ -19,6 +19,16 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: (host, path, verdict); a rule fits its host and all subdomains.
 RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow"))
 PATHS = ("/en/98", "/es/7.html", "/de/65/", "/fr/4")
+#: Paths that tell by themselves, on hosts that do not.
+NEUTRAL_HOSTS = ("www.town-hall.example.com", "pages.rivers.example.net", "home.choir.example.org", "example.com")
+UNWANTED_PATHS = (
+    "/casino/slots.html", "/online-casino/poker", "/viagra", "/buy-viagra-online.html", "/cheap-pills/order", "/pills/buy-now", "/free-bets/bonus",
+    "/xxx/videos/7", "/adult/chat", "/lottery/jackpot-win", "/payday-loans/apply", "/replica-watches/sale", "/crypto-doubler/claim", "/spam/links",
+)
+WANTED_PATHS = (
+    "/articles/history-of-rome", "/docs/install.html", "/recipes/soup", "/wiki/Mathematics", "/news/2023/05/election", "/contact", "/about-us",
+    "/courses/biology/plants", "/library/catalogue", "/", "/blog/2021/garden", "/music/concerts.html", "/museum/opening-hours", "/buy/tickets",
+)
 #: The small labelled table: (host, path, unwanted).
 LABELLED = tuple(
     [(h, p, 1) for h in (
@@ -38,6 +48,9 @@ LABELLED = tuple(
         "blog.enerth.example.com", "www.ondthe.example.org", "thetion.example.net", "m.inghand.example.org", "www.example.com", "example.org",
         "blog.lesteau.example.net", "www.derung.example.com", "m.losado.example.org", "houwhere.example.com",
     ) for p in PATHS]
+    + [(h, p, 1) for h in NEUTRAL_HOSTS for p in UNWANTED_PATHS]
+    + [(h, p, 0) for h in NEUTRAL_HOSTS for p in WANTED_PATHS]
+    + [("", "", 0)] * 8  # nothing to judge
 )
 
 

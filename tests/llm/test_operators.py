@@ -88,6 +88,15 @@ def test_minhash_in_small_blocks(spark):
         assert {r.doc_id: r.component_id for r in got} == truth
 
 
+def test_urls_paths_tell(spark):
+    """Unwanted paths on clean hosts, not in the labelled table; no url is not unwanted."""
+    rows = [(1, "http://museum.example.com/viagra.html", "block"), (2, "http://example.com/casino/xxx.html", "block"),
+            (3, "http://library.example.com/cheap-pills/buy", "block"), (4, "http://choir.example.com/members/list", "allow"),
+            (5, "http://town.example.com/casa/12.html", "allow"), (6, None, "allow"), (7, "no url", "allow")]
+    pages = spark.createDataFrame([r[:2] for r in rows], "page_id long, url string")
+    assert {r.page_id: (r.rule, r.verdict) for r in urls.judge(pages, urls.train()).collect()} == {i: (None, v) for i, _, v in rows}
+
+
 def test_minhash_least_agreeing():
     assert minhash.least_agreeing(120, 85) == max(
         k for k in range(121) if sum(math.comb(120, i) * 0.85**i * 0.15 ** (120 - i) for i in range(k)) <= 1e-6)
