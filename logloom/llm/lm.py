@@ -474,8 +474,7 @@ FEATURES_DDL = ("doc_id long, held_out boolean, n_tokens long, n_known long, bas
                 "at binary, c binary, n binary, m binary, lasts binary, lp binary, learned binary")
 
 
-def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text", *, slot_bits: int = 19,
-          max_sample: int | None = None) -> DataFrame:
+def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text", *, slot_bits: int = 19) -> DataFrame:
     """One row (doc_id, held_out, n_tokens, n_known, train_tokens, base_score,
     score, bits_per_byte) for each row of docs; held_out is a condition on the
     columns of docs, and rows where it is not true are learned from.
@@ -487,7 +486,7 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
     end alone. Null and repeated ids are values like any other. Without training
     documents every count is 0 and every bit even odds, as corrected by nothing.
     Other columns are not read, but those in held_out. The mixers learn from all
-    training text; ``max_sample`` is accepted and ignored.
+    training text.
     """
     spark = docs.sparkSession
     rows = docs.select(
