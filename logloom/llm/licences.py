@@ -36,8 +36,6 @@ NOTICES = {
             "Permission is hereby granted, free of charge, to any person obtaining a copy of this software"),
     "mpl-2.0": ("Licensed under the Mozilla Public License, version 2.0.", "SPDX-License-Identifier: MPL-2.0"),
 }
-#: Every notice holds one of these, so nothing else can be confirmed.
-TELLING = "licen[cs]e|permission|redistribution"
 WORD = re.compile(r"[^\W_]+")
 
 
@@ -130,25 +128,18 @@ def scan(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     schema = pa.schema([("doc_id", pa.int64()), ("n_paragraphs", pa.int64()), ("licences", pa.list_(pa.string())), ("found", pa.list_(hit))])
 
     def make():
-        likely = re.compile(TELLING, re.I)
-
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            counts, families, hits = [], [], []
-            for text in batch.column(1).to_pylist():
-                lines = [p for p in (text or "").split("\n") if p.strip(" \t\n\x0b\x0c\r")]
-                out = []
-                for i, p in enumerate(lines):
-                    if not likely.search(p):
-                        continue
-                    scores = model.scores([grams(p, model.buckets)])[0]
-                    best = int(scores.argmax())
-                    shared = confirmed(p, model.names[best])
-                    if best and scores[best] >= least_score and shared >= least_shared:
-                        out.append({"paragraph": i, "family": model.names[best], "score": float(scores[best]), "shared": shared})
-                counts.append(len(lines))
-                families.append(sorted({h["family"] for h in out}))
-                hits.append(out)
-            return record(schema, batch.column(0), counts, families, hits)
+            texts = [[p for p in (text or "").split("\n") if p.strip(" \t\n\x0b\x0c\r")] for text in batch.column(1).to_pylist()]
+            # every paragraph is classified; one that the batch repeats, once
+            distinct = list(dict.fromkeys(p for lines in texts for p in lines))
+            scores = model.scores([grams(p, model.buckets) for p in distinct])
+            named = {}
+            for p, row, best in zip(distinct, scores, scores.argmax(axis=1).tolist()):
+                if best and row[best] >= least_score and (shared := confirmed(p, model.names[best])) >= least_shared:
+                    named[p] = {"family": model.names[best], "score": float(row[best]), "shared": shared}
+            hits = [[{"paragraph": i, **named[p]} for i, p in enumerate(lines) if p in named] for lines in texts]
+            families = [sorted({h["family"] for h in out}) for out in hits]
+            return record(schema, batch.column(0), [len(lines) for lines in texts], families, hits)
 
         return step
 

@@ -165,6 +165,14 @@ def test_licences(spark):
     assert licences.scan(_empty(spark), licences.learn_from(_empty(spark))).count() == 0
 
 
+def test_licences_classify_every_paragraph(spark):
+    """A notice may be confirmed without any word of permission."""
+    model = licences.learn_from(spark.createDataFrame([(i, f"plain text number {i} about the weather") for i in range(60)], "doc_id long, text string"))
+    docs = spark.createDataFrame([(1, "some words\nunder CC BY 4.0"), (2, "released under the MIT"), (3, "under the weather")], "doc_id long, text string")
+    got = {r.doc_id: (r.licences, [h.paragraph for h in r.found]) for r in licences.scan(docs, model).collect()}
+    assert got == {1: (["cc-by"], [1]), 2: (["mit"], [0]), 3: ([], [])}
+
+
 def test_rule_statistics(spark):
     rows, docs = _texts(spark)
     rows = rows + [(900, "a b c a b c a b x\n\na b\na b\n# $<", "en", "x")]
