@@ -278,49 +278,55 @@ def _apart(labels, sides) -> np.ndarray:
     return (label[:, None] != label[None, :]) & ((side[:, None] != side[None, :]) | (side[:, None] == 0))
 
 
-def _block_near(least: int, set_rows: int):
-    """Of a block's members, those whose signature agrees with another's in least
-    slots or more, in smaller blocks of at most twice set_rows members."""
-    schema = pa.schema([("block", pa.int64()), ("rep", pa.int64()), ("label", pa.int64()), ("side", pa.int32())])
+def _near(labels, sides, sigs, least: int) -> np.ndarray:
+    """Which pairs of a block's members a block compares and agree in least slots or more."""
+    near, every = _apart(labels, sides), np.frombuffer(b"".join(sigs), np.uint8).reshape(len(sigs), -1)
+    for i, sig in enumerate(every):
+        if near[i].any():
+            near[i] &= (every == sig).sum(axis=1) >= least
+    return near
+
+
+def _block_near(least: int):
+    """Of a block's members, each once, those whose signature agrees with another's
+    in least slots or more."""
+    schema = pa.schema([("block", pa.int64()), ("rep", pa.int64()), ("label", pa.int64()), ("side", pa.int32()), ("sig", pa.binary())])
 
     def solve(block, reps, labels, sides, sigs):
-        near, every = _apart(labels, sides), np.frombuffer(b"".join(sigs), np.uint8).reshape(len(reps), -1)
-        for i, sig in enumerate(every):
-            if near[i].any():
-                near[i] &= (every == sig).sum(axis=1) >= least
-        names, kept = [], []
-        for lo in range(0, len(reps), set_rows):
-            for at in range(lo, len(reps), set_rows):
-                part = near[lo : lo + set_rows, at : at + set_rows]
-                if part.any():
-                    kept.append(np.union1d(lo + np.flatnonzero(part.any(axis=1)), at + np.flatnonzero(part.any(axis=0))))
-                    names.append(xxhash.xxh3_64_intdigest(f"{block} {lo} {at}") - (1 << 63))
+        kept = np.flatnonzero(_near(labels, sides, sigs, least).any(axis=1)).tolist()
         if not kept:
             return None
-        at = np.concatenate(kept)
-        return np.repeat(np.array(names, np.int64), [len(x) for x in kept]), *(np.array(x, np.int64)[at] for x in (reps, labels)), np.array(sides, np.int32)[at]
+        return [block] * len(kept), *([x[i] for i in kept] for x in (reps, labels, sides, sigs))
 
     return _by_block(schema, solve)
 
 
-def _block_links(percent: int):
-    """A spanning forest of the links between labels inside each block."""
+def _block_links(percent: int, least: int, set_rows: int):
+    """A spanning forest of the links between labels inside each block: the sets of
+    agreeing members, those of at most twice set_rows members at once."""
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
-    def solve(block, reps, labels, sides, sets):
+    def solve(block, reps, labels, sides, sigs, sets):
+        near, reps, links = _near(labels, sides, sigs, least), np.array(reps, np.int64), []
         sets = [np.frombuffer(s, _U) for s in sets]
-        size, both = np.array([len(s) for s in sets]), gram(sets)
-        holds = (100 * both >= percent * (size[:, None] + size[None, :] - both)) & _apart(labels, sides)
-        i, j = np.nonzero(np.triu(holds, 1))
-        reps = np.array(reps, np.int64)
-        return forest(reps[i], reps[j]) if len(i) else None
+        for lo in range(0, len(reps), set_rows):
+            for at in range(lo, len(reps), set_rows):
+                part = near[lo : lo + set_rows, at : at + set_rows]
+                if not part.any():
+                    continue
+                some = np.union1d(lo + np.flatnonzero(part.any(axis=1)), at + np.flatnonzero(part.any(axis=0)))
+                size, both = np.array([len(sets[i]) for i in some]), gram([sets[i] for i in some])
+                holds = (100 * both >= percent * (size[:, None] + size[None, :] - both)) & near[np.ix_(some, some)]
+                i, j = np.nonzero(np.triu(holds, 1))
+                links.append(forest(reps[some[i]], reps[some[j]]))
+        return forest(*(np.concatenate(x) for x in zip(*links))) if links else None
 
     return _by_block(schema, solve)
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, shingle_words: int = 5,
                     percent: int = 80, bands: int = 30, rows: int = 4, block_rows: int = 2048,
-                    set_rows: int = 128, stars: int = 6) -> DataFrame:
+                    block_shingles: int = 1 << 22, set_rows: int = 128, stars: int = 6) -> DataFrame:
     """Groups of near-duplicate documents: one row (doc_id, n_shingles,
     component_id, kept) for each row of docs.
 
@@ -331,9 +337,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     (1 - s^rows)^bands: 1e-7 for 80 % and 30 bands of 4 slots, 8e-7 for 85 % and
     24 bands of 5. A pair that shares a bucket goes on only if ``least_agreeing``
     slots agree, which drops a link once in 1e6 times. What is left is confirmed
-    on the whole sets. ``stars``, ``block_rows`` (signatures compared at
-    once) and ``set_rows`` (sets) say how the search is cut up, not what it finds:
-    the blocks compare whatever the rounds left.
+    on the whole sets. ``stars``, ``block_rows`` and ``block_shingles`` (members of a
+    block, and the size of their sets) and ``set_rows`` (sets compared at once) say
+    how the search is cut up, not what it finds: the blocks compare whatever the
+    rounds left.
 
     Null or empty text, or text without a word: n_shingles 0, linked with
     nothing. Null ids: the row stays, component_id is null and kept true.
@@ -397,12 +404,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     # the rest, in blocks of bounded size: a bucket's largest component is compared with
     # the others, and these among each other; members of one component are not
-    rest = left.join(found.withColumnRenamed("node", "rep"), "rep", "left").select("bucket", "rep", F.coalesce("component", "rep").alias("label"))
-    of = rest.groupBy("bucket", "label").agg(F.count("*").alias("of_label"))
-    of = of.groupBy("bucket").agg(F.sum("of_label").alias("size"), F.max(F.struct("of_label", "label")).alias("top")).where("size > top.of_label")
-    blocks_of = lambda n: F.ceil(n / block_rows).cast("int")
-    rest = rest.join(of.select("bucket", F.col("top.label").alias("top"), blocks_of(F.col("top.of_label")).alias("tops"),
-                               blocks_of(F.col("size") - F.col("top.of_label")).alias("others")), "bucket")
+    rest = left.join(found.withColumnRenamed("node", "rep"), "rep", "left").select("bucket", "rep", "n", F.coalesce("component", "rep").alias("label"))
+    of = rest.groupBy("bucket", "label").agg(F.count("*").alias("of_label"), F.sum("n").alias("shingles"))
+    of = of.groupBy("bucket").agg(F.sum("of_label").alias("size"), F.sum("shingles").alias("shingles"),
+                                  F.max(F.struct("of_label", "label", "shingles")).alias("top")).where("size > top.of_label")
+    blocks_of = lambda n, shingles: F.ceil(F.greatest(n / block_rows, shingles / block_shingles)).cast("int")
+    rest = rest.join(of.select("bucket", F.col("top.label").alias("top"), blocks_of(F.col("top.of_label"), F.col("top.shingles")).alias("tops"),
+                               blocks_of(F.col("size") - F.col("top.of_label"), F.col("shingles") - F.col("top.shingles")).alias("others")), "bucket")
     h = F.xxhash64("rep")
     is_top = F.col("label") == F.col("top")
     own = F.pmod(h, F.when(is_top, F.col("tops")).otherwise(F.col("others"))).cast("int")
@@ -416,10 +424,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.xxhash64("bucket", F.lit(1), F.least("own", "other"), F.greatest("own", "other")).alias("block"), "rep", "label", F.lit(0).alias("side"))
     blocks = across.union(among).distinct()
     whole = blocks.join(sigs.withColumnRenamed("doc_id", "rep"), "rep").select("block", "rep", "label", "side", "sig")
-    near = stage(whole.repartition("block").sortWithinPartitions("block").mapInArrow(_block_near(least, set_rows), "block long, rep long, label long, side int"))
+    near = stage(whole.repartition("block").sortWithinPartitions("block").mapInArrow(_block_near(least), "block long, rep long, label long, side int, sig binary"))
     sets = candidate_sets(texts, near.select(F.col("rep").alias("doc_id")).distinct(), shingle_words)
-    whole = near.join(sets.withColumnRenamed("doc_id", "rep"), "rep").select("block", "rep", "label", "side", "shingles")
-    last = stage(whole.repartition("block").sortWithinPartitions("block").mapInArrow(_block_links(percent), "a long, b long"))
+    whole = near.join(sets.withColumnRenamed("doc_id", "rep"), "rep").select("block", "rep", "label", "side", "sig", "shingles")
+    last = stage(whole.repartition("block").sortWithinPartitions("block").mapInArrow(_block_links(percent, least, set_rows), "a long, b long"))
 
     found = connected_components(links.union(last))
     classes = classes.select("set_key", "rep").join(found.withColumnRenamed("node", "rep"), "rep", "left").select(

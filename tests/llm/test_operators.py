@@ -157,6 +157,41 @@ def test_language(spark):
     assert language.learn(_empty(spark)) == {} and language.predict(docs, {}).where("language.lang_pred <> 'und'").isEmpty()
 
 
+def test_minhash_blocks_hold_each_member_once(spark, monkeypatch):
+    """Near copies that no link holds together: their blocks leave a row a member,
+    however many of them agree."""
+    rng, base = np.random.default_rng(3), [f"w{i}" for i in range(200)]
+    texts = []
+    for d in range(150):
+        words = list(base)
+        for at in rng.choice(40, 4, replace=False) * 5:
+            words[at] = f"x{d}y{at}"
+        texts.append((d, " ".join(words)))
+    texts += [(200 + d, " ".join([*texts[d][1].split(), "more"])) for d in (7, 9)]
+    made, kept = [], minhash.stage
+
+    def stage(df, *args):
+        out = kept(df, *args)
+        if "block" in out.columns:
+            made.append(out.count())
+        return out
+
+    monkeypatch.setattr(minhash, "stage", stage)
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    found = minhash.near_duplicates(docs, shingle_words=3, percent=85, bands=24, rows=5, set_rows=8, stars=1)
+    got = {r.doc_id: r.component_id for r in found.collect()}
+    sets = {d: {tuple(w[i : i + 3]) for i in range(len(w) - 2)} for d, w in ((d, t.split()) for d, t in texts)}
+    want = {d: d for d in sets}
+    for a in sorted(sets):
+        for b in sorted(sets):
+            if a < b and 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b]):
+                old, new = max(want[a], want[b]), min(want[a], want[b])
+                want = {d: new if c == old else c for d, c in want.items()}
+    assert got == want
+    # a member meets a bucket's largest component in one block and the others in one
+    assert 0 < made[0] <= 2 * 24 * len(texts)
+
+
 def test_licences(spark):
     docs = spark.createDataFrame([(1, "A text.\nReleased under the MIT License."), (2, "Licensed under the Apache License, Version 2.0."), (3, "We licensed a song."),
                                   (4, None), (5, ""), (None, "plain words\nmore words")], "doc_id long, text string")
