@@ -27,8 +27,8 @@ _U = np.uint64
 UNKNOWN = "und"
 #: Scale at which unit vectors are summed as integers.
 SCALE = 1 << 20
-#: Distinct n-grams whose vectors are made at a time.
-BLOCK = 4096
+#: Distinct n-grams whose vectors are made at a time: several arrays of this many vectors.
+BLOCK = 1024
 
 
 @lru_cache(maxsize=1)
@@ -87,7 +87,10 @@ def bundle(texts: list[str | None], n: int, dims: int) -> tuple[np.ndarray, np.n
             seen, which = np.unique(codes, return_inverse=True)
             bits ^= np.roll(letter_vectors(seen, dims), place, axis=1)[which]
         counts = np.bincount(owner[lo:hi] * len(some) + at[lo:hi] - b * BLOCK, minlength=len(texts) * len(some))
-        out += counts.reshape(len(texts), len(some)).astype(np.float32) @ (1 - 2 * bits.astype(np.float32))
+        signs = bits.astype(np.float32)
+        signs *= -2
+        signs += 1
+        out += counts.reshape(len(texts), len(some)).astype(np.float32) @ signs
     norm = np.linalg.norm(out, axis=1, keepdims=True)
     has = np.zeros(len(texts), bool)
     has[owner] = True

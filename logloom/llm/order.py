@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import GOLD, map_rows, mix64, slices, stage
-from .tokens import encoder
+from .tokens import TEXTS, encoder
 
 _U = np.uint64
 #: Runs whose numbers are broadcast; with more of them the join shuffles.
@@ -56,7 +56,7 @@ def _cut(path: str | None, end_id: int, length: int):
         encode, task, rows = encoder(path), TaskContext.get().partitionId(), 0
         now, first, last, number = None, 0, -2, 0
         for batch in batches:
-            for some in slices(batch, 4 << 20):
+            for some in slices(batch, TEXTS):
                 out = []
                 for doc_id, found, file, row in zip(some.column(0).to_pylist(), encode(some.column(1).to_pylist()), *(c.to_pylist() for c in some.columns[2:])):
                     if file is None:

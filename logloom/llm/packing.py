@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import slices, stage
-from .tokens import encoder
+from .tokens import TEXTS, encoder
 
 PIECES = pa.schema([
     ("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids", pa.binary()), ("doc_tokens", pa.int64()),
@@ -84,7 +84,7 @@ def _packed(path: str | None, end_id: int, capacity: int, count: int):
         encode, end = encoder(path), np.array([end_id], "<u4").tobytes()
         windows = Windows(capacity, count, TaskContext.get().partitionId())
         for batch in batches:
-            for part in slices(batch, 4 << 20):
+            for part in slices(batch, TEXTS):
                 for doc_id, ids in zip(part.column(0).to_pylist(), encode(part.column(1).to_pylist())):
                     windows.add(doc_id, ids + end)
                 yield windows.flush(False)

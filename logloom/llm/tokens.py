@@ -22,6 +22,10 @@ import pyarrow as pa
 
 #: Splits whose ids a worker process keeps; beyond it the cache starts anew.
 SPLIT_CACHE = 1 << 19
+#: Splits that the tokenizer encodes at a time, and bytes of texts that are best
+#: encoded at once: the arrays of a batch are many times its size, and a worker
+#: process seldom gives that memory back.
+LEARN, TEXTS = 4096, 1 << 20
 #: Characters that every Unicode version classes alike.
 PLAIN = re.compile(r"[\t\n\r\x20-\x7E\xA1-\xA9\xBF-\u024F]*")
 SPECIAL = "<|endoftext|>"
@@ -106,11 +110,17 @@ class Encoder:
 
     def learn(self, splits: list[str]) -> None:
         self.known.update(zip(splits, range(len(self.known), len(self.known) + len(splits))))
-        found = self.tokenizer.encode(splits, is_pretokenized=True, add_special_tokens=False)
-        size = np.bincount(np.array(found.word_ids, np.int64), minlength=len(splits))
+        sizes, ids = [], []
+        # the tokenizer's own record of a split is large: a few at a time
+        for lo in range(0, len(splits), LEARN):
+            some = splits[lo : lo + LEARN]
+            found = self.tokenizer.encode(some, is_pretokenized=True, add_special_tokens=False)
+            sizes.append(np.bincount(np.array(found.word_ids, np.int64), minlength=len(some)))
+            ids.append(np.array(found.ids, "<u4"))
+        size = np.concatenate(sizes)
         self.base = np.concatenate((self.base, len(self.ids) + np.cumsum(size) - size))
         self.size = np.concatenate((self.size, size))
-        self.ids = np.concatenate((self.ids, np.array(found.ids, "<u4")))
+        self.ids = np.concatenate((self.ids, *ids))
 
     def split(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of plain, not empty texts, through their distinct splits."""

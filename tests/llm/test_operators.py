@@ -3,6 +3,7 @@
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -157,6 +158,21 @@ def test_language(spark):
     assert language.learn(_empty(spark)) == {} and language.predict(docs, {}).where("language.lang_pred <> 'und'").isEmpty()
 
 
+def test_language_vectors_are_made_in_small_blocks():
+    draw = random.Random(9)
+    texts = ["".join(chr(draw.randrange(0x4E00, 0x9000)) for _ in range(2000)) for _ in range(4)]
+    language.letters()
+    tracemalloc.start()
+    try:
+        units, has = language.bundle(texts, 3, 1024)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert has.all() and np.allclose((units**2).sum(axis=1), 1)
+    # 8,000 n-grams of 1,024 numbers each are 32 MB; a block's arrays are a fraction
+    assert peak < 24 << 20
+
+
 def test_minhash_blocks_hold_each_member_once(spark, monkeypatch):
     """Near copies that no link holds together: their blocks leave a row a member,
     however many of them agree."""

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import random
+from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 
-from logloom.llm import order, tokens
+from logloom.llm import order, packing, tokens
 
 
 @pytest.fixture(scope="module")
@@ -40,6 +41,30 @@ def test_a_full_cache_starts_anew(encode, monkeypatch):
         assert len(encode.known) <= 4
 
 
+def test_many_new_splits_are_learned_in_parts(encode, monkeypatch):
+    monkeypatch.setattr(tokens, "LEARN", 3)
+    texts = ["never seen words in parts of three", "zażółć qq1 qq2 qq3 qq4", "never qq4 qq5"]
+    assert encode(texts) == [_own(encode, t) for t in texts]
+    assert encode(texts[::-1]) == [_own(encode, t) for t in texts[::-1]]
+
+
+@pytest.mark.parametrize("module", [order, packing])
+def test_texts_are_encoded_few_at_a_time(monkeypatch, module):
+    most = []
+
+    def encode(texts):
+        most.append(sum(len(t.encode()) for t in texts if t))
+        return [b""] * len(texts)
+
+    monkeypatch.setattr(module, "encoder", lambda path: encode)
+    monkeypatch.setattr(module, "TaskContext", SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 0)))
+    n = 8000
+    batch = pa.record_batch([pa.array(range(n)), pa.array(["x" * 1000] * n), pa.array([1] * n), pa.array(range(n))], names=["doc_id", "text", "file", "row"])
+    run = order._cut(None, 0, 1024) if module is order else packing._packed(None, 0, 1024, 64)
+    assert sum(b.num_rows for b in run(iter([batch]))) == n
+    assert sum(most) == n * 1000 and max(most) <= 1 << 20
+
+
 def _place(spark, folder, out, split_bytes):
     old = spark.conf.get("spark.sql.files.maxPartitionBytes")
     spark.conf.set("spark.sql.files.maxPartitionBytes", str(split_bytes))
