@@ -135,14 +135,19 @@ class Encoder:
         else:  # characters below U+0250 take one or two bytes
             points = np.frombuffer(joined.encode("utf-32-le"), "<u4")
             begin = cuts(points, starts[:-1])
-            at = begin + np.concatenate(([0], np.cumsum(points > 0x7F)))[begin]
+            wide = points > 0x7F
+            at = begin + np.cumsum(wide, dtype=np.int32)[begin] - wide[begin]
         offsets = np.append(at, len(data)).astype(np.int64)
         found = pa.LargeStringArray.from_buffers(len(begin), pa.py_buffer(offsets), pa.py_buffer(data)).dictionary_encode()
-        splits = found.dictionary.to_pylist()
-        new = [s for s in splits if s not in self.known]
-        if new:
+        splits = found.dictionary.to_numpy(zero_copy_only=False).tolist()
+        # one look for each distinct split; those not known yet are numbered in their order
+        place, new = list(map(self.known.get, splits)), []
+        if None in place:
+            new = [s for s, p in zip(splits, place) if p is None]
+            fresh = iter(range(len(self.known), len(self.known) + len(new)))
+            place = [next(fresh) if p is None else p for p in place]
             self.learn(new)
-        place = np.fromiter(map(self.known.__getitem__, splits), np.int64, len(splits))[found.indices.to_numpy()]
+        place = np.array(place, np.int64)[found.indices.to_numpy()]
         lengths = self.size[place]
         ends = np.cumsum(lengths)
         flat = self.ids[np.repeat(self.base[place] - (ends - lengths), lengths) + np.arange(ends[-1])]

@@ -41,6 +41,33 @@ def test_a_full_cache_starts_anew(encode, monkeypatch):
         assert len(encode.known) <= 4
 
 
+def test_a_known_split_is_looked_up_once(monkeypatch):
+    class Looks(dict):
+        n = 0
+
+        def get(self, *args):
+            Looks.n += 1
+            return super().get(*args)
+
+        def __getitem__(self, key):
+            Looks.n += 1
+            return super().__getitem__(key)
+
+        def __contains__(self, key):
+            Looks.n += 1
+            return super().__contains__(key)
+
+    encode = tokens.Encoder()
+    encode.known = Looks()
+    text = "one two three two é four one"
+    want = _own(encode, text)
+    assert encode([text, text]) == [want, want]
+    Looks.n = 0
+    assert encode([text, text]) == [want, want]
+    # one, " two", " three", " é", " four", " one"
+    assert Looks.n == 6
+
+
 def test_many_new_splits_are_learned_in_parts(encode, monkeypatch):
     monkeypatch.setattr(tokens, "LEARN", 3)
     texts = ["never seen words in parts of three", "zażółć qq1 qq2 qq3 qq4", "never qq4 qq5"]
