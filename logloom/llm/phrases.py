@@ -203,7 +203,9 @@ def edges(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", min_c
     spark = docs.sparkSession
     rows = docs.select(F.coalesce(F.col(f"`{lang_col}`").cast("string"), F.lit("und")).alias("lang"), F.col(f"`{text_col}`").cast("string").cast("binary").alias("text")).where("text is not null")
     types = "lang string, h int, c long"
-    words = stage(map_rows(rows, _word_counts, types, batch_bytes).groupBy("lang", "h").agg(F.sum("c").alias("f")), "zstd")
+    # of the words only those often enough are read again
+    words = stage(map_rows(rows, _word_counts, types, batch_bytes).groupBy("lang", "h").agg(F.sum("c").alias("f")).where(
+        F.col("h").isNull() | (F.col("f") >= min_count)), "zstd")
     word_filter = spark.sparkContext.broadcast(Filter.of(words, min_count, word_bits))
     pairs = map_rows(rows, _pair_counts(word_filter), types, batch_bytes).groupBy("h").agg(F.sum("c").alias("f"))
     pair_filter = spark.sparkContext.broadcast(Filter.of(pairs, min_count, pair_bits))
@@ -251,8 +253,10 @@ def graph(docs: DataFrame, *, min_count: int = 30, **columns) -> DataFrame:
     node = Window.partitionBy("lang", "head")
     heavy = F.col("last").isNotNull() & (F.col("f") >= min_count)
     flows = summed.withColumn("flow", F.sum("f").over(node)).withColumn("nth", F.row_number().over(node.orderBy("last")))
+    # a node of less weight only adds to the pair that it starts with
+    name = F.when(F.col("flow") >= min_count, F.col("head")).otherwise(_first(F.col("head"), 2))
     found = stage(flows.where((F.col("nth") == 1) | heavy).select(
-        "lang", "head", F.when(F.col("nth") == 1, F.col("flow")).alias("flow"), F.when(heavy, F.col("last")).alias("last"), "f"), "zstd")
+        "lang", name.alias("head"), F.when(F.col("nth") == 1, F.col("flow")).alias("flow"), F.when(heavy, F.col("last")).alias("last"), "f"), "zstd")
     nodes = found.where("flow is not null").select("lang", F.col("head").alias("gram"), F.col("flow").alias("f"))
     # a node of fewer than three words is a piece's end: it adds to the pair or word of its own words
     pairs = stage(nodes.groupBy("lang", _first(F.col("gram"), 2).alias("gram")).agg(F.sum("f").alias("f")), "zstd")

@@ -4,7 +4,7 @@ import random
 import re
 from collections import Counter
 
-from logloom.llm import phrases
+from logloom.llm import common, phrases
 
 COLUMNS = "doc_id long, text string, lang string, gram string, k long, head string, f long"
 
@@ -93,3 +93,28 @@ def test_scores_past_64_bits(spark):
     big = 3 * 10**18
     row = spark.createDataFrame([(big, big + 1, big + 5)], "f long, a long, b long").select(phrases._score(("a", "b")).alias("s")).first()
     assert row.s.score == 2_000_000 * big // (2 * big + 6)
+
+
+def test_rare_words_and_nodes_are_not_stored_whole(spark, monkeypatch):
+    stored = []
+
+    def stage(df, compression=None):
+        out = common.stage(df, compression)
+        stored.append(out)
+        return out
+
+    monkeypatch.setattr(phrases, "stage", stage)
+    texts = ["a b c d"] * 4 + [f"a b x{i} y{i}" for i in range(20)]
+    docs = spark.createDataFrame([(t, "en") for t in texts], "text string, lang string")
+    found = {(r.k, r.gram): r.f for r in phrases.graph(docs, min_count=4).collect()}
+    # collisions aside, the filters keep a, b, c, d and part the pieces at the others
+    assert found == {(0, None): 96, (1, "a"): 24, (1, "b"): 24, (1, "c"): 4, (1, "d"): 4, (2, "a b"): 24, (2, "b c"): 4, (2, "c d"): 4,
+                     (3, "a b c"): 4, (3, "b c d"): 4, (4, "a b c d"): 4}
+    words = stored[0].collect()
+    assert sorted(r.f for r in words if r.lang is None) == [4, 4, 24, 24] and [r.f for r in words if r.lang] == [96]
+    # the 20 rare grams that pass filters without bits leave no third word
+    monkeypatch.setattr(phrases.Filter, "__call__", lambda self, h: h == h)
+    stored.clear()
+    assert {(r.k, r.gram): r.f for r in phrases.graph(docs, min_count=4).collect()} == found
+    heads = {r.head for r in stored[1].collect() if r.head}
+    assert heads and all(h.count(" ") < 2 for h in heads if "x" in h)
