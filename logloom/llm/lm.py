@@ -27,7 +27,6 @@ and their adaptive counts summed by slot. Only the spelling's hashed tables
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -99,15 +98,15 @@ def _counts(slot_bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         size = 1 << slot_bits
         total = np.zeros((2, ORDERS * size), np.int64)
+        flat = total.reshape(-1)
         for batch in batches:
             for part in slices(batch, 4 << 20):
                 tokens, c = part.column(0).to_pylist(), part.column(1).to_numpy(zero_copy_only=False)
                 for lo, hi in _chunks(tokens):
                     slots, bits, owner = _events(tokens[lo:hi], slot_bits)
-                    n = c[lo:hi][owner]
+                    n, side = c[lo:hi][owner], bits.astype(np.int64) * (ORDERS * size)
                     for o in range(ORDERS):
-                        for b in (0, 1):
-                            np.add.at(total[b], slots[o][bits == b] + o * size, n[bits == b])
+                        np.add.at(flat, side + (slots[o] + o * size), n)
         seen = np.flatnonzero(total.any(axis=0))
         for lo in range(0, len(seen), 1 << 16):
             s = seen[lo : lo + (1 << 16)]
@@ -132,16 +131,13 @@ class Mixer:
         self.adapt = np.stack([grid * 64, (1 - grid) * 64])  # ones and zeros seen at each step
 
     def inputs(self, slots: np.ndarray, own: np.ndarray | None = None, bits: np.ndarray | None = None):
-        """Stretched probabilities and gates; own is how often the bits' word occurs, to leave it out."""
-        at = np.arange(ORDERS)[:, None]
+        """Stretched probabilities (ORDERS, bits) and gates; own is how often the bits' word occurs, to leave it out."""
         if own is None:
             if self.stretched is None:
-                gate = np.minimum(np.log2(1 + self.tables[:, -1].sum(axis=0)).astype(int), GATES - 1)
-                self.stretched = self.stretch(*self.tables), gate
-            return self.stretched[0][at, slots].T, self.stretched[1][slots[-1]]
-        n0, n1 = self.tables[0, at, slots], self.tables[1, at, slots]
-        n1, n0 = np.maximum(0, n1 - own * (bits == 1)), np.maximum(0, n0 - own * (bits == 0))
-        return self.stretch(n0, n1).T, np.minimum(np.log2(1 + n0[-1] + n1[-1]).astype(int), GATES - 1)
+                self.stretched = self.stretch(*self.tables), _log2(1 + self.tables[:, -1].sum(axis=0), GATES)
+            return np.stack([table.take(at) for table, at in zip(self.stretched[0], slots)]), self.stretched[1].take(slots[-1])
+        n0, n1 = (np.stack([np.maximum(0, table.take(at) - mine) for table, at in zip(tables, slots)]) for tables, mine in zip(self.tables, (own * (bits == 0), own * (bits == 1))))
+        return self.stretch(n0, n1), _log2(1 + n0[-1] + n1[-1], GATES)
 
     @staticmethod
     def stretch(n0: np.ndarray, n1: np.ndarray) -> np.ndarray:
@@ -151,7 +147,7 @@ class Mixer:
         return self.__dict__ | {"stretched": None}
 
     def mixed(self, x: np.ndarray, gate: np.ndarray) -> np.ndarray:
-        return np.clip((x * self.weights[gate]).sum(axis=1), -12, 12)
+        return np.clip(sum(a * w.take(gate) for a, w in zip(x, self.weights.T.copy())), -12, 12)
 
     def refine(self, z: np.ndarray) -> np.ndarray:
         at = (z + 12) * (STEPS - 1) / 24
@@ -169,11 +165,11 @@ class Mixer:
             weigh = share[lo:hi][owner]
             for s in range(0, len(bits), step):
                 e = slice(s, s + step)
-                z = self.mixed(x[e], gate[e])
+                z = self.mixed(x[:, e], gate[e])
                 error = (bits[e] - _squash(z)) * weigh[e]
                 many = np.bincount(gate[e], weigh[e], GATES)[:, None]
                 self.visits += many[:, 0]
-                move = (gate[e] == np.arange(GATES)[:, None]).astype(float) @ (error[:, None] * x[e])
+                move = np.stack([np.bincount(gate[e], error * a[e], GATES) for a in x], axis=1)
                 self.weights += rate * move / np.maximum(many, 1) * np.minimum(many, 64) / 8
                 near = np.rint((z + 12) * (STEPS - 1) / 24).astype(int)
                 self.adapt[0] += np.bincount(near, weigh[e] * bits[e], STEPS)
@@ -188,14 +184,40 @@ class Mixer:
         return out
 
 
-def _earlier(x: np.ndarray) -> np.ndarray:
-    """How often each element came before in x."""
-    order = np.argsort(x, kind="stable")
-    place = np.arange(len(x))
-    first = np.r_[True, x[order][1:] != x[order][:-1]] if len(x) else np.zeros(0, bool)
-    out = np.empty(len(x))
-    out[order] = place - np.maximum.accumulate(np.where(first, place, 0))
-    return out
+def _log2(x: np.ndarray, levels: int) -> np.ndarray:
+    """The whole part of the binary logarithm of x >= 1, below levels."""
+    return np.minimum(np.frexp(x)[1].astype(np.int64) - 1, levels - 1)
+
+
+def _ordered(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Numbers from 0 on in order, their places (equal ones ascending), and where each new one starts."""
+    n = len(x)
+    shift = n.bit_length()
+    if n and int(x.max()).bit_length() + shift < 63:
+        y = np.sort(x << shift | np.arange(n))
+        order, y = y & ((1 << shift) - 1), y >> shift
+    else:
+        order = np.argsort(x, kind="stable")
+        y = x[order]
+    return y, order, np.flatnonzero(np.r_[True, y[1:] != y[:-1]]) if n else np.zeros(0, np.int64)
+
+
+def _unique(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``np.unique`` of numbers from 0 on with the inverse."""
+    y, order, starts = _ordered(x)
+    which = np.empty(len(x), np.int64)
+    which[order] = np.repeat(np.arange(len(starts)), np.diff(np.r_[starts, len(x)]))
+    return y[starts], which
+
+
+def _earlier(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """How often each number came before in x, and how often it is in x."""
+    _, order, starts = _ordered(x)
+    sizes = np.diff(np.r_[starts, len(x)])
+    before, times = np.empty(len(x)), np.empty(len(x), np.int64)
+    before[order] = np.arange(len(x)) - np.repeat(starts, sizes)
+    times[order] = np.repeat(sizes, sizes)
+    return before, times
 
 
 #: Sources of a token but spelling, the last one: in the order in which their bits are asked.
@@ -203,52 +225,187 @@ SOURCES = 5
 LEVELS = 16
 
 
-def running(texts: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray]:
+class _Places(dict):
+    """A number for each new key."""
+
+    def __missing__(self, key: bytes) -> int:
+        found = self[key] = len(self)
+        return found
+
+
+def running(texts: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
     """Words, END first and the start of a text (empty) second; and of all tokens
-    the word's place, that of the word before, and the text's index."""
-    place = {END: 0, b"": 1}
-    at, before, sizes = [], [], []
+    the word's place, and of each text how many tokens it has."""
+    place = _Places({END: 0, b"": 1})
+    at, sizes = [], []
     for text in texts:
-        ids = [place.setdefault(w, len(place)) for w in text.lower().split()]
-        at += ids + [0]
-        before += [1] + ids
-        sizes.append(len(ids) + 1)
-    return list(place), np.array(at, np.int64), np.array(before, np.int64), np.repeat(np.arange(len(texts)), sizes)
-
-
-def context_keys(words: list[bytes], at: np.ndarray, before: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """64-bit hashes: token after the word before, token after that word's last
-    two bytes over the space, and those bytes alone."""
-    word = np.array([xxhash.xxh3_64_intdigest(w) for w in words], _U)
-    last = np.array([xxhash.xxh3_64_intdigest(w[-2:], 1) for w in words], _U)
+        at.append(np.array([*map(place.__getitem__, text.lower().split()), 0], np.int32))
+        sizes.append(len(at[-1]))
+    return list(place), np.concatenate(at), np.array(sizes, np.int64)
+
+
+def _before(at: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The place of the word before each token."""
+    out = np.r_[1, at[:-1]]
+    out[np.cumsum(sizes)[:-1]] = 1
+    return out
+
+
+def hashes(words: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), _U, len(words))
+
+
+def contexts(words: list[bytes], at: np.ndarray, before: np.ndarray) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
+    """64-bit hashes of a block's contexts: token after the word before, token
+    after that word's last two bytes over the space, and those bytes alone. Each
+    once, ascending; and of each of the three kinds the tokens' places among
+    them. Third, the words' ends, numbered."""
+    width, ends = len(words), _Places()
+    word, end = hashes(words), np.array([ends[w[-2:]] for w in words])
+    last = np.array([xxhash.xxh3_64_intdigest(e, 1) for e in ends], _U)
+    pair, pair_at = _unique(before.astype(np.int64) * width + at)
+    first, second = pair // width, pair % width
+    close, close_at = _unique(end[first] * width + second)
     with np.errstate(over="ignore"):
-        return tuple(x.view(np.int64) for x in (
-            mix64(mix64(word[before] + GOLD) + word[at]), mix64(mix64(last[before] + GOLD * _U(3)) + word[at]), mix64(last[before] + GOLD * _U(5))))
+        keys = np.concatenate([mix64(mix64(word[first] + GOLD) + word[second]), mix64(mix64(last[close // width] + GOLD * _U(3)) + word[close % width]),
+                               mix64(last + GOLD * _U(5))])
+    order = np.argsort(keys)
+    place = np.empty(len(keys), np.int64)
+    place[order] = np.arange(len(keys))
+    in_pair, in_close, in_ends = np.split(place, [len(pair), len(pair) + len(close)])
+    return keys[order], [in_pair[pair_at], in_close[close_at][pair_at], in_ends[end[before]]], end
+
+
+def _packed(x: np.ndarray, kind: str) -> bytes:
+    """Numbers for a shuffle: byte planes, compressed."""
+    x = np.ascontiguousarray(x, kind)
+    planes = np.empty((x.itemsize, len(x)), np.uint8)
+    for k, plane in enumerate(planes):
+        plane[:] = x.view(np.uint8)[k :: x.itemsize]
+    return len(x).to_bytes(8, "little") + (pa.compress(planes.tobytes(), "zstd", asbytes=True) if len(x) else b"")
+
+
+def _unpacked(data: bytes, kind: str) -> np.ndarray:
+    kind, n = np.dtype(kind), int.from_bytes(data[:8], "little")
+    if not n:
+        return np.zeros(0, kind)
+    out = np.empty(n, kind)
+    for k, plane in enumerate(np.frombuffer(pa.decompress(data[8:], n * kind.itemsize, "zstd", asbytes=True), np.uint8).reshape(-1, n)):
+        out.view(np.uint8)[k :: kind.itemsize] = plane
+    return out
 
 
-def _block_keys():
-    """Of (block, text, held_out): how often each context key of a block occurs in its training texts."""
-    schema = pa.schema([("block", pa.int64()), ("key", pa.int64()), ("n", pa.int32())])
+def _joined(words: list[bytes]) -> bytes:
+    return _packed(np.frombuffer(b"\n".join(words), np.uint8), "u1")
 
-    def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-        blocks, texts = batch.column(0).to_numpy(), batch.column(1).to_pylist()
-        learned = ~batch.column(2).to_numpy(zero_copy_only=False).astype(bool)
-        out = []
-        for block in np.unique(blocks):
-            mine = np.flatnonzero(blocks == block)
-            words, at, before, owner = running([texts[i] for i in mine])
-            keys, which = np.unique(np.concatenate(context_keys(words, at, before)), return_inverse=True)
-            n = np.bincount(which, np.tile(learned[mine][owner], 3), len(keys)).astype(np.int32)
-            out.append((np.full(len(keys), block), keys, n))
-        return record(schema, *(np.concatenate(x) for x in zip(*out)))
 
-    return step
+def _split(data: bytes) -> list[bytes]:
+    return _unpacked(data, "u1").tobytes().split(b"\n")
+
+
+#: A block: PARTS runs of documents that the sources' mixer learns from together, unless they have more bytes.
+PARTS = 4
+BLOCK_BYTES = 8 << 20
+BLOCKS = pa.schema([("block", pa.int64()), ("ids", pa.list_(pa.int64())), ("held", pa.list_(pa.bool_())), ("parts", pa.list_(pa.int64())), ("bytes", pa.list_(pa.int64())),
+                    ("sizes", pa.list_(pa.int64())), ("words", pa.binary()), ("at", pa.binary())])
+BLOCKS_DDL = "block long, ids array<long>, held array<boolean>, parts array<long>, bytes array<long>, sizes array<long>, words binary, at binary"
+
+
+def _block(rows: list[tuple]) -> pa.RecordBatch:
+    ids, texts, held, numbers = zip(*rows)
+    words, at, sizes = running(texts)
+    return record(BLOCKS, [numbers[0]], [ids], [held], [[n >> 9 for n in numbers]], [[len(t) for t in texts]], [sizes], [_joined(words[2:])], [_packed(at, "<i4")])
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of (doc_id, text, held_out, row): a row a block, its tokens as places in its words."""
+
+    waiting, size, parts = [], 0, 0
+    for batch in batches:
+        for part in slices(batch, 4 << 20):
+            for row in zip(*(c.to_pylist() for c in part.columns)):
+                new = not waiting or row[3] >> 9 != waiting[-1][3] >> 9
+                if waiting and (size + len(row[1]) > BLOCK_BYTES or new and parts == PARTS):
+                    yield _block(waiting)
+                    waiting, size, parts, new = [], 0, 0, True
+                waiting.append(row)
+                size, parts = size + len(row[1]), parts + new
+    if waiting:
+        yield _block(waiting)
+
 
+def _tokens(block: dict) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray]:
+    """Words, places of the tokens and of those before, and whether they are learned from."""
+    words, at, sizes = _split(block["words"]), _unpacked(block["at"], "<i4").astype(np.int64), np.array(block["sizes"], np.int64)
+    return [END, b"", *(words if words != [b""] else [])], at, _before(at, sizes), np.repeat(~np.array(block["held"], bool), sizes)
 
-def _times(x: np.ndarray) -> np.ndarray:
-    """How often each element is in x."""
-    _, which, n = np.unique(x, return_inverse=True, return_counts=True)
-    return n[which]
+
+def _block_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Words of blocks, and how often each occurs in the block's training texts."""
+    schema = pa.schema([("word", pa.binary()), ("n", pa.int64())])
+    for batch in batches:
+        for part in slices(batch, 1):
+            words, at, _, train = _tokens(part.to_pylist()[0])
+            yield record(schema, words[2:], np.bincount(at[train], minlength=len(words))[2:])
+
+
+def _dealt(hashed: np.ndarray, deal: int) -> np.ndarray:
+    """Which of 2^deal shares a hash belongs to."""
+    return (hashed >> _U(64 - deal)).astype(np.int64)
+
+
+def _block_shares(deal: int, keys: bool):
+    """Of a block, a row a share with the words of that share, or with its context
+    hashes (as differences) and how often its training texts have them."""
+    schema = pa.schema([("share", pa.int64()), ("block", pa.int64()), ("what", pa.binary()), ("n", pa.binary())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, 1):
+                block = part.to_pylist()[0]
+                words, at, before, train = _tokens(block)
+                if keys:
+                    found, which, _ = contexts(words, at, before)
+                    n = sum(np.bincount(w[train], minlength=len(found)) for w in which)
+                    share = _dealt(found, deal)
+                else:
+                    order = np.argsort(share := _dealt(hashes(words[2:]), deal), kind="stable")
+                    share, found = share[order], [words[2 + i] for i in order.tolist()]
+                cuts = np.searchsorted(share, np.arange((1 << deal) + 1))
+                rows = [(s, block["block"], _packed(np.diff(found[lo:hi], prepend=_U(0)), "<u8") if keys else _joined(found[lo:hi]), _packed(n[lo:hi], "<i4") if keys else b"")
+                        for s, (lo, hi) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist())) if hi > lo]
+                if rows:
+                    yield record(schema, *zip(*rows))
+
+    return run
+
+
+SHARES_DDL = "share long, block long, what binary, n binary"
+RETURNED = pa.schema([("block", pa.int64()), ("share", pa.int64()), ("c", pa.binary()), ("lp", pa.binary())])
+RETURNED_DDL = "block long, share long, c binary, lp binary"
+
+
+def _key_counts(rows: pa.Table) -> pa.Table:
+    """Of a share of all blocks' context hashes: how often all training texts have
+    them, in the order in which each block gave them."""
+    given = [np.cumsum(_unpacked(x, "<u8"), dtype=_U) for x in rows.column("what").to_pylist()]
+    n = np.concatenate([_unpacked(x, "<i4") for x in rows.column("n").to_pylist()])
+    cuts = np.cumsum([len(x) for x in given])[:-1]
+    keys, which = np.unique(np.concatenate(given), return_inverse=True)
+    c = np.bincount(which, n, len(keys)).astype(np.int64)[which]
+    return pa.table([rows.column("block"), rows.column("share"), pa.array([_packed(x, "<i8") for x in np.split(c, cuts)], pa.binary()), pa.nulls(rows.num_rows, pa.binary())], schema=RETURNED)
+
+
+def _word_counts(rows: pa.Table, scored: pa.Table) -> pa.Table:
+    """Of a share of all blocks' words, and what is known of them: the corpus' counts
+    and the spelling's log10 probabilities, in the order in which each block gave them."""
+    place = {w: i for i, w in enumerate(scored.column("word").to_pylist())}
+    c, lp = scored.column("c").to_numpy(), scored.column("lp").to_numpy()
+    out = []
+    for what in rows.column("what").to_pylist():
+        at = np.array([*map(place.__getitem__, _split(what))], np.int64)
+        out.append((_packed(c[at], "<i8"), _packed(lp[at], "<f8")))
+    return pa.table([rows.column("block"), rows.column("share"), *(pa.array([x[i] for x in out], pa.binary()) for i in (0, 1))], schema=RETURNED)
 
 
 class Sources:
@@ -277,67 +434,82 @@ class Sources:
         out.weights[met] = weights[met] / out.visits[met][:, None]
         return out
 
-    def refined(self, k: int, z: np.ndarray) -> np.ndarray:
+    def refined(self, k, z: np.ndarray) -> np.ndarray:
         at = (z + 12) * (STEPS - 1) / 24
         lo = np.minimum(at.astype(int), STEPS - 2)
-        ones, zeros = self.prior[:, k] + self.adapt[:, k]
-        rate, part = ones / (ones + zeros), at - lo
-        return np.clip((_squash(z) + (1 - part) * rate[lo] + part * rate[lo + 1]) / 2, 1e-6, 1 - 1e-6)
+        ones, zeros = self.prior + self.adapt
+        rate, part = (ones / (ones + zeros)).ravel(), at - lo
+        lo = lo + STEPS * k
+        return np.clip((_squash(z) + (1 - part) * rate.take(lo) + part * rate.take(lo + 1)) / 2, 1e-6, 1 - 1e-6)
 
     @staticmethod
-    def estimates(owner, at, before, c, n, m, followed, lasts, total):
+    def estimates(owner, at, before, c, n, m, followed, lasts, total, earlier=None):
         """Probabilities (SOURCES, tokens) of the tokens in each source, how much
-        the source has seen (0: nothing, so it cannot be the one), and the inputs."""
-        width = int(max(at.max(), before.max())) + 1
+        the source has seen (0: nothing, so it cannot be the one), and the inputs.
+        earlier: how often the token's pair, the token and the word before came
+        before as such in the text, where that is known."""
         starts = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
         first = np.repeat(starts, np.diff(np.r_[starts, len(owner)]))
         past = np.arange(len(at)) - first
-        seen = _earlier(owner * width + at)
-        pair, context = _earlier((owner * width + before) * width + at), _earlier(owner * width + before)
+        if earlier is None:
+            width = int(max(at.max(), before.max())) + 1
+            earlier = [_earlier(x)[0] for x in ((owner * width + before) * width + at, owner * width + at, owner * width + before)]
+        pair, seen, context = earlier
         top = np.stack([pair, seen, n, m, c]).astype(float)
         below = np.stack([context, past, followed, lasts, np.broadcast_to(total, len(at))]).astype(float)
         q = np.divide(top, below, out=np.zeros_like(top), where=below > 0)
         hits, tries = np.cumsum(q > 0, axis=1) - (q > 0), np.cumsum(below > 0, axis=1) - (below > 0)
         rate = (hits - hits[:, first] + 0.5) / (tries - tries[:, first] + 1)
-        x = np.concatenate([np.log(rate / (1 - rate)), np.ones((1, len(at)))]).T
+        x = np.concatenate([np.log(rate / (1 - rate)), np.ones((1, len(at)))])
         return np.minimum(q, 1), below, x
 
+    def mixed(self, at: np.ndarray, x: np.ndarray) -> np.ndarray:
+        """at: gates, numbered over all sources."""
+        return np.clip(sum(a * w.take(at) for a, w in zip(x, np.moveaxis(self.weights, 2, 0).reshape(len(x), -1))), -12, 12)
+
     def bits(self, below: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        gate = np.minimum(np.log2(1 + below).astype(int), LEVELS - 1)
-        z = np.stack([np.clip((x * self.weights[k][gate[k]]).sum(axis=1), -12, 12) for k in range(SOURCES)])
-        return gate, z, below > 0
+        at = _log2(1 + below, LEVELS) + LEVELS * np.arange(SOURCES)[:, None]
+        return at, self.mixed(at, x), below > 0
 
-    def log10(self, q, below, x, lp) -> np.ndarray:
+    def log10(self, q, below, x, lp, step: int = 1 << 13) -> np.ndarray:
         """log10 probabilities of the tokens, with lp that of their spelling."""
-        _, z, can = self.bits(below, x)
-        left, known = np.ones(len(lp)), np.zeros(len(lp))
-        for k in range(SOURCES):
-            p = self.refined(k, z[k]) * can[k]
-            known += left * p * q[k]
-            left *= 1 - p
-        with np.errstate(divide="ignore"):
-            return np.logaddexp(np.log(known), np.log(left) + lp * np.log(10)) / np.log(10)
+        out = np.empty(len(lp))
+        for s in range(0, len(lp), step):
+            e = slice(s, s + step)
+            _, z, can = self.bits(below[:, e], x[:, e])
+            p = self.refined(np.arange(SOURCES)[:, None], z) * can
+            left, known = 1.0, 0.0
+            for k in range(SOURCES):
+                known = known + left * p[k] * q[k, e]
+                left = left * (1 - p[k])
+            with np.errstate(divide="ignore"):
+                out[e] = np.logaddexp(np.log(known), np.log(left) + lp[e] * np.log(10)) / np.log(10)
+        return out
 
     def learn(self, q, below, x, lp, step: int = 1024, rate: float = 0.1) -> None:
         """One online pass; a bit's share of a token is the probability that it was asked."""
+        gates, can_be, spelled = _log2(1 + below, LEVELS) + LEVELS * np.arange(SOURCES)[:, None], below > 0, 10 ** np.maximum(lp, -250)
+        ladder = STEPS * np.arange(SOURCES)[:, None]
         for s in range(0, len(lp), step):
             e = slice(s, s + step)
-            gate, z, can = self.bits(below[:, e], x[e])
+            at, can = gates[:, e], can_be[:, e]
+            z = self.mixed(at, x[:, e])
             p = _squash(z) * can
-            left = np.cumprod(np.concatenate([np.ones((1, z.shape[1])), 1 - p]), axis=0)
-            parts = np.concatenate([left[:-1] * p * q[:, e], left[-1:] * 10 ** np.maximum(lp[e], -250)])
-            parts /= np.maximum(parts.sum(axis=0), 1e-300)
-            asked = np.cumsum(parts[::-1], axis=0)[::-1]
+            parts, left = np.empty((SOURCES + 1, z.shape[1])), 1.0
             for k in range(SOURCES):
-                weigh = asked[k] * can[k]
-                yes = parts[k] * can[k]
-                move = (gate[k] == np.arange(LEVELS)[:, None]).astype(float) @ ((yes - weigh * p[k])[:, None] * x[e])
-                self.moved[k] += move**2
-                self.weights[k] += rate * move / np.sqrt(self.moved[k])
-                self.visits[k] += np.bincount(gate[k], weigh, LEVELS)
-                near = np.rint((z[k] + 12) * (STEPS - 1) / 24).astype(int)
-                self.adapt[0, k] += np.bincount(near, yes, STEPS)
-                self.adapt[1, k] += np.bincount(near, weigh - yes, STEPS)
+                parts[k] = left * p[k] * q[k, e]
+                left = left * (1 - p[k])
+            parts[-1] = left * spelled[e]
+            parts /= np.maximum(parts.sum(axis=0), 1e-300)
+            weigh, yes = np.cumsum(parts[::-1], axis=0)[:0:-1] * can, parts[:-1] * can
+            at, near = at.ravel(), (np.rint((z + 12) * (STEPS - 1) / 24).astype(int) + ladder).ravel()
+            off = yes - weigh * p
+            move = np.stack([np.bincount(at, (off * a).ravel(), SOURCES * LEVELS) for a in x[:, e]], axis=1).reshape(self.moved.shape)
+            self.moved += move**2
+            self.weights += rate * move / np.sqrt(self.moved)
+            self.visits += np.bincount(at, weigh.ravel(), SOURCES * LEVELS).reshape(self.visits.shape)
+            for k, share in enumerate((yes, weigh - yes)):
+                self.adapt[k] += np.bincount(near, share.ravel(), SOURCES * STEPS).reshape(SOURCES, STEPS)
 
 
 def _text_chunks(sizes: list[int], most: int = 1 << 20) -> Iterator[tuple[int, int]]:
@@ -352,23 +524,6 @@ def _text_chunks(sizes: list[int], most: int = 1 << 20) -> Iterator[tuple[int, i
         yield start, len(sizes)
 
 
-def _block_words():
-    schema = pa.schema([("block", pa.int64()), ("word", pa.binary()), ("n", pa.int64())])
-
-    def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-        found: dict[int, Counter] = {}
-        known: dict[int, set] = {}
-        for block, text, held_out in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-            words = text.lower().split()
-            known.setdefault(block, set()).update(words)
-            if not held_out:
-                found.setdefault(block, Counter()).update(words)
-        rows = [(b, w, found.get(b, {}).get(w, 0)) for b, words in known.items() for w in words]
-        return record(schema, *(zip(*rows) if rows else ([], [], [])))
-
-    return step
-
-
 def _spelling(known: DataFrame, tables: np.ndarray, slot_bits: int) -> Mixer:
     """The spelling's mixer, learned online over all words by partition; weights
     are averaged by visits and adaptive counts summed by slot."""
@@ -408,70 +563,105 @@ def _summed(rows: DataFrame, size: int) -> np.ndarray:
     return out
 
 
+def _answered(total: int, distinct: int, ends: int, end_score: float, deal: int):
+    """Of a block and the answers of the shares: the rows of ``_taught``."""
+
+    def blocks(block: pa.Table, returned: pa.Table) -> pa.Table:
+        block = block.to_pylist()[0]
+        words, at, before, train = _tokens(block)
+        by_share = returned.sort_by("share")
+        spelled = pc.is_valid(by_share.column("lp"))
+        named, counted = by_share.filter(spelled), by_share.filter(pc.invert(spelled))
+        _, which, end = contexts(words, at, before)
+        counts = np.concatenate([_unpacked(x, "<i8") for x in counted.column("c").to_pylist()])
+        c_of, lp_of = np.full(len(words), float(ends)), np.full(len(words), end_score)
+        order = 2 + np.argsort(_dealt(hashes(words[2:]), deal), kind="stable")
+        if len(order):
+            c_of[order] = np.concatenate([_unpacked(x, "<i8") for x in named.column("c").to_pylist()])
+            lp_of[order] = np.concatenate([_unpacked(x, "<f8") for x in named.column("lp").to_pylist()])
+        return _taught(total, distinct, block, (words, at, before, train), which, counts, end, c_of, lp_of)
+
+    return blocks
+
+
 def _features(total: int, distinct: int, ends: int, end_score: float):
-    """Of a block's words and context counts, and its texts: a row for each text
-    with its tokens' counts, and one with what the block's training texts teach."""
-    below = total + 0.5 * (distinct + 1)
+    """Of a block's words and what other blocks count of its contexts, and its texts:
+    a row for each text, and one with what the block's training texts teach."""
 
     def blocks(table: pa.Table, texts: pa.Table) -> pa.Table:
-        is_word = pc.is_valid(table.column("word"))
-        named, keyed = table.filter(is_word), table.filter(pc.invert(is_word))
-        by_word = dict(zip(named.column("word").to_pylist(), zip(named.column("c").to_pylist(), named.column("lp").to_pylist())))
-        by_word[END] = by_word[b""] = (ends, end_score)
-        ids, held, data = texts.column("doc_id").to_pylist(), np.array(texts.column("held_out").to_pylist(), bool), texts.column("text").to_pylist()
-        chunks = list(_text_chunks([len(t) for t in data]))
-        # what other blocks count, and the block's own counts
-        parts = [(keyed.column("key").to_numpy(), keyed.column("c").to_numpy())]
-        for lo, hi in chunks:
-            words, at, before, owner = running(data[lo:hi])
-            train = ~held[lo:hi][owner]
-            parts.append(np.unique(np.concatenate([x[train] for x in context_keys(words, at, before)]), return_counts=True))
-        keys, which = np.unique(np.concatenate([x for x, _ in parts]), return_inverse=True)
-        counts = np.bincount(which, np.concatenate([x for _, x in parts]), len(keys)).astype(np.int64)
-        del parts, which
-
-        def lookup(key: np.ndarray) -> np.ndarray:
-            if not len(keys):
-                return np.zeros(len(key), np.int64)
-            at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
-            return np.where(keys[at] == key, counts[at], 0)
-
-        mixer, out = Sources(), []
-        for lo, hi in chunks:
-            words, at, before, owner = running(data[lo:hi])
-            c_of, lp_of = np.array([by_word[w] for w in words], float).T
-            c, lp, followed = c_of[at], lp_of[at], c_of[before]
-            pair_key, last_key, lasts_key = context_keys(words, at, before)
-            n, m, lasts = lookup(pair_key), lookup(last_key), lookup(lasts_key)
-            train = ~held[lo:hi][owner]
-            if train.any():  # each text without its own counts
-                o, a, b, texts_at = owner[train], at[train], before[train], np.unique(owner[train], return_inverse=True)[1]
-                own = [_times(texts_at * (len(words) + 1) + x) for x in (a, b)]
-                with np.errstate(over="ignore"):
-                    mine = [_times(x[train] ^ mix64(o.astype(_U)).view(np.int64)) for x in (pair_key, last_key, lasts_key)]
-                q, seen, x = Sources.estimates(texts_at, a, b, c[train] - own[0], n[train] - mine[0], m[train] - mine[1],
-                                               followed[train] - own[1], lasts[train] - mine[2], total - _times(texts_at))
-                mixer.learn(q, seen, x, lp[train])
-            base = np.log10((c + 0.5) / below)
-            cuts = np.searchsorted(owner, np.arange(hi - lo + 1))
-            length = np.array([len(w) + 1 for w in words])
-            length[0] = 1
-            for i in range(hi - lo):
-                e = slice(cuts[i], cuts[i + 1])
-                out.append((ids[lo + i], bool(held[lo + i]), cuts[i + 1] - cuts[i], int((c[e] > 0).sum()), float(base[e].sum()), int(length[at[e]].sum()),
-                            *(x[e].astype(kind).tobytes() for x, kind in ((at, "<i4"), (c, "<i8"), (n, "<i8"), (m, "<i8"), (lasts, "<i8"), (lp, "<f4"))), None))
-        if mixer.visits.any():
-            out.append((*[None] * 12, mixer.pack().tobytes()))
-        columns = list(zip(*out)) or [[] for _ in FEATURES]
-        return pa.table([pa.array(x, f.type) for x, f in zip(columns, FEATURES)], schema=FEATURES)
+        rows = [(*row, i) for i, row in enumerate(zip(*(texts.column(name).to_pylist() for name in ("doc_id", "text", "held_out"))))]
+        block = _block(rows).to_pylist()[0]
+        words, at, before, train = _tokens(block)
+        known = {w: (c, lp) for w, c, lp in zip(*(table.column(name).to_pylist() for name in ("word", "c", "lp"))) if w is not None}
+        known[END] = known[b""] = (ends, end_score)
+        other = {k: c for w, k, c in zip(*(table.column(name).to_pylist() for name in ("word", "key", "c"))) if w is None}
+        keys, which, end = contexts(words, at, before)
+        counts = np.array([other.get(k, 0) for k in keys.view(np.int64).tolist()]) + sum(np.bincount(w[train], minlength=len(keys)) for w in which)
+        c_of, lp_of = np.array([known[w] for w in words], float).T
+        out = []
+        for part in _taught(total, distinct, block, (words, at, before, train), which, counts, end, c_of, lp_of).to_pylist():
+            out += [{"doc_id": i, "held_out": h, "n_tokens": n, "n_known": k, "base_score": s, "size": z, "learned": None}
+                    for i, h, n, k, s, z in zip(*(part[name] for name in ("ids", "held", "sizes", "known", "base", "size")))]
+            out += [dict.fromkeys(out[0]) | {"learned": part["learned"]}] if part["learned"] else []
+        return pa.Table.from_pylist(out)
 
     return blocks
 
 
-FEATURES = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base_score", pa.float64()),
-                      ("size", pa.int64()), *[(x, pa.binary()) for x in ("at", "c", "n", "m", "lasts", "lp", "learned")]])
-FEATURES_DDL = ("doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, size long, "
-                "at binary, c binary, n binary, m binary, lasts binary, lp binary, learned binary")
+def _taught(total: int, distinct: int, block: dict, tokens: tuple, which: list[np.ndarray], counts: np.ndarray, end: np.ndarray, c_of: np.ndarray, lp_of: np.ndarray) -> pa.Table:
+    """A row for each part of a block, with its tokens' counts and what its training texts teach."""
+    words, at, before, train = tokens
+    pairs, close, ends = which
+    n, m, lasts = (counts[w] for w in which)
+    below, wide = total + 0.5 * (distinct + 1), max(len(words), len(counts))
+    length = np.array([len(w) + 1 for w in words])
+    length[0] = 1
+    ids, held, size_of, sizes = block["ids"], block["held"], block["bytes"], np.array(block["sizes"])
+    starts, out = np.r_[0, np.cumsum(sizes)], []
+    for part_lo, part_hi in _runs(np.array(block["parts"])):
+        mixer = Sources()
+        for lo, hi in _text_chunks(size_of[part_lo:part_hi]):
+            lo, hi = lo + part_lo, hi + part_lo
+            e = slice(starts[lo], starts[hi])
+            t = train[e]
+            if not t.any():
+                continue
+            # each text without its own counts
+            owner = _unique(np.repeat(np.arange(hi - lo), sizes[lo:hi])[t])[1]
+            a, b = at[e][t], before[e][t]
+            (pair, in_pair), (seen, in_seen), (context, in_context) = (_earlier(owner * wide + x) for x in (pairs[e][t], a, b))
+            in_last, in_lasts = (_earlier(owner * wide + x[e][t])[1] for x in (close, ends))
+            q, below_it, x = Sources.estimates(owner, a, b, c_of[a] - in_seen, n[e][t] - in_pair, m[e][t] - in_last, c_of[b] - in_context,
+                                               lasts[e][t] - in_lasts, total - np.bincount(owner)[owner], (pair, seen, context))
+            mixer.learn(q, below_it, x, lp_of[a])
+        e, many = slice(starts[part_lo], starts[part_hi]), part_hi - part_lo
+        # the part's words, the end and the start of a text first
+        places, a = _unique(np.r_[1, at[e]])
+        owner, c = np.repeat(np.arange(many), sizes[part_lo:part_hi]), c_of[at[e]]
+        known, size = (np.bincount(owner, x, many).astype(np.int64) for x in (c > 0, length[at[e]]))
+        out.append((ids[part_lo:part_hi], held[part_lo:part_hi], size_of[part_lo:part_hi], sizes[part_lo:part_hi], known,
+                    np.bincount(owner, np.log10((c + 0.5) / below), many), size, _packed(a[1:], "<i4"), _packed(c_of[places], "<i8"), _packed(lp_of[places], "<f4"),
+                    _packed(end[places], "<i4"), _packed(n[e], "<i8"), _packed(m[e], "<i8"), _packed(_by_end(end[before[e]], lasts[e], int(end.max()) + 1), "<i8"),
+                    mixer.pack().tobytes() if mixer.visits.any() else None))
+    return pa.table([pa.array(x, f.type) for x, f in zip(zip(*out), FEATURES)], schema=FEATURES)
+
+
+def _by_end(end: np.ndarray, lasts: np.ndarray, wide: int) -> np.ndarray:
+    """The counts of words' ends by the end's number."""
+    out = np.zeros(wide, np.int64)
+    out[end] = lasts
+    return out
+
+
+def _runs(x: np.ndarray) -> Iterator[tuple[int, int]]:
+    cuts = np.flatnonzero(np.r_[True, x[1:] != x[:-1], True])
+    yield from zip(cuts[:-1].tolist(), cuts[1:].tolist())
+
+
+FEATURES = pa.schema([("ids", pa.list_(pa.int64())), ("held", pa.list_(pa.bool_())), ("bytes", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int64())), ("known", pa.list_(pa.int64())),
+                      ("base", pa.list_(pa.float64())), ("size", pa.list_(pa.int64())), *[(x, pa.binary()) for x in ("at", "c", "lp", "end", "n", "m", "lasts", "learned")]])
+FEATURES_DDL = ("ids array<long>, held array<boolean>, bytes array<long>, sizes array<long>, known array<long>, base array<double>, size array<long>, "
+                "at binary, c binary, lp binary, end binary, n binary, m binary, lasts binary, learned binary")
 
 
 def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text", *, slot_bits: int = 19) -> DataFrame:
@@ -491,13 +681,14 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
     spark = docs.sparkSession
     rows = docs.select(
         F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.coalesce(F.col(f"`{text_col}`").cast("binary"), F.lit("").cast("binary")).alias("text"),
-        F.coalesce(held_out, F.lit(False)).alias("held_out"), F.shiftright(F.monotonically_increasing_id(), 9).alias("block"))
-    rows = stage(rows, "zstd")
-    seen = stage(map_rows(rows.select("block", "text", "held_out"), _block_words, "block long, word binary, n long"), "zstd")
-    vocabulary = stage(seen.groupBy("word").agg(F.sum("n").alias("c")))
+        F.coalesce(held_out, F.lit(False)).alias("held_out"), F.monotonically_increasing_id().alias("row"))
+    blocks = stage(rows.mapInArrow(_blocks, BLOCKS_DDL), "zstd")
+    vocabulary = stage(blocks.select(*BLOCKS.names).mapInArrow(_block_words, "word binary, n long").groupBy("word").agg(F.sum("n").alias("c")), "zstd")
     known = vocabulary.where("c > 0")
     words, distinct = known.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    ends = rows.where("not held_out").count()
+    ends, tokens = blocks.agg(F.coalesce(F.sum(F.size(F.filter("held", lambda x: ~x))), F.lit(0)),
+                              F.coalesce(F.sum(F.aggregate("sizes", F.lit(0).cast("long"), lambda a, x: a + x)), F.lit(0))).first()
+    deal = max(3, (tokens >> 21).bit_length())
     total, distinct = words + ends, distinct + (ends > 0)
     # the hashed tables, from every training word
     tokens = known.select(F.concat("word", F.lit(SPACE)).alias("token"), "c").union(
@@ -513,26 +704,21 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
     shared = spark.sparkContext.broadcast(mixer)
 
     def make():
-        schema = pa.schema([("word", pa.binary()), ("c", pa.int64()), ("lp", pa.float64())])
+        schema = pa.schema([("word", pa.binary()), ("c", pa.int64()), ("lp", pa.float64()), ("share", pa.int64())])
         model = shared.value
 
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            lp = model.log10([w + SPACE for w in batch.column(0).to_pylist()], slot_bits)
-            return record(schema, *batch.columns, pa.array(lp))
+            words = batch.column(0).to_pylist()
+            return record(schema, *batch.columns, model.log10([w + SPACE for w in words], slot_bits), _dealt(hashes(words), deal))
 
         return step
 
-    scored = map_rows(vocabulary, make, "word binary, c long, lp double", 1 << 20)
-    # counts of the contexts over the corpus, back to each block that has them
-    keys = map_rows(rows.select("block", "text", "held_out"), _block_keys, "block long, key long, n int", 16 << 20)
-    # a block may have a key in several slices; its own counts it knows, so only those of other blocks travel
-    mine, all_ = F.sum("n").over(Window.partitionBy("key", "block")), F.sum("n").over(Window.partitionBy("key"))
-    first = F.row_number().over(Window.partitionBy("key", "block").orderBy("n"))
-    counted = keys.repartition("key").select("*", (all_ - mine).alias("c"), first.alias("nth")).where("c > 0 and nth = 1").select(
-        "block", F.lit(None).cast("binary").alias("word"), "key", "c", F.lit(0.0).alias("lp"))
-    named = seen.select("block", "word").join(scored, "word").select("block", "word", F.lit(0).cast("long").alias("key"), "c", "lp")
-    found = stage(named.union(counted).groupBy("block").cogroup(rows.groupBy("block")).applyInArrow(
-        _features(total, distinct, ends, end_score), FEATURES_DDL), "zstd")
+    scored = map_rows(vocabulary, make, "word binary, c long, lp double, share long", 1 << 20)
+    # words and contexts go to their share, which counts them over the corpus and answers each block in the order of its question
+    named = stage(blocks.mapInArrow(_block_shares(deal, False), SHARES_DDL).groupBy("share").cogroup(scored.groupBy("share")).applyInArrow(_word_counts, RETURNED_DDL), "zstd")
+    counted = stage(blocks.mapInArrow(_block_shares(deal, True), SHARES_DDL).groupBy("share").applyInArrow(_key_counts, RETURNED_DDL), "zstd")
+    found = stage(blocks.groupBy("block").cogroup(named.union(counted).groupBy("block")).applyInArrow(
+        _answered(total, distinct, ends, end_score, deal), FEATURES_DDL), "zstd")
 
     size = sum(int(np.prod(s)) for s in Sources.SHAPES)
 
@@ -549,21 +735,25 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
     def finish():
         schema = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()),
                             ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64()), ("bits_per_byte", pa.float64())])
-        model = chosen.value
-
-        def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            rows = batch.num_rows
-            at, c, n, m, lasts, lp = (np.frombuffer(b"".join(batch.column(name).to_pylist()), kind) for name, kind in (
-                ("at", "<i4"), ("c", "<i8"), ("n", "<i8"), ("m", "<i8"), ("lasts", "<i8"), ("lp", "<f4")))
-            owner = np.repeat(np.arange(rows), batch.column("n_tokens").to_numpy())
-            begins = np.r_[True, owner[1:] != owner[:-1]]
-            before, followed = np.where(begins, 1, np.r_[0, at[:-1]]), np.where(begins, ends, np.r_[0, c[:-1]])
-            q, seen, x = Sources.estimates(owner, at.astype(np.int64), before, c, n, m, followed, lasts, total)
-            s = np.bincount(owner, model.log10(q, seen, x, lp.astype(float)), rows)
-            return record(schema, batch.column("doc_id"), batch.column("held_out"), batch.column("n_tokens"), batch.column("n_known"),
-                          np.full(rows, total), batch.column("base_score"), s, -s / np.log10(2) / batch.column("size").to_numpy())
-
-        return step
-
-    return map_rows(found.where("learned is null").drop("learned"), finish, "doc_id long, held_out boolean, n_tokens long, n_known long, "
-                    "train_tokens long, base_score double, score double, bits_per_byte double", 4 << 20)
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            model = chosen.value
+            for batch in batches:
+                for part in slices(batch, 1):
+                    x = part.to_pylist()[0]
+                    sizes = np.array(x["sizes"], np.int64)
+                    at, c_of, lp_of, end, n, m, lasts = (_unpacked(x[name], kind) for name, kind in (
+                        ("at", "<i4"), ("c", "<i8"), ("lp", "<f4"), ("end", "<i4"), ("n", "<i8"), ("m", "<i8"), ("lasts", "<i8")))
+                    c_of, at = c_of.astype(float), at.astype(np.int64)
+                    starts = np.r_[0, np.cumsum(sizes)]
+                    for lo, hi in _text_chunks(x["bytes"]):
+                        e, many = slice(starts[lo], starts[hi]), hi - lo
+                        owner, before = np.repeat(np.arange(many), sizes[lo:hi]), _before(at[e], sizes[lo:hi])
+                        q, seen, inputs = Sources.estimates(owner, at[e], before, c_of[at[e]], n[e], m[e], c_of[before], lasts[end[before]], total)
+                        s = np.bincount(owner, model.log10(q, seen, inputs, lp_of[at[e]].astype(float)), many)
+                        yield record(schema, x["ids"][lo:hi], x["held"][lo:hi], x["sizes"][lo:hi], x["known"][lo:hi], np.full(many, total),
+                                     x["base"][lo:hi], s, -s / np.log10(2) / np.array(x["size"][lo:hi]))
+
+        return run
+
+    return found.drop("learned").mapInArrow(finish(), "doc_id long, held_out boolean, n_tokens long, n_known long, "
+                                            "train_tokens long, base_score double, score double, bits_per_byte double")

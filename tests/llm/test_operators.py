@@ -369,6 +369,48 @@ def test_mixers_learn_from_all_training_text():
     assert asked[1] > 0 and abs(merged.adapt.sum() - merged.visits.sum()) < 1e-9 and asked.max() <= 4
 
 
+def _lm_blocks(texts, held):
+    columns = [list(range(len(texts))), texts, held, [i << 9 for i in range(len(texts))]]
+    types = (lm.pa.int64(), lm.pa.binary(), lm.pa.bool_(), lm.pa.int64())
+    return list(lm._blocks(iter([lm.pa.record_batch([lm.pa.array(c, t) for c, t in zip(columns, types)], names=["doc_id", "text", "held_out", "row"])])))
+
+
+def test_contexts_are_counted_over_all_blocks_in_few_bytes():
+    rng = random.Random(3)
+    vocabulary = [f"{a}{b}" for a in "bdfgklmn" for b in range(40)]
+    texts = [" ".join(rng.choices(vocabulary, k=900)).encode() for _ in range(24)]
+    held = [i % 5 == 1 for i in range(24)]
+    want = Counter()
+    for text, out in zip(texts, held):
+        words = [b"", *text.split(), b"\n"]
+        for a, b in zip(words, words[1:]):
+            want.update([] if out else [("pair", a, b), ("last", a[-2:], b), ("lasts", a[-2:])])
+    blocks = _lm_blocks(texts, held)
+    assert len(blocks) == 6
+    asked = lm.pa.Table.from_batches(lm._block_shares(3, True)(iter(blocks)))
+    found = lm.pa.concat_tables(lm._key_counts(asked.filter(lm.pc.equal(asked.column("share"), i))) for i in range(8)).sort_by("share")
+    keys = 0
+    for block in blocks:
+        words, at, before, _ = lm._tokens(block.to_pylist()[0])
+        hashed, which, _ = lm.contexts(words, at, before)
+        mine = found.filter(lm.pc.equal(found.column("block"), block.column("block")[0])).column("c").to_pylist()
+        counts = np.concatenate([lm._unpacked(x, "<i8") for x in mine])
+        keys += len(hashed)
+        assert len(counts) == len(hashed)
+        for t in range(len(at)):
+            a, b = words[before[t]], words[at[t]]
+            assert [counts[w[t]] for w in which] == [want["pair", a, b], want["last", a[-2:], b], want["lasts", a[-2:]]]
+    assert sum(len(x) for name in ("what", "n") for x in asked.column(name).to_pylist()) < 9 * keys
+    assert sum(len(x) for x in found.column("c").to_pylist()) < 2 * keys
+
+
+def test_blocks_are_cut_by_bytes():
+    texts = [b"ab " * (1 << 20)] * 7 + [b"", b"c"]
+    blocks = _lm_blocks(texts, [False] * 9)
+    assert [x.column("ids").to_pylist()[0] for x in blocks] == [[0, 1], [2, 3], [4, 5], [6, 7, 8]]
+    assert [lm._tokens(x.to_pylist()[0])[0] for x in blocks[2:]] == [[b"\n", b"", b"ab"], [b"\n", b"", b"ab", b"c"]]
+
+
 def test_spelling_mixer_learns_from_every_word(spark):
     words = [f"w{i}" for i in range(300)]
     known = spark.createDataFrame([(w.encode(), 1) for w in words], "word binary, c long")
