@@ -237,10 +237,11 @@ def running(texts: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
     """Words, END first and the start of a text (empty) second; and of all tokens
     the word's place, and of each text how many tokens it has."""
     place = _Places({END: 0, b"": 1})
-    at, sizes = [], []
+    at, sizes, last = [], [], np.zeros(1, np.int32)
     for text in texts:
-        at.append(np.array([*map(place.__getitem__, text.lower().split()), 0], np.int32))
-        sizes.append(len(at[-1]))
+        found = text.lower().split()
+        at += np.fromiter(map(place.__getitem__, found), np.int32, len(found)), last
+        sizes.append(len(found) + 1)
     return list(place), np.concatenate(at), np.array(sizes, np.int64)
 
 
@@ -255,13 +256,13 @@ def hashes(words: list[bytes]) -> np.ndarray:
     return np.fromiter(map(xxhash.xxh3_64_intdigest, words), _U, len(words))
 
 
-def contexts(words: list[bytes], at: np.ndarray, before: np.ndarray) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
-    """64-bit hashes of a block's contexts: token after the word before, token
+def contexts(words: list[bytes], word: np.ndarray, at: np.ndarray, before: np.ndarray) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
+    """64-bit hashes of a block's contexts, from those of its words: token after the word before, token
     after that word's last two bytes over the space, and those bytes alone. Each
     once, ascending; and of each of the three kinds the tokens' places among
     them. Third, the words' ends, numbered."""
     width, ends = len(words), _Places()
-    word, end = hashes(words), np.array([ends[w[-2:]] for w in words])
+    end = np.fromiter((ends[w[-2:]] for w in words), np.int64, width)
     last = np.array([xxhash.xxh3_64_intdigest(e, 1) for e in ends], _U)
     pair, pair_at = _unique(before.astype(np.int64) * width + at)
     first, second = pair // width, pair % width
@@ -300,7 +301,8 @@ def _joined(words: list[bytes]) -> bytes:
 
 
 def _split(data: bytes) -> list[bytes]:
-    return _unpacked(data, "u1").tobytes().split(b"\n")
+    joined = _unpacked(data, "u1").tobytes()
+    return joined.split(b"\n") if joined else []
 
 
 #: A block: PARTS runs of documents that the sources' mixer learns from together, unless they have more bytes.
@@ -337,7 +339,7 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _tokens(block: dict) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray]:
     """Words, places of the tokens and of those before, and whether they are learned from."""
     words, at, sizes = _split(block["words"]), _unpacked(block["at"], "<i4").astype(np.int64), np.array(block["sizes"], np.int64)
-    return [END, b"", *(words if words != [b""] else [])], at, _before(at, sizes), np.repeat(~np.array(block["held"], bool), sizes)
+    return [END, b"", *words], at, _before(at, sizes), np.repeat(~np.array(block["held"], bool), sizes)
 
 
 def _block_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -363,14 +365,15 @@ def _block_shares(deal: int, keys: bool):
         for batch in batches:
             for part in slices(batch, 1):
                 block = part.to_pylist()[0]
-                words, at, before, train = _tokens(block)
                 if keys:
-                    found, which, _ = contexts(words, at, before)
+                    words, at, before, train = _tokens(block)
+                    found, which, _ = contexts(words, hashes(words), at, before)
                     n = sum(np.bincount(w[train], minlength=len(found)) for w in which)
                     share = _dealt(found, deal)
                 else:
-                    order = np.argsort(share := _dealt(hashes(words[2:]), deal), kind="stable")
-                    share, found = share[order], [words[2 + i] for i in order.tolist()]
+                    words = _split(block["words"])
+                    order = np.argsort(share := _dealt(hashes(words), deal), kind="stable")
+                    share, found = share[order], [words[i] for i in order.tolist()]
                 cuts = np.searchsorted(share, np.arange((1 << deal) + 1))
                 rows = [(s, block["block"], _packed(np.diff(found[lo:hi], prepend=_U(0)), "<u8") if keys else _joined(found[lo:hi]), _packed(n[lo:hi], "<i4") if keys else b"")
                         for s, (lo, hi) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist())) if hi > lo]
@@ -403,8 +406,9 @@ def _word_counts(rows: pa.Table, scored: pa.Table) -> pa.Table:
     c, lp = scored.column("c").to_numpy(), scored.column("lp").to_numpy()
     out = []
     for what in rows.column("what").to_pylist():
-        at = np.array([*map(place.__getitem__, _split(what))], np.int64)
-        out.append((_packed(c[at], "<i8"), _packed(lp[at], "<f8")))
+        words = _split(what)
+        at = np.fromiter(map(place.__getitem__, words), np.int64, len(words))
+        out.append((_packed(c[at], "<i8"), _packed(lp[at], "<f4")))
     return pa.table([rows.column("block"), rows.column("share"), *(pa.array([x[i] for x in out], pa.binary()) for i in (0, 1))], schema=RETURNED)
 
 
@@ -459,8 +463,10 @@ class Sources:
         below = np.stack([context, past, followed, lasts, np.broadcast_to(total, len(at))]).astype(float)
         q = np.divide(top, below, out=np.zeros_like(top), where=below > 0)
         hits, tries = np.cumsum(q > 0, axis=1) - (q > 0), np.cumsum(below > 0, axis=1) - (below > 0)
-        rate = (hits - hits[:, first] + 0.5) / (tries - tries[:, first] + 1)
-        x = np.concatenate([np.log(rate / (1 - rate)), np.ones((1, len(at)))])
+        hits -= hits.take(first, axis=1)
+        tries -= tries.take(first, axis=1) + hits  # of them, those that did not hold the token
+        half = np.log(np.arange(past.max() + 2) + 0.5)
+        x = np.concatenate([half.take(hits) - half.take(tries), np.ones((1, len(at)))])
         return np.minimum(q, 1), below, x
 
     def mixed(self, at: np.ndarray, x: np.ndarray) -> np.ndarray:
@@ -500,16 +506,17 @@ class Sources:
                 parts[k] = left * p[k] * q[k, e]
                 left = left * (1 - p[k])
             parts[-1] = left * spelled[e]
-            parts /= np.maximum(parts.sum(axis=0), 1e-300)
-            weigh, yes = np.cumsum(parts[::-1], axis=0)[:0:-1] * can, parts[:-1] * can
+            asked = np.cumsum(parts[::-1], axis=0)[::-1]
+            share = can / np.maximum(asked[0], 1e-300)
+            weigh, yes = asked[:-1] * share, parts[:-1] * share
             at, near = at.ravel(), (np.rint((z + 12) * (STEPS - 1) / 24).astype(int) + ladder).ravel()
             off = yes - weigh * p
             move = np.stack([np.bincount(at, (off * a).ravel(), SOURCES * LEVELS) for a in x[:, e]], axis=1).reshape(self.moved.shape)
             self.moved += move**2
             self.weights += rate * move / np.sqrt(self.moved)
             self.visits += np.bincount(at, weigh.ravel(), SOURCES * LEVELS).reshape(self.visits.shape)
-            for k, share in enumerate((yes, weigh - yes)):
-                self.adapt[k] += np.bincount(near, share.ravel(), SOURCES * STEPS).reshape(SOURCES, STEPS)
+            for k, found in enumerate((yes, weigh - yes)):
+                self.adapt[k] += np.bincount(near, found.ravel(), SOURCES * STEPS).reshape(SOURCES, STEPS)
 
 
 def _text_chunks(sizes: list[int], most: int = 1 << 20) -> Iterator[tuple[int, int]]:
@@ -564,7 +571,7 @@ def _summed(rows: DataFrame, size: int) -> np.ndarray:
 
 
 def _answered(total: int, distinct: int, ends: int, end_score: float, deal: int):
-    """Of a block and the answers of the shares: the rows of ``_taught``."""
+    """Of a block and the answers of the shares: the row of ``_taught``."""
 
     def blocks(block: pa.Table, returned: pa.Table) -> pa.Table:
         block = block.to_pylist()[0]
@@ -572,13 +579,14 @@ def _answered(total: int, distinct: int, ends: int, end_score: float, deal: int)
         by_share = returned.sort_by("share")
         spelled = pc.is_valid(by_share.column("lp"))
         named, counted = by_share.filter(spelled), by_share.filter(pc.invert(spelled))
-        _, which, end = contexts(words, at, before)
+        hashed = hashes(words)
+        _, which, end = contexts(words, hashed, at, before)
         counts = np.concatenate([_unpacked(x, "<i8") for x in counted.column("c").to_pylist()])
         c_of, lp_of = np.full(len(words), float(ends)), np.full(len(words), end_score)
-        order = 2 + np.argsort(_dealt(hashes(words[2:]), deal), kind="stable")
+        order = 2 + np.argsort(_dealt(hashed[2:], deal), kind="stable")
         if len(order):
             c_of[order] = np.concatenate([_unpacked(x, "<i8") for x in named.column("c").to_pylist()])
-            lp_of[order] = np.concatenate([_unpacked(x, "<f8") for x in named.column("lp").to_pylist()])
+            lp_of[order] = np.concatenate([_unpacked(x, "<f4") for x in named.column("lp").to_pylist()])
         return _taught(total, distinct, block, (words, at, before, train), which, counts, end, c_of, lp_of)
 
     return blocks
@@ -595,7 +603,7 @@ def _features(total: int, distinct: int, ends: int, end_score: float):
         known = {w: (c, lp) for w, c, lp in zip(*(table.column(name).to_pylist() for name in ("word", "c", "lp"))) if w is not None}
         known[END] = known[b""] = (ends, end_score)
         other = {k: c for w, k, c in zip(*(table.column(name).to_pylist() for name in ("word", "key", "c"))) if w is None}
-        keys, which, end = contexts(words, at, before)
+        keys, which, end = contexts(words, hashes(words), at, before)
         counts = np.array([other.get(k, 0) for k in keys.view(np.int64).tolist()]) + sum(np.bincount(w[train], minlength=len(keys)) for w in which)
         c_of, lp_of = np.array([known[w] for w in words], float).T
         out = []
@@ -609,7 +617,7 @@ def _features(total: int, distinct: int, ends: int, end_score: float):
 
 
 def _taught(total: int, distinct: int, block: dict, tokens: tuple, which: list[np.ndarray], counts: np.ndarray, end: np.ndarray, c_of: np.ndarray, lp_of: np.ndarray) -> pa.Table:
-    """A row for each part of a block, with its tokens' counts and what its training texts teach."""
+    """A block's row: its tokens' counts and what the training texts of its parts teach."""
     words, at, before, train = tokens
     pairs, close, ends = which
     n, m, lasts = (counts[w] for w in which)
@@ -617,7 +625,7 @@ def _taught(total: int, distinct: int, block: dict, tokens: tuple, which: list[n
     length = np.array([len(w) + 1 for w in words])
     length[0] = 1
     ids, held, size_of, sizes = block["ids"], block["held"], block["bytes"], np.array(block["sizes"])
-    starts, out = np.r_[0, np.cumsum(sizes)], []
+    starts, learned = np.r_[0, np.cumsum(sizes)], None
     for part_lo, part_hi in _runs(np.array(block["parts"])):
         mixer = Sources()
         for lo, hi in _text_chunks(size_of[part_lo:part_hi]):
@@ -634,16 +642,14 @@ def _taught(total: int, distinct: int, block: dict, tokens: tuple, which: list[n
             q, below_it, x = Sources.estimates(owner, a, b, c_of[a] - in_seen, n[e][t] - in_pair, m[e][t] - in_last, c_of[b] - in_context,
                                                lasts[e][t] - in_lasts, total - np.bincount(owner)[owner], (pair, seen, context))
             mixer.learn(q, below_it, x, lp_of[a])
-        e, many = slice(starts[part_lo], starts[part_hi]), part_hi - part_lo
-        # the part's words, the end and the start of a text first
-        places, a = _unique(np.r_[1, at[e]])
-        owner, c = np.repeat(np.arange(many), sizes[part_lo:part_hi]), c_of[at[e]]
-        known, size = (np.bincount(owner, x, many).astype(np.int64) for x in (c > 0, length[at[e]]))
-        out.append((ids[part_lo:part_hi], held[part_lo:part_hi], size_of[part_lo:part_hi], sizes[part_lo:part_hi], known,
-                    np.bincount(owner, np.log10((c + 0.5) / below), many), size, _packed(a[1:], "<i4"), _packed(c_of[places], "<i8"), _packed(lp_of[places], "<f4"),
-                    _packed(end[places], "<i4"), _packed(n[e], "<i8"), _packed(m[e], "<i8"), _packed(_by_end(end[before[e]], lasts[e], int(end.max()) + 1), "<i8"),
-                    mixer.pack().tobytes() if mixer.visits.any() else None))
-    return pa.table([pa.array(x, f.type) for x, f in zip(zip(*out), FEATURES)], schema=FEATURES)
+        if mixer.visits.any():
+            learned = mixer.pack() + (0 if learned is None else learned)
+    owner, c = np.repeat(np.arange(len(sizes)), sizes), c_of[at]
+    known, size = (np.bincount(owner, x, len(sizes)).astype(np.int64) for x in (c > 0, length[at]))
+    row = (ids, held, size_of, sizes, known, np.bincount(owner, np.log10((c + 0.5) / below), len(sizes)), size,
+           _packed(at, "<i4"), _packed(c_of, "<i8"), _packed(lp_of, "<f4"), _packed(end, "<i4"), _packed(n, "<i8"), _packed(m, "<i8"),
+           _packed(_by_end(end[before], lasts, int(end.max()) + 1), "<i8"), None if learned is None else learned.tobytes())
+    return pa.table([pa.array([x], f.type) for x, f in zip(row, FEATURES)], schema=FEATURES)
 
 
 def _by_end(end: np.ndarray, lasts: np.ndarray, wide: int) -> np.ndarray:
@@ -664,6 +670,20 @@ FEATURES_DDL = ("ids array<long>, held array<boolean>, bytes array<long>, sizes
                 "at binary, c binary, lp binary, end binary, n binary, m binary, lasts binary, learned binary")
 
 
+CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def _kept(df: DataFrame) -> DataFrame:
+    """``stage``, after which the shuffle files of its job are deleted at once."""
+    conf = df.sparkSession.conf
+    before = conf.get(CLEAN_UP, None)
+    conf.set(CLEAN_UP, "true")
+    try:
+        return stage(df, "zstd")
+    finally:
+        conf.unset(CLEAN_UP) if before is None else conf.set(CLEAN_UP, before)
+
+
 def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text", *, slot_bits: int = 19) -> DataFrame:
     """One row (doc_id, held_out, n_tokens, n_known, train_tokens, base_score,
     score, bits_per_byte) for each row of docs; held_out is a condition on the
@@ -682,8 +702,8 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
     rows = docs.select(
         F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.coalesce(F.col(f"`{text_col}`").cast("binary"), F.lit("").cast("binary")).alias("text"),
         F.coalesce(held_out, F.lit(False)).alias("held_out"), F.monotonically_increasing_id().alias("row"))
-    blocks = stage(rows.mapInArrow(_blocks, BLOCKS_DDL), "zstd")
-    vocabulary = stage(blocks.select(*BLOCKS.names).mapInArrow(_block_words, "word binary, n long").groupBy("word").agg(F.sum("n").alias("c")), "zstd")
+    blocks = _kept(rows.mapInArrow(_blocks, BLOCKS_DDL))
+    vocabulary = _kept(blocks.select(*BLOCKS.names).mapInArrow(_block_words, "word binary, n long").groupBy("word").agg(F.sum("n").alias("c")))
     known = vocabulary.where("c > 0")
     words, distinct = known.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     ends, tokens = blocks.agg(F.coalesce(F.sum(F.size(F.filter("held", lambda x: ~x))), F.lit(0)),
@@ -715,10 +735,10 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
 
     scored = map_rows(vocabulary, make, "word binary, c long, lp double, share long", 1 << 20)
     # words and contexts go to their share, which counts them over the corpus and answers each block in the order of its question
-    named = stage(blocks.mapInArrow(_block_shares(deal, False), SHARES_DDL).groupBy("share").cogroup(scored.groupBy("share")).applyInArrow(_word_counts, RETURNED_DDL), "zstd")
-    counted = stage(blocks.mapInArrow(_block_shares(deal, True), SHARES_DDL).groupBy("share").applyInArrow(_key_counts, RETURNED_DDL), "zstd")
-    found = stage(blocks.groupBy("block").cogroup(named.union(counted).groupBy("block")).applyInArrow(
-        _answered(total, distinct, ends, end_score, deal), FEATURES_DDL), "zstd")
+    named = _kept(blocks.mapInArrow(_block_shares(deal, False), SHARES_DDL).groupBy("share").cogroup(scored.groupBy("share")).applyInArrow(_word_counts, RETURNED_DDL))
+    counted = _kept(blocks.mapInArrow(_block_shares(deal, True), SHARES_DDL).groupBy("share").applyInArrow(_key_counts, RETURNED_DDL))
+    found = _kept(blocks.groupBy("block").cogroup(named.union(counted).groupBy("block")).applyInArrow(
+        _answered(total, distinct, ends, end_score, deal), FEATURES_DDL))
 
     size = sum(int(np.prod(s)) for s in Sources.SHAPES)
 

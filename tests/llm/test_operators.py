@@ -392,7 +392,7 @@ def test_contexts_are_counted_over_all_blocks_in_few_bytes():
     keys = 0
     for block in blocks:
         words, at, before, _ = lm._tokens(block.to_pylist()[0])
-        hashed, which, _ = lm.contexts(words, at, before)
+        hashed, which, _ = lm.contexts(words, lm.hashes(words), at, before)
         mine = found.filter(lm.pc.equal(found.column("block"), block.column("block")[0])).column("c").to_pylist()
         counts = np.concatenate([lm._unpacked(x, "<i8") for x in mine])
         keys += len(hashed)
